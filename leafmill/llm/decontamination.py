@@ -58,33 +58,42 @@ def spot(g: np.ndarray) -> np.ndarray:
 
 
 class Walks:
-    """CGK embeddings, seen only at the sampled places. Equal strings agree; the place of a walk is capped at the end."""
+    """CGK embeddings, seen only at the sampled places. Equal strings agree; the place of a walk is capped at the end.
 
-    def __init__(self, length: int, seed: int = SEED):
-        rng = np.random.default_rng([seed, length])
-        self.steps = 2 * length
-        self.turn = rng.integers(0, 2, (REPEATS, self.steps, 257), dtype=np.int64)
-        self.at = rng.integers(0, self.steps, (REPEATS, TABLES, SAMPLED))
+    One set of random functions serves all lengths up to the longest; a string of length m walks 2m steps.
+    """
 
-    def sketch(self, windows: np.ndarray) -> np.ndarray:
-        """windows: rows of byte values. Returns rows x REPEATS x TABLES x SAMPLED."""
+    def __init__(self, longest: int, seed: int = SEED):
+        rng = np.random.default_rng(seed)
+        self.turn = rng.integers(0, 2, (REPEATS, 2 * longest, 257), dtype=np.int8)
+        self.share = rng.random((REPEATS, TABLES, SAMPLED))
+
+    def sketch(self, windows: np.ndarray, r: int) -> np.ndarray:
+        """The r-th walk of each window. windows: rows of byte values. Returns rows x TABLES x SAMPLED."""
         n, m = windows.shape
         padded = np.hstack([windows.astype(np.int64), np.full((n, 1), 256)])
-        out = np.empty((n, REPEATS, TABLES, SAMPLED), np.int16)
-        row = np.arange(n)
+        row, i, walk = np.arange(n), np.zeros(n, np.int64), np.empty((n, 2 * m), np.int16)
+        at = (self.share[r] * 2 * m).astype(np.int64)
+        for j in range(int(at.max()) + 1):
+            c = padded[row, i]
+            walk[:, j] = c
+            i = np.minimum(i + self.turn[r, j][c], m)
+        return walk[:, at]
+
+    def meet(self, windows: np.ndarray, own: list[np.ndarray]) -> np.ndarray:
+        """Which windows agree with own (the sketches of an item) in a whole set of samples. One that has met walks no further."""
+        out = np.zeros(len(windows), bool)
         for r in range(REPEATS):
-            i, walk = np.zeros(n, np.int64), np.empty((n, self.steps), np.int16)
-            for j in range(self.steps):
-                c = padded[row, i]
-                walk[:, j] = c
-                i = np.minimum(i + self.turn[r, j][c], m)
-            out[:, r] = walk[:, self.at[r]]
+            left = np.flatnonzero(~out)
+            if not len(left):
+                break
+            out[left] = meets(self.sketch(windows[left], r), own[r])
         return out
 
 
 def meets(a: np.ndarray, b: np.ndarray) -> np.ndarray:
     """Whether a set of samples agrees throughout, for each row of a against b."""
-    return (a == b).all(-1).any((-1, -2))
+    return (a == b).all(-1).any(-1)
 
 
 def alignment(item: np.ndarray, text: np.ndarray) -> tuple[int, int]:
@@ -121,10 +130,11 @@ class Index:
         self.seen[spot(self.gram)] = True
         self.short = [n for n, t in enumerate(self.texts) if len(t) < Q]
         self.reach = int((self.size + 2 * self.k).max(initial=0)) + Q
-        self._walks: dict[int, tuple[Walks, dict]] = {}
+        self.walks = Walks(int(self.size.max(initial=Q)))
+        self._own: dict[int, list[np.ndarray]] = {}
 
     def windows(self, b: np.ndarray) -> list[tuple[int, int]]:
-        """(item, start) of the diagonals that may hold a match."""
+        """(item, start) of the diagonals that may hold a match, those with most grams first."""
         g = grams(b)
         hit = np.flatnonzero(self.seen[spot(g)])
         if not len(hit) or not len(self.gram):
@@ -135,6 +145,10 @@ class Index:
         many = self.many[at]
         where = np.repeat(self.first[at] - np.concatenate([[0], np.cumsum(many)[:-1]]), many) + np.arange(many.sum())
         item, pos, place = self.item[where], np.repeat(hit, many), self.place[where]
+        # a match keeps so many different places of the item; one repeated word of it is no sign
+        own = np.unique(item * (int(self.size.max()) + 1) + place) // (int(self.size.max()) + 1)
+        enough = (np.bincount(own, minlength=len(self.size)) >= self.need)[item]
+        item, pos, place = item[enough], pos[enough], place[enough]
         if not len(item):
             return []
         # enough of an item's grams close together
@@ -152,18 +166,13 @@ class Index:
         held = np.cumsum(edge[:-1]) > 0
         pair, n = np.unique(np.stack([item[held], pos[held] - place[held]]), axis=1, return_counts=True)
         keep = n >= self.votes[pair[0]]
-        return [(int(i), int(s)) for i, s in pair[:, keep].T]
-
-    def walks(self, item: int) -> tuple[Walks, np.ndarray]:
-        m = int(self.size[item])
-        if m not in self._walks:
-            if len(self._walks) > 64:
-                self._walks.clear()
-            self._walks[m] = (Walks(m), {})
-        w, own = self._walks[m]
-        if item not in own:
-            own[item] = w.sketch(self.arrays[item][None, :])[0]
-        return w, own[item]
+        pair, n = pair[:, keep], n[keep]
+        return [(int(i), int(s)) for i, s in pair[:, np.argsort(-n, kind="stable")].T]
+
+    def sketches(self, item: int) -> list[np.ndarray]:
+        if item not in self._own:
+            self._own[item] = [self.walks.sketch(self.arrays[item][None, :], r)[0] for r in range(REPEATS)]
+        return self._own[item]
 
     def search(self, text: bytes) -> dict[int, tuple[int, int]]:
         """item -> (distance, start) of its best stretch in a normalised text."""
@@ -180,19 +189,28 @@ class Index:
                 by.setdefault(item, []).append(start)
             for item, starts in by.items():
                 m, k = int(self.size[item]), int(self.k[item])
-                w, own = self.walks(item)
-                rows = np.zeros((len(starts), m), np.uint8)
-                for r, s in enumerate(starts):
-                    part = b[max(0, s) : max(0, s + m)]
-                    rows[r, : len(part)] = part
-                for s in np.array(starts)[meets(w.sketch(rows), own)]:
-                    first = max(0, s - k)
-                    near = b[first : max(first, s + m + k)]
-                    at = near.tobytes().find(self.texts[item])
-                    d, end = (0, at + m) if at >= 0 else alignment(self.arrays[item], near)
-                    if d <= k:
-                        found = (d, base + first + max(0, end - m))
-                        out[item] = min(out.get(item, found), found)
+                done: list[int] = []
+                for some in (starts[:1], starts[1:]):  # the likeliest window alone first: most matches end there
+                    some = [s for s in some if all(abs(s - x) > k // 2 for x in done)]
+                    if not some:
+                        continue
+                    rows = np.zeros((len(some), m), np.uint8)
+                    for r, s in enumerate(some):
+                        part = b[max(0, s) : max(0, s + m)]
+                        rows[r, : len(part)] = part
+                    for s in map(int, np.array(some)[self.walks.meet(rows, self.sketches(item))]):
+                        if any(abs(s - x) <= k // 2 for x in done):  # the stretch checked there, k either side, holds this one's
+                            continue
+                        done.append(s)
+                        first = max(0, s - 2 * k)
+                        near = b[first : max(first, s + m + 2 * k)]
+                        at = near.tobytes().find(self.texts[item])
+                        d, end = (0, at + m) if at >= 0 else alignment(self.arrays[item], near)
+                        if d <= k:
+                            found = (d, base + first + max(0, end - m))
+                            out[item] = min(out.get(item, found), found)
+                    if out.get(item, (1, 0))[0] == 0:
+                        break
         return out
 
 
@@ -257,8 +275,7 @@ def recall_at(distance: int, length: int, trials: int = 200, seed: int = 1) -> f
         rows = np.zeros((2, length), np.uint8)
         rows[0] = a
         rows[1, : min(length, len(b))] = b[:length]
-        s = w.sketch(rows)
-        met += bool(meets(s[1:], s[0])[0])
+        met += bool(w.meet(rows[1:], [w.sketch(rows[:1], r)[0] for r in range(REPEATS)])[0])
     return met / trials
 
 
