@@ -4,18 +4,30 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from leafmill.llm import language_id, line_rules, pii, quality_classifier, toxicity, url_reputation
+from leafmill.llm import decontamination, language_id, line_rules, packing, pii, quality_classifier, substring_dedup, toxicity, url_reputation
 from leafmill.llm.common import table
 
 
+def op1_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return substring_dedup.dedup(table(spark, sf_dir, "documents")).drop("kept")
+
+
 def op2_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return line_rules.judge(table(spark, sf_dir, "documents")).drop("clean_text", "clean_chars")
 
 
+def op3_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return packing.pack_documents(table(spark, sf_dir, "documents"))
+
+
 def op4_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return toxicity.classify(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
 
 
+def op5_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return decontamination.leaks(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
 def op6_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality_classifier.classify(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
 
