@@ -252,9 +252,25 @@ def leaks(documents: DataFrame, benchmark: DataFrame, ratio: float = RATIO) -> D
     return reduce(DataFrame.unionByName, found) if found else spark.createDataFrame([], schema)
 
 
-def clean(documents: DataFrame, found: DataFrame) -> DataFrame:
-    """documents without those that hold an item."""
-    return documents.join(found.select("doc_id").distinct(), "doc_id", "left_anti").select(*documents.columns)
+def clean(documents: DataFrame, benchmark: DataFrame, ratio: float = RATIO) -> DataFrame:
+    """documents without those that hold an item. Rows are dropped where they are; nothing moves."""
+    sc = documents.sparkSession.sparkContext
+    at = documents.columns.index("text")
+
+    def without(items: list[tuple]) -> DataFrame:
+        shared = sc.broadcast(items)
+
+        def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            index = Index(shared.value, ratio)
+            for b in batches:
+                keep = [not (t and index.search(normal(t))) for t in b.column(at).to_pylist()]
+                yield b.filter(pa.array(keep, pa.bool_()))
+
+        return documents.mapInArrow(run, documents.schema)
+
+    for items in blocks(benchmark):
+        documents = without(items)
+    return documents
 
 
 def recall_at(distance: int, length: int, trials: int = 200, seed: int = 1) -> float:

@@ -20,8 +20,9 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
-from leafmill.llm.arrow import id_texts
+from leafmill.llm.arrow import grouped, id_texts
 from leafmill.llm.common import fold
 
 DIMENSIONS, SEED = 1024, 20
@@ -119,29 +120,36 @@ def train(documents: DataFrame, dimensions: int = DIMENSIONS) -> tuple[list[str]
     return langs, out / np.maximum(np.linalg.norm(out, axis=1, keepdims=True), 1e-9)
 
 
-def predict(documents: DataFrame, langs: list[str], prototypes: np.ndarray) -> DataFrame:
-    """doc_id, lang_pred, score (cosine, 0 to 1), margin (to the next language)."""
-    spark = documents.sparkSession
-    model = spark.sparkContext.broadcast((langs, prototypes.astype(np.float32)))  # languages x dimensions
-    kind = documents.schema["doc_id"].dataType.simpleString()
-    schema = f"doc_id {kind}, lang_pred string, score double, margin double"
+def annotate(documents: DataFrame, langs: list[str], prototypes: np.ndarray) -> DataFrame:
+    """documents with lang_pred, score (cosine, 0 to 1) and margin (to the next language); rows don't move."""
+    model = documents.sparkSession.sparkContext.broadcast((langs, prototypes.astype(np.float32)))  # languages x dimensions
+    fresh = ["lang_pred", "score", "margin"]
+    documents = documents.drop(*fresh)
+    at = documents.columns.index("text")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         names, p = model.value
-        for ids, texts in id_texts(batches, 1 << 20):
-            h = bundles(texts, p.shape[1] if len(names) else DIMENSIONS)
-            size = np.linalg.norm(h, axis=1)
-            cos = (h @ p.T) / np.maximum(size, 1e-9)[:, None] if len(names) else np.zeros((len(ids), 1))
-            best = cos.argmax(1)
-            lone = (size == 0) | (not names)
-            order = np.sort(cos, axis=1)
-            score = np.where(lone, 0.0, np.clip(order[:, -1], 0, 1))
-            margin = np.where(lone, 0.0, order[:, -1] - (order[:, -2] if cos.shape[1] > 1 else 0))
-            yield pa.RecordBatch.from_pydict(
-                {"doc_id": ids, "lang_pred": ["und" if z else names[k] for k, z in zip(best, lone, strict=True)], "score": score.astype(float), "margin": margin.astype(float)},
-                pa.schema([("doc_id", batch_type(kind)), ("lang_pred", pa.string()), ("score", pa.float64()), ("margin", pa.float64())]))
-
-    return documents.select("doc_id", "text").mapInArrow(run, schema)
+        for b in batches:
+            pred, score, margin, done = [], [], [], 0
+            texts = b.column(at).to_pylist()
+            for part in grouped(texts, lambda t: len(t or "") + 64, 1 << 20):
+                h = bundles(part, p.shape[1] if names else DIMENSIONS)
+                size = np.linalg.norm(h, axis=1)
+                cos = (h @ p.T) / np.maximum(size, 1e-9)[:, None] if names else np.zeros((len(part), 1))
+                best, order = cos.argmax(1), np.sort(cos, axis=1)
+                lone = (size == 0) | (not names)
+                pred += ["und" if z else names[k] for k, z in zip(best, lone, strict=True)]
+                score += np.where(lone, 0.0, np.clip(order[:, -1], 0, 1)).tolist()
+                margin += np.where(lone, 0.0, order[:, -1] - (order[:, -2] if cos.shape[1] > 1 else 0)).tolist()
+                done += len(part)
+            yield pa.RecordBatch.from_arrays([*b.columns, pa.array(pred, pa.string()), pa.array(score, pa.float64()), pa.array(margin, pa.float64())], names=[*b.schema.names, *fresh])
+
+    return documents.mapInArrow(run, StructType([*documents.schema.fields, *StructType.fromDDL("lang_pred string, score double, margin double").fields]))
+
+
+def predict(documents: DataFrame, langs: list[str], prototypes: np.ndarray) -> DataFrame:
+    """doc_id, lang_pred, score, margin."""
+    return annotate(documents.select("doc_id", "text"), langs, prototypes).drop("text")
 
 
 def batch_type(kind: str) -> pa.DataType:

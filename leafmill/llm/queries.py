@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from leafmill.llm import decontamination, language_id, line_rules, packing, pii, quality_classifier, substring_dedup, toxicity, url_reputation
+from leafmill.llm import decontamination, language_id, line_rules, ngram_join, packing, pii, quality_classifier, substring_dedup, toxicity, url_reputation
 from leafmill.llm.common import table
 
 
@@ -46,6 +46,10 @@ def op9_url_filters(spark: SparkSession, sf_dir: str) -> DataFrame:
     return url_reputation.judge(pages, seen).drop("rate", "bound")
 
 
+def op10_ngram_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return ngram_join.similar(table(spark, sf_dir, "documents")).drop("node")
+
+
 def queries() -> dict:
     return {name: f for name, f in globals().items() if name.startswith("op")}
 
