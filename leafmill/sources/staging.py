@@ -20,16 +20,19 @@ def shared_dir(spark: SparkSession) -> str:
     return found
 
 
-def staged(df: DataFrame, tag: str = "t") -> DataFrame:
+def staged(df: DataFrame, tag: str = "t", free: bool = False) -> DataFrame:
     """Write df as Parquet to the shared folder and return a frame that reads it.
 
     Unlike checkpoint() the result carries no partitioning, so a later join deals both of its sides anew and
-    adaptive execution can split a hot key. A lost executor loses nothing: the files are in shared storage.
+    adaptive execution can split a hot key. A lost executor loses nothing: the files are in shared storage. With free,
+    the driver collects its garbage, so that Spark's cleaner drops the shuffle files only this write needed.
     """
     spark = df.sparkSession
     path = f"{shared_dir(spark).rstrip('/')}/staged/{tag}-{uuid.uuid4().hex}"
     schema = df.schema
-    df.write.parquet(path)
+    df.write.option("compression", "zstd").parquet(path)
+    if free:
+        spark.sparkContext._jvm.System.gc()
     return spark.read.schema(schema).parquet(path)
 
 
