@@ -9,10 +9,12 @@ One transform over the corpus would be one task, so strings are dealt to many sm
 
 1. Each window of LENGTH bytes has a minimizer (the least hash of its GRAM-byte strings). Equal windows have equal
    minimizers, so windows whose minimizer stands in one text only can't repeat. Only hashes move in this step.
-2. Windows that are left travel as fragments: up to GROUP neighbouring windows with one minimizer, keyed by the
-   bytes common to all of them and their place relative to the minimizer. Equal windows get equal keys.
-3. Equal fragments collapse to one with its least document (pre-aggregated before they move), fragments are dealt by
-   key, each shard of bounded size builds a transform and returns the least document for each window.
+2. Windows that are left travel as fragments: neighbouring windows with one minimizer, which is their key. Those of
+   hot minimizers (at most 1/HOT_SHARE of all that are sent, so the list of them is bounded) are cut into groups of
+   at most GROUP windows, keyed by the bytes common to all of them and their place relative to the minimizer. Either
+   way equal windows get equal keys.
+3. Equal fragments collapse to one with its least document (pre-aggregated before they move) and are dealt by key.
+   Each shard builds transforms of bounded size and returns the least document for each window.
 4. That answer is joined to the fragments' occurrences, whose intervals go back to their document.
 
 Copies of a whole text are settled by its hash alone. Cases: null is an empty text; texts shorter than LENGTH keep
@@ -23,6 +25,7 @@ an empty table gives an empty result; no step keeps more of a text than a window
 from __future__ import annotations
 
 import hashlib
+import zlib
 from collections.abc import Iterator
 
 import numpy as np
@@ -34,9 +37,12 @@ from pyspark.sql import functions as F
 from leafmill.llm.arrow import grouped
 from leafmill.sources.staging import staged
 
-LENGTH, GRAM, GROUP = 50, 16, 8
+LENGTH, GRAM, GROUP = 50, 24, 8
 #: Bytes of text behind one bucket of hashes, and bytes of fragments in one transform.
-BUCKET_TEXT, SHARD_BYTES = 16 << 20, 1 << 20
+BUCKET_TEXT, MOST_BUCKETS, SHARD_BYTES = 16 << 20, 1 << 20, 1 << 20
+#: A minimizer in more than HOT_LEAST texts and more than one in HOT_SHARE of all sent is hot.
+HOT_LEAST, HOT_SHARE = 1000, 100_000
+SEND_PER_BYTE = 0.065
 _A, _B, _C = np.uint64(0x9E3779B97F4A7C15), np.uint64(0xC2B2AE3D27D4EB4F), np.uint64(0x165667B19E3779F9)
 
 
@@ -46,11 +52,11 @@ def mix(x: np.ndarray) -> np.ndarray:
 
 
 def gram_hashes(b: np.ndarray) -> np.ndarray:
-    """A hash of the GRAM = 16 bytes from each place."""
+    """A 48-bit hash of the GRAM = 24 bytes from each place."""
     if len(b) < GRAM:
         return np.zeros(0, np.uint64)
     w = np.lib.stride_tricks.sliding_window_view(b, 8).copy().view(np.uint64).ravel()
-    return mix(w[:-8] * _A + (w[8:] ^ (w[8:] >> np.uint64(32))) * _B)
+    return mix(mix(w[:-16] * _A + (w[8:-8] ^ (w[8:-8] >> np.uint64(32))) * _B) + w[16:] * _C) >> np.uint64(16)
 
 
 def window_minima(h: np.ndarray, length: int = LENGTH) -> np.ndarray:
@@ -75,20 +81,17 @@ def minimizers(b: np.ndarray) -> np.ndarray:
     return np.unique(m[runs(m)[:-1]]) if len(m) else m
 
 
-def fragments(b: np.ndarray, shared: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Key, first window and number of windows of each fragment whose minimizer is among shared (sorted)."""
-    h = gram_hashes(b)
-    m = window_minima(h)
-    none = (np.zeros(0, np.uint64), np.zeros(0, np.int64), np.zeros(0, np.int64))
-    if not len(m) or not len(shared):
-        return none
-    at = np.searchsorted(shared, m).clip(max=len(shared) - 1)
-    s = np.flatnonzero(shared[at] == m)
-    if not len(s):
-        return none
+def _isin(x: np.ndarray, among: np.ndarray) -> np.ndarray:
+    """Whether each of x is in among, which is sorted."""
+    if not len(among):
+        return np.zeros(len(x), bool)
+    return among[np.searchsorted(among, x).clip(max=len(among) - 1)] == x
+
+
+def _groups(b: np.ndarray, h: np.ndarray, m: np.ndarray, s: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Fragments of the windows s, keyed by the bytes their groups have in common."""
+    view = np.lib.stride_tricks.sliding_window_view(h, LENGTH - GRAM + 1)
     # the leftmost place of the minimum within each window, for blocks of windows
-    w = LENGTH - GRAM + 1
-    view = np.lib.stride_tricks.sliding_window_view(h, w)
     rel = np.concatenate([view[s[i : i + 65536]].argmin(1) for i in range(0, len(s), 65536)])
     place, group = s + rel, rel // GROUP
     cut = np.concatenate([[0], np.flatnonzero((place[1:] != place[:-1]) | (group[1:] != group[:-1]) | (s[1:] != s[:-1] + 1)) + 1, [len(s)]])
@@ -97,30 +100,65 @@ def fragments(b: np.ndarray, shared: np.ndarray) -> tuple[np.ndarray, np.ndarray
     # bytes common to all windows of the group: LENGTH - GROUP + 1 from the place less GROUP * g
     start = p - GROUP * g
     words = np.lib.stride_tricks.sliding_window_view(b, 8).copy().view(np.uint64).ravel()
-    key = mix(m[first] + g.astype(np.uint64) * _B)
+    key = mix(m[first] + (g + 1).astype(np.uint64) * _B)
     for k in [*range(0, LENGTH - GROUP + 1 - 8, 8), LENGTH - GROUP + 1 - 8]:
         key = mix(key * _A + words[start + k])
     return key, first, count
 
 
+def fragments(b: np.ndarray, shared: np.ndarray, hot: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Key, first window and number of windows of each fragment whose minimizer is among shared. shared and hot are sorted."""
+    h = gram_hashes(b)
+    m = window_minima(h)
+    if not len(m):
+        return np.zeros(0, np.uint64), np.zeros(0, np.int64), np.zeros(0, np.int64)
+    cut = runs(m)
+    own = m[cut[:-1]]
+    keep = _isin(own, shared)
+    burn = keep & _isin(own, hot)
+    plain = np.flatnonzero(keep & ~burn)
+    parts = [(mix(own[plain]), cut[:-1][plain], np.diff(cut)[plain])]
+    if burn.any():
+        parts.append(_groups(b, h, m, np.flatnonzero(np.repeat(burn, np.diff(cut)))))
+    return tuple(np.concatenate(x) for x in zip(*parts, strict=True))
+
+
 # ---- the transform
 
 
 def bounded_order(t: np.ndarray, depth: int = 64) -> tuple[np.ndarray, np.ndarray]:
-    """Suffixes in order of their first depth symbols (ties by place), and for each place the rank of its first 8."""
+    """Suffixes in order of their first depth symbols (ties by place), and for each place the rank of its first 8.
+
+    Prefix doubling: a rank is the number of suffixes before its group, so groups of one are done and only the rest
+    is sorted again by the rank of what follows.
+    """
     n = len(t)
-    padded = np.concatenate([t.astype(np.uint64), np.zeros(8, np.uint64)])
-    key = np.zeros(n, np.uint64)
-    for k in range(8):
-        key = (key << np.uint64(8)) | padded[k : k + n]
-    _, rank = np.unique(key, return_inverse=True)
-    eight, size = rank, 8
+    padded = np.concatenate([t, np.zeros(8, np.uint8)])
+    key = np.lib.stride_tricks.sliding_window_view(padded, 8)[:n].copy().view(">u8").ravel().astype(np.uint64)
+    order = np.argsort(key, kind="stable")
+    new = np.concatenate([[True], key[order[1:]] != key[order[:-1]]])
+    rank = np.empty(n, np.int64)
+    rank[order] = np.flatnonzero(new)[np.cumsum(new) - 1]
+    eight, size = rank.copy(), 8
+    ahead = np.concatenate([rank, np.full(depth, -1)])
     while size < depth:
-        ahead = np.zeros(n, np.int64)
-        ahead[: n - size] = rank[size:] + 1 if n > size else 0
-        _, rank = np.unique(rank * np.int64(n + 1) + ahead, return_inverse=True)
+        first = np.flatnonzero(new)
+        many = np.diff(np.concatenate([first, [n]]))
+        open_ = np.repeat(many > 1, many)
+        if not open_.any():
+            break
+        at = order[open_]
+        sub = np.lexsort((at, ahead[at + size], rank[at]))
+        at = at[sub]
+        order[open_] = at
+        fresh = np.concatenate([[True], (rank[at[1:]] != rank[at[:-1]]) | (ahead[at[1:] + size] != ahead[at[:-1] + size])])
+        new[open_] = fresh
+        place = np.flatnonzero(open_)
+        changed = place[fresh][np.cumsum(fresh) - 1]
+        rank[at] = changed
+        ahead[:n] = rank
         size *= 2
-    return np.argsort(rank, kind="stable"), eight
+    return order, eight
 
 
 def classes(t: np.ndarray, least: int = LENGTH) -> tuple[np.ndarray, np.ndarray]:
@@ -159,20 +197,29 @@ def classes(t: np.ndarray, least: int = LENGTH) -> tuple[np.ndarray, np.ndarray]
     return order, np.cumsum(lcp[:-1] != 0) - 1
 
 
-def least_documents(frags: list[bytes], first_docs: np.ndarray) -> list[np.ndarray]:
-    """For each window of each fragment, the least document among all fragments with an equal window."""
-    sizes = np.array([len(f) for f in frags])
-    text = np.frombuffer(b"\0".join(frags) + b"\0", np.uint8)  # a window never holds a separator: those that do are dropped below
-    starts = np.cumsum(sizes + 1) - sizes - 1
+def least_documents(blob: np.ndarray, sizes: np.ndarray, first_docs: np.ndarray) -> np.ndarray:
+    """For each window of each fragment in turn, the least document among all fragments with an equal window.
+
+    blob: the fragments' bytes one after the other.
+    """
+    n = len(sizes)
+    starts = np.cumsum(sizes) - sizes
+    text = np.zeros(len(blob) + n, np.uint8)  # a byte of 0 after each; what reaches across one is no window and isn't looked at
+    text[np.arange(len(blob)) + np.repeat(np.arange(n), sizes)] = blob
     order, cls = classes(text)
-    doc = np.full(len(text), np.iinfo(np.int64).max)
     windows = sizes - LENGTH + 1
-    inside = np.repeat(starts - (np.cumsum(windows) - windows), windows) + np.arange(windows.sum())
+    inside = spread(starts + np.arange(n), windows)
+    doc = np.full(len(text), np.iinfo(np.int64).max)
     doc[inside] = np.repeat(first_docs, windows)
     least = np.minimum.reduceat(doc[order], runs(cls)[:-1])[cls]
     out = np.empty(len(text), np.int64)
     out[order] = least
-    return np.split(out[inside], np.cumsum(windows)[:-1])
+    return out[inside]
+
+
+def spread(starts: np.ndarray, counts: np.ndarray) -> np.ndarray:
+    """start, start + 1, ... for each start, so many of each."""
+    return np.repeat(starts - (np.cumsum(counts) - counts), counts) + np.arange(counts.sum())
 
 
 # ---- the job
@@ -189,145 +236,250 @@ def _packed(documents: DataFrame) -> DataFrame:
     """doc_id, z: texts as compressed bytes, for moving."""
 
     def run(batches):
-        c = zstd.ZstdCompressor(level=1)
+        c = zstd.ZstdCompressor(level=3)
         for rows in _text_batches(batches):
             yield pa.RecordBatch.from_arrays([pa.array([r[0] for r in rows], pa.int64()), pa.array([c.compress(r[1] or b"") for r in rows], _BYTES)], ["doc_id", "z"])
 
     return documents.select("doc_id", F.col("text").cast("binary").alias("text")).mapInArrow(run, "doc_id long, z binary")
 
 
-def shared_minimizers(documents: DataFrame, buckets: int) -> DataFrame:
-    """doc_id, h: minimizers of a document that stand in another text too. documents: doc_id, text (binary).
+def _pack(h: np.ndarray, ids: np.ndarray, text: np.ndarray, d: np.ndarray, z: zstd.ZstdCompressor) -> bytes:
+    """Hashes of 48 bits with their document (an index into ids and text), small."""
+    own, at = np.unique(d, return_inverse=True)
+    head = np.array([len(own), len(h)], np.uint32).tobytes()
+    return z.compress(head + ids[own].tobytes() + text[own].tobytes() + h.view(np.uint8).reshape(-1, 8)[:, :6].tobytes() + at.astype("<u4").tobytes())
+
+
+def _unpack(raw: bytes, z: zstd.ZstdDecompressor) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    raw = z.decompress(raw)
+    k, n = np.frombuffer(raw, np.uint32, 2)
+    k, n = int(k), int(n)
+    ids = np.frombuffer(raw, np.int64, k, 8)
+    text = np.frombuffer(raw, np.uint32, k, 8 + 8 * k)
+    h = np.zeros((n, 8), np.uint8)
+    h[:, :6] = np.frombuffer(raw, np.uint8, 6 * n, 8 + 12 * k).reshape(n, 6)
+    at = np.frombuffer(raw, np.uint32, n, 8 + 12 * k + 6 * n)
+    return h.view(np.uint64).ravel(), ids[at], text[at]
+
 
-    A task sends each minimizer once; one it has seen in two texts itself is sent as known, without its documents.
+def shared_minimizers(documents: DataFrame, total: int) -> DataFrame:
+    """doc_id, h: minimizers of a document that stand in another text too; with a null doc_id, hot minimizers.
+
+    documents: doc_id, text (binary), of about total bytes. A task sends a minimizer that it sees in two texts itself
+    once, with the number of texts; its documents need no answer and go to any bucket.
     """
+    buckets = min(MOST_BUCKETS, max(16, -(-total // BUCKET_TEXT)))
+    hot_from = max(HOT_LEAST, int(total * SEND_PER_BYTE / HOT_SHARE))
 
     def scan(batches):
-        for rows in _text_batches(batches):
+        z = zstd.ZstdCompressor(level=1)
+        for rows in _text_batches(batches, 16 << 20):
             rows = [r for r in rows if r[0] is not None and r[1] and len(r[1]) >= LENGTH]
             if not rows:
                 continue
             own = [minimizers(np.frombuffer(r[1], np.uint8)) for r in rows]
             h = np.concatenate(own)
-            d = np.repeat(np.arange(len(rows), dtype=np.uint32), list(map(len, own)))
-            text = np.array([int.from_bytes(hashlib.blake2b(r[1], digest_size=8).digest(), "little") for r in rows], np.uint64)
+            d = np.repeat(np.arange(len(rows)), list(map(len, own)))
+            text = np.array([1 + zlib.crc32(hashlib.blake2b(r[1], digest_size=16).digest()) % (2**32 - 1) for r in rows], np.uint32)
             ids = np.array([r[0] for r in rows], np.int64)
             order = np.argsort(h, kind="stable")
             h, d = h[order], d[order]
             cut = runs(h)
-            run_of = np.repeat(np.arange(len(cut) - 1), np.diff(cut))
             t = text[d]
-            two = np.minimum.reduceat(t, cut[:-1]) != np.maximum.reduceat(t, cut[:-1]) if len(h) else np.zeros(0, bool)
-            known = two[run_of]
-            bucket = (h % np.uint64(buckets)).astype(np.int64)
-            # what is known goes anywhere, as it has nothing to meet
-            out = [(int(bucket[0]) if len(bucket) else 0, 1, h[known].tobytes(), ids[d[known]].tobytes(), b"")] if known.any() else []
-            lone = np.flatnonzero(~known)
-            flag = cut[:-1][two]  # one mark each for the known
-            sel = np.concatenate([lone, flag])
-            mark = np.concatenate([np.zeros(len(lone), bool), np.ones(len(flag), bool)])
-            by = np.argsort(bucket[sel], kind="stable")
-            sel, mark = sel[by], mark[by]
-            edge = runs(bucket[sel])
-            for x, y in zip(edge[:-1], edge[1:], strict=True):
-                s, k = sel[x:y], mark[x:y]
-                i, t_ = ids[d[s]], np.where(k, np.uint64(0), t[s])
-                out.append((int(bucket[s[0]]), 0, h[s].tobytes(), i.tobytes(), t_.astype("<u4").tobytes()))
-            yield pa.RecordBatch.from_arrays([pa.array(c, f) for c, f in zip(zip(*out, strict=True), (pa.int64(), pa.int32(), _BYTES, _BYTES, _BYTES), strict=True)], ["bucket", "kind", "h", "ids", "t"])
+            two = np.minimum.reduceat(t, cut[:-1]) != np.maximum.reduceat(t, cut[:-1])
+            known = np.repeat(two, np.diff(cut))
+            bucket = (mix(h) % np.uint64(buckets)).astype(np.int64)
+            # (bucket, kind, payload): 1 what is known, 2 marks of the known, 0 the rest
+            out = [(int(bucket[0]), 1, _pack(h[known], ids, text, d[known], z))] if known.any() else []
+            for kind, sel in ((0, np.flatnonzero(~known)), (2, cut[:-1][two])):
+                sel = sel[np.argsort(bucket[sel], kind="stable")]
+                edge = runs(bucket[sel]) if len(sel) else [0]
+                many = np.diff(cut)[np.searchsorted(cut, sel)] if kind == 2 else None
+                for x, y in zip(edge[:-1], edge[1:], strict=True):
+                    part = sel[x:y]
+                    load = _pack(h[part], ids, text, d[part], z) if kind == 0 else z.compress(h[part].tobytes() + many[x:y].astype(np.int64).tobytes())
+                    out.append((int(bucket[part[0]]), kind, load))
+            yield pa.RecordBatch.from_arrays([pa.array(c, f) for c, f in zip(zip(*out, strict=True), (pa.int64(), pa.int32(), _BYTES), strict=True)], ["bucket", "kind", "load"])
+
+    def settle(held, marks):
+        h, i, t = (np.concatenate([r[k] for r in held] + [np.zeros(0, ty)]) for k, ty in enumerate((np.uint64, np.int64, np.uint32)))
+        mh, mn = (np.concatenate([r[k] for r in marks] + [np.zeros(0, ty)]) for k, ty in enumerate((np.uint64, np.int64)))
+        order = np.argsort(h, kind="stable")
+        h, i, t = h[order], i[order], t[order]
+        cut = runs(h) if len(h) else np.zeros(1, np.int64)
+        own = h[cut[:-1]] if len(h) else h
+        marked = np.unique(mh)
+        two = ((np.minimum.reduceat(t, cut[:-1]) != np.maximum.reduceat(t, cut[:-1])) if len(h) else np.zeros(0, bool)) | _isin(own, marked)
+        keep = np.repeat(two, np.diff(cut))
+        every, at = np.unique(np.concatenate([own, mh]), return_inverse=True)
+        load = np.bincount(at, np.concatenate([np.diff(cut), mn]), len(every))
+        burn = every[load >= hot_from]
+        doc = pa.concat_arrays([pa.array(i[keep], pa.int64()), pa.nulls(len(burn), pa.int64())])
+        return pa.RecordBatch.from_arrays([doc, pa.array(np.concatenate([h[keep], burn]).view(np.int64))], ["doc_id", "h"])
 
     def meet(batches):
-        held: list[tuple] = []
-        at = None
-
-        def settle():
-            if not held:
-                return None
-            h, i, t = (np.concatenate([np.frombuffer(r[k], ty) for r in held]) for k, ty in ((0, np.uint64), (1, np.int64), (2, "<u4")))
-            order = np.argsort(h, kind="stable")
-            h, i, t = h[order], i[order], t[order]
-            cut = runs(h)[:-1]
-            two = (np.minimum.reduceat(t, cut) != np.maximum.reduceat(t, cut)) if len(h) else np.zeros(0, bool)
-            keep = np.repeat(two, np.diff(np.concatenate([cut, [len(h)]]))) & (t != 0)
-            return pa.RecordBatch.from_arrays([pa.array(i[keep]), pa.array(h[keep].view(np.int64))], ["doc_id", "h"])
-
+        z, held, marks, at = zstd.ZstdDecompressor(), [], [], None
         for b in batches:
-            for bucket, kind, h, i, t in zip(*(c.to_pylist() for c in b.columns), strict=True):
-                if kind:
-                    yield pa.RecordBatch.from_arrays([pa.array(np.frombuffer(i, np.int64)), pa.array(np.frombuffer(h, np.int64))], ["doc_id", "h"])
+            for bucket, kind, load in zip(*(c.to_pylist() for c in b.columns), strict=True):
+                if kind == 1:
+                    h, i, _ = _unpack(load, z)
+                    yield pa.RecordBatch.from_arrays([pa.array(i), pa.array(h.view(np.int64))], ["doc_id", "h"])
                     continue
-                if bucket != at:
-                    done = settle()
-                    if done is not None:
-                        yield done
-                    held, at = [], bucket
-                held.append((h, i, t))
-        done = settle()
-        if done is not None:
-            yield done
-
-    sent = documents.select("doc_id", "text").mapInArrow(scan, "bucket long, kind int, h binary, ids binary, t binary")
+                if bucket != at and (held or marks):
+                    yield settle(held, marks)
+                    held, marks = [], []
+                at = bucket
+                if kind == 0:
+                    held.append(_unpack(load, z))
+                else:
+                    raw = z.decompress(load)
+                    n = len(raw) // 16
+                    marks.append((np.frombuffer(raw, np.uint64, n), np.frombuffer(raw, np.int64, n, 8 * n)))
+        if held or marks:
+            yield settle(held, marks)
+
+    sent = documents.select("doc_id", "text").mapInArrow(scan, "bucket long, kind int, load binary")
     return sent.repartition("bucket").sortWithinPartitions("bucket").mapInArrow(meet, "doc_id long, h long")
 
 
-def _fragment_rows(batches):
-    un = zstd.ZstdDecompressor()
-    for rows in _text_batches(batches):
-        out: list[list] = [[], [], [], [], []]
-        for doc, z, shared in rows:
-            raw = un.decompress(z)
-            b = np.frombuffer(raw, np.uint8)
-            key, first, count = fragments(b, np.sort(np.array(shared, np.int64).view(np.uint64)))
-            for s, n in zip(first.tolist(), count.tolist(), strict=True):
-                out[4].append(raw[s : s + n + LENGTH - 1])
-            out[0] += key.view(np.int64).tolist()
-            out[2] += [doc] * len(first)
-            out[3] += first.tolist()
-        out[1] = [int.from_bytes(hashlib.blake2b(f, digest_size=8).digest(), "little", signed=True) for f in out[4]]
-        yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(out, (pa.int64(), pa.int64(), pa.int64(), pa.int64(), _BYTES), strict=True)], ["key", "frag", "doc_id", "start", "bytes"])
+def _binary(blob: np.ndarray, sizes: np.ndarray) -> pa.Array:
+    offsets = np.concatenate([[0], np.cumsum(sizes)]).astype(np.int32)
+    return pa.Array.from_buffers(_BYTES, len(sizes), [None, pa.py_buffer(offsets), pa.py_buffer(np.ascontiguousarray(blob))])
+
+
+def _blob(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+    """Bytes of a binary column put together, and the sizes."""
+    column = column.cast(pa.binary())
+    offsets = np.frombuffer(column.buffers()[1], np.int32)[column.offset : column.offset + len(column) + 1].astype(np.int64)
+    return np.frombuffer(column.buffers()[2] or b"", np.uint8)[offsets[0] : offsets[-1]], np.diff(offsets)
+
+
+def _fragment_rows(shared_hot):
+    def run(batches):
+        un, hot = zstd.ZstdDecompressor(), np.frombuffer(shared_hot.value, np.uint64)
+        for rows in _text_batches(batches, 2 << 20):
+            parts: list[tuple] = []
+            for doc, z, shared in rows:
+                b = np.frombuffer(un.decompress(z), np.uint8)
+                key, first, count = fragments(b, np.sort(np.array(shared, np.int64).view(np.uint64)), hot)
+                size = count + LENGTH - 1
+                parts.append((key, np.full(len(key), doc, np.int64), first.astype(np.int32), size, b[spread(first, size)] if len(first) else b[:0]))
+            key, doc, first, size, blob = (np.concatenate(x) for x in zip(*parts, strict=True))
+            yield pa.RecordBatch.from_arrays([pa.array(key.view(np.int64)), pa.array(doc), pa.array(first), _binary(blob, size)], ["key", "doc_id", "start", "bytes"])
+
+    return run
+
+
+class _Fragments:
+    """Fragments by key and content hash, each with its least and greatest document."""
+
+    names = ("key", "frag", "first", "last", "size")
+
+    def __init__(self, key, frag, first, last, size, blob):
+        order = np.lexsort((frag, key))
+        k, f = key[order], frag[order]
+        cut = np.flatnonzero(np.concatenate([[True], (k[1:] != k[:-1]) | (f[1:] != f[:-1])]))
+        keep = order[cut]
+        self.key, self.frag, self.size = key[keep], frag[keep], size[keep]
+        self.first, self.last = np.minimum.reduceat(first[order], cut), np.maximum.reduceat(last[order], cut)
+        self.blob = blob[spread((np.cumsum(size) - size)[keep], self.size)]
+
+    @classmethod
+    def together(cls, parts: list[tuple]) -> "_Fragments":
+        return cls(*(np.concatenate(x) for x in zip(*parts, strict=True)))
+
+    def columns(self) -> tuple:
+        return (*(getattr(self, n) for n in self.names), self.blob)
+
+    def some(self, mask: np.ndarray) -> tuple:
+        at = np.flatnonzero(mask)
+        return (*(getattr(self, n)[at] for n in self.names), self.blob[spread((np.cumsum(self.size) - self.size)[at], self.size[at])])
+
+
+def _write(columns: tuple, z: zstd.ZstdCompressor) -> bytes:
+    *numbers, blob = columns
+    return z.compress(np.array([len(numbers[0])], np.int64).tobytes() + b"".join(x.astype(np.int64).tobytes() for x in numbers) + blob.tobytes())
+
+
+def _read(raw: bytes, z: zstd.ZstdDecompressor) -> tuple:
+    raw = z.decompress(raw)
+    n = int(np.frombuffer(raw, np.int64, 1)[0])
+    numbers = np.frombuffer(raw, np.int64, 5 * n, 8).reshape(5, n)
+    return (*numbers, np.frombuffer(raw, np.uint8, offset=8 + 40 * n))
+
+
+def _collapse(shards: int):
+    """Equal fragments of a task become one with its least and its greatest document; the rest is packed by shard."""
+
+    def run(batches):
+        z, parts, held = zstd.ZstdCompressor(level=1), [], 0
+
+        def flush():
+            f = _Fragments.together(parts)
+            shard = mix(f.key.view(np.uint64)) % np.uint64(shards)
+            own = np.unique(shard).tolist()
+            return pa.RecordBatch.from_arrays([pa.array(own, pa.int64()), pa.array([_write(f.some(shard == s), z) for s in own], _BYTES)], ["shard", "load"])
+
+        for b in batches:
+            key, frag, doc = (b.column(k).to_numpy(zero_copy_only=False) for k in range(3))
+            blob, size = _blob(b.column(3))
+            parts.append((key, frag, doc, doc, size, blob))
+            held += len(blob) + 40 * len(key)
+            if held > 32 << 20:
+                yield flush()
+                parts, held = [], 0
+        if held:
+            yield flush()
+
+    return run
+
+
+def _settle(f: _Fragments) -> Iterator[pa.RecordBatch]:
+    """Answers for fragments whose keys are all here: (key, frag, a, b, least) for windows a to b of a fragment."""
+    cut = runs(f.key)[:-1]
+    many = np.diff(np.concatenate([cut, [len(f.key)]]))
+    several = np.repeat(np.minimum.reduceat(f.first, cut) != np.maximum.reduceat(f.last, cut), many)  # else one document alone has all
+    lone = np.repeat(many == 1, many)
+    n = np.flatnonzero(several & lone)  # nothing else can hold its windows
+    windows = f.size - LENGTH + 1
+    zero = np.zeros(len(n), np.int32)
+    yield _answer(f.key[n], f.frag[n], zero, windows[n].astype(np.int32), f.first[n])
+    key, frag, first, last, size, blob = f.some(several & ~lone)
+    at = 0
+    ends = np.cumsum(size)
+    keys = runs(key)[1:]
+    while at < len(key):  # transforms of about SHARD_BYTES, cut between keys
+        to = int(np.searchsorted(ends, (ends[at - 1] if at else 0) + SHARD_BYTES))
+        to = int(keys[min(np.searchsorted(keys, max(to, at + 1)), len(keys) - 1)])
+        part = slice(at, to)
+        lo = int(ends[at - 1]) if at else 0
+        x = least_documents(blob[lo : int(ends[to - 1])], size[part], first[part])
+        w = size[part] - LENGTH + 1
+        own = np.repeat(np.arange(to - at), w)
+        start = np.flatnonzero(np.concatenate([[True], (x[1:] != x[:-1]) | (own[1:] != own[:-1])]))
+        stop = np.concatenate([start[1:], [len(x)]])
+        owner, base = own[start], (np.cumsum(w) - w)[own[start]]
+        told = x[start] < last[part][owner]  # some document after the least one has it
+        yield _answer(key[part][owner][told], frag[part][owner][told], (start - base)[told].astype(np.int32), (stop - base)[told].astype(np.int32), x[start][told])
+        at = to
+
+
+def _answer(*columns) -> pa.RecordBatch:
+    return pa.RecordBatch.from_arrays([pa.array(np.ascontiguousarray(c)) for c in columns], ["key", "frag", "a", "b", "least"])
 
 
 def _answers(batches):
-    """Rows sorted by shard: key, frag, bytes, first and last document. Gives windows with their least document."""
-
-    def settle(held):
-        frags = [r[3] for r in held]
-        first = np.array([r[4] for r in held], np.int64)
-        keys = np.array([r[1] for r in held], np.int64)
-        _, inverse, many = np.unique(keys, return_inverse=True, return_counts=True)
-        alone = many[inverse] == 1
-        got: list = [None] * len(held)
-        meet = np.flatnonzero(~alone)
-        if len(meet):
-            for k, x in zip(meet.tolist(), least_documents([frags[k] for k in meet], first[meet]), strict=True):
-                got[k] = x
-        for k in np.flatnonzero(alone).tolist():  # nothing else can hold its windows
-            got[k] = np.full(len(frags[k]) - LENGTH + 1, first[k])
-        out = []
-        for r, x in zip(held, got, strict=True):
-            if r[5] > int(x.min()):  # some document after the least one has it
-                c = runs(x)
-                out.append((r[1], r[2], [{"a": int(a), "b": int(b), "least": int(x[a])} for a, b in zip(c[:-1], c[1:], strict=True)]))
-        kind = pa.list_(pa.struct([("a", pa.int32()), ("b", pa.int32()), ("least", pa.int64())]))
-        if out:
-            return pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*out, strict=True), (pa.int64(), pa.int64(), kind), strict=True)], ["key", "frag", "windows"])
-        return None
-
-    held, at, size = [], None, 0
+    """Rows by shard. A shard holds the fragments of about BUCKET_TEXT bytes of text."""
+    z, parts, at = zstd.ZstdDecompressor(), [], None
     for b in batches:
-        for r in zip(*(c.to_pylist() for c in b.columns), strict=True):
-            # rows come by key, so a transform may end at any change of key
-            if r[1] != at and size >= SHARD_BYTES:
-                done = settle(held)
-                if done is not None:
-                    yield done
-                held, size = [], 0
-            at = r[1]
-            held.append(r)
-            size += len(r[3])
-    if held:
-        done = settle(held)
-        if done is not None:
-            yield done
+        for shard, load in zip(b.column(0).to_pylist(), b.column(1).to_pylist(), strict=True):
+            if shard != at and parts:
+                yield from _settle(_Fragments.together(parts))
+                parts = []
+            at = shard
+            parts.append(_read(load, z))
+    if parts:
+        yield from _settle(_Fragments.together(parts))
 
 
 def _finish(batches):
@@ -354,20 +506,25 @@ def _finish(batches):
 def dedup(documents: DataFrame) -> DataFrame:
     """doc_id, n_bytes, n_removed, n_spans, kept_sha256, kept (binary, what is left of the text)."""
     docs = documents.select(F.col("doc_id").cast("long").alias("doc_id"), F.coalesce(F.col("text"), F.lit("")).cast("binary").alias("text"))
+    spark = docs.sparkSession
     total = docs.agg(F.sum(F.octet_length("text")).alias("n")).first()["n"] or 0
-    buckets = max(16, -(-total // BUCKET_TEXT))
     # copies of a whole text: all but those of its least document
     marks = staged(docs.where(F.col("doc_id").isNotNull()).select("doc_id", F.md5("text").alias("m")), "hashes")
     firsts = staged(marks.groupBy("m").agg(F.min("doc_id").alias("first"), F.max("doc_id").alias("last")).where("first < last").select("m", "first"), "firsts")
     copies = staged(marks.join(firsts, "m").where("doc_id > first").select("doc_id").distinct(), "copies")
-    shared = shared_minimizers(docs, buckets).join(copies, "doc_id", "left_anti").groupBy("doc_id").agg(F.collect_set("h").alias("shared"))
-    found = staged(_packed(docs).join(shared, "doc_id").select("doc_id", "z", "shared").mapInArrow(_fragment_rows, "key long, frag long, doc_id long, start long, bytes binary"), "fragments")
-    once = found.groupBy("key", "frag").agg(F.first("bytes").alias("bytes"), F.min("doc_id").alias("first"), F.max("doc_id").alias("last"))
-    shards = F.pmod("key", F.lit(1 << 20)).alias("shard")
-    dealt = once.select(shards, "key", "frag", "bytes", "first", "last").repartition("shard").sortWithinPartitions("key")
-    answers = staged(dealt.mapInArrow(_answers, "key long, frag long, windows array<struct<a:int,b:int,least:long>>"), "answers")
-    hit = found.select("key", "frag", "doc_id", "start").join(answers, ["key", "frag"]).select("doc_id", "start", F.explode("windows").alias("w")).where(F.col("w.least") < F.col("doc_id"))
-    spans = hit.select("doc_id", (F.col("start") + F.col("w.a")).alias("lo"), (F.col("start") + F.col("w.b") + LENGTH - 1).alias("hi"))
-    spans = spans.groupBy("doc_id").agg(F.collect_list(F.struct("lo", "hi")).alias("spans"))
+    shared = staged(shared_minimizers(docs, total), "shared", free=True)
+    hot = np.sort(np.array([r["h"] for r in shared.where("doc_id is null").select("h").distinct().collect()], np.int64).view(np.uint64))
+    hot = spark.sparkContext.broadcast(hot.tobytes())  # at most HOT_SHARE hashes
+    by_doc = shared.join(copies, "doc_id", "left_anti").where("doc_id is not null").groupBy("doc_id").agg(F.collect_set("h").alias("shared"))
+    found = _packed(docs).join(by_doc, "doc_id").select("doc_id", "z", "shared").mapInArrow(_fragment_rows(hot), "key long, doc_id long, start int, bytes binary")
+    found = staged(found, "fragments", free=True)
+    hashed = found.select("key", F.xxhash64("bytes").alias("frag"), "doc_id", "bytes", "start")
+    shards = min(MOST_BUCKETS, max(16, -(-total // BUCKET_TEXT)))
+    once = hashed.select("key", "frag", "doc_id", "bytes").mapInArrow(_collapse(shards), "shard long, load binary")
+    dealt = once.repartition("shard").sortWithinPartitions("shard")
+    answers = staged(dealt.mapInArrow(_answers, "key long, frag long, a int, b int, least long"), "answers", free=True)
+    hit = hashed.select("key", "frag", "doc_id", "start").join(answers, ["key", "frag"]).where("least < doc_id")
+    spans = hit.select("doc_id", (F.col("start") + F.col("a")).alias("lo"), (F.col("start") + F.col("b") + LENGTH - 1).alias("hi"))
+    spans = staged(spans.groupBy("doc_id").agg(F.collect_list(F.struct("lo", "hi")).alias("spans")), "spans", free=True)
     whole = _packed(docs).join(copies.withColumn("copied", F.lit(True)), "doc_id", "left").join(spans, "doc_id", "left")
     return whole.select("doc_id", "z", "copied", "spans").mapInArrow(_finish, "doc_id long, n_bytes long, n_removed long, n_spans long, kept_sha256 string, kept binary")
