@@ -21,11 +21,11 @@ an empty table gives an empty result; extra columns are ignored.
 
 from __future__ import annotations
 
-import zlib
 from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import zstandard as zstd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -34,10 +34,12 @@ from leafmill.operators.components import connected_components
 from leafmill.sources.staging import staged
 
 WIDTH = 5
-CELLS, ROWS, BLOCK = 1 << 20, 2, 1 << 14
+#: Bits of a sketch cell's number: about eight shingles a cell, within bounds; cells that travel together.
+LEAST_BITS, MOST_BITS, BLOCK = 18, 24, 1 << 14
+BYTES_A_SHINGLE = 5.6
 LIST = 8
 FRAGMENTS = 8
-BUCKET_TEXT = 16 << 20
+BUCKET_TEXT, MOST_BUCKETS = 16 << 20, 1 << 20
 FILTER_BITS = 1 << 24
 
 _M, _N, _O = np.uint64(0x9E3779B97F4A7C15), np.uint64(0xC2B2AE3D27D4EB4F), np.uint64(0xD6E8FEB86659FD93)
@@ -103,16 +105,18 @@ def fingerprint(s: np.ndarray) -> int:
     return x - 2**64 if x >= 2**63 else x
 
 
-def cells(h: np.ndarray) -> np.ndarray:
-    """The sketch's cells of each shingle, one per row."""
-    bits = np.uint64(64 - CELLS.bit_length() + 1)
-    return np.stack([((h * (_M if r == 0 else _N)) >> bits).astype(np.int64) for r in range(ROWS)])
+def sketch_bits(total: int) -> int:
+    """For so many bytes of text."""
+    return min(MOST_BITS, max(LEAST_BITS, int(np.log2(max(1.0, total / BYTES_A_SHINGLE / 8)))))
+
+
+def cells(h: np.ndarray, bits: int) -> np.ndarray:
+    return ((h * _M) >> np.uint64(64 - bits)).astype(np.int64)
 
 
 def ranks(h: np.ndarray, sketch: np.ndarray) -> np.ndarray:
-    """Place in the global order: frequency class in the top byte, then the hash. sketch: classes by row and cell."""
-    c = cells(h)
-    kind = np.minimum.reduce([sketch[r][c[r]] for r in range(ROWS)]).astype(np.uint64)
+    """Place in the global order: frequency class in the top byte, then the hash. sketch: classes by cell."""
+    kind = sketch[cells(h, len(sketch).bit_length() - 1)].astype(np.uint64)
     return (kind << np.uint64(56)) | (h >> np.uint64(8))
 
 
@@ -124,9 +128,9 @@ def fragment_of(rank: np.ndarray) -> np.ndarray:
 
 
 def classes_of(counts: np.ndarray) -> np.ndarray:
-    """Frequency class by cell: the binary magnitude of its load over the row's mean."""
-    mean = np.maximum(counts.mean(axis=1, keepdims=True), 1.0)
-    return np.clip(np.floor(np.log2(counts / mean + 1e-9)) + 1, 0, 60).astype(np.uint8)
+    """Frequency class by cell: the binary magnitude of its load over the mean, 1 for all up to twice the mean."""
+    mean = np.float32(max(float(counts.mean(dtype=np.float64)), 1.0))
+    return np.clip(np.floor(np.log2(counts.astype(np.float32) / mean + np.float32(1e-9))) + 1, 1, 60).astype(np.uint8)
 
 
 def least_overlap(a: int, b: int, num: int = 3, den: int = 4) -> int:
@@ -139,27 +143,41 @@ def prefix(a: int, longer: bool, num: int = 3, den: int = 4) -> int:
     return a - (-(-num * a // den) if longer else least_overlap(a, a, num, den)) + 1
 
 
-def _batches(batches: Iterator[pa.RecordBatch], most: int = 2 << 20) -> Iterator[tuple[list, list[np.ndarray]]]:
+def _batches(batches: Iterator[pa.RecordBatch], most: int = 1 << 20) -> Iterator[tuple[list, list[np.ndarray]]]:
     for b in batches:
         rows = zip(*(c.to_pylist() for c in b.columns), strict=True)
         for part in grouped(list(rows), lambda r: len(r[1] or b"") + 64, most):
             yield [r[0] for r in part], shingles([r[1] or b"" for r in part])
 
 
-def _survey(batches):
+def _survey(bits: int):
     """Rows of kind 0: id, set size, node. Of kind 1: a block of this task's sketch."""
-    total = np.zeros((ROWS, CELLS), np.int64)
-    for ids, sets in _batches(batches):
-        yield pa.RecordBatch.from_pydict(
-            {"kind": [0] * len(ids), "doc_id": ids, "n": list(map(len, sets)), "node": list(map(fingerprint, sets)), "z": [None] * len(ids)}, _SURVEY)
-        h = np.concatenate(sets) if sets else np.zeros(0, np.uint64)
-        if len(h):
-            for r, c in enumerate(cells(h)):
-                total[r] += np.bincount(c, minlength=CELLS)
-    if total.any():
-        flat = total.ravel().astype("<u4")
-        blocks = [flat[i : i + BLOCK] for i in range(0, len(flat), BLOCK)]
-        yield pa.RecordBatch.from_pydict({"kind": [1] * len(blocks), "doc_id": [None] * len(blocks), "n": list(range(len(blocks))), "node": [int(flat[:64].sum()) % 16] * len(blocks), "z": [zlib.compress(x.tobytes(), 1) for x in blocks]}, _SURVEY)
+
+    def run(batches):
+        total = np.zeros(1 << bits, np.uint32)
+        for ids, sets in _batches(batches):
+            yield pa.RecordBatch.from_pydict({"kind": [0] * len(ids), "doc_id": ids, "n": list(map(len, sets)), "node": list(map(fingerprint, sets)), "z": [None] * len(ids)}, _SURVEY)
+            h = np.concatenate(sets) if sets else np.zeros(0, np.uint64)
+            if len(h):
+                c, n = np.unique(cells(h, bits), return_counts=True)
+                total[c] += n.astype(np.uint32)
+        if total.any():
+            blocks = total.reshape(-1, min(BLOCK, len(total)))
+            salt = int(total[:64].sum()) % 16
+            for at in range(0, len(blocks), 64):
+                part = [i for i in range(at, min(at + 64, len(blocks))) if blocks[i].any()]
+                yield pa.RecordBatch.from_pydict({"kind": [1] * len(part), "doc_id": [None] * len(part), "n": part, "node": [salt] * len(part), "z": [_squeeze(blocks[i]) for i in part]}, _SURVEY)
+
+    return run
+
+
+def _squeeze(x: np.ndarray) -> bytes:
+    """Counts by byte plane, which compresses small ones well."""
+    return zstd.compress(x.astype("<u4").view(np.uint8).reshape(-1, 4).T.tobytes(), 3)
+
+
+def _swell(z: bytes) -> np.ndarray:
+    return np.frombuffer(zstd.decompress(z), np.uint8).reshape(4, -1).T.copy().view("<u4").ravel()
 
 
 _SURVEY = pa.schema([("kind", pa.int32()), ("doc_id", pa.int64()), ("n", pa.int64()), ("node", pa.int64()), ("z", pa.binary())])
@@ -171,21 +189,21 @@ def _add_blocks(batches):
     salt = 0
     for b in batches:
         for n, node, z in zip(*(c.to_pylist() for c in b.columns), strict=True):
-            total[n] = total.get(n, 0) + np.frombuffer(zlib.decompress(z), "<u4").astype(np.int64)
+            total[n] = total.get(n, 0) + _swell(z).astype(np.int64)
             salt = node
     if total:
-        yield pa.RecordBatch.from_pydict({"n": list(total), "node": [salt] * len(total), "z": [zlib.compress(np.minimum(x, 2**32 - 1).astype("<u4").tobytes(), 1) for x in total.values()]}, pa.schema([("n", pa.int64()), ("node", pa.int64()), ("z", pa.binary())]))
+        yield pa.RecordBatch.from_pydict({"n": list(total), "node": [salt] * len(total), "z": [_squeeze(np.minimum(x, 2**32 - 1)) for x in total.values()]}, pa.schema([("n", pa.int64()), ("node", pa.int64()), ("z", pa.binary())]))
 
 
-def frequency_classes(surveyed: DataFrame) -> np.ndarray:
-    """Classes by row and cell, over all documents. A table of fixed size reaches the driver, however large the corpus."""
+def frequency_classes(surveyed: DataFrame, bits: int) -> np.ndarray:
+    """Classes by cell, over all documents. At most 2^MOST_BITS cells reach the driver, however large the corpus."""
     kind = "n long, node long, z binary"
     parts = surveyed.where("kind = 1").select("n", "node", "z").repartition("n", "node").mapInArrow(_add_blocks, kind)
-    whole = parts.repartition("n").mapInArrow(_add_blocks, kind).collect()
-    flat = np.zeros(ROWS * CELLS, np.int64)
-    for r in whole:
-        flat[r["n"] * BLOCK : (r["n"] + 1) * BLOCK] += np.frombuffer(zlib.decompress(r["z"]), "<u4")
-    return classes_of(flat.reshape(ROWS, CELLS).astype(np.float64))
+    counts = np.zeros(1 << bits, np.uint32)
+    for r in parts.repartition("n").mapInArrow(_add_blocks, kind).toLocalIterator():
+        x = _swell(r["z"])
+        counts[r["n"] * len(x) : (r["n"] + 1) * len(x)] = x
+    return classes_of(counts)
 
 
 _ENTRY = np.dtype([("h", "<u8"), ("node", "<i8"), ("n", "<u4"), ("short", "u1")])
@@ -196,7 +214,7 @@ def _lists(docs: DataFrame, shared, buckets: int) -> DataFrame:
 
     def scan(batches):
         sketch = shared.value
-        for _, sets in _batches(batches, 8 << 20):
+        for _, sets in _batches(batches, 1 << 20):
             seen, parts = set(), []
             for s in sets:
                 node = fingerprint(s)
@@ -331,27 +349,32 @@ def similar(documents: DataFrame, num: int = 3, den: int = 4) -> DataFrame:
     """doc_id, n_shingles, component_id, node. Links where overlap / union >= num / den."""
     docs = documents.select(F.col("doc_id").cast("long").alias("doc_id"), F.coalesce(F.col("text"), F.lit("")).cast("binary").alias("text"))
     spark = docs.sparkSession
-    surveyed = staged(docs.mapInArrow(_survey, "kind int, doc_id long, n long, node long, z binary"), "survey")
-    rows = surveyed.where("kind = 0").select("doc_id", "n", "node")
-    shared = spark.sparkContext.broadcast(frequency_classes(surveyed))  # ROWS * CELLS bytes
     total = docs.agg(F.sum(F.octet_length("text")).alias("n")).first()["n"] or 0
-    lists = staged(_lists(docs, shared, max(16, -(-total // BUCKET_TEXT))), "lists")
+    bits = sketch_bits(total)
+    surveyed = staged(docs.mapInArrow(_survey(bits), "kind int, doc_id long, n long, node long, z binary"), "survey")
+    rows = surveyed.where("kind = 0").select("doc_id", "n", "node")
+    shared = spark.sparkContext.broadcast(frequency_classes(surveyed, bits))  # 2^bits bytes
+    lists = staged(_lists(docs, shared, min(MOST_BUCKETS, max(16, -(-total // BUCKET_TEXT)))), "lists", free=True)
     sizes = staged(lists.groupBy("h").agg(F.count("*").alias("m"), F.min(F.when(F.col("short"), F.struct("n", "node", "short"))).alias("p")), "list_sizes")
     few = lists.join(sizes.where(F.col("m") <= LIST).select("h"), "h", "left_semi")
     small = few.alias("x").join(few.alias("y"), "h").where(F.col("x.node") < F.col("y.node")).where(_may())
     long_ = staged(lists.join(sizes.where((F.col("m") > LIST) & F.col("p").isNotNull()).select("h", "p"), "h").select("h", "node", "n", "short", "p"), "long_lists")
     starred = long_.where("node <> p.node").select(F.struct("node", "n", "short").alias("x"), F.col("p").alias("y")).where(4 * F.least("x.n", "y.n") >= 3 * F.greatest("x.n", "y.n"))
     pairs = staged(_ordered(small.select(F.struct("x.node", "x.n", "x.short").alias("x"), F.struct("y.node", "y.n", "y.short").alias("y"))).union(_ordered(starred)).distinct(), "pairs")
-    # nodes of long lists may yet be paired
-    wanted = staged(pairs.select(F.explode(F.array("a", "b")).alias("node")).union(long_.select("node")).distinct(), "wanted")
-    sets = staged(_sets(docs, wanted, shared), "sets")
-    seen = staged(_overlaps(pairs, sets), "overlaps")
+    prefixes = staged(lists.groupBy("node").agg(F.collect_list("h").alias("hs")), "prefixes")
+    told = staged(_bounded(pairs, prefixes, num, den), "bounded")
+    likely = told.where("may").select("a", "na", "b", "nb")
+    wanted = staged(likely.select(F.explode(F.array("a", "b")).alias("node")).distinct(), "wanted")
+    sets = staged(_sets(docs, wanted, shared), "sets", free=True)
+    seen = staged(_overlaps(likely, sets), "overlaps", free=True)
     linked = den * F.col("overlap") >= num * (F.col("na") + F.col("nb") - F.col("overlap"))
-    links = seen.where(linked).select("a", "b")
-    comp = staged(connected_components(links), "components")
-    more = _across(long_, comp, seen)
+    comp = staged(connected_components(seen.where(linked).select("a", "b")), "components")
+    more = _across(long_, comp, told, seen, prefixes, num, den)
     if more is not None:
-        again = staged(_overlaps(more, sets), "overlaps_across").where(linked).select("a", "b")
+        rest = staged(more.select(F.explode(F.array("a", "b")).alias("node")).distinct().join(wanted, "node", "left_anti"), "wanted_across")
+        if not rest.isEmpty():
+            sets = sets.union(staged(_sets(docs, rest, shared), "sets_across", free=True))
+        again = staged(_overlaps(more, sets), "overlaps_across", free=True).where(linked).select("a", "b")
         comp = staged(connected_components(comp.select(F.col("node").alias("a"), F.col("component").alias("b")).union(again)), "components")
     reps = staged(rows.where("n > 0").groupBy("node").agg(F.min("doc_id").alias("least")), "reps")
     named = reps.join(comp, "node", "left").select("node", "least", F.coalesce("component", "node").alias("component"))
@@ -362,22 +385,39 @@ def similar(documents: DataFrame, num: int = 3, den: int = 4) -> DataFrame:
     return out.select("doc_id", F.col("n").alias("n_shingles"), F.when(F.col("n") > 0, F.col("component_id")).otherwise(F.col("doc_id")).alias("component_id"), "node")
 
 
-def _across(long_: DataFrame, comp: DataFrame, seen: DataFrame) -> DataFrame | None:
-    """Pairs of long lists whose nodes are in different components and that the pivot can't rule out; None if there are none.
+def _bounded(pairs: DataFrame, prefixes: DataFrame, num: int = 3, den: int = 4) -> DataFrame:
+    """pairs with most, which their overlap can't exceed, and may, whether a link is possible.
+
+    Shared shingles of the two prefixes are counted: beyond the prefix that ends first in the global order, the set
+    that it belongs to has only so many shingles left.
+    """
+    both = pairs.join(prefixes.select(F.col("node").alias("a"), F.col("hs").alias("ha")), "a").join(prefixes.select(F.col("node").alias("b"), F.col("hs").alias("hb")), "b")
+    left = lambda n: F.ceil(F.lit(num) * F.col(n) / den) - 1  # noqa: E731  beyond the prefix
+    most = F.least(F.size(F.array_intersect("ha", "hb")) + F.greatest(left("na"), left("nb")), "na", "nb")
+    need = F.ceil(F.lit(num) * (F.col("na") + F.col("nb")) / (num + den))
+    return both.select("a", "na", "b", "nb", most.alias("most")).withColumn("may", F.col("most") >= need)
+
+
+def _across(long_: DataFrame, comp: DataFrame, told: DataFrame, seen: DataFrame, prefixes: DataFrame, num: int = 3, den: int = 4) -> DataFrame | None:
+    """Pairs of long lists whose nodes are in different components and that neither the pivot nor their prefixes rule out.
 
-    With d the Jaccard distance, d(x, y) >= |d(x, p) - d(y, p)|, so a link needs these within a quarter.
+    With d the Jaccard distance, d(x, y) >= |d(x, p) - d(y, p)|, so a link needs these within a quarter. Where a
+    distance to the pivot wasn't worked out, bounds on it serve. None if there are no such pairs.
     """
     of = long_.join(comp, "node", "left").select("h", "node", "n", "short", "p", F.coalesce("component", "node").alias("c"))
     mixed = staged(of.groupBy("h").agg(F.min("c").alias("c0"), F.max("c").alias("c1")).where("c0 <> c1").select("h"), "mixed")
     if mixed.isEmpty():
         return None
-    known = seen.select("a", "b", (1 - F.col("overlap") / (F.col("na") + F.col("nb") - F.col("overlap"))).alias("d"))
-    known = known.select(F.col("a").alias("node"), F.col("b").alias("pn"), "d").union(known.select(F.col("b").alias("node"), F.col("a").alias("pn"), "d"))
-    left = of.join(mixed, "h", "left_semi").where("node <> p.node").withColumn("pn", F.col("p.node"))
-    left = left.join(known, ["node", "pn"], "left")  # no overlap known: too unlike the pivot in size, or nothing in common
-    left = staged(left.select("h", "node", "n", "short", "c", F.coalesce("d", F.when(4 * F.least("n", "p.n") >= 3 * F.greatest("n", "p.n"), F.lit(1.0))).alias("d")), "left")
-    may = (F.col("x.c") != F.col("y.c")) & F.coalesce(F.abs(F.col("x.d") - F.col("y.d")) <= 0.25 + 1e-9, F.lit(True))
-    met = left.alias("x").join(left.alias("y"), "h").where((F.col("x.node") < F.col("y.node")) & may).where(_may())
+    far = lambda o: 1 - F.col(o) / (F.col("na") + F.col("nb") - F.col(o))
+    known = told.join(seen.select("a", "b", "overlap"), ["a", "b"], "left").select("a", "b", F.coalesce(far("overlap"), far("most")).alias("lo"), F.coalesce(far("overlap"), F.lit(1.0)).alias("hi"))
+    known = known.select(F.col("a").alias("node"), F.col("b").alias("pn"), "lo", "hi").union(known.select(F.col("b").alias("node"), F.col("a").alias("pn"), "lo", "hi"))
+    left = of.join(mixed, "h", "left_semi").where("node <> p.node").withColumn("pn", F.col("p.node")).join(known, ["node", "pn"], "left")
+    by_size = 1 - F.least("n", "p.n") / F.greatest("n", "p.n")
+    left = staged(left.select("h", "node", "n", "short", "c", F.coalesce("lo", by_size).alias("lo"), F.coalesce("hi", F.lit(1.0)).alias("hi")), "left")
+    quarter = 1 - num / den + 1e-9
+    near = (F.col("x.c") != F.col("y.c")) & (F.col("x.lo") - F.col("y.hi") <= quarter) & (F.col("y.lo") - F.col("x.hi") <= quarter)
+    met = left.alias("x").join(left.alias("y"), "h").where((F.col("x.node") < F.col("y.node")) & near).where(_may("x", "y", num, den))
     pairs = _ordered(met.select(F.struct("x.node", "x.n").alias("x"), F.struct("y.node", "y.n").alias("y")))
-    pairs = staged(pairs.join(seen.select("a", "b"), ["a", "b"], "left_anti"), "across")
+    pairs = pairs.join(told.select("a", "b"), ["a", "b"], "left_anti")
+    pairs = staged(_bounded(pairs, prefixes, num, den).where("may").select("a", "na", "b", "nb"), "across")
     return None if pairs.isEmpty() else pairs
