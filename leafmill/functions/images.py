@@ -34,7 +34,7 @@ def perceptual_hash(image: np.ndarray, size: int = 12, factor: int = 4) -> str:
     c = _cosines(size * factor)
     low = (c @ small @ c.T)[:size, :size]
     bits = (low > np.median(low)).ravel()
-    return f"{int(''.join('01'[b] for b in bits), 2):0{size * size // 4}x}"
+    return f"{int(''.join('01'[int(b)] for b in bits), 2):0{size * size // 4}x}"
 
 
 def crop(image: np.ndarray, x1: int, y1: int, x2: int, y2: int) -> np.ndarray:
