@@ -38,7 +38,7 @@ WIDTH = 5
 LEAST_BITS, MOST_BITS, BLOCK = 18, 24, 1 << 14
 BYTES_A_SHINGLE = 5.6
 LIST = 8
-FRAGMENTS = 8
+FRAGMENTS = 4
 BUCKET_TEXT, MOST_BUCKETS = 16 << 20, 1 << 20
 FILTER_BITS = 1 << 24
 
@@ -82,7 +82,7 @@ def shingles(texts: list[bytes]) -> list[np.ndarray]:
     first = np.searchsorted(start, ends - np.array([len(t) + 1 for t in texts]))
     last = np.searchsorted(start, ends)
     five = h.copy()
-    for k in range(1, WIDTH):  # window hash: words by place
+    for k in range(1, min(WIDTH, len(h))):  # window hash: words by place
         five[: len(h) - k] = five[: len(h) - k] * _M + h[k:]
     for i, (x, y) in enumerate(zip(first.tolist(), last.tolist(), strict=True)):
         n = y - x
