@@ -139,7 +139,7 @@ def plan(histogram: dict[int, int], capacity: int = CAPACITY) -> list[tuple[int,
     """Combinations, each with how many bins are filled so. Every round uses up a length or all but a few of it."""
     counts = [0] * (capacity + 1)
     for size, n in histogram.items():
-        counts[size] = n
+        counts[int(size)] = int(n)
     out = []
     for longest in range(capacity, 0, -1):
         while counts[longest]:
