@@ -76,8 +76,8 @@ s AS (SELECT DISTINCT doc_id, k FROM (SELECT doc_id, unnest(CASE WHEN len(ws) =
 n AS (SELECT doc_id, count(*) AS n FROM s GROUP BY 1),
 p AS (SELECT a.doc_id AS a, b.doc_id AS b, count(*) AS o FROM s a JOIN s b ON a.k = b.k AND a.doc_id < b.doc_id GROUP BY 1, 2),
 e AS (SELECT a, b FROM p JOIN n x ON x.doc_id = a JOIN n y ON y.doc_id = b WHERE 100 * o >= 75 * (x.n + y.n - o)),
-both AS (SELECT a, b FROM e UNION ALL SELECT b, a FROM e),
-reach(id, root) AS (SELECT doc_id, doc_id FROM documents UNION SELECT b, root FROM reach JOIN both ON both.a = reach.id)
+sym AS (SELECT a, b FROM e UNION ALL SELECT b, a FROM e),
+reach(id, root) AS (SELECT doc_id, doc_id FROM documents UNION SELECT b, root FROM reach JOIN sym ON sym.a = reach.id)
 SELECT r.id AS doc_id, coalesce(n.n, 0) AS n_shingles, r.root AS component_id FROM (SELECT id, min(root) AS root FROM reach GROUP BY id) r LEFT JOIN n ON n.doc_id = r.id
 """
 
