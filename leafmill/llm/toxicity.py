@@ -32,7 +32,8 @@ from leafmill.llm.language_id import batch_type
 
 SAMPLE, SAMPLE_CHARS = 4000, 65536
 WINDOW = 48
-GROUND_BYTES, MARK_BYTES, LEAST_TEXTS, LEAST_ODDS = 100_000, 1536, 6, 2.0
+#: A term marks toxic text when it stands in so many and in so large a share of its texts, and its log odds are so high. Few pure marks do better than many.
+GROUND_BYTES, MARK_BYTES, LEAST_TEXTS, LEAST_SHARE, LEAST_ODDS = 100_000, 768, 4, 0.01, 3.0
 #: Ends either dictionary and starts each window, so that each is stored as matches and a short one counts too.
 PRIMER = b"\n=|primer|of|windows|=\n"
 PRIOR = 0.3
@@ -71,7 +72,7 @@ def dictionaries(toxic: list[bytes], ordinary: list[bytes]) -> tuple[bytes, byte
         for t in texts:
             n.update(set(_TERM.findall(t)))
     odds = {t: math.log((n + 0.5) / len(toxic)) - math.log((b.get(t, 0) + 0.5) / max(1, len(ordinary))) for t, n in a.items()}
-    ranked = sorted((t for t, n in a.items() if n >= LEAST_TEXTS and odds[t] > LEAST_ODDS), key=lambda t: (-odds[t] * math.sqrt(a[t]), t))
+    ranked = sorted((t for t, n in a.items() if n >= max(LEAST_TEXTS, LEAST_SHARE * len(toxic)) and odds[t] > LEAST_ODDS), key=lambda t: (-odds[t] * math.sqrt(a[t]), t))
     marks, stems = [], Counter()
     for t in ranked:  # a few terms of one stem cover the stem
         if stems[t[:5]] < 3:
