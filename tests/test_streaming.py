@@ -25,7 +25,8 @@ def test_leases(spark, tmp_path):
     rows = [(1, "a", "claim", 1), (1, "b", "claim", 2), (1, "a", "release", 3), (1, "b", "claim", 4), (2, "c", "claim", 1)]
     spark.createDataFrame(rows, "id_pipeline_batch long, node string, action string, ts long").coalesce(1).write.parquet(src)
     stream = incremental.files(spark, src, "id_pipeline_batch long, node string, action string, ts long")
-    q = incremental.leases(stream).writeStream.format("memory").queryName("lease_out").outputMode("append").option("checkpointLocation", str(tmp_path / "cp")).trigger(availableNow=True).start()
-    q.awaitTermination(90)
+    q = incremental.leases(stream).writeStream.format("memory").queryName("lease_out").outputMode("append").option("checkpointLocation", str(tmp_path / "cp")).trigger(processingTime="1 second").start()
+    q.processAllAvailable()
+    q.stop()
     got = {tuple(r) for r in spark.sql("select * from lease_out").collect()}
     assert got == {(1, "a", "granted"), (1, "b", "refused"), (1, "a", "released"), (1, "b", "granted"), (2, "c", "granted")}
