@@ -7,7 +7,7 @@ set is cut alike, overlaps are counted fragment by fragment and summed per pair,
 1. Documents with equal sets are one node. Only nodes are compared.
 2. Candidates. Of two sets that link, the shorter has one of its first a-ceil(6a/7)+1 shingles among the first
    b-ceil(3b/4)+1 of the longer (for 0.75). Nodes that meet so in a list of up to LIST nodes are paired. A longer list
-   pairs its nodes with its pivot, the shortest there.
+   pairs its nodes with its pivot, a node that is in many such lists.
 3. Verification: partial overlaps per fragment, summed.
 4. Links give components. In longer lists, nodes that are still in different components are paired and verified as
    well, but for those that the triangle inequality of Jaccard distance rules out through the pivot. So no link
@@ -355,10 +355,14 @@ def similar(documents: DataFrame, num: int = 3, den: int = 4) -> DataFrame:
     rows = surveyed.where("kind = 0").select("doc_id", "n", "node")
     shared = spark.sparkContext.broadcast(frequency_classes(surveyed, bits))  # 2^bits bytes
     lists = staged(_lists(docs, shared, min(MOST_BUCKETS, max(16, -(-total // BUCKET_TEXT)))), "lists", free=True)
-    sizes = staged(lists.groupBy("h").agg(F.count("*").alias("m"), F.min(F.when(F.col("short"), F.struct("n", "node", "short"))).alias("p")), "list_sizes")
+    sizes = staged(lists.groupBy("h").agg(F.count("*").alias("m")), "list_sizes")
+    lengthy = staged(lists.join(sizes.where(F.col("m") > LIST).select("h"), "h", "left_semi"), "lengthy")
+    # the pivot is the member of most long lists, so that lists of one group of copies tend to share it; then the shortest
+    degree = staged(lengthy.groupBy("node").agg((-F.count("*")).alias("d")), "degrees")
+    pivots = staged(lengthy.where("short").join(degree, "node").groupBy("h").agg(F.min(F.struct("d", "n", "node", "short")).alias("p")).select("h", F.struct("p.n", "p.node", "p.short").alias("p")), "pivots")
     few = lists.join(sizes.where(F.col("m") <= LIST).select("h"), "h", "left_semi")
     small = few.alias("x").join(few.alias("y"), "h").where(F.col("x.node") < F.col("y.node")).where(_may())
-    long_ = staged(lists.join(sizes.where((F.col("m") > LIST) & F.col("p").isNotNull()).select("h", "p"), "h").select("h", "node", "n", "short", "p"), "long_lists")
+    long_ = staged(lengthy.join(pivots, "h").select("h", "node", "n", "short", "p"), "long_lists")
     starred = long_.where("node <> p.node").select(F.struct("node", "n", "short").alias("x"), F.col("p").alias("y")).where(4 * F.least("x.n", "y.n") >= 3 * F.greatest("x.n", "y.n"))
     pairs = staged(_ordered(small.select(F.struct("x.node", "x.n", "x.short").alias("x"), F.struct("y.node", "y.n", "y.short").alias("y"))).union(_ordered(starred)).distinct(), "pairs")
     prefixes = staged(lists.groupBy("node").agg(F.collect_list("h").alias("hs")), "prefixes")
