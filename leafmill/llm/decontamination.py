@@ -1,4 +1,4 @@
-"""Benchmark decontamination: edit-distance search by CGK embedding and bit-sampling LSH.
+"""Benchmark decontamination: edit-distance search by surviving grams and an exact check of every window.
 
 Texts and items are compared as UTF-8 of their lower-case form with white space collapsed. An item is found in a
 document when a stretch of it is within floor(RATIO * item length) edits of the item.
@@ -6,10 +6,11 @@ document when a stretch of it is within floor(RATIO * item length) edits of the
 1. Windows. k edits destroy at most Q*k of an item's m-Q+1 grams of Q bytes, so a stretch that matches keeps at
    least m-Q+1-Q*k of them within m+k bytes, and one diagonal holds at least that many over k+1. Item-sized windows
    start on such diagonals; no match is lost here, and most texts have no window at all.
-2. CGK. A random walk turns a window into a string in which Hamming distance follows edit distance; REPEATS walks
-   are each sampled at TABLES sets of SAMPLED places. A window and its item meet if one set agrees throughout. Equal
-   strings always meet; for strings at the limit the tests measure the recall.
-3. Exact check. Windows that met are aligned with the item and kept when the distance holds.
+2. Exact check. Every window is aligned with the item and kept when the distance holds, so matches within the edits
+   allowed are found at any length of item. Windows close together share one alignment.
+
+The CGK walks and bit samples below once chose the windows to align. Agreement at a sampled place falls with length, so
+long items at the limit of edits were lost; they decide nothing now, and recall_at() measures them.
 
 The benchmark is taken in blocks of BLOCK_BYTES, one scan of the documents a block, so what is broadcast is bounded.
 Documents are never shuffled. Cases: null or empty texts and items match nothing; items too short for a gram match
@@ -96,18 +97,32 @@ def meets(a: np.ndarray, b: np.ndarray) -> np.ndarray:
     return (a == b).all(-1).any(-1)
 
 
-def alignment(item: np.ndarray, text: np.ndarray) -> tuple[int, int]:
-    """Least edits between item and a stretch of text, and where the first such stretch ends."""
+def alignment(item: np.ndarray, text: np.ndarray, most: int | None = None) -> tuple[int, int]:
+    """Least edits between item and a stretch of text, and where the first such stretch ends. Beyond most edits it stops
+    early with some number above most: the least of a row never falls from one byte of the item to the next."""
     n = len(text)
     ramp = np.arange(n + 1)
     row = np.zeros(n + 1, np.int64)
-    for c in item:
+    for i, c in enumerate(item):
         fresh = row + 1
         np.minimum(fresh[1:], row[:-1] + (text != c), out=fresh[1:])
         row = np.minimum.accumulate(fresh - ramp) + ramp
+        if most is not None and i % 16 == 15 and row.min() > most:
+            break
     return int(row.min()), int(row.argmin())
 
 
+def together(starts: list[int], m: int) -> list[tuple[int, int]]:
+    """Least and most start of groups of windows that are at most m apart, in order: one alignment serves a group."""
+    out: list[tuple[int, int]] = []
+    for s in sorted(starts):
+        if out and s - out[-1][0] <= m:
+            out[-1] = (out[-1][0], s)
+        else:
+            out.append((s, s))
+    return out
+
+
 class Index:
     """The grams of a block of items."""
 
@@ -130,8 +145,6 @@ class Index:
         self.seen[spot(self.gram)] = True
         self.short = [n for n, t in enumerate(self.texts) if len(t) < Q]
         self.reach = int((self.size + 2 * self.k).max(initial=0)) + Q
-        self.walks = Walks(int(self.size.max(initial=Q)))
-        self._own: dict[int, list[np.ndarray]] = {}
 
     def windows(self, b: np.ndarray) -> list[tuple[int, int]]:
         """(item, start) of the diagonals that may hold a match, those with most grams first."""
@@ -169,11 +182,6 @@ class Index:
         pair, n = pair[:, keep], n[keep]
         return [(int(i), int(s)) for i, s in pair[:, np.argsort(-n, kind="stable")].T]
 
-    def sketches(self, item: int) -> list[np.ndarray]:
-        if item not in self._own:
-            self._own[item] = [self.walks.sketch(self.arrays[item][None, :], r)[0] for r in range(REPEATS)]
-        return self._own[item]
-
     def search(self, text: bytes) -> dict[int, tuple[int, int]]:
         """item -> (distance, start) of its best stretch in a normalised text."""
         out: dict[int, tuple[int, int]] = {}
@@ -189,27 +197,15 @@ class Index:
                 by.setdefault(item, []).append(start)
             for item, starts in by.items():
                 m, k = int(self.size[item]), int(self.k[item])
-                done: list[int] = []
-                for some in (starts[:1], starts[1:]):  # the likeliest window alone first: most matches end there
-                    some = [s for s in some if all(abs(s - x) > k // 2 for x in done)]
-                    if not some:
-                        continue
-                    rows = np.zeros((len(some), m), np.uint8)
-                    for r, s in enumerate(some):
-                        part = b[max(0, s) : max(0, s + m)]
-                        rows[r, : len(part)] = part
-                    for s in map(int, np.array(some)[self.walks.meet(rows, self.sketches(item))]):
-                        if any(abs(s - x) <= k // 2 for x in done):  # the stretch checked there, k either side, holds this one's
-                            continue
-                        done.append(s)
-                        first = max(0, s - 2 * k)
-                        near = b[first : max(first, s + m + 2 * k)]
-                        at = near.tobytes().find(self.texts[item])
-                        d, end = (0, at + m) if at >= 0 else alignment(self.arrays[item], near)
-                        if d <= k:
-                            found = (d, base + first + max(0, end - m))
-                            out[item] = min(out.get(item, found), found)
-                    if out.get(item, (1, 0))[0] == 0:
+                for least, most in together(starts, m):  # each window is aligned, with k either side of where its match can lie
+                    first = max(0, least - 2 * k)
+                    near = b[first : max(first, most + m + 2 * k)]
+                    at = near.tobytes().find(self.texts[item])
+                    d, end = (0, at + m) if at >= 0 else alignment(self.arrays[item], near, k)
+                    if d <= k:
+                        found = (d, base + first + max(0, end - m))
+                        out[item] = min(out.get(item, found), found)
+                    if d == 0:
                         break
         return out
 

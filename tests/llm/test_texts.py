@@ -194,6 +194,18 @@ def test_sketch_recall(length):
     assert decontamination.recall_at(k // 2, length, 60) >= 0.95
 
 
+@pytest.mark.parametrize("length", [394, 1000, 3000])
+def test_items_at_the_limit_of_edits_are_found_at_any_length(length):
+    rng = np.random.default_rng(length)
+    letters = lambda n: "".join(chr(97 + int(c)) for c in rng.integers(0, 26, n))
+    items = [(k, letters(length).encode()) for k in range(6)]
+    index = decontamination.Index(items)
+    for k, item in items:
+        said = letters(500) + edits(item.decode(), decontamination.allowed(length), rng) + letters(500)
+        got = index.search(said.encode())
+        assert set(got) == {k} and got[k][0] <= decontamination.allowed(length)
+
+
 def test_alignment():
     b = lambda s: np.frombuffer(s, np.uint8)
     assert decontamination.alignment(b(b"kitten"), b(b"xxsittingyy"))[0] == 2
