@@ -50,6 +50,14 @@ def test_toxicity(spark):
     assert p.score.between(0, 1).all() and auc(p.score.to_numpy(), p.toxic.to_numpy()) >= 0.85
 
 
+@pytest.mark.parametrize(("head", "word"), [("Read before you write: the rules of this forum are set out here. ", "vermin"), ("", "мерзавец")])
+def test_every_distinct_text_trains(head, word):
+    letters = "абвгдежз" if word > "z" else "abcdefgh"
+    said = lambda k: " ".join(letters[int(c)] * 4 for c in f"{k:05o}")
+    ordinary, toxic = toxicity.dictionaries([f"{head}{said(k)} {word}".encode() for k in range(20)] * 2, [f"{head}{said(k)}".encode() for k in range(20)])[:2]
+    assert word.encode() in toxic and word.encode() not in ordinary
+
+
 def test_toxicity_cases(spark):
     none = spark.createDataFrame([], "doc_id long, quality int, toxic int")
     rows = [(1, None, None, None, None, None, None), (2, "", None, None, None, None, None), (3, "text " * 5000, None, None, None, None, None), (3, "text", None, None, None, None, None)]
