@@ -12,35 +12,39 @@ from leafmill.sources.staging import staged
 DIGITS, BAND_DIGITS, THRESHOLD, MAX_BUCKET = 36, 6, 16, 20_000
 
 
-def banded(hashes: DataFrame, digits: int = DIGITS, band_digits: int = BAND_DIGITS, invalid: str = "exclude") -> DataFrame:
-    """id, h, band, value. invalid: "exclude" leaves malformed hashes out (they stay singletons), "zero" takes them as 0."""
+def valid(hashes: DataFrame, digits: int = DIGITS, invalid: str = "exclude") -> DataFrame:
+    """id, h. invalid: "exclude" leaves malformed hashes out (they stay singletons), "zero" takes them as 0."""
     good = vectors.valid_hex(F.col("h"), digits)
     rows = hashes.select("id", F.coalesce("h", F.lit("")).alias("h"))
-    rows = rows.withColumn("h", F.when(good, F.col("h")).otherwise("0" * digits)) if invalid == "zero" else rows.where(good)
-    return rows.select("id", "h", F.inline(vectors.bands(F.col("h"), digits, band_digits)))
+    return rows.withColumn("h", F.when(good, F.col("h")).otherwise("0" * digits)) if invalid == "zero" else rows.where(good)
+
+
+def banded(hashes: DataFrame, digits: int = DIGITS, band_digits: int = BAND_DIGITS, invalid: str = "exclude") -> DataFrame:
+    """id, h, band, value of valid hashes."""
+    return valid(hashes, digits, invalid).select("id", "h", F.inline(vectors.bands(F.col("h"), digits, band_digits)))
 
 
 def bucketed(bands: DataFrame, max_bucket: int | None = MAX_BUCKET) -> DataFrame:
-    """Rows of buckets of two up to max_bucket members. A larger bucket gives no pairs of its own, which is part of the
-    definition of a duplicate here; None takes all.
+    """Rows of buckets of two members or more, with up to max_bucket different hashes. A bucket with more gives no pairs
+    of its own; None takes all, as the registered queries do.
 
     Sizes are aggregated and joined, never windowed, so no bucket is gathered in one task.
     """
-    size = F.col("n") >= 2
-    keep = bands.groupBy("band", "value").agg(F.count("*").alias("n")).where(size if max_bucket is None else size & (F.col("n") <= max_bucket))
+    keep = bands.groupBy("band", "value", "h").agg(F.count("*").alias("n")).groupBy("band", "value").agg(F.sum("n").alias("n"), F.count("*").alias("hashes")).where("n >= 2")
+    keep = keep if max_bucket is None else keep.where(F.col("hashes") <= max_bucket)
     return bands.join(keep.select("band", "value"), ["band", "value"], "left_semi")
 
 
 def duplicate_pairs(hashes: DataFrame, threshold: int = THRESHOLD, digits: int = DIGITS, band_digits: int = BAND_DIGITS, max_bucket: int | None = MAX_BUCKET, invalid: str = "exclude") -> DataFrame:
     """a, b (a < b) that share a band and differ in at most threshold bits, once each. hashes: id, h.
 
-    Equal hashes are compared once: a hash's least id stands for it, and its other ids hang on that one.
+    Equal hashes are linked first and compared once: a hash's least id stands for it, and its other ids hang on that
+    one, however many they are. max_bucket counts different hashes.
     """
-    bands = banded(hashes, digits, band_digits, invalid)
-    seen = staged(bucketed(bands, max_bucket), "buckets")
-    least = seen.groupBy("h").agg(F.min("id").alias("least"))
-    copies = seen.select("id", "h").distinct().join(least, "h").where("id > least").select(F.col("least").alias("a"), F.col("id").alias("b"))
-    one = seen.join(least.select("h", F.col("least").alias("id")), ["h", "id"], "left_semi")
+    rows = staged(valid(hashes, digits, invalid), "hashes")
+    least = staged(rows.groupBy("h").agg(F.min("id").alias("least")), "least")
+    copies = rows.join(least, "h").where("id > least").select(F.col("least").alias("a"), F.col("id").alias("b")).distinct()
+    one = staged(bucketed(banded(least.select(F.col("least").alias("id"), "h"), digits, band_digits), max_bucket), "buckets")
     x, y = one.alias("x"), one.alias("y")
     met = x.join(y, (F.col("x.band") == F.col("y.band")) & (F.col("x.value") == F.col("y.value")) & (F.col("x.id") < F.col("y.id")))
     near = met.where(vectors.hamming(F.col("x.h"), F.col("y.h"), digits) <= threshold).select(F.col("x.id").alias("a"), F.col("y.id").alias("b")).distinct()

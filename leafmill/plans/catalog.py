@@ -431,12 +431,12 @@ def hash_bands(t, *_):
 
 @query(f", {BANDS}, {PAIRS} select a, b from pairs", "image_hash")
 def hash_pairs(t, *_):
-    return hash_dedupe.all_pairs(t["image_hash"].select(F.col("id_imagehash").alias("id"), F.col("image_hash").alias("h")))
+    return hash_dedupe.all_pairs(t["image_hash"].select(F.col("id_imagehash").alias("id"), F.col("image_hash").alias("h")), max_bucket=None)
 
 
 @query(("" + f", {BANDS}, {PAIRS}, {COMPONENTS} select g.id as hash_id, group_id, id_pipeline_batch_item, id_detection, image_hash from groups g join image_hash h on h.id_imagehash = g.id"), "image_hash")
 def hash_groups(t, *_):
-    return hash_dedupe.dedupe_by_hash(t["image_hash"])
+    return hash_dedupe.dedupe_by_hash(t["image_hash"], max_bucket=None)
 
 
 ORACLES["hash_groups"] = ORACLES["hash_groups"].replace("WITH ", "WITH RECURSIVE ", 1)

@@ -82,6 +82,26 @@ def test_bucket_bound(spark):
     assert hash_dedupe.all_pairs(df, max_bucket=None, threshold=144).count() == 15
 
 
+def test_copies_are_linked_whatever_their_number(spark):
+    hs = ["0" * 36] * 8 + ["0" * 35 + "1", "f" * 36]
+    df = spark.createDataFrame(list(enumerate(hs)), "id long, h string")
+    groups = {r["id"]: r["group_id"] for r in hash_dedupe.assign(df, hash_dedupe.duplicate_pairs(df, max_bucket=3)).collect()}
+    assert groups == {i: 0 for i in range(9)} | {9: 9}
+
+
+def test_hash_queries_have_no_bucket_bound(spark, monkeypatch):
+    from leafmill.plans import catalog
+
+    for f in (hash_dedupe.bucketed, hash_dedupe.duplicate_pairs):  # a low bound where nothing else is said
+        monkeypatch.setattr(f, "__defaults__", tuple(2 if x == hash_dedupe.MAX_BUCKET else x for x in f.__defaults__))
+    monkeypatch.setattr(hash_dedupe, "MAX_BUCKET", 2)
+    rows = [(i, f"{i:06x}" + "0" * 30, i, i) for i in (1, 3, 7, 15)]  # every two share bands and differ in at most three bits
+    hashes = spark.createDataFrame(rows, "id_imagehash long, image_hash string, id_pipeline_batch_item long, id_detection long")
+    monkeypatch.setattr(catalog, "relation", lambda *_: hashes)
+    assert catalog.QUERIES["hash_pairs"](spark, "").count() == 6
+    assert {r["group_id"] for r in catalog.QUERIES["hash_groups"](spark, "").collect()} == {1}
+
+
 def test_neighbours(spark):
     rng = np.random.default_rng(2)
     x = rng.normal(size=(60, 16))
