@@ -41,12 +41,13 @@ KINDS = {
     "ip": rf"(?<![0-9.])(?:{_OCTET}\.){{3}}{_OCTET}(?![0-9]|\.[0-9])",
     "card": r"(?<![0-9A-Za-z])[3-6][0-9]{3}(?:[ -]?[0-9]{4}){3}(?![0-9A-Za-z])",
     "phone": r"(?<![0-9A-Za-z])(?:\+[0-9]{1,3}[ .-]?)(?:\([0-9]{2,4}\)[ .-]?)?[0-9]{2,4}(?:[ .-]?[0-9]{2,4}){1,4}(?![0-9A-Za-z]|\.[0-9])|(?<![0-9A-Za-z])\([0-9]{3}\) ?[0-9]{3}[.-][0-9]{4}(?![0-9])|(?<![0-9A-Za-z-])[0-9]{3}[.-][0-9]{3}[.-][0-9]{4}(?![0-9-])",
-    "key": r"(?<![A-Za-z0-9])AKIA[A-Z0-9]{16}(?![A-Za-z0-9])|(?<=[Pp]assword[=:])[^\x20\x09-\x0D\"']{6,64}|(?<=token = \")[A-Za-z0-9_-]{16,128}|(?<![A-Za-z0-9])(?=[a-f]*[0-9])[0-9a-f]{32,64}+(?![A-Za-z0-9])",
+    "key": r"(?<![A-Za-z0-9])AKIA[A-Z0-9]{16}(?![A-Za-z0-9])|(?<=(?i:password)[=:])[^\x20\x09-\x0D\"']{6,64}|(?<=(?i:token) = \")[A-Za-z0-9_-]{16,128}|(?<![A-Za-z0-9])(?=[A-Fa-f]*[0-9])[0-9A-Fa-f]{32,64}+(?![A-Za-z0-9])",
     "name": r"(?<=(?<![\p{L}])(?:" + "|".join(MALE_TITLES + FEMALE_TITLES) + r")\.? )\p{Lu}\p{L}{1,30}+(?: \p{Lu}\p{L}{1,30}+)?",
 }
 ANY = "|".join(f"(?:{p})" for p in KINDS.values())
-#: No text without one of these holds an entity; a cheap first look. Hexadecimal keys are all but sure to hold a digit, and must.
-HINTS = ["@", "assword", "token = ", *MALE_TITLES, *FEMALE_TITLES]
+#: No text without one of these or of SPELT, in any case, holds an entity; a cheap first look. Hexadecimal keys are all but sure to hold a digit, and must.
+SPELT = "[Aa][Ss][Ss][Ww][Oo][Rr][Dd][=:]|[Tt][Oo][Kk][Ee][Nn] = "
+HINTS = ["@", *MALE_TITLES, *FEMALE_TITLES]
 
 
 def _let(value: Column, body) -> Column:
@@ -141,7 +142,9 @@ def surrogate(kind: Column, entity: Column, draw: Column, key: str = KEY, title:
     def token(h: Column) -> Column:
         hexy = entity.rlike("^[0-9a-f]+$")
         filled = F.when(F.length(entity) <= 64, F.substr(h, F.lit(1), F.length(entity))).otherwise(_refill(entity, _digits(h), _letters(h)))
-        return F.when(hexy, filled).otherwise(_let(_letters(h), lambda l: _refill(entity, _digits(h), l, F.when(entity.startswith("AKIA"), 4).otherwise(0))))
+        # hexadecimal in both cases: letters stand in the case of what they take the place of
+        both = F.array_join(F.transform(F.split(entity, ""), lambda c, i: F.when(c.rlike("^[A-Z]$"), F.upper(F.substr(h, i + 1, F.lit(1)))).otherwise(F.substr(h, i + 1, F.lit(1)))), "")
+        return F.when(hexy, filled).when(entity.rlike("^[0-9A-F]{32,64}$"), F.upper(filled)).when(entity.rlike("^[0-9A-Fa-f]{32,64}$"), both).otherwise(_let(_letters(h), lambda l: _refill(entity, _digits(h), l, F.when(entity.startswith("AKIA"), 4).otherwise(0))))
 
     def name(h: Column) -> Column:
         script = F.when(entity.rlike(r"\p{IsCyrillic}"), "cyrillic").otherwise("latin")
@@ -157,7 +160,7 @@ def surrogate(kind: Column, entity: Column, draw: Column, key: str = KEY, title:
 
 def _cut(text: Column) -> Column:
     """Struct of gaps and entities: gaps[0] entity[0] gaps[1] ... put together are the text."""
-    some = reduce(lambda c, x: c | text.contains(x), HINTS, text.rlike("[0-9]"))
+    some = reduce(lambda c, x: c | text.contains(x), HINTS, text.rlike("[0-9]")) | text.rlike(SPELT)
     found = F.when(some, F.regexp_extract_all(text, F.lit(ANY), F.lit(0)))
     return _let(found, lambda e: F.when(F.size(e) > 0, F.struct(F.split(text, ANY).alias("gaps"), e.alias("found"))))
 

@@ -56,6 +56,16 @@ def test_pii_keeps_kind_format_and_coreference(spark):
     assert pii.replace_entities(df, "another key").where("doc_id = 1").first()["text"] != t
 
 
+def test_secrets_of_any_case_are_replaced(spark):
+    secret = "9233a8ecf7c5b09fe5949719b6b82bc439e9329b"
+    texts = [f'TOKEN = "{secret.upper()}"', f"see {secret.upper()} here", f"see {secret[:20].upper()}{secret[20:]} here", "PASSWORD=HUNTERTWO!x", "Password:hunter-two", "PaSsWoRd=hunter-two", 'Token = "abcdefghijklmnopq_RS"', f'token = "{secret}"']
+    got = [r["text"] for r in pii.replace_entities(spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")).orderBy("doc_id").collect()]
+    assert re.fullmatch(r'TOKEN = "[0-9A-F]{40}"', got[0]) and re.fullmatch(r"see [0-9A-F]{40} here", got[1]) and re.fullmatch(r"see [0-9A-Fa-f]{40} here", got[2])
+    assert re.fullmatch(r"PASSWORD=[A-Z]{9}![a-z]", got[3]) and re.fullmatch(r"Password:[a-z]{6}-[a-z]{3}", got[4]) and re.fullmatch(r"PaSsWoRd=[a-z]{6}-[a-z]{3}", got[5])
+    assert re.fullmatch(r'Token = "[a-z]{17}_[A-Z]{2}"', got[6]) and re.fullmatch(r'token = "[0-9a-f]{40}"', got[7])
+    assert all(a != b for a, b in zip(got, texts, strict=True))
+
+
 def test_pii_collisions_are_drawn_again(spark, monkeypatch):
     names = ["Mr Ab", "Mr Ac", "Mr Ad"]
     df = spark.createDataFrame([(i, n) for i, n in enumerate(names)], "doc_id long, text string")
