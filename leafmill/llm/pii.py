@@ -5,7 +5,8 @@ names after a form of address. A surrogate depends on the key, the kind and the
 entity gets one surrogate wherever it stands (coreference). It keeps the format: separators, length of digit runs,
 country code, letter case, the first digit and the check digit of a card; a name keeps the gender of its form of
 address and its script. Distinctness is checked over the whole corpus: entities whose surrogates meet, or whose
-surrogate is itself an entity of the corpus, are drawn again until none meet.
+surrogate is itself an entity of the corpus, are drawn again until none meet; it is an error when MAX_DRAWS rounds in
+a row leave no fewer of them (a format whose values are all but used up).
 
 Cases: a null text stays null and an empty one empty, both with no entity; repeated rows get equal surrogates; texts
 of any length are handled in their row, which is never exploded unless redrawn entities exceed MAX_LITERAL; extra
@@ -184,14 +185,20 @@ def redraws(mentions: DataFrame, key: str = KEY) -> DataFrame:
     """
     once = staged(mentions.groupBy("kind", "norm").agg(F.min("entity").alias("entity"), F.min("title").alias("title")), "entities")
     drawn = once.withColumn("draw", F.lit(0))
-    for _ in range(MAX_DRAWS):
+    fewest, stalled = None, 0
+    while True:
         given = drawn.withColumn("s", norm_of(F.col("kind"), surrogate(F.col("kind"), F.col("entity"), F.col("draw"), key, F.col("title"))))
         taken = once.select("kind", F.col("norm").alias("s"), F.lit(True).alias("real"))
         owner = given.groupBy("kind", "s").agg(F.min("norm").alias("owner"), F.count("*").alias("n"))
         bad = given.join(owner, ["kind", "s"]).join(taken, ["kind", "s"], "left").where(F.col("real") | (F.col("norm") != F.col("owner"))).select("kind", "norm")
         bad = staged(bad, "met")
-        if bad.isEmpty():
+        n = bad.count()
+        if not n:
             break
+        stalled = 0 if fewest is None or n < fewest else stalled + 1
+        if stalled >= MAX_DRAWS:
+            raise ValueError(f"{n} entities have no surrogate of their own: their formats have too few free values")
+        fewest = n if fewest is None else min(n, fewest)
         drawn = staged(drawn.join(bad.withColumn("again", F.lit(1)), ["kind", "norm"], "left").withColumn("draw", F.col("draw") + F.coalesce("again", F.lit(0))).drop("again"), "drawn")
     return drawn.where(F.col("draw") > 0).select("kind", "norm", "draw")
 

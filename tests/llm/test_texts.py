@@ -80,6 +80,19 @@ def test_pii_collisions_are_drawn_again(spark, monkeypatch):
     assert sorted(r["text"] for r in pii.replace_entities(df).collect()) == sorted(few)
 
 
+def test_pii_draws_until_none_meet(spark, monkeypatch):
+    from pyspark.sql import functions as F
+
+    monkeypatch.setattr(pii, "MAX_DRAWS", 2)
+    df = spark.createDataFrame([(i, f"Mr A{c}") for i, c in enumerate("bcde")], "doc_id long, text string")
+    # a round settles one entity: three rounds are needed
+    monkeypatch.setattr(pii, "surrogate", lambda kind, entity, draw, key=pii.KEY, title=None: F.concat(F.lit("Adam S"), F.chr(draw.cast("long") + 97)))
+    assert len({r["text"] for r in pii.replace_entities(df).collect()}) == 4
+    monkeypatch.setattr(pii, "surrogate", lambda kind, entity, draw, key=pii.KEY, title=None: F.lit("Adam Same"))
+    with pytest.raises(ValueError, match="3 entities"):
+        pii.replace_entities(df)
+
+
 def test_urls(spark):
     urls = ["http://A.Example.COM/en/7x?q", "http://example.com/en/8", "https://x.net/de/8", "http://www.example.net/de/8/1#t", "http://b.org/es/", "http://b.org/es", "no scheme", None, "x://", "http://h?x/y", "http://com/en/", "http://bexample.com/en/71"]
     pages = spark.createDataFrame(list(enumerate(urls)), "page_id long, url string")
