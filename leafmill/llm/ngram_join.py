@@ -10,8 +10,9 @@ set is cut alike, overlaps are counted fragment by fragment and summed per pair,
    pairs its nodes with its pivot, a node that is in many such lists.
 3. Verification: partial overlaps per fragment, summed.
 4. Links give components. In longer lists, nodes that are still in different components are paired and verified as
-   well, but for those that the triangle inequality of Jaccard distance rules out through the pivot. So no link
-   between different texts is lost, while large groups of copies cost a pair a node.
+   well, but for those that the triangle inequality of Jaccard distance rules out through the pivot. So
+   components are exact, while large groups of copies cost a pair a node. Links within a component are not all looked
+   at: neither links nor their number per document is returned.
 
 Shingles: A-Z lower-cased, words are runs of anything but ASCII white space, five words a shingle, the whole sequence
 as one when shorter. Cases: null, empty and blank texts have an empty set and link with nothing; repeated rows and
