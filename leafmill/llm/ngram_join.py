@@ -210,7 +210,7 @@ def frequency_classes(surveyed: DataFrame, bits: int) -> np.ndarray:
 _ENTRY = np.dtype([("h", "<u8"), ("node", "<i8"), ("n", "<u4"), ("short", "u1")])
 
 
-def _lists(docs: DataFrame, shared, buckets: int) -> DataFrame:
+def _lists(docs: DataFrame, shared, buckets: int, num: int = 3, den: int = 4) -> DataFrame:
     """h, node, n, short: prefixes of nodes that share h with another. A task sends a node once."""
 
     def scan(batches):
@@ -222,9 +222,9 @@ def _lists(docs: DataFrame, shared, buckets: int) -> DataFrame:
                 if not len(s) or node in seen:
                     continue
                 seen.add(node)
-                r = np.sort(ranks(s, sketch))[: prefix(len(s), True)]
+                r = np.sort(ranks(s, sketch))[: prefix(len(s), True, num, den)]
                 e = np.empty(len(r), _ENTRY)
-                e["h"], e["node"], e["n"], e["short"] = r, node, len(s), np.arange(len(r)) < prefix(len(s), False)
+                e["h"], e["node"], e["n"], e["short"] = r, node, len(s), np.arange(len(r)) < prefix(len(s), False, num, den)
                 parts.append(e)
             if parts:
                 e = np.concatenate(parts)
@@ -355,16 +355,16 @@ def similar(documents: DataFrame, num: int = 3, den: int = 4) -> DataFrame:
     surveyed = staged(docs.mapInArrow(_survey(bits), "kind int, doc_id long, n long, node long, z binary"), "survey")
     rows = surveyed.where("kind = 0").select("doc_id", "n", "node")
     shared = spark.sparkContext.broadcast(frequency_classes(surveyed, bits))  # 2^bits bytes
-    lists = staged(_lists(docs, shared, min(MOST_BUCKETS, max(16, -(-total // BUCKET_TEXT)))), "lists", free=True)
+    lists = staged(_lists(docs, shared, min(MOST_BUCKETS, max(16, -(-total // BUCKET_TEXT))), num, den), "lists", free=True)
     sizes = staged(lists.groupBy("h").agg(F.count("*").alias("m")), "list_sizes")
     lengthy = staged(lists.join(sizes.where(F.col("m") > LIST).select("h"), "h", "left_semi"), "lengthy")
     # the pivot is the member of most long lists, so that lists of one group of copies tend to share it; then the shortest
     degree = staged(lengthy.groupBy("node").agg((-F.count("*")).alias("d")), "degrees")
     pivots = staged(lengthy.where("short").join(degree, "node").groupBy("h").agg(F.min(F.struct("d", "n", "node", "short")).alias("p")).select("h", F.struct("p.n", "p.node", "p.short").alias("p")), "pivots")
     few = lists.join(sizes.where(F.col("m") <= LIST).select("h"), "h", "left_semi")
-    small = few.alias("x").join(few.alias("y"), "h").where(F.col("x.node") < F.col("y.node")).where(_may())
+    small = few.alias("x").join(few.alias("y"), "h").where(F.col("x.node") < F.col("y.node")).where(_may("x", "y", num, den))
     long_ = staged(lengthy.join(pivots, "h").select("h", "node", "n", "short", "p"), "long_lists")
-    starred = long_.where("node <> p.node").select(F.struct("node", "n", "short").alias("x"), F.col("p").alias("y")).where(4 * F.least("x.n", "y.n") >= 3 * F.greatest("x.n", "y.n"))
+    starred = long_.where("node <> p.node").select(F.struct("node", "n", "short").alias("x"), F.col("p").alias("y")).where(den * F.least("x.n", "y.n") >= num * F.greatest("x.n", "y.n"))
     pairs = staged(_ordered(small.select(F.struct("x.node", "x.n", "x.short").alias("x"), F.struct("y.node", "y.n", "y.short").alias("y"))).union(_ordered(starred)).distinct(), "pairs")
     prefixes = staged(lists.groupBy("node").agg(F.collect_list("h").alias("hs")), "prefixes")
     told = staged(_bounded(pairs, prefixes, num, den), "bounded")

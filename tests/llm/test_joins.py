@@ -93,6 +93,23 @@ def test_similar(spark, monkeypatch, list_):
     assert sorted(map(tuple, got.collect()), key=str) == components(rows)
 
 
+@pytest.mark.parametrize(("list_", "num", "den"), [(1, 3, 10), (8, 3, 10), (8, 9, 10)])
+def test_similar_at_other_thresholds(spark, monkeypatch, list_, num, den):
+    monkeypatch.setattr(ngram_join, "LIST", list_)
+    base = [f"w{i}" for i in range(60)]
+    texts = [" ".join(base[:k] + [f"x{k}y{i}" for i in range(60 - k)]) for k in (60, 58, 52, 40, 34, 24)]
+    texts += [" ".join([f"z{k}y{i}" for i in range(60 - k)] + base[60 - k :]) for k in (50, 36, 30)]
+    sets = [shingle_set(t) for t in texts]
+    least = list(range(len(texts)))
+    for _ in texts:
+        for a in range(len(texts)):
+            for b in range(len(texts)):
+                if den * len(sets[a] & sets[b]) >= num * len(sets[a] | sets[b]):
+                    least[a] = min(least[a], least[b])
+    rows = [(i, t, None, None, None, None, None) for i, t in enumerate(texts)]
+    assert {r["doc_id"]: r["component_id"] for r in ngram_join.similar(frame(spark, rows), num, den).collect()} == dict(enumerate(least))
+
+
 def test_threshold_is_exact(spark):
     base = [f"w{i}" for i in range(104)]
     rows = [(1, " ".join(base), None, None, None, None, None)]
