@@ -355,7 +355,7 @@ def similar(documents: DataFrame, num: int = 3, den: int = 4) -> DataFrame:
     surveyed = staged(docs.mapInArrow(_survey(bits), "kind int, doc_id long, n long, node long, z binary"), "survey")
     rows = surveyed.where("kind = 0").select("doc_id", "n", "node")
     shared = spark.sparkContext.broadcast(frequency_classes(surveyed, bits))  # 2^bits bytes
-    lists = staged(_lists(docs, shared, min(MOST_BUCKETS, max(16, -(-total // BUCKET_TEXT))), num, den), "lists", free=True)
+    lists = staged(_lists(docs, shared, min(MOST_BUCKETS, max(16, -(-total // BUCKET_TEXT))), num, den), "lists")
     sizes = staged(lists.groupBy("h").agg(F.count("*").alias("m")), "list_sizes")
     lengthy = staged(lists.join(sizes.where(F.col("m") > LIST).select("h"), "h", "left_semi"), "lengthy")
     # the pivot is the member of most long lists, so that lists of one group of copies tend to share it; then the shortest
@@ -370,16 +370,16 @@ def similar(documents: DataFrame, num: int = 3, den: int = 4) -> DataFrame:
     told = staged(_bounded(pairs, prefixes, num, den), "bounded")
     likely = told.where("may").select("a", "na", "b", "nb")
     wanted = staged(likely.select(F.explode(F.array("a", "b")).alias("node")).distinct(), "wanted")
-    sets = staged(_sets(docs, wanted, shared), "sets", free=True)
-    seen = staged(_overlaps(likely, sets), "overlaps", free=True)
+    sets = staged(_sets(docs, wanted, shared), "sets")
+    seen = staged(_overlaps(likely, sets), "overlaps")
     linked = den * F.col("overlap") >= num * (F.col("na") + F.col("nb") - F.col("overlap"))
     comp = staged(connected_components(seen.where(linked).select("a", "b")), "components")
     more = _across(long_, comp, told, seen, prefixes, num, den)
     if more is not None:
         rest = staged(more.select(F.explode(F.array("a", "b")).alias("node")).distinct().join(wanted, "node", "left_anti"), "wanted_across")
         if not rest.isEmpty():
-            sets = sets.union(staged(_sets(docs, rest, shared), "sets_across", free=True))
-        again = staged(_overlaps(more, sets), "overlaps_across", free=True).where(linked).select("a", "b")
+            sets = sets.union(staged(_sets(docs, rest, shared), "sets_across"))
+        again = staged(_overlaps(more, sets), "overlaps_across").where(linked).select("a", "b")
         comp = staged(connected_components(comp.select(F.col("node").alias("a"), F.col("component").alias("b")).union(again)), "components")
     reps = staged(rows.where("n > 0").groupBy("node").agg(F.min("doc_id").alias("least")), "reps")
     named = reps.join(comp, "node", "left").select("node", "least", F.coalesce("component", "node").alias("component"))

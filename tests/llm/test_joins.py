@@ -30,23 +30,62 @@ def removed(rows):
     return sorted(out, key=str)
 
 
-@pytest.mark.parametrize("hot", [False, True])
+@pytest.mark.parametrize("hot", [None, 1, 3])
 def test_substrings(spark, monkeypatch, hot):
-    if hot:  # every minimizer takes the way of the hot ones
-        monkeypatch.setattr(substring_dedup, "HOT_LEAST", 1)
+    if hot:  # 1: every minimizer takes the way of the hot ones, and those of eight texts that of the hotter ones
+        monkeypatch.setattr(substring_dedup, "HOT_LEAST", hot)
         monkeypatch.setattr(substring_dedup, "HOT_SHARE", 10**9)
     rows = corpus()
     got = substring_dedup.dedup(frame(spark, rows)).drop("kept")
     assert sorted(map(tuple, got.collect()), key=str) == removed(rows)
 
 
-def test_windows_of_fragments_cover_shared_ones_only_once():
+def test_one_id_with_several_texts(spark):
+    passage = "a passage of more than fifty bytes that several of the documents have in common. "
+    long_ = "first some words of its own, then " + passage + "and after it some more words that nobody else has said before."
+    rows = [(1, passage), (5, long_), (5, "short"), (5, passage), (5, long_[10:]), (7, long_), (7, passage * 3), (7, "other " + passage), (None, long_), (9, None)]
+    rows = [(i, t, None, None, None, None, None) for i, t in rows]
+    assert sorted(map(tuple, substring_dedup.dedup(frame(spark, rows)).drop("kept").collect()), key=str) == removed(rows)
+
+
+def test_very_long_and_periodic_texts(spark):
+    rng = np.random.default_rng(4)
+    prose = rng.integers(97, 123, 1_300_000).astype(np.uint8).tobytes().decode()  # more than one slice
+    rows = [(1, prose), (2, "x" * 80 + prose[1_048_500:1_048_700] + "y" * 80), (3, "ab" * 700_000), (4, "ba" * 30 + "end"), (6, prose[:1_100_000] + "z")]
+    got = {r["doc_id"]: r for r in substring_dedup.dedup(frame(spark, [(i, t, None, None, None, None, None) for i, t in rows])).collect()}
+    assert got[2]["n_removed"] == 200 and got[2]["n_spans"] == 1 and bytes(got[2]["kept"]) == b"x" * 80 + b"y" * 80
+    assert got[4]["n_removed"] == 60 and bytes(got[4]["kept"]) == b"end" and got[6]["n_removed"] == 1_100_000 and bytes(got[6]["kept"]) == b"z"
+    assert got[1]["n_removed"] == got[3]["n_removed"] == 0 and got[3]["n_bytes"] == 1_400_000
+
+
+@pytest.mark.parametrize("size", [64, 1000])
+def test_slices_cover_every_window_once(monkeypatch, size):
+    monkeypatch.setattr(substring_dedup, "SLICE", size)
+    b = np.arange(700) % 251
+    starts = [at + k for at, part in substring_dedup.sliced(b) for k in range(max(0, len(part) - 49)) if (part[k : k + 50] == b[at + k : at + k + 50]).all()]
+    assert starts == list(range(651))
+
+
+def test_gather_and_removed_runs():
+    rng = np.random.default_rng(2)
+    blob, starts, sizes = rng.integers(0, 9, 500).astype(np.uint8), rng.integers(0, 400, 60), rng.integers(0, 90, 60)
+    assert substring_dedup.gather(blob, starts, sizes, 100).tolist() == [x for a, n in zip(starts, sizes, strict=True) for x in blob[a : a + n].tolist()]
+    lo, hi = substring_dedup.removed_runs(90, False, [{"lo": a, "hi": b} for a, b in ((40, 50), (0, 20), (5, 10), (20, 30), (50, 60))])
+    assert (lo.tolist(), hi.tolist()) == ([0, 40], [30, 60])
+
+
+@pytest.mark.parametrize("text", ["random", "periodic"])
+def test_windows_of_fragments_cover_shared_ones_only_once(text):
     rng = np.random.default_rng(0)
-    b = rng.integers(97, 101, 400).astype(np.uint8)
-    every = substring_dedup.minimizers(b)
-    for hot in (every[:0], every):
-        key, first, count = substring_dedup.fragments(b, every, hot)
-        assert sorted(np.concatenate([np.arange(f, f + n) for f, n in zip(first, count, strict=True)]).tolist()) == list(range(351))
+    b = rng.integers(97, 101, 4000).astype(np.uint8) if text == "random" else np.tile(np.arange(97, 100, dtype=np.uint8), 1400)
+    every, none = substring_dedup.minimizers(b), np.zeros(0, np.uint64)
+    for hot, hotter in ((none, none), (every, none), (every, every)):
+        key, first, count = substring_dedup.fragments(b, every, hot, hotter)
+        assert sorted(np.concatenate([np.arange(f, f + n) for f, n in zip(first, count, strict=True)]).tolist()) == list(range(len(b) - 49)) and count.max() <= substring_dedup.RUN
+        windows = {}
+        for k, f, n in zip(key.tolist(), first.tolist(), count.tolist(), strict=True):
+            for w in range(f, f + n):  # equal windows get equal keys
+                assert windows.setdefault(b[w : w + 50].tobytes(), k) == k
 
 
 @pytest.mark.parametrize("letters", [1, 2, 4, 26])
