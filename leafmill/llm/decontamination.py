@@ -1,27 +1,31 @@
-"""Benchmark decontamination: edit-distance search by surviving grams and an exact check of every window.
+"""Benchmark decontamination: edit-distance search by CGK embeddings and bit-sampling, with an exact check.
 
 Texts and items are compared as UTF-8 of their lower-case form with white space collapsed. An item is found in a
-document when a stretch of it is within floor(RATIO * item length) edits of the item.
-
-1. Windows. k edits destroy at most Q*k of an item's m-Q+1 grams of Q bytes, so a stretch that matches keeps at
-   least m-Q+1-Q*k of them within m+k bytes, and one diagonal holds at least that many over k+1. Item-sized windows
-   start on such diagonals; no match is lost here, and most texts have no window at all.
-2. Exact check. Every window is aligned with the item and kept when the distance holds, so matches within the edits
-   allowed are found at any length of item. Windows close together share one alignment.
-
-The CGK walks and bit samples below once chose the windows to align. Agreement at a sampled place falls with length, so
-long items at the limit of edits were lost; they decide nothing now, and recall_at() measures them.
-
-The benchmark is taken in blocks of BLOCK_BYTES, one scan of the documents a block, so what is broadcast is bounded.
-Documents are never shuffled. Cases: null or empty texts and items match nothing; items too short for a gram match
-verbatim; repeated rows each report; a long text is read whole in overlapping slices; empty tables give no row.
+document when a stretch of it is within floor(RATIO * item length) edits of the item, all counted in bytes.
+
+1. Windows. k edits destroy at most q*k of an item's m-q+1 grams of q bytes, so a stretch that matches keeps at least
+   m-q+1-q*k of them within m+k bytes, and one diagonal holds at least that many over k+1. q is the greatest up to 8
+   that leaves one. Item-sized windows start on such diagonals; no match is lost here, and most texts have no window.
+2. CGK. A random walk embeds a string so that few edits change few places of the walk: edit distance becomes Hamming
+   distance. Of each window REPEATS walks are sampled in TABLES sets of places; a window whose samples agree with the
+   item's in a whole set is a candidate. Walks of long strings drift apart, so items over PIECE bytes are embedded piece
+   by piece, at the pieces' places in the window, and one piece that meets is enough. How many places a set has is
+   chosen by length so that recall_at(), measured on random strings at the limit of edits, reaches RECALL.
+3. Exact check. Candidates are aligned with the item and kept when the distance holds. Those close together share one
+   alignment; a verbatim stretch needs none.
+
+The benchmark is taken in blocks of BLOCK_BYTES, one scan of the documents a block, so what is broadcast and indexed is
+bounded but for one item. Memory of the walks doesn't depend on the items; an alignment takes rows of an item's length
+and time with its square. Documents are never shuffled. Cases: null or empty texts and items match nothing; items too
+short for an edit match verbatim; equal items and items that share an id each report; repeated rows each report; of
+several places of an item the one of least edits, then the first, is told; a long text is read whole in overlapping
+slices; empty tables give no row; extra columns are ignored.
 """
 
 from __future__ import annotations
 
-import math
 from collections.abc import Iterator
-from functools import reduce
+from functools import lru_cache, reduce
 
 import numpy as np
 import pyarrow as pa
@@ -32,7 +36,8 @@ from leafmill.llm.arrow import id_texts
 from leafmill.llm.language_id import batch_type
 
 RATIO, Q = 0.1, 8
-REPEATS, TABLES, SAMPLED, SEED = 8, 6, 4, 5
+REPEATS, TABLES, MOST_SAMPLED, SEED = 8, 6, 4, 5
+PIECE, RECALL = 96, 0.98
 BLOCK_BYTES, SLICE = 4 << 20, 4 << 20
 BITS = 22
 _MIX = np.uint64(0x9E3779B97F4A7C15)
@@ -43,15 +48,22 @@ def normal(text: str | None) -> bytes:
 
 
 def allowed(m: int, ratio: float = RATIO) -> int:
-    """Edits allowed for an item of m bytes; few enough that one gram survives."""
-    return max(0, min(int(ratio * m), (m - Q) // Q))
+    """Edits allowed for an item of m bytes."""
+    return int(ratio * m)
+
 
+def gram_size(m: int, k: int) -> int:
+    """The greatest gram of up to Q bytes of which one survives k edits in m bytes; 0 if none does."""
+    return max(0, min(Q, m // (k + 1)))
 
-def grams(b: np.ndarray) -> np.ndarray:
-    """The Q = 8 bytes from each place as one number."""
-    if len(b) < Q:
+
+def grams(b: np.ndarray, q: int = Q) -> np.ndarray:
+    """The q <= Q bytes from each place as one number."""
+    if len(b) < q:
         return np.zeros(0, np.uint64)
-    return np.lib.stride_tricks.sliding_window_view(b, Q).copy().view(np.uint64).ravel()
+    whole = np.concatenate([b, np.zeros(Q - q, np.uint8)]) if q < Q else b
+    out = np.lib.stride_tricks.sliding_window_view(whole, Q).copy().view("<u8").ravel()
+    return out & np.uint64((1 << 8 * q) - 1) if q < Q else out
 
 
 def spot(g: np.ndarray) -> np.ndarray:
@@ -59,42 +71,56 @@ def spot(g: np.ndarray) -> np.ndarray:
 
 
 class Walks:
-    """CGK embeddings, seen only at the sampled places. Equal strings agree; the place of a walk is capped at the end.
+    """CGK embeddings of strings of up to PIECE bytes, seen only at the sampled places. Equal strings agree.
 
-    One set of random functions serves all lengths up to the longest; a string of length m walks 2m steps.
+    One set of random functions serves all lengths; a string of length m walks 2m steps and stays at its end.
     """
 
-    def __init__(self, longest: int, seed: int = SEED):
+    def __init__(self, seed: int = SEED):
         rng = np.random.default_rng(seed)
-        self.turn = rng.integers(0, 2, (REPEATS, 2 * longest, 257), dtype=np.int8)
-        self.share = rng.random((REPEATS, TABLES, SAMPLED))
+        self.turn = rng.integers(0, 2, (REPEATS, 2 * PIECE, 257), dtype=np.int8)
+        self.share = rng.random((REPEATS, TABLES, MOST_SAMPLED))
 
-    def sketch(self, windows: np.ndarray, r: int) -> np.ndarray:
-        """The r-th walk of each window. windows: rows of byte values. Returns rows x TABLES x SAMPLED."""
+    def sketch(self, windows: np.ndarray, r: int, sampled: int) -> np.ndarray:
+        """The r-th walk of each window. windows: rows of byte values, 256 beyond a text's end. Returns rows x TABLES x sampled."""
         n, m = windows.shape
         padded = np.hstack([windows.astype(np.int64), np.full((n, 1), 256)])
         row, i, walk = np.arange(n), np.zeros(n, np.int64), np.empty((n, 2 * m), np.int16)
-        at = (self.share[r] * 2 * m).astype(np.int64)
+        at = (self.share[r, :, :sampled] * 2 * m).astype(np.int64)
         for j in range(int(at.max()) + 1):
             c = padded[row, i]
             walk[:, j] = c
             i = np.minimum(i + self.turn[r, j][c], m)
         return walk[:, at]
 
-    def meet(self, windows: np.ndarray, own: list[np.ndarray]) -> np.ndarray:
-        """Which windows agree with own (the sketches of an item) in a whole set of samples. One that has met walks no further."""
+    def meet(self, windows: np.ndarray, own: list[np.ndarray], sampled: int) -> np.ndarray:
+        """Which windows agree in a whole set with their row of own (by walk). One that has met walks no further."""
         out = np.zeros(len(windows), bool)
         for r in range(REPEATS):
             left = np.flatnonzero(~out)
             if not len(left):
                 break
-            out[left] = meets(self.sketch(windows[left], r), own[r])
+            out[left] = (self.sketch(windows[left], r, sampled) == own[r][left]).all(-1).any(-1)
         return out
 
 
-def meets(a: np.ndarray, b: np.ndarray) -> np.ndarray:
-    """Whether a set of samples agrees throughout, for each row of a against b."""
-    return (a == b).all(-1).any(-1)
+@lru_cache(1)
+def walks() -> Walks:
+    return Walks()
+
+
+@lru_cache(256)
+def sampled_for(length: int, ratio: float = RATIO) -> int:
+    """Places in a set, for pieces of so many bytes: as many as leave the measured recall at the limit of edits at RECALL."""
+    for s in range(MOST_SAMPLED, 1, -1):
+        if recall_at(allowed(length, ratio), length, 200, sampled=s) >= RECALL:
+            return s
+    return 1
+
+
+def cut(m: int) -> list[int]:
+    """Where an item's pieces start; the last ends with the item."""
+    return [0] if m <= PIECE else [*range(0, m - PIECE, PIECE), m - PIECE]
 
 
 def alignment(item: np.ndarray, text: np.ndarray, most: int | None = None) -> tuple[int, int]:
@@ -123,32 +149,27 @@ def together(starts: list[int], m: int) -> list[tuple[int, int]]:
     return out
 
 
-class Index:
-    """The grams of a block of items."""
+class Grams:
+    """The grams of one size of a block of items."""
 
-    def __init__(self, items: list[tuple], ratio: float = RATIO):
-        self.ids = [i for i, _ in items]
-        self.texts = [t for _, t in items]
-        self.arrays = [np.frombuffer(t, np.uint8) for t in self.texts]
-        self.size = np.array([len(t) for t in self.texts], np.int64)
-        self.k = np.array([allowed(len(t), ratio) for t in self.texts], np.int64)
-        self.need = np.maximum(1, self.size - Q + 1 - Q * self.k)
-        self.votes = -(-self.need // (self.k + 1))
-        own = [grams(a) for a in self.arrays]
+    def __init__(self, index: "Index", of: np.ndarray, q: int):
+        self.index, self.q = index, q
+        own = [grams(index.arrays[i], q) for i in of]
+        many = [len(x) for x in own]
         g = np.concatenate([*own, np.zeros(0, np.uint64)])
-        item = np.repeat(np.arange(len(items)), [len(x) for x in own])
-        place = np.concatenate([*[np.arange(len(x)) for x in own], np.zeros(0, np.int64)]).astype(np.int64)
         order = np.argsort(g, kind="stable")
-        self.gram, first, self.many = np.unique(g[order], return_index=True, return_counts=True)
-        self.first, self.item, self.place = first, item[order], place[order]
+        self.gram, self.first, self.many = np.unique(g[order], return_index=True, return_counts=True)
+        self.item = np.repeat(of.astype(np.int32), many)[order]
+        self.place = np.concatenate([*[np.arange(n, dtype=np.int32) for n in many], np.zeros(0, np.int32)])[order]
         self.seen = np.zeros(1 << BITS, bool)
         self.seen[spot(self.gram)] = True
-        self.short = [n for n, t in enumerate(self.texts) if len(t) < Q]
-        self.reach = int((self.size + 2 * self.k).max(initial=0)) + Q
+        self.need = np.maximum(1, index.size - q + 1 - q * index.k)
+        self.votes = -(-self.need // (index.k + 1))
 
     def windows(self, b: np.ndarray) -> list[tuple[int, int]]:
         """(item, start) of the diagonals that may hold a match, those with most grams first."""
-        g = grams(b)
+        size, k = self.index.size, self.index.k
+        g = grams(b, self.q)
         hit = np.flatnonzero(self.seen[spot(g)])
         if not len(hit) or not len(self.gram):
             return []
@@ -159,8 +180,9 @@ class Index:
         where = np.repeat(self.first[at] - np.concatenate([[0], np.cumsum(many)[:-1]]), many) + np.arange(many.sum())
         item, pos, place = self.item[where], np.repeat(hit, many), self.place[where]
         # a match keeps so many different places of the item; one repeated word of it is no sign
-        own = np.unique(item * (int(self.size.max()) + 1) + place) // (int(self.size.max()) + 1)
-        enough = (np.bincount(own, minlength=len(self.size)) >= self.need)[item]
+        longest = int(size.max()) + 1
+        own = np.unique(item.astype(np.int64) * longest + place) // longest
+        enough = (np.bincount(own, minlength=len(size)) >= self.need)[item]
         item, pos, place = item[enough], pos[enough], place[enough]
         if not len(item):
             return []
@@ -170,7 +192,7 @@ class Index:
         step = self.need[item] - 1
         end = np.arange(len(item)) + step
         good = end < len(item)
-        good[good] &= (item[end[good]] == item[good]) & (pos[end[good]] - pos[good] <= self.size[item[good]] + self.k[item[good]] - Q)
+        good[good] &= (item[end[good]] == item[good]) & (pos[end[good]] - pos[good] <= size[item[good]] + k[item[good]] - self.q)
         if not good.any():
             return []
         edge = np.zeros(len(item) + 1, np.int64)
@@ -182,6 +204,50 @@ class Index:
         pair, n = pair[:, keep], n[keep]
         return [(int(i), int(s)) for i, s in pair[:, np.argsort(-n, kind="stable")].T]
 
+
+class Index:
+    """A block of items: their grams by size, and the walks of their pieces."""
+
+    def __init__(self, items: list[tuple], ratio: float = RATIO):
+        self.ids = [i for i, _ in items]
+        self.texts = [t for _, t in items]
+        self.arrays = [np.frombuffer(t, np.uint8) for t in self.texts]
+        self.size = np.array([len(t) for t in self.texts], np.int64)
+        self.k = np.array([allowed(len(t), ratio) for t in self.texts], np.int64)
+        self.ratio, self.walked = ratio, {}
+        # items that bear no edit are looked for as they are if they are shorter than a gram
+        q = np.array([0 if not k and m < Q else gram_size(int(m), int(k)) for m, k in zip(self.size, self.k, strict=True)], np.int64)
+        self.by_size = [Grams(self, np.flatnonzero(q == n), int(n)) for n in np.unique(q[q > 0])]
+        self.short = np.flatnonzero(q == 0).tolist()
+        self.reach = int((self.size + 2 * self.k).max(initial=0)) + Q
+
+    def own_walks(self, item: int) -> tuple[np.ndarray, int, list[np.ndarray]]:
+        """Where its pieces start, the places in a set, and by walk the samples of each piece."""
+        if item not in self.walked:
+            at = np.array(cut(int(self.size[item])), np.int64)
+            long_ = min(PIECE, int(self.size[item]))
+            s = sampled_for(long_, self.ratio)
+            pieces = self.arrays[item][at[:, None] + np.arange(long_)]
+            self.walked[item] = at, s, [walks().sketch(pieces, r, s) for r in range(REPEATS)]
+        return self.walked[item]
+
+    def candidates(self, b: np.ndarray, item: int, starts: np.ndarray, most: int = 4096) -> np.ndarray:
+        """Those of the windows' starts of which a piece meets the item's. About most pieces walk at once."""
+        at, s, own = self.own_walks(item)
+        long_ = min(PIECE, int(self.size[item]))
+        met = np.zeros(len(starts), bool)
+        step = max(1, most // len(at))
+        for lo in range(0, len(starts), step):
+            for p in range(0, len(at), most):  # an item of very many pieces walks in parts
+                part, places = starts[lo : lo + step], at[p : p + most]
+                rows = (part[:, None] + places[None, :]).ravel()
+                where = rows[:, None] + np.arange(long_)
+                inside = (where >= 0) & (where < len(b))
+                windows = np.where(inside, b[where.clip(0, len(b) - 1)].astype(np.int16), 256)
+                again = [np.tile(x[p : p + most], (len(part), 1, 1)) for x in own]
+                met[lo : lo + step] |= walks().meet(windows, again, s).reshape(len(part), -1).any(1)
+        return starts[met]
+
     def search(self, text: bytes) -> dict[int, tuple[int, int]]:
         """item -> (distance, start) of its best stretch in a normalised text."""
         out: dict[int, tuple[int, int]] = {}
@@ -193,11 +259,13 @@ class Index:
             b = whole[max(0, lo - self.reach) : lo + SLICE]
             base = max(0, lo - self.reach)
             by: dict[int, list[int]] = {}
-            for item, start in self.windows(b):
-                by.setdefault(item, []).append(start)
+            for g in self.by_size:
+                for item, start in g.windows(b):
+                    by.setdefault(item, []).append(start)
             for item, starts in by.items():
                 m, k = int(self.size[item]), int(self.k[item])
-                for least, most in together(starts, m):  # each window is aligned, with k either side of where its match can lie
+                met = self.candidates(b, item, np.array(starts, np.int64))
+                for least, most in together(met.tolist(), m):  # with k either side of where a match can lie
                     first = max(0, least - 2 * k)
                     near = b[first : max(first, most + m + 2 * k)]
                     at = near.tobytes().find(self.texts[item])
@@ -269,28 +337,27 @@ def clean(documents: DataFrame, benchmark: DataFrame, ratio: float = RATIO) -> D
     return documents
 
 
-def recall_at(distance: int, length: int, trials: int = 200, seed: int = 1) -> float:
-    """Share of random strings of a length that still meet after so many random edits."""
+def edited(a: np.ndarray, edits: int, rng: np.random.Generator) -> np.ndarray:
+    """A copy with so many random edits."""
+    b = list(a)
+    for _ in range(edits):
+        p, kind = int(rng.integers(0, len(b))), int(rng.integers(0, 3))
+        if kind == 0:
+            b[p] = int(rng.integers(97, 123))
+        elif kind == 1:
+            b.insert(p, int(rng.integers(97, 123)))
+        elif len(b) > 1:
+            del b[p]
+    return np.array(b, np.uint8)
+
+
+def recall_at(distance: int, length: int, trials: int = 200, seed: int = 1, sampled: int | None = None) -> float:
+    """Share of random strings of up to PIECE bytes that still meet after so many random edits."""
     rng = np.random.default_rng(seed)
-    w, met = Walks(length), 0
-    for _ in range(trials):
-        a = rng.integers(97, 123, length).astype(np.uint8)
-        b = list(a)
-        for _ in range(distance):
-            p, kind = int(rng.integers(0, len(b))), int(rng.integers(0, 3))
-            if kind == 0:
-                b[p] = int(rng.integers(97, 123))
-            elif kind == 1:
-                b.insert(p, int(rng.integers(97, 123)))
-            elif len(b) > 1:
-                del b[p]
-        rows = np.zeros((2, length), np.uint8)
-        rows[0] = a
-        rows[1, : min(length, len(b))] = b[:length]
-        met += bool(w.meet(rows[1:], [w.sketch(rows[:1], r)[0] for r in range(REPEATS)])[0])
-    return met / trials
-
-
-def expected_tables(agree: float) -> float:
-    """Chance that at least one set of samples agrees when a place does so with the given chance."""
-    return 1 - math.pow(1 - agree**SAMPLED, REPEATS * TABLES)
+    s = sampled_for(length) if sampled is None else sampled
+    a, b = np.zeros((trials, length), np.int16), np.full((trials, length), 256, np.int16)
+    for t in range(trials):
+        a[t] = rng.integers(97, 123, length)
+        x = edited(a[t], distance, rng)[:length]
+        b[t, : len(x)] = x
+    return float(walks().meet(b, [walks().sketch(a, r, s) for r in range(REPEATS)], s).mean())

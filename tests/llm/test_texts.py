@@ -149,23 +149,57 @@ def test_leaks(spark):
     assert decontamination.leaks(docs, spark.createDataFrame([], "item_id long, text string")).count() == 0
 
 
-@pytest.mark.parametrize("length", [81, 200, 394])
+@pytest.mark.parametrize("length", [10, 12, 20, 30, 40, 60, 96])
 def test_sketch_recall(length):
     k = decontamination.allowed(length)
-    assert decontamination.recall_at(0, length, 20) == 1
-    assert decontamination.recall_at(k // 2, length, 60) >= 0.95
+    assert k == length // 10 and decontamination.recall_at(0, length, 20) == 1
+    assert decontamination.recall_at(k, length, 200, seed=9) >= 0.95
 
 
-@pytest.mark.parametrize("length", [394, 1000, 3000])
+@pytest.mark.parametrize("length", [12, 20, 30, 40, 81, 120, 200, 394, 800, 1500, 3000, 5000])
 def test_items_at_the_limit_of_edits_are_found_at_any_length(length):
     rng = np.random.default_rng(length)
-    letters = lambda n: "".join(chr(97 + int(c)) for c in rng.integers(0, 26, n))
-    items = [(k, letters(length).encode()) for k in range(6)]
-    index = decontamination.Index(items)
+    letters = lambda n: rng.integers(97, 123, n).astype(np.uint8).tobytes()
+    items = [(k, letters(length)) for k in range(24 if length < 1000 else 6)]
+    index, found, limit = decontamination.Index(items), 0, decontamination.allowed(length)
     for k, item in items:
-        said = letters(500) + edits(item.decode(), decontamination.allowed(length), rng) + letters(500)
-        got = index.search(said.encode())
-        assert set(got) == {k} and got[k][0] <= decontamination.allowed(length)
+        said = letters(500) + decontamination.edited(np.frombuffer(item, np.uint8), limit, rng).tobytes() + letters(500)
+        got = index.search(said)
+        assert all(d <= limit for d, _ in got.values())
+        found += k in got
+    assert found >= 0.9 * len(items)
+
+
+def brute(item, text):
+    """Least edits between item and any stretch of text."""
+    row = [0] * (len(text) + 1)
+    for i, c in enumerate(item, 1):
+        last, row[0] = row[0], i
+        for j, t in enumerate(text, 1):
+            last, row[j] = row[j], min(row[j] + 1, row[j - 1] + 1, last + (c != t))
+    return min(row)
+
+
+def test_leaks_against_every_stretch(spark):
+    rng = np.random.default_rng(8)
+    word = lambda: "".join(chr(97 + int(c)) for c in rng.integers(0, 12, int(rng.integers(1, 6))))
+    prose = lambda n: " ".join(word() for _ in range(n))
+    items = [(k, prose(n)) for k, n in enumerate([2, 3, 4, 5, 6, 8, 10, 14, 20, 30])]
+    items += [(3, items[3][1]), (20, items[6][1])]  # a row repeated, and an equal item
+    docs = [(i, prose(12) + " " + edits(items[i % 10][1], int(rng.integers(0, 4)), rng) + " " + prose(12)) for i in range(80)]
+    got = {(r["doc_id"], r["item_id"]): r["distance"] for r in decontamination.leaks(spark.createDataFrame(docs, "doc_id long, text string"), spark.createDataFrame(items, "item_id long, text string")).collect()}
+    want = {(i, k): d for i, t in docs for k, x in items if (d := brute(decontamination.normal(x), decontamination.normal(t))) <= len(decontamination.normal(x)) // 10}
+    assert got == want and len(want) > 40
+
+
+def test_very_long_text_and_item(spark):
+    rng = np.random.default_rng(5)
+    letters = lambda n: rng.integers(97, 123, n).astype(np.uint8).tobytes().decode()
+    item = letters(20_000)
+    far = decontamination.SLICE - 10_000  # across the border of two slices
+    docs = [(1, letters(far) + edits(item, 300, rng) + letters(5000)), (2, letters(1_100_000)), (3, item[:9000])]
+    got = decontamination.leaks(spark.createDataFrame(docs, "doc_id long, text string"), spark.createDataFrame([(7, item)], "item_id long, text string")).collect()
+    assert [(r["doc_id"], r["item_id"]) for r in got] == [(1, 7)] and abs(got[0]["start"] - far) <= 300
 
 
 def test_alignment():
