@@ -30,7 +30,7 @@ from leafmill.llm.arrow import id_texts
 from leafmill.llm.common import fold
 from leafmill.llm.language_id import batch_type
 
-SAMPLE, SAMPLE_CHARS = 4000, 65536
+SAMPLE, SAMPLE_CHARS = 4000, 16384
 WINDOW = 48
 #: A term marks toxic text when it stands in so many and in so large a share of its texts, and its log odds are so high. Few pure marks do better than many.
 GROUND_BYTES, MARK_BYTES, LEAST_TEXTS, LEAST_SHARE, LEAST_ODDS = 100_000, 768, 4, 0.01, 3.0
@@ -127,10 +127,12 @@ def fit(toxic: list[str], ordinary: list[str], prior: float = PRIOR) -> tuple[by
 
 
 def training_texts(documents: DataFrame, labels: DataFrame, label: int, folds: int, held: int) -> list[str]:
+    """Texts with a label, at most SAMPLE, in the order of a hash of their ids."""
     ids = labels.groupBy("doc_id").agg(F.max("toxic").alias("toxic")).where((F.col("toxic") == label) & (fold("doc_id", folds) != held))
     ids = ids.select("doc_id").orderBy(F.xxhash64("doc_id"), "doc_id").limit(SAMPLE)
-    drawn = documents.where(fold("doc_id", folds) != held).where(F.length("text").between(1, SAMPLE_CHARS)).join(F.broadcast(ids), "doc_id").groupBy("doc_id").agg(F.max("text").alias("text"))
-    return [r["text"] for r in sorted(drawn.collect(), key=lambda r: (hash(r["doc_id"]) * 2654435761 % 2**32, r["doc_id"]))]
+    drawn = documents.where(fold("doc_id", folds) != held).where(F.length("text").between(1, SAMPLE_CHARS)).join(F.broadcast(ids), "doc_id")
+    drawn = drawn.groupBy("doc_id").agg(F.max("text").alias("text")).select(F.xxhash64("doc_id").alias("h"), F.col("doc_id").cast("string").alias("i"), "text")
+    return [r["text"] for r in sorted(drawn.collect(), key=lambda r: (r["h"], r["i"]))]
 
 
 def classify(documents: DataFrame, labels: DataFrame, folds: int = 5, held: int = 0) -> DataFrame:
