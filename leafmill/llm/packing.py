@@ -3,14 +3,17 @@
 Only how many pieces there are of each length matters for which lengths go together, and there are at most CAPACITY
 lengths. The histogram (a bounded table) is packed on the driver: for the longest length left, a bitset subset-sum
 over the available lengths finds the fullest bin that holds it, and that combination is removed as often as the
-histogram allows. Real pieces then take the places of their length by their rank, which distributed counts give.
+histogram allows. Real pieces then take the places of their length by their rank, which distributed counts give. Pieces
+of CAPACITY tokens fill a sequence alone, so they need no rank and don't move.
 
 Cases: a null or empty text is its end token alone; repeated rows are packed each; texts of any length are cut into
-pieces of CAPACITY tokens, of which the first may be shorter; an empty table gives no piece; extra columns are ignored.
+pieces of CAPACITY tokens, of which the first may be shorter; an added token of the vocabulary that is spelt out in a
+text becomes its id, as the tokenizer file says; an empty table gives no piece; extra columns are ignored.
 """
 
 from __future__ import annotations
 
+import json
 import zlib
 from bisect import bisect_right
 from collections.abc import Iterator
@@ -26,33 +29,46 @@ from leafmill.llm.language_id import batch_type
 from leafmill.sources.staging import staged
 
 CAPACITY, END = 1024, 2
-BUCKETS = 64
+#: Pieces that are ranked in one task, about.
+BUCKET_ROWS, LEAST_BUCKETS = 1 << 18, 64
 #: Texts longer than this are tokenised in slices cut at a blank before a letter, where no token of this vocabulary reaches across.
 SLICE_CHARS = 1 << 20
 
 
+def _byte_of() -> dict[str, int]:
+    """Character that stands for a byte in a byte-level vocabulary -> byte: printable ones for themselves, the rest in order from 256."""
+    shown = [*range(33, 127), *range(161, 173), *range(174, 256)]
+    rest = [b for b in range(256) if b not in shown]
+    return {chr(b): b for b in shown} | {chr(256 + i): b for i, b in enumerate(rest)}
+
+
 @lru_cache(2)
 def _encoder(path: str):
-    """Encodes a text to ids as the tokenizer file at path does, without special tokens.
+    """Encodes a text to ids as the tokenizer file at path does, without adding special tokens.
 
-    Beside NAME.json may lie NAME.tiktoken, the same vocabulary as ranks, whose library is several times faster; the
-    ids are equal, as the tests check. Without it the file itself is used.
+    A byte-level vocabulary whose ids follow the order of its merges is run by the faster of two libraries for it (tiktoken,
+    with the file's own merges); what it says of a probe must equal what tokenizers says. Any other file is run by tokenizers.
     """
-    import base64
-    from pathlib import Path
-
-    ranks = Path(path).with_suffix(".tiktoken")
-    if ranks.exists():
-        import tiktoken
-
-        pairs = (line.split() for line in ranks.read_bytes().splitlines() if line)
-        own = tiktoken.Encoding(ranks.stem, pat_str=PATTERN, mergeable_ranks={base64.b64decode(a): int(b) for a, b in pairs}, special_tokens={})
-        return own.encode_ordinary
     from tokenizers import Tokenizer
 
-    t = Tokenizer.from_file(path)
-    t.encode_special_tokens = True
-    return lambda text: t.encode(text, add_special_tokens=False).ids
+    own = Tokenizer.from_file(path)
+    slow = lambda text: own.encode(text, add_special_tokens=False).ids
+    with open(path, encoding="utf-8") as f:
+        said = json.load(f)
+    model, byte = said["model"], _byte_of()
+    added = {x["content"]: x["id"] for x in said.get("added_tokens", [])}
+    merged = [m if isinstance(m, str) else " ".join(m) for m in model.get("merges", [])]
+    vocabulary = {t: i for t, i in model.get("vocab", {}).items() if t not in added} if model.get("type") == "BPE" else {}
+    in_order = [vocabulary.get(m.replace(" ", ""), -1) for m in merged]
+    if not vocabulary or in_order != sorted(in_order) or not all(c in byte for t in vocabulary for c in t):
+        return slow
+    import tiktoken
+
+    ranks = {bytes(byte[c] for c in t): i for t, i in vocabulary.items()}
+    fast = tiktoken.Encoding("vocabulary", pat_str=PATTERN, mergeable_ranks=ranks, special_tokens=added)
+    encode = lambda text: fast.encode(text, allowed_special="all")
+    probe = " ".join([*added, "It's  Größe\n\n 12,5 \u3053\u3093 x\t\U0001f600 don't ñandú"])
+    return encode if encode(probe) == slow(probe) else slow
 
 
 #: How this vocabulary's tokenizer splits a text before merging (a fixed value of the public format).
@@ -151,17 +167,8 @@ def plan(histogram: dict[int, int], capacity: int = CAPACITY) -> list[tuple[int,
     return out
 
 
-def pack(parts: DataFrame, capacity: int = CAPACITY) -> DataFrame:
-    """parts with sequence_id and offset. parts needs doc_id, piece, start, length, ids_crc32 and must read the same each time."""
-    spark = parts.sparkSession
-    bucket = F.pmod(F.xxhash64("doc_id", "piece"), F.lit(BUCKETS))
-    parts = parts.withColumn("_bucket", bucket)
-    # one row per length and bucket: at most CAPACITY * BUCKETS
-    held = parts.groupBy("length", "_bucket").agg(F.count("*").alias("n"))
-    before = held.select("length", "_bucket", (F.sum("n").over(Window.partitionBy("length").orderBy("_bucket")) - F.col("n")).alias("before"), "n")
-    before = staged(before, "lengths")
-    histogram = {r["length"]: r["n"] for r in before.groupBy("length").agg(F.sum("n").alias("n")).collect()}
-    # places of a length, in the order the plan fills them: (length, first rank, combination, how many a bin, first offset, first bin)
+def _places(histogram: dict[int, int], capacity: int) -> dict[int, tuple[list[int], list[tuple]]]:
+    """By length, the ranks at which its places change and what they are: (first rank, pieces a bin, first offset, first bin)."""
     rows: dict[int, list[tuple]] = {}
     used: dict[int, int] = {}
     bins = 0
@@ -173,24 +180,39 @@ def pack(parts: DataFrame, capacity: int = CAPACITY) -> DataFrame:
             used[size] = start + n * times
             at += size * n
         bins += times
-    shared = spark.sparkContext.broadcast({k: ([r[0] for r in v], v) for k, v in rows.items()})  # bounded by the number of lengths, not rows
+    return {k: ([r[0] for r in v], v) for k, v in rows.items()}
+
+
+def pack(parts: DataFrame, capacity: int = CAPACITY) -> DataFrame:
+    """parts with sequence_id and offset. parts needs doc_id, piece, start, length, ids_crc32 and must read the same each time."""
+    spark = parts.sparkSession
+    full, rest = parts.where(F.col("length") == capacity), parts.where(F.col("length") != capacity)
+    # a full piece is a sequence; its number, by its place in the table, is below all others
+    full = full.withColumns({"sequence_id": -1 - F.monotonically_increasing_id(), "offset": F.lit(0).cast("long")})
+    buckets = max(LEAST_BUCKETS, -(-rest.count() // BUCKET_ROWS))
+    rest = rest.withColumn("_bucket", F.pmod(F.xxhash64("doc_id", "piece"), F.lit(buckets)))
+    held = rest.groupBy("length", "_bucket").agg(F.count("*").alias("n"))
+    before = held.select("length", "_bucket", (F.sum("n").over(Window.partitionBy("length").orderBy("_bucket")) - F.col("n")).alias("before"), "n")
+    before = staged(before, "lengths")
+    histogram = {r["length"]: r["n"] for r in before.groupBy("length").agg(F.sum("n").alias("n")).collect()}
+    shared = spark.sparkContext.broadcast(_places(histogram, capacity))  # bounded by the number of lengths, not rows
     own = Window.partitionBy("length", "_bucket").orderBy("doc_id", "piece", "start", "ids_crc32")
-    ranked = parts.withColumn("_rank", F.row_number().over(own) - 1).join(F.broadcast(before.drop("n")), ["length", "_bucket"])
-    ranked = ranked.select(*[c for c in parts.columns if c != "_bucket"], (F.col("_rank") + F.col("before")).alias("_rank"))
-    names = [c for c in ranked.columns if c != "_rank"]
-    schema = ", ".join(f"{f.name} {f.dataType.simpleString()}" for f in ranked.schema if f.name != "_rank") + ", sequence_id long, offset long"
+    ranked = rest.withColumn("_rank", F.row_number().over(own) - 1).join(before.drop("n"), ["length", "_bucket"])
+    ranked = ranked.select(*parts.columns, (F.col("_rank") + F.col("before")).alias("_rank"))
+    schema = ", ".join(f"{f.name} {f.dataType.simpleString()}" for f in parts.schema) + ", sequence_id long, offset long"
 
     def place(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
             seq, off = [], []
-            for size, rank in zip(b.column(b.schema.get_field_index("length")).to_pylist(), b.column(b.schema.get_field_index("_rank")).to_pylist(), strict=True):
+            for size, rank in zip(b.column("length").to_pylist(), b.column("_rank").to_pylist(), strict=True):
                 starts, table = shared.value[size]
                 start, n, at, first = table[bisect_right(starts, rank) - 1]
                 seq.append(first + (rank - start) // n)
                 off.append(at + (rank - start) % n * size)
-            yield pa.RecordBatch.from_arrays([*[b.column(b.schema.get_field_index(c)) for c in names], pa.array(seq, pa.int64()), pa.array(off, pa.int64())], names=[*names, "sequence_id", "offset"])
+            kept = [b.column(c) for c in b.schema.names if c != "_rank"]
+            yield pa.RecordBatch.from_arrays([*kept, pa.array(seq, pa.int64()), pa.array(off, pa.int64())], names=[*(c for c in b.schema.names if c != "_rank"), "sequence_id", "offset"])
 
-    return ranked.mapInArrow(place, schema)
+    return ranked.mapInArrow(place, schema).unionByName(full)
 
 
 def pack_documents(documents: DataFrame, vocabulary: str | None = None, capacity: int = CAPACITY) -> DataFrame:

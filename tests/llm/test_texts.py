@@ -82,10 +82,10 @@ def test_fullest_against_all_sums():
 def test_pieces_round_trip(spark):
     from tokenizers import Tokenizer
 
-    rows = corpus(40, 2)
+    rows = corpus(40, 2) + [(2000 + i, x, None, None, None, None, None) for i, x in enumerate(["<|endoftext|> x", "a<|endoftext|>", "<|endoftext|><|endoftext|>\n y", "<|endoftext |>"])]
+    rows += [(2100, "word " * 300_000 + "<|endoftext|>", None, None, None, None, None)]  # longer than a slice
     out = packing.pack_documents(frame(spark, rows)).collect()
     t = Tokenizer.from_file(packing.default_vocabulary())
-    t.encode_special_tokens = True
     want = []
     for i, text, *_ in rows:
         ids = np.array(t.encode(text or "", add_special_tokens=False).ids + [2], "<u4")
@@ -107,6 +107,7 @@ def test_slices_and_special_tokens():
     assert "".join(packing.slices(text, 100)) == text
     enc = packing._encoder(packing.default_vocabulary())
     assert [i for p in packing.slices(text, 100) for i in enc(p)] == enc(text)
+    assert enc("<|endoftext|> x") == [50256, 2124]
     assert packing.cuts(1024) == [(0, 1024)] and packing.cuts(1025) == [(0, 1), (1, 1024)] and packing.cuts(1) == [(0, 1)]
 
 
