@@ -1,23 +1,28 @@
 """Similarity join on sets of word shingles by vertical partitioning.
 
-All shingles stand in one global order, rare before frequent (frequencies from a count sketch of fixed size over all
-documents; any order gives right results, this one gives short lists). The order is cut into fragments; a document's
-set is cut alike, overlaps are counted fragment by fragment and summed per pair, which decides exactly.
-
-1. Documents with equal sets are one node. Only nodes are compared.
-2. Candidates. Of two sets that link, the shorter has one of its first a-ceil(6a/7)+1 shingles among the first
+All shingles stand in one global order, rare before frequent (any order gives right results, this one gives short
+lists). The order is cut into fragments; a document's set is cut alike, overlaps are counted fragment by fragment and
+summed per pair, which decides exactly.
+
+1. Documents with equal sets are one node, named by 64 bits of a hash; nodes whose names would meet are told apart by
+   64 more. Only nodes are compared, and only one document of each is read again.
+2. The order. Frequency classes come from a count sketch of fixed size over all documents. Where the corpus is far
+   larger than the sketch, frequent shingles hide among rare ones; so the first shingles of all nodes are counted
+   exactly, and those in many nodes go behind all others. A bitmap of bounded size says which.
+3. Candidates. Of two sets that link, the shorter has one of its first a-ceil(6a/7)+1 shingles among the first
    b-ceil(3b/4)+1 of the longer (for 0.75). Nodes that meet so in a list of up to LIST nodes are paired. A longer list
    pairs its nodes with its pivot, a node that is in many such lists.
-3. Verification: partial overlaps per fragment, summed.
-4. Links give components. In longer lists, nodes that are still in different components are paired and verified as
+4. Verification: partial overlaps per fragment, summed.
+5. Links give components. In longer lists, nodes that are still in different components are paired and verified as
    well, but for those that the triangle inequality of Jaccard distance rules out through the pivot. So
    components are exact, while large groups of copies cost a pair a node. Links within a component are not all looked
    at: neither links nor their number per document is returned.
 
 Shingles: A-Z lower-cased, words are runs of anything but ASCII white space, five words a shingle, the whole sequence
 as one when shorter. Cases: null, empty and blank texts have an empty set and link with nothing; repeated rows and
-copies share a node; texts are read whole; a null id is a row like others, its component the least id of its set;
-an empty table gives an empty result; extra columns are ignored.
+copies share a node; texts are read whole; ids are cast to long, and one that isn't a number counts as null; a null id
+is a row like others, its component the least id of its set; an empty table gives an empty result; extra columns are
+ignored.
 """
 
 from __future__ import annotations
@@ -32,7 +37,7 @@ from pyspark.sql import functions as F
 
 from leafmill.llm.arrow import grouped
 from leafmill.operators.components import connected_components
-from leafmill.sources.staging import staged
+from leafmill.sources.staging import release, staged
 
 WIDTH = 5
 #: Bits of a sketch cell's number: about eight shingles a cell, within bounds; cells that travel together.
@@ -40,8 +45,10 @@ LEAST_BITS, MOST_BITS, BLOCK = 18, 24, 1 << 14
 BYTES_A_SHINGLE = 5.6
 LIST = 8
 FRAGMENTS = 4
-BUCKET_TEXT, MOST_BUCKETS = 16 << 20, 1 << 20
+BUCKET_TEXT = 16 << 20
 FILTER_BITS = 1 << 24
+#: A shingle among the first of HOT_LEAST nodes or more goes behind the others, if the bitmap has room for so many.
+HOT_LEAST, HOT_LEAST_BITS, HOT_MOST_BITS = 16, 1 << 16, 1 << 27
 
 _M, _N, _O = np.uint64(0x9E3779B97F4A7C15), np.uint64(0xC2B2AE3D27D4EB4F), np.uint64(0xD6E8FEB86659FD93)
 _SPACE = np.zeros(256, bool)
@@ -97,13 +104,18 @@ def shingles(texts: list[bytes]) -> list[np.ndarray]:
     return out
 
 
-def fingerprint(s: np.ndarray) -> int:
-    """One number for a set, equal for equal sets."""
+def _signed(x: int, bits: int = 64) -> int:
+    x &= (1 << bits) - 1
+    return x - 2**64 if x >= 2**63 else x
+
+
+def fingerprint(s: np.ndarray, bits: int = 64) -> tuple[int, int]:
+    """Two numbers for a set, equal for equal sets; the first of so many bits."""
     if not len(s):
-        return 0
+        return 0, 0
     a, b = int(mix(s).sum(dtype=np.uint64)), int(mix(s ^ _N).sum(dtype=np.uint64))
-    x = (a * int(_M) ^ b) & (2**64 - 1)
-    return x - 2**64 if x >= 2**63 else x
+    c = int(mix(s ^ _O).sum(dtype=np.uint64))
+    return _signed(a * int(_M) ^ b, bits), _signed(b * int(_M) ^ c)
 
 
 def sketch_bits(total: int) -> int:
@@ -115,10 +127,18 @@ def cells(h: np.ndarray, bits: int) -> np.ndarray:
     return ((h * _M) >> np.uint64(64 - bits)).astype(np.int64)
 
 
-def ranks(h: np.ndarray, sketch: np.ndarray) -> np.ndarray:
-    """Place in the global order: frequency class in the top byte, then the hash. sketch: classes by cell."""
+def ranks(h: np.ndarray, order: tuple[np.ndarray, np.ndarray]) -> np.ndarray:
+    """Place in the global order: 64 for a hot one plus the frequency class in the top byte, then the hash.
+
+    order: classes by cell of the sketch, and the bitmap of hot ranks (as they are without the 64).
+    """
+    sketch, hot = order
     kind = sketch[cells(h, len(sketch).bit_length() - 1)].astype(np.uint64)
-    return (kind << np.uint64(56)) | (h >> np.uint64(8))
+    out = (kind << np.uint64(56)) | (h >> np.uint64(8))
+    if len(hot):
+        at = (mix(out) & np.uint64(len(hot) * 8 - 1)).astype(np.int64)
+        out |= (((hot[at >> 3] >> (at & 7).astype(np.uint8)) & 1).astype(np.uint64) << np.uint64(62))
+    return out
 
 
 def fragment_of(rank: np.ndarray) -> np.ndarray:
@@ -144,20 +164,27 @@ def prefix(a: int, longer: bool, num: int = 3, den: int = 4) -> int:
     return a - (-(-num * a // den) if longer else least_overlap(a, a, num, den)) + 1
 
 
-def _batches(batches: Iterator[pa.RecordBatch], most: int = 1 << 20) -> Iterator[tuple[list, list[np.ndarray]]]:
+def _batches(batches: Iterator[pa.RecordBatch], most: int = 1 << 20, member: np.ndarray | None = None) -> Iterator[tuple[list, list[np.ndarray]]]:
+    """Ids and sets of rows in groups. member: a bitmap of the ids to read; null ids are always read."""
     for b in batches:
+        if member is not None:
+            ids = b.column(0)
+            bit = spark_hash(ids.fill_null(0).to_numpy(zero_copy_only=False).astype(np.int64))
+            keep = ((member[bit // 32] >> (bit % 32).astype(np.uint32)) & 1 == 1) | ids.is_null().to_numpy(zero_copy_only=False)
+            b = b.filter(pa.array(keep))
         rows = zip(*(c.to_pylist() for c in b.columns), strict=True)
         for part in grouped(list(rows), lambda r: len(r[1] or b"") + 64, most):
             yield [r[0] for r in part], shingles([r[1] or b"" for r in part])
 
 
-def _survey(bits: int):
-    """Rows of kind 0: id, set size, node. Of kind 1: a block of this task's sketch."""
+def _survey(bits: int, node_bits: int = 64):
+    """Rows of kind 0: id, set size, node and its check. Of kind 1: a block of this task's sketch."""
 
     def run(batches):
         total = np.zeros(1 << bits, np.uint32)
         for ids, sets in _batches(batches):
-            yield pa.RecordBatch.from_pydict({"kind": [0] * len(ids), "doc_id": ids, "n": list(map(len, sets)), "node": list(map(fingerprint, sets)), "z": [None] * len(ids)}, _SURVEY)
+            named = [fingerprint(s, node_bits) for s in sets]
+            yield pa.RecordBatch.from_pydict({"kind": [0] * len(ids), "doc_id": ids, "n": list(map(len, sets)), "node": [x for x, _ in named], "other": [x for _, x in named], "z": [None] * len(ids)}, _SURVEY)
             h = np.concatenate(sets) if sets else np.zeros(0, np.uint64)
             if len(h):
                 c, n = np.unique(cells(h, bits), return_counts=True)
@@ -167,7 +194,7 @@ def _survey(bits: int):
             salt = int(total[:64].sum()) % 16
             for at in range(0, len(blocks), 64):
                 part = [i for i in range(at, min(at + 64, len(blocks))) if blocks[i].any()]
-                yield pa.RecordBatch.from_pydict({"kind": [1] * len(part), "doc_id": [None] * len(part), "n": part, "node": [salt] * len(part), "z": [_squeeze(blocks[i]) for i in part]}, _SURVEY)
+                yield pa.RecordBatch.from_pydict({"kind": [1] * len(part), "doc_id": [None] * len(part), "n": part, "node": [salt] * len(part), "other": [0] * len(part), "z": [_squeeze(blocks[i]) for i in part]}, _SURVEY)
 
     return run
 
@@ -181,7 +208,7 @@ def _swell(z: bytes) -> np.ndarray:
     return np.frombuffer(zstd.decompress(z), np.uint8).reshape(4, -1).T.copy().view("<u4").ravel()
 
 
-_SURVEY = pa.schema([("kind", pa.int32()), ("doc_id", pa.int64()), ("n", pa.int64()), ("node", pa.int64()), ("z", pa.binary())])
+_SURVEY = pa.schema([("kind", pa.int32()), ("doc_id", pa.int64()), ("n", pa.int64()), ("node", pa.int64()), ("other", pa.int64()), ("z", pa.binary())])
 
 
 def _add_blocks(batches):
@@ -210,21 +237,75 @@ def frequency_classes(surveyed: DataFrame, bits: int) -> np.ndarray:
 _ENTRY = np.dtype([("h", "<u8"), ("node", "<i8"), ("n", "<u4"), ("short", "u1")])
 
 
-def _lists(docs: DataFrame, shared, buckets: int, num: int = 3, den: int = 4) -> DataFrame:
-    """h, node, n, short: prefixes of nodes that share h with another. A task sends a node once."""
+class Read:
+    """What a scan of the documents needs: the order, which documents stand for a node, and the nodes that need their other name."""
 
-    def scan(batches):
-        sketch = shared.value
-        for _, sets in _batches(batches, 1 << 20):
-            seen, parts = set(), []
+    def __init__(self, order, reps, renamed, node_bits: int = 64):
+        self.order, self.reps, self.renamed, self.node_bits = order, reps, renamed, node_bits
+
+    def nodes(self, batches: Iterator[pa.RecordBatch], reps=None) -> Iterator[list[tuple[int, np.ndarray]]]:
+        """Nodes and their ranks, in groups; a node may come up again. Copies that aren't read are skipped unseen."""
+        member = np.frombuffer((reps or self.reps).value, "<u4")
+        for _, sets in _batches(batches, 1 << 20, member):
+            out: dict[int, np.ndarray] = {}
             for s in sets:
-                node = fingerprint(s)
-                if not len(s) or node in seen:
-                    continue
-                seen.add(node)
-                r = np.sort(ranks(s, sketch))[: prefix(len(s), True, num, den)]
+                if len(s):
+                    node, other = fingerprint(s, self.node_bits)
+                    out.setdefault(other if node in self.renamed.value else node, s)
+            yield [(node, np.sort(ranks(s, self.order.value))) for node, s in out.items()]
+
+
+def _hot(docs: DataFrame, read: Read, buckets: int, least: int, num: int, den: int) -> DataFrame:
+    """rank: shingles among the first ones of so many nodes."""
+
+    def scan(batches):
+        for nodes in read.nodes(batches):
+            if nodes:
+                r = np.sort(np.concatenate([x[: prefix(len(x), True, num, den)] for _, x in nodes]))
+                bucket = (mix(r) % np.uint64(buckets)).astype(np.int64)
+                at = np.argsort(bucket, kind="stable")
+                r, bucket = r[at], bucket[at]
+                cut = np.concatenate([[0], np.flatnonzero(bucket[1:] != bucket[:-1]) + 1, [len(r)]])
+                yield pa.RecordBatch.from_pydict({"bucket": bucket[cut[:-1]], "r": [zstd.compress(r[x:y].tobytes(), 1) for x, y in zip(cut[:-1], cut[1:], strict=True)]}, pa.schema([("bucket", pa.int64()), ("r", pa.binary())]))
+
+    def count(held):
+        r, many = np.unique(np.concatenate([np.frombuffer(zstd.decompress(x), np.uint64) for x in held]), return_counts=True)
+        return pa.RecordBatch.from_arrays([pa.array(r[many >= least].view(np.int64))], ["rank"])
+
+    def meet(batches):
+        held, at = [], None
+        for b in batches:
+            for bucket, raw in zip(*(c.to_pylist() for c in b.columns), strict=True):
+                if bucket != at and held:
+                    yield count(held)
+                    held = []
+                at = bucket
+                held.append(raw)
+        if held:
+            yield count(held)
+
+    return docs.mapInArrow(scan, "bucket long, r binary").repartition("bucket").sortWithinPartitions("bucket").mapInArrow(meet, "rank long")
+
+
+def hot_bitmap(ranked: DataFrame, bits: int) -> np.ndarray:
+    """Bytes of a bitmap of so many bits (a power of two) with a place set for each rank."""
+    out = np.zeros(bits // 8, np.uint8)
+    for batch in ranked.toArrow().to_batches():  # at most bits / 8 ranks
+        at = (mix(batch.column(0).to_numpy(zero_copy_only=False).astype(np.int64).view(np.uint64)) & np.uint64(bits - 1)).astype(np.int64)
+        np.bitwise_or.at(out, at >> 3, (1 << (at & 7)).astype(np.uint8))
+    return out
+
+
+def _lists(docs: DataFrame, read: Read, buckets: int, num: int = 3, den: int = 4) -> DataFrame:
+    """h, node, n, short: prefixes of nodes that share h with another. A task sends a node once a group of texts."""
+
+    def scan(batches):
+        for nodes in read.nodes(batches):
+            parts = []
+            for node, ranked in nodes:
+                r = ranked[: prefix(len(ranked), True, num, den)]
                 e = np.empty(len(r), _ENTRY)
-                e["h"], e["node"], e["n"], e["short"] = r, node, len(s), np.arange(len(r)) < prefix(len(s), False, num, den)
+                e["h"], e["node"], e["n"], e["short"] = r, node, len(ranked), np.arange(len(r)) < prefix(len(ranked), False, num, den)
                 parts.append(e)
             if parts:
                 e = np.concatenate(parts)
@@ -292,34 +373,24 @@ def _overlaps(pairs: DataFrame, sets: DataFrame) -> DataFrame:
     return part.groupBy("a", "b", "na", "nb").agg(F.sum("o").alias("overlap"))
 
 
-def _member_filter(nodes: DataFrame) -> bytes:
-    """A bitmap of fixed size that every node's hash is in. Others may be too, so a join must follow."""
-    bit = F.pmod(F.xxhash64("node"), F.lit(FILTER_BITS))
-    words = nodes.select(bit.alias("bit")).groupBy(F.expr("bit div 32").alias("w")).agg(F.expr("bit_or(shiftleft(1L, int(bit % 32))) AS v")).collect()
+def _member_filter(ids: DataFrame) -> bytes:
+    """A bitmap of fixed size that the hash of every id (the only column) is in. Others may be too."""
+    bit = F.pmod(F.xxhash64(ids.columns[0]), F.lit(FILTER_BITS))
+    words = ids.where(F.col(ids.columns[0]).isNotNull()).select(bit.alias("bit")).groupBy(F.expr("bit div 32").alias("w")).agg(F.expr("bit_or(shiftleft(1L, int(bit % 32))) AS v")).toArrow()
     out = np.zeros(FILTER_BITS // 32, "<u4")
-    for r in words:
-        out[r["w"]] = r["v"]
+    out[words.column("w").to_numpy()] = words.column("v").to_numpy().astype("<u4")
     return out.tobytes()
 
 
-def _sets(docs: DataFrame, nodes: DataFrame, shared) -> DataFrame:
-    """node, f, s for the nodes given. Only texts that pass the bitmap leave their task."""
-    spark = docs.sparkSession
-    # the bitmap is over node numbers; a task works a text's node out before it looks
-    bits = spark.sparkContext.broadcast(_member_filter(nodes))
+def _sets(docs: DataFrame, nodes: DataFrame, reps: DataFrame, read: Read) -> DataFrame:
+    """node, f, s for the nodes given. Only texts that stand for one of them (or look so in a bitmap) are read."""
+    ids = nodes.join(reps, "node").select("least")
+    some = docs.sparkSession.sparkContext.broadcast(_member_filter(ids))
 
     def scan(batches):
-        sketch, member = shared.value, np.frombuffer(bits.value, "<u4")
-        for _, sets in _batches(batches):
-            found = {fingerprint(s): s for s in sets if len(s)}
-            if not found:
-                continue
-            own = np.array(list(found), np.int64)
-            bit = spark_hash(own) % FILTER_BITS
-            pass_ = (member[bit // 32] >> (bit % 32).astype(np.uint32)) & 1 == 1
+        for found in read.nodes(batches, some):
             out: list[list] = [[], [], []]
-            for node in own[pass_].tolist():
-                r = np.sort(ranks(found[node], sketch))
+            for node, r in found:
                 f = fragment_of(r)
                 cut = np.concatenate([[0], np.flatnonzero(f[1:] != f[:-1]) + 1, [len(f)]])
                 for x, y in zip(cut[:-1], cut[1:], strict=True):
@@ -346,16 +417,36 @@ def spark_hash(x: np.ndarray) -> np.ndarray:
     return (h & np.uint64(FILTER_BITS - 1)).astype(np.int64)
 
 
-def similar(documents: DataFrame, num: int = 3, den: int = 4) -> DataFrame:
-    """doc_id, n_shingles, component_id, node. Links where overlap / union >= num / den."""
-    docs = documents.select(F.col("doc_id").cast("long").alias("doc_id"), F.coalesce(F.col("text"), F.lit("")).cast("binary").alias("text"))
-    spark = docs.sparkSession
+def _named(surveyed: DataFrame) -> tuple[DataFrame, DataFrame, list[int]]:
+    """Rows (doc_id, n, node), nodes with their least id, and the nodes of several sets, which go by their other name."""
+    rows = surveyed.where("kind = 0").select("doc_id", "n", "node", "other")
+    met = rows.where("n > 0").groupBy("node").agg(F.min("other").alias("a"), F.max("other").alias("b")).where("a <> b").select("node")
+    renamed = sorted(r["node"] for r in met.collect())  # of 64 bits: none, or a handful
+    if renamed:
+        rows = rows.withColumn("node", F.when(F.col("node").isin(renamed) & (F.col("n") > 0), F.col("other")).otherwise(F.col("node")))
+        if not rows.where("n > 0").groupBy("node").agg(F.min("other").alias("a"), F.max("other").alias("b")).where("a <> b").isEmpty():
+            raise RuntimeError("different sets agree in 64 bits of two hashes")
+    reps = staged(rows.where("n > 0").groupBy("node").agg(F.min("doc_id").alias("least")), "reps")
+    return rows.drop("other"), reps, renamed
+
+
+def similar(documents: DataFrame, num: int = 3, den: int = 4, node_bits: int = 64) -> DataFrame:
+    """doc_id, n_shingles, component_id, node. Links where overlap / union >= num / den. node_bits: of a node's first name."""
+    docs = documents.select(F.col("doc_id").try_cast("long").alias("doc_id"), F.coalesce(F.col("text"), F.lit("")).cast("binary").alias("text"))
+    sc = docs.sparkSession.sparkContext
     total = docs.agg(F.sum(F.octet_length("text")).alias("n")).first()["n"] or 0
-    bits = sketch_bits(total)
-    surveyed = staged(docs.mapInArrow(_survey(bits), "kind int, doc_id long, n long, node long, z binary"), "survey")
-    rows = surveyed.where("kind = 0").select("doc_id", "n", "node")
-    shared = spark.sparkContext.broadcast(frequency_classes(surveyed, bits))  # 2^bits bytes
-    lists = staged(_lists(docs, shared, min(MOST_BUCKETS, max(16, -(-total // BUCKET_TEXT))), num, den), "lists")
+    bits, buckets = sketch_bits(total), max(16, -(-total // BUCKET_TEXT))
+    surveyed = staged(docs.mapInArrow(_survey(bits, node_bits), "kind int, doc_id long, n long, node long, other long, z binary"), "survey")
+    rows, reps, renamed = _named(surveyed)
+    classes = frequency_classes(surveyed, bits)  # 2^bits bytes
+    read = Read(sc.broadcast((classes, np.zeros(0, np.uint8))), sc.broadcast(_member_filter(reps.select("least"))), sc.broadcast(frozenset(renamed)), node_bits)
+    hot_bits = 1 << int(np.log2(min(HOT_MOST_BITS, max(HOT_LEAST_BITS, total // 64))))
+    hot_from = max(HOT_LEAST, int(total / BYTES_A_SHINGLE * (den - num) / den / (hot_bits // 8)))
+    many = staged(_hot(docs, read, buckets, hot_from, num, den), "hot")
+    hot = hot_bitmap(many, hot_bits)
+    release(many)
+    read = Read(sc.broadcast((classes, hot)), read.reps, read.renamed, node_bits)
+    lists = staged(_lists(docs, read, buckets, num, den), "lists")
     sizes = staged(lists.groupBy("h").agg(F.count("*").alias("m")), "list_sizes")
     lengthy = staged(lists.join(sizes.where(F.col("m") > LIST).select("h"), "h", "left_semi"), "lengthy")
     # the pivot is the member of most long lists, so that lists of one group of copies tend to share it; then the shortest
@@ -364,29 +455,36 @@ def similar(documents: DataFrame, num: int = 3, den: int = 4) -> DataFrame:
     few = lists.join(sizes.where(F.col("m") <= LIST).select("h"), "h", "left_semi")
     small = few.alias("x").join(few.alias("y"), "h").where(F.col("x.node") < F.col("y.node")).where(_may("x", "y", num, den))
     long_ = staged(lengthy.join(pivots, "h").select("h", "node", "n", "short", "p"), "long_lists")
+    release(lengthy, degree, pivots)
     starred = long_.where("node <> p.node").select(F.struct("node", "n", "short").alias("x"), F.col("p").alias("y")).where(den * F.least("x.n", "y.n") >= num * F.greatest("x.n", "y.n"))
     pairs = staged(_ordered(small.select(F.struct("x.node", "x.n", "x.short").alias("x"), F.struct("y.node", "y.n", "y.short").alias("y"))).union(_ordered(starred)).distinct(), "pairs")
     prefixes = staged(lists.groupBy("node").agg(F.collect_list("h").alias("hs")), "prefixes")
+    release(lists, sizes)
     told = staged(_bounded(pairs, prefixes, num, den), "bounded")
+    release(pairs)
     likely = told.where("may").select("a", "na", "b", "nb")
     wanted = staged(likely.select(F.explode(F.array("a", "b")).alias("node")).distinct(), "wanted")
-    sets = staged(_sets(docs, wanted, shared), "sets")
+    sets = staged(_sets(docs, wanted, reps, read), "sets")
     seen = staged(_overlaps(likely, sets), "overlaps")
     linked = den * F.col("overlap") >= num * (F.col("na") + F.col("nb") - F.col("overlap"))
     comp = staged(connected_components(seen.where(linked).select("a", "b")), "components")
     more = _across(long_, comp, told, seen, prefixes, num, den)
+    release(long_, told, prefixes)
     if more is not None:
         rest = staged(more.select(F.explode(F.array("a", "b")).alias("node")).distinct().join(wanted, "node", "left_anti"), "wanted_across")
-        if not rest.isEmpty():
-            sets = sets.union(staged(_sets(docs, rest, shared), "sets_across"))
-        again = staged(_overlaps(more, sets), "overlaps_across").where(linked).select("a", "b")
-        comp = staged(connected_components(comp.select(F.col("node").alias("a"), F.col("component").alias("b")).union(again)), "components")
-    reps = staged(rows.where("n > 0").groupBy("node").agg(F.min("doc_id").alias("least")), "reps")
-    named = reps.join(comp, "node", "left").select("node", "least", F.coalesce("component", "node").alias("component"))
-    named = staged(named, "named")
+        across = None if rest.isEmpty() else staged(_sets(docs, rest, reps, read), "sets_across")
+        both = sets if across is None else sets.union(across)
+        again = staged(_overlaps(more, both), "overlaps_across")
+        first = comp.select(F.col("node").alias("a"), F.col("component").alias("b"))
+        joined = staged(connected_components(first.union(again.where(linked).select("a", "b"))), "components")
+        release(comp, rest, across, again, more)
+        comp = joined
+    release(wanted, sets, seen)
+    named = staged(reps.join(comp, "node", "left").select("node", "least", F.coalesce("component", "node").alias("component")), "named")
     of = staged(named.groupBy("component").agg(F.min("least").alias("component_id")), "least")
-    named = staged(named.join(of, "component").select("node", "component_id"), "node_components")
-    out = rows.join(named, "node", "left")
+    final = staged(named.join(of, "component").select("node", "component_id"), "node_components")
+    release(reps, comp, named, of)
+    out = rows.join(final, "node", "left")
     return out.select("doc_id", F.col("n").alias("n_shingles"), F.when(F.col("n") > 0, F.col("component_id")).otherwise(F.col("doc_id")).alias("component_id"), "node")
 
 
@@ -425,4 +523,5 @@ def _across(long_: DataFrame, comp: DataFrame, told: DataFrame, seen: DataFrame,
     pairs = _ordered(met.select(F.struct("x.node", "x.n").alias("x"), F.struct("y.node", "y.n").alias("y")))
     pairs = pairs.join(told.select("a", "b"), ["a", "b"], "left_anti")
     pairs = staged(_bounded(pairs, prefixes, num, den).where("may").select("a", "na", "b", "nb"), "across")
+    release(mixed, left)
     return None if pairs.isEmpty() else pairs

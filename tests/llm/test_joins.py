@@ -149,6 +149,45 @@ def test_similar_at_other_thresholds(spark, monkeypatch, list_, num, den):
     assert {r["doc_id"]: r["component_id"] for r in ngram_join.similar(frame(spark, rows), num, den).collect()} == dict(enumerate(least))
 
 
+def test_nodes_of_one_name_are_told_apart(spark):
+    rows = corpus(90, 7)
+    got = ngram_join.similar(frame(spark, rows), node_bits=4).select("doc_id", "n_shingles", "component_id")
+    assert sorted(map(tuple, got.collect()), key=str) == components(rows)
+
+
+def test_hot_shingles_go_last_and_change_nothing(spark, monkeypatch):
+    monkeypatch.setattr(ngram_join, "HOT_LEAST", 2)  # whatever two nodes share is hot
+    rows = corpus(90, 8)
+    got = ngram_join.similar(frame(spark, rows)).select("doc_id", "n_shingles", "component_id")
+    assert sorted(map(tuple, got.collect()), key=str) == components(rows)
+
+
+def test_a_common_notice_makes_no_pairs(spark, monkeypatch):
+    monkeypatch.setattr(ngram_join, "LEAST_BITS", 4)  # the sketch is saturated: it tells nothing
+    monkeypatch.setattr(ngram_join, "MOST_BITS", 4)
+    compared, real = [], ngram_join._bounded
+
+    def counted(pairs, *rest):
+        compared[-1] += pairs.count()
+        return real(pairs, *rest)
+
+    monkeypatch.setattr(ngram_join, "_bounded", counted)
+    notice = " ".join(f"notice{k}" for k in range(12))
+    for n in (200, 400, 800):
+        compared.append(0)
+        texts = [" ".join(f"w{i}x{k}" for k in range(15)) + f" {notice} " + " ".join(f"v{i}x{k}" for k in range(15)) for i in range(n)]
+        got = ngram_join.similar(frame(spark, [(i, t, None, None, None, None, None) for i, t in enumerate(texts)])).collect()
+        assert all(r["component_id"] == r["doc_id"] for r in got)
+    assert compared[2] <= 4 * max(compared[0], 200) and compared[2] <= 8 * 800
+
+
+def test_very_long_text(spark):
+    words = [f"w{k}" for k in range(250_000)]  # 1.7 MB
+    rows = [(1, " ".join(words)), (2, " ".join(words[:240_000])), (3, " ".join(words[:100_000])), (4, "w1 w2 w3")]
+    got = {r["doc_id"]: (r["n_shingles"], r["component_id"]) for r in ngram_join.similar(frame(spark, [(i, t, None, None, None, None, None) for i, t in rows])).collect()}
+    assert got == {1: (249_996, 1), 2: (239_996, 1), 3: (99_996, 3), 4: (1, 4)}
+
+
 def test_threshold_is_exact(spark):
     base = [f"w{i}" for i in range(104)]
     rows = [(1, " ".join(base), None, None, None, None, None)]
