@@ -1,7 +1,10 @@
 """Line-first cleaning and document quality rules [DataFrame operations only].
 
-Rules look at one line at a time. Lines that fail are removed; a document is rejected when what is left holds too
-small a part of the characters it had in words. Base counts (short texts, repeated five-word windows) reject first.
+Rules look at one line at a time, in English, French, German and Spanish. Punctuation: a line with more odd marks than
+its words bear, or a short one that ends in no mark at all, as headings and menus do. Navigation: a row of links between
+bars, arrows or dots. Boilerplate: a fixed phrase of page furniture. Lines that fail are removed; a document is rejected
+when what is left holds too small a part of the characters it had in words. Base counts (short texts, repeated five-word
+windows) reject first.
 
 Cases: null and empty texts have no words, so they fail the base rule and come back with empty clean text; a text
 without line breaks is one line; repeated rows are judged each by itself; extra columns are ignored. Work is row by
@@ -19,9 +22,18 @@ SYMBOLS = "#*$%&|<>"
 WHITE = " \t\n\x0b\f\r"
 #: Marks that running prose seldom has.
 ODD = r"[#*$%&|<>!?=~^@{}\[\]\\]"
-#: Fixed phrases of page furniture, in lower case.
-BOILERPLATE = ["lorem ipsum", "javascript", "cookie", "privacy policy", "terms of use", "terms of service", "all rights reserved", "click here", "sign in", "log in", "read more", "share this", "subscribe", "newsletter"]
-ODD_PER_WORD, NAV_BARS, KEEP_SHARE = 0.3, 2, 0.5
+#: Marks a sentence or a part of one ends with, at the end of a line.
+TERMINAL = r"[.!?…:;,\"»”’)\]][\x20\x09-\x0D]*\z"
+#: What stands between links of a row.
+BETWEEN_LINKS = "[|>·»•›→]"
+#: Fixed phrases of page furniture, in lower case: English, French, German, Spanish.
+BOILERPLATE = [
+    "lorem ipsum", "javascript", "cookie", "privacy policy", "terms of use", "terms of service", "all rights reserved", "click here", "sign in", "log in", "read more", "share this", "subscribe", "newsletter",
+    "tous droits réservés", "politique de confidentialité", "conditions d'utilisation", "mentions légales", "cliquez ici", "lire la suite", "abonnez-vous", "se connecter",
+    "alle rechte vorbehalten", "datenschutzerklärung", "nutzungsbedingungen", "impressum", "hier klicken", "weiterlesen", "jetzt abonnieren", "jetzt anmelden",
+    "todos los derechos reservados", "política de privacidad", "condiciones de uso", "aviso legal", "haga clic", "leer más", "suscríbete", "iniciar sesión",
+]
+ODD_PER_WORD, LINK_MARKS, BARE_WORDS, KEEP_SHARE = 0.3, 2, (3, 12), 0.5
 
 
 def let(value: Column, body) -> Column:
@@ -72,13 +84,15 @@ def repeated_words(ws: Column, width: int = 5) -> Column:
 
 
 def line_fails(line: Column) -> Column:
-    """True for a line to remove: more odd marks than its words bear, a row of navigation links, or a fixed phrase."""
+    """True for a line to remove."""
     low = F.lower(line)
     boiler = low.contains(BOILERPLATE[0])
     for phrase in BOILERPLATE[1:]:
         boiler = boiler | low.contains(phrase)
-    marks = (F.regexp_count(line, F.lit(ODD)) > ODD_PER_WORD * F.size(words_in(line))) | (chars_of(line, "|") >= NAV_BARS)
-    return boiler | (line.rlike(ODD) & marks)
+    odd = line.rlike(ODD) & (F.regexp_count(line, F.lit(ODD)) > ODD_PER_WORD * F.size(words_in(line)))
+    bare = ~line.rlike(TERMINAL) & F.size(words_in(line)).between(*BARE_WORDS)
+    links = F.regexp_count(line, F.lit(BETWEEN_LINKS)) >= LINK_MARKS
+    return odd | links | bare | boiler
 
 
 def judge(documents: DataFrame, repeat_percent: int = 20, least_words: int = 10, keep_share: float = KEEP_SHARE) -> DataFrame:

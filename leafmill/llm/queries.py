@@ -56,6 +56,8 @@ def queries() -> dict:
 
 _MARKS = "[#*$%&|<>!?=~^@{}\\[\\]\\\\]"
 
+_LINE_WORDS = "len(list_filter(regexp_split_to_array(x, '[\\x20\\x09-\\x0D]+'), lambda v: v <> ''))"
+
 OP2 = f"""
 WITH t AS (SELECT doc_id, coalesce(text, '') AS text, list_filter(regexp_split_to_array(coalesce(text, ''), '[\\x20\\x09-\\x0D]+'), lambda w: w <> '') AS ws, string_split(coalesce(text, ''), chr(10)) AS lines FROM documents),
 w AS (SELECT *, row_number() OVER () AS r FROM t),
@@ -63,7 +65,9 @@ g AS (SELECT r, unnest(range(len(ws) - 4)) AS s, unnest(list_transform(range(len
 d AS (SELECT r, s, count(*) OVER (PARTITION BY r, k) > 1 AS twice FROM g),
 c AS (SELECT r, cast(sum(least(5, coalesce(nxt - s, 5))) AS bigint) AS n_repeat_words FROM (SELECT r, s, lead(s) OVER (PARTITION BY r ORDER BY s) AS nxt FROM d WHERE twice) GROUP BY r),
 l AS (SELECT w.*, coalesce(n_repeat_words, 0) AS n_repeat_words, list_filter(lines, lambda x: regexp_matches(x, '[^\\x20\\x09-\\x0D]')) AS worded,
- array_to_string(list_filter(lines, lambda x: NOT (regexp_matches(lower(x), '{{phrases}}') OR (regexp_matches(x, '{_MARKS}') AND (len(regexp_extract_all(x, '{_MARKS}')) > 0.3 * len(list_filter(regexp_split_to_array(x, '[\\x20\\x09-\\x0D]+'), lambda v: v <> '')) OR length(x) - length(replace(x, '|', '')) >= 2)))), chr(10)) AS clean FROM w LEFT JOIN c USING (r)),
+ array_to_string(list_filter(lines, lambda x: NOT (regexp_matches(lower(x), '{{phrases}}') OR len(regexp_extract_all(x, '{line_rules.BETWEEN_LINKS}')) >= 2
+   OR (regexp_matches(x, '{_MARKS}') AND len(regexp_extract_all(x, '{_MARKS}')) > 0.3 * {_LINE_WORDS})
+   OR (NOT regexp_matches(x, '{line_rules.TERMINAL}') AND {_LINE_WORDS} BETWEEN 3 AND 12))), chr(10)) AS clean FROM w LEFT JOIN c USING (r)),
 m AS (SELECT doc_id, cast(len(ws) AS bigint) AS n_words, cast(length(regexp_replace(text, '[\\x20\\x09-\\x0D]', '', 'g')) AS bigint) AS word_chars, cast(len(regexp_extract_all(text, '[#*$%&|<>]')) AS bigint) AS n_symbols, cast(len(worded) - len(list_distinct(worded)) AS bigint) AS n_dup_lines, n_repeat_words, length(regexp_replace(clean, '[\\x20\\x09-\\x0D]', '', 'g')) AS clean_chars FROM l),
 b AS (SELECT *, n_words < 10 OR 100 * n_repeat_words > 20 * n_words AS base_failed FROM m)
 SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base_failed, NOT base_failed AND clean_chars >= 0.5 * word_chars AS kept FROM b
@@ -96,23 +100,24 @@ _RULE = "CASE " + " ".join(
 def _op9() -> str:
     rules = sorted(url_reputation.RULES, key=lambda r: (-len(r.prefix), -len(r.host)))
     said = lambda f: _RULE.format(*[getattr(r, f) for r in rules])
-    last = lambda k: f"array_to_string(list_slice(string_split(host, '.'), -{k}, -1), '.')"
+    last = lambda k: f"array_to_string(list_slice(string_split(site, '.'), -{k}, -1), '.')"
+    of = lambda k: f"CASE WHEN regexp_matches(site, '{url_reputation.ADDRESS}') THEN site WHEN regexp_matches(site, '{url_reputation.TWO_LABELS}') THEN {last(k + 2)} ELSE {last(k + 1)} END"
     rest = "CASE WHEN contains(url, '://') THEN substr(url, strpos(url, '://') + 3) ELSE '' END"
     return f"""
-WITH p AS (SELECT page_id, translate(regexp_extract(rest, '^[^/?#]*'), '{url_reputation.UPPER}', '{url_reputation.LOWER}') AS host, regexp_extract(rest, '^[^/?#]*([^?#]*)', 1) AS path FROM (SELECT page_id, coalesce({rest}, '') AS rest FROM pages)),
+WITH p AS (SELECT page_id, translate(regexp_extract(rest, '^[^/?#]*'), '{url_reputation.UPPER}', '{url_reputation.LOWER}') AS host, regexp_extract(rest, '^[^/?#]*([^?#]*)', 1) AS path, regexp_replace(regexp_replace(host, '^.*@', ''), '[.]?(?::[0-9]*)?$', '') AS site FROM (SELECT page_id, coalesce({rest}, '') AS rest FROM pages)),
 lab AS (SELECT doc_id, max(CASE WHEN quality = 0 OR toxic = 1 THEN 1 WHEN quality IS NOT NULL OR toxic IS NOT NULL THEN 0 END) AS bad FROM labels GROUP BY doc_id),
-h AS (SELECT host, {last(2)} AS domain, {last(1)} AS suf, cast(count(bad) AS double) AS n, cast(coalesce(sum(bad), 0) AS double) AS bad FROM p LEFT JOIN lab ON lab.doc_id = try_cast(regexp_extract(path, '/([0-9]{{1,18}})', 1) AS bigint) GROUP BY host),
+h AS (SELECT site, {of(1)} AS domain, {of(0)} AS suf, cast(count(bad) AS double) AS n, cast(coalesce(sum(bad), 0) AS double) AS bad FROM p LEFT JOIN lab ON lab.doc_id = try_cast(regexp_extract(path, '/([0-9]{{1,18}})', 1) AS bigint) GROUP BY site),
 s0 AS (SELECT suf, sum(n) AS n, sum(bad) AS bad, (SELECT CASE WHEN sum(n) > 0 THEN (sum(bad) + 0.5) / (sum(n) + 1.0) ELSE 0.5 END FROM h) AS p0 FROM h GROUP BY suf),
 s1 AS (SELECT suf, (bad + k * p0) / (n + k) AS p1 FROM s0, {_strength('s0', 'p0')} ks),
 d0 AS (SELECT domain, p1, n, bad FROM (SELECT domain, any_value(suf) AS suf, sum(n) AS n, sum(bad) AS bad FROM h GROUP BY domain) JOIN s1 USING (suf)),
 d1 AS (SELECT domain, (bad + k * p1) / (n + k) AS p2 FROM d0, {_strength('d0', 'p1')} kd),
-h0 AS (SELECT host, n, bad, p2 FROM h JOIN d1 USING (domain)),
-h1 AS (SELECT host, bad + k * p2 AS a, n - bad + k * (1 - p2) AS b FROM h0, {_strength('h0', 'p2')} kh),
-h2 AS (SELECT host, a / (a + b) - 1.645 * sqrt(a * b / ((a + b) ** 2 * (a + b + 1))) AS bound FROM h1)
-SELECT page_id, host, path, {said('prefix')} AS rule, coalesce({said('action')}, CASE WHEN bound > 0.5 THEN 'block' ELSE 'allow' END) AS verdict FROM p JOIN h2 USING (host)
+h0 AS (SELECT site, n, bad, p2 FROM h JOIN d1 USING (domain)),
+h1 AS (SELECT site, bad + k * p2 AS a, n - bad + k * (1 - p2) AS b FROM h0, {_strength('h0', 'p2')} kh),
+h2 AS (SELECT site, a / (a + b) - 1.645 * sqrt(a * b / ((a + b) ** 2 * (a + b + 1))) AS bound FROM h1)
+SELECT page_id, host, path, {said('prefix')} AS rule, coalesce({said('action')}, CASE WHEN bound > 0.5 THEN 'block' ELSE 'allow' END) AS verdict FROM p JOIN h2 USING (site)
 """
 
 
 def oracle_sql() -> dict[str, str]:
-    phrases = "|".join(line_rules.BOILERPLATE)
+    phrases = "|".join(line_rules.BOILERPLATE).replace("'", "''")
     return {"op2_quality_rules": OP2.replace("{phrases}", phrases), "op9_url_filters": _op9(), "op10_ngram_join": OP10}

@@ -5,6 +5,10 @@ rate, that of a registered domain to its suffix, that of a host to its domain, e
 strength comes from the moments of the groups below it. A host is blocked when the lower end of its posterior's
 credible bound lies above the threshold, so hosts with few labels are never blocked by bad luck alone.
 
+The site whose reputation counts is the host without user, port and last dot. Its public suffix is the last label, or
+the last two where the first of them is one that registries of countries sell under (co.uk, com.au) or the two are a
+hoster's (github.io); the registered domain has one label more. An IP address is its own domain and suffix.
+
 Cases: a url that is null or lacks "://" has empty host and path, and takes the verdict of the empty host; repeated
 pages each get a row and each count; null outcomes count nowhere; with no outcomes at all every page is allowed;
 columns other than the ones named are ignored, so clashing names do no harm; empty tables give an empty result.
@@ -19,6 +23,9 @@ from pyspark.sql import functions as F
 
 from leafmill.sources.staging import staged
 
+#: Labels below a country's that domains are registered under, and suffixes of hosters: fixed values.
+SECOND_LEVEL = "ac asn co com edu go gob gouv gov gv id info ltd me mil ne net nhs nom or org plc sch".split()
+HOSTERS = "appspot.com blogspot.com github.io gitlab.io herokuapp.com netlify.app pages.dev vercel.app web.app wordpress.com".split()
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 
 
@@ -49,12 +56,22 @@ def path_of(url: Column) -> Column:
     return F.coalesce(rest, F.lit(""))
 
 
-def suffix_of(host: Column) -> Column:
-    return F.substring_index(host, ".", -1)
+#: Patterns of a site: an address in numbers or brackets, and a public suffix of two labels.
+ADDRESS = r"^(?:[0-9.]+|\[.*)$"
+TWO_LABELS = rf"(?:^|\.)(?:(?:{'|'.join(SECOND_LEVEL)})\.[a-z][a-z]|{'|'.join(x.replace('.', '[.]') for x in HOSTERS)})$"
+
+
+def site_of(host: Column) -> Column:
+    """The host without user, port and last dot."""
+    return F.regexp_replace(F.regexp_replace(host, r"^.*@", ""), r"[.]?(?::[0-9]*)?$", "")
+
+
+def suffix_of(site: Column) -> Column:
+    return F.when(site.rlike(ADDRESS), site).when(site.rlike(TWO_LABELS), F.substring_index(site, ".", -2)).otherwise(F.substring_index(site, ".", -1))
 
 
-def domain_of(host: Column) -> Column:
-    return F.substring_index(host, ".", -2)
+def domain_of(site: Column) -> Column:
+    return F.when(site.rlike(ADDRESS), site).when(site.rlike(TWO_LABELS), F.substring_index(site, ".", -3)).otherwise(F.substring_index(site, ".", -2))
 
 
 def rule_for(host: Column, path: Column, rules: list[Rule] = RULES) -> Column:
@@ -82,13 +99,13 @@ def _strength(groups: DataFrame, prior: str, least: float, most: float) -> float
 
 
 def reputation(outcomes: DataFrame, z: float = 1.645, least: float = 2.0, most: float = 1000.0) -> DataFrame:
-    """host -> n, bad, rate (posterior mean), bound (lower end). outcomes: host, bad (0, 1 or null), one row a page.
+    """site -> n, bad, rate (posterior mean), bound (lower end). outcomes: host, bad (0, 1 or null), one row a page.
 
     Statistics are over all rows; only sums over all groups (a handful of numbers) reach the driver.
     """
     hosts = staged(
-        outcomes.groupBy("host").agg(F.count("bad").alias("n"), F.coalesce(F.sum("bad"), F.lit(0)).alias("bad"))
-        .select("host", domain_of(F.col("host")).alias("domain"), suffix_of(F.col("host")).alias("suffix"), "n", "bad"), "hosts")
+        outcomes.groupBy(site_of(F.col("host")).alias("site")).agg(F.count("bad").alias("n"), F.coalesce(F.sum("bad"), F.lit(0)).alias("bad"))
+        .select("site", domain_of(F.col("site")).alias("domain"), suffix_of(F.col("site")).alias("suffix"), "n", "bad"), "hosts")
     total = hosts.agg(F.sum("n").alias("n"), F.sum("bad").alias("bad")).first()
     base = (total["bad"] + 0.5) / (total["n"] + 1.0) if total and total["n"] else 0.5
     sums = lambda key: (F.sum("n").alias("n"), F.sum("bad").alias("bad"), F.first("suffix").alias("suffix") if key == "domain" else F.lit(base).alias("p0"))
@@ -102,16 +119,16 @@ def reputation(outcomes: DataFrame, z: float = 1.645, least: float = 2.0, most:
     k = _strength(known, "p_domain", least, most)
     a, b = F.col("bad") + k * F.col("p_domain"), F.col("n") - F.col("bad") + k * (1 - F.col("p_domain"))
     mean = a / (a + b)
-    return known.select("host", "n", "bad", mean.alias("rate"), (mean - z * F.sqrt(a * b / ((a + b) ** 2 * (a + b + 1)))).alias("bound"))
+    return known.select("site", "n", "bad", mean.alias("rate"), (mean - z * F.sqrt(a * b / ((a + b) ** 2 * (a + b + 1)))).alias("bound"))
 
 
 def judge(pages: DataFrame, outcomes: DataFrame, rules: list[Rule] = RULES, threshold: float = 0.5, z: float = 1.645) -> DataFrame:
     """One row per page: page_id, host, path, rule, verdict, rate, bound. outcomes: host, bad."""
     parts = pages.select("page_id", host_of(F.col("url")).alias("host"), path_of(F.col("url")).alias("path"))
-    known = staged(reputation(outcomes, z).select("host", "rate", "bound"), "bounds")
+    known = staged(reputation(outcomes, z).select("site", "rate", "bound"), "bounds")
     hit = rule_for(F.col("host"), F.col("path"), rules)
     return (
-        parts.join(known, "host", "left").withColumn("hit", hit)
+        parts.withColumn("site", site_of(F.col("host"))).join(known, "site", "left").withColumn("hit", hit)
         .select(
             "page_id", "host", "path", F.col("hit.rule").alias("rule"),
             F.coalesce(F.col("hit.action"), F.when(F.col("bound") > threshold, "block").otherwise("allow")).alias("verdict"), "rate", "bound")

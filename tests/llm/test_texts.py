@@ -5,6 +5,7 @@ import zlib
 
 import numpy as np
 import pytest
+from pyspark.sql import functions as F
 
 from leafmill.llm import decontamination, line_rules, packing, url_reputation
 from leafmill.llm.queries import oracle_sql, queries
@@ -32,6 +33,19 @@ def test_line_rules(spark):
     assert line_rules.judge(spark.createDataFrame([], SCHEMA)).count() == 0
 
 
+def test_lines_that_fail(spark):
+    fail = ["Home | News | Contact", "Start > Shop > Konto", "Accueil · Actualités · Contact", "« a » b » c", "Read more about our Privacy Policy here.", "Alle Rechte vorbehalten.", "Tous droits réservés, 2020.", "Lea nuestra política de privacidad.", "Conditions d'utilisation du site.", "Our five newest articles today", "Der große Bericht über Wale", "$$$ win !!! now ???", "a b c  "]
+    stay = ["A sentence that ends as it should.", "Zwei Wörter", "Ein Satz, der mit einem Komma endet,", "« Une phrase entre guillemets »", "(one in brackets)", "What is this thing here?", "Ten words and more " + "word " * 12 + "without any mark", "x > y with some words.", "", "   "]
+    got = spark.createDataFrame([(x,) for x in fail + stay], "line string").select("line", line_rules.line_fails(F.col("line")).alias("f")).collect()
+    assert [r["line"] for r in got if r["f"]] == fail
+
+
+def test_line_rules_on_a_very_long_text(spark):
+    text = ("this line has seven words in it.\nread more\n" * 40_000)  # 1.6 MB
+    r = line_rules.judge(frame(spark, [(1, text, None, None, None, None, None)])).first()
+    assert (r["n_words"], r["n_dup_lines"], r["n_repeat_words"], r["base_failed"]) == (9 * 40_000, 79_998, 360_000, True)
+
+
 def test_urls(spark):
     urls = ["http://A.Example.COM/en/7x?q", "http://example.com/en/8", "https://x.net/de/8", "http://www.example.net/de/8/1#t", "http://b.org/es/", "http://b.org/es", "no scheme", None, "x://", "http://h?x/y", "http://com/en/", "http://bexample.com/en/71"]
     pages = spark.createDataFrame(list(enumerate(urls)), "page_id long, url string")
@@ -42,9 +56,18 @@ def test_urls(spark):
         4: ("b.org", "/es/", "org/es/", "block"), 5: ("b.org", "/es", None, "allow"), 6: ("", "", None, "allow"), 7: ("", "", None, "allow"), 8: ("", "", None, "allow"), 9: ("h", "", None, "allow"), 10: ("com", "/en/", "com/en/", "block"), 11: ("bexample.com", "/en/71", "com/en/", "block")}
 
 
+def test_sites_domains_and_suffixes(spark):
+    hosts = {"user:pw@www.shop.co.uk:8080": ("www.shop.co.uk", "shop.co.uk", "co.uk"), "a.b.example.com": ("a.b.example.com", "example.com", "com"), "me.github.io": ("me.github.io", "me.github.io", "github.io"), "10.1.2.3:80": ("10.1.2.3", "10.1.2.3", "10.1.2.3"),
+             "co.uk": ("co.uk", "co.uk", "co.uk"), "x.com.au.": ("x.com.au", "x.com.au", "com.au"), "co.com": ("co.com", "co.com", "com"), "localhost": ("localhost", "localhost", "localhost"), "": ("", "", ""), "[::1]:80": ("[::1]", "[::1]", "[::1]")}
+    site = url_reputation.site_of(F.col("h"))
+    got = spark.createDataFrame([(h,) for h in hosts], "h string").select("h", site, url_reputation.domain_of(site), url_reputation.suffix_of(site)).collect()
+    assert {r[0]: tuple(r)[1:] for r in got} == hosts
+    assert url_reputation.judge(spark.createDataFrame([], "page_id long, url string"), spark.createDataFrame([], "host string, bad int")).count() == 0
+
+
 def test_reputation_shrinks(spark):
     rows = [("bad.a.com", 1)] * 60 + [("good.a.com", 0)] * 60 + [("new.a.com", 1)] + [(f"h{i}.b.com", i % 2) for i in range(40)] + [("silent.b.com", None)]
-    rep = {r["host"]: r for r in url_reputation.reputation(spark.createDataFrame(rows, "host string, bad int")).collect()}
+    rep = {r["site"]: r for r in url_reputation.reputation(spark.createDataFrame(rows, "host string, bad int")).collect()}
     assert rep["bad.a.com"]["bound"] > 0.5 > rep["new.a.com"]["bound"] and rep["good.a.com"]["rate"] < 0.1 and rep["silent.b.com"]["n"] == 0
 
 
