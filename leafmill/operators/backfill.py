@@ -9,10 +9,10 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from leafmill.functions import rules, text
+from leafmill.functions import languages, rules, text, tokens
 
-#: A thesaurus up to this many terms is one regular expression in the plan.
-MOST_TERMS = 100_000
+#: Terms a regular expression holds; a larger thesaurus is looked up in several by first letter and length of the term.
+TERMS_A_PATTERN = 20_000
 
 
 def terms_of(thesaurus: DataFrame) -> DataFrame:
@@ -33,15 +33,31 @@ def found_terms(caption: Column, terms: list[str]) -> Column:
 
 def thesaurus_counts(caption: DataFrame, thesaurus: DataFrame, key: str = "id_caption") -> DataFrame:
     """key, category, term, n."""
-    terms = terms_of(thesaurus)
-    few = terms.limit(MOST_TERMS + 1).collect()
-    if len(few) > MOST_TERMS:
-        raise ValueError(f"a thesaurus of more than {MOST_TERMS} terms must be split")
+    few = terms_of(thesaurus).collect()  # a thesaurus is a dictionary: its size doesn't grow with the captions
+    if len(few) > TERMS_A_PATTERN:
+        return _joined_counts(caption, terms_of(thesaurus), key)
     hits = caption.select(key, F.explode(found_terms(F.col("text"), [r["term"] for r in few])).alias("term"))
     category = rules.lookup({r["term"]: r["category"] for r in few}, F.col("term")) if few else F.lit(None).cast("string")
     return hits.groupBy(key, category.alias("category"), "term").agg(F.count("*").alias("n"))
 
 
+def _joined_counts(caption: DataFrame, terms: DataFrame, key: str) -> DataFrame:
+    """The same for any number of terms: runs of words are joined to terms, and of overlapping ones the first, then the longest, counts."""
+    longest = terms.select(F.max(F.size(F.split("term", r"\s+")))).first()[0] or 1
+    words = F.regexp_extract_all(F.lower("text"), F.lit(r"(?U)\b\w+\b"), F.lit(0))
+    runs = caption.select(key, words.alias("w")).select(key, "w", F.posexplode("w").alias("at", "_"))
+    several = F.transform(F.sequence(F.lit(1), F.lit(longest)), lambda n: F.struct(n.alias("n"), F.array_join(F.slice("w", F.col("at") + 1, n), " ").alias("term")))
+    hit = runs.where("w is not null").select(key, "at", F.inline(several)).join(terms, "term").distinct()
+
+    def step(s: Column, x: Column) -> Column:
+        free = x["at"] >= s["end"]
+        return F.struct(F.when(free, F.concat(s["took"], F.array(x))).otherwise(s["took"]).alias("took"), F.when(free, x["at"] + x["n"]).otherwise(s["end"]).alias("end"))
+
+    found = F.sort_array(F.collect_set(F.struct("at", (-F.col("n")).alias("by"), "n", "term", "category")))
+    took = hit.groupBy(key).agg(found.alias("f")).select(key, F.aggregate("f", F.struct(F.slice("f", 1, 0).alias("took"), F.lit(0).alias("end")), step, lambda s: s["took"]).alias("t"))
+    return took.select(key, F.inline("t")).groupBy(key, "category", "term").agg(F.count("*").alias("n"))
+
+
 def thesaurus_matches(caption: DataFrame, thesaurus: DataFrame, key: str = "id_caption") -> DataFrame:
     """key, thesaurus_matches: map of category to map of term to count; captions without a match have no row."""
     by = thesaurus_counts(caption, thesaurus, key).groupBy(key, "category").agg(F.map_from_entries(F.sort_array(F.collect_list(F.struct("term", "n")))).alias("m"))
@@ -51,14 +67,16 @@ def thesaurus_matches(caption: DataFrame, thesaurus: DataFrame, key: str = "id_c
 def backfill(caption: DataFrame, thesaurus: DataFrame | None = None, detect: Callable[[pd.Series], pd.Series] | None = None, force: bool = False, limit: int | None = None) -> DataFrame:
     """caption with lang_detected, linear_prob and thesaurus_matches (JSON) worked out where pending.
 
-    detect gives ISO 639-3 codes for a series of texts; blank texts and unsure ones are null. Rows that aren't pending
-    pass through.
+    detect gives ISO 639-3 codes for a series of texts; without it, function words decide. Blank texts and unsure ones are
+    null. Rows that aren't pending pass through.
     """
     todo = F.lit(True) if force else F.col("lang_detected").isNull()
     pending = caption.where(todo) if limit is None else caption.where(todo).limit(limit)
     rest = caption.where(~todo) if limit is None else caption.join(pending.select("id_caption"), "id_caption", "left_anti")
     out = pending.withColumn("linear_prob", rules.linear_probability(F.col("logprobs")))
-    if detect is not None:
+    if detect is None:
+        out = out.withColumn("lang_detected", F.when(~text.blank(F.col("text")), languages.detected(F.col("text"))))
+    else:
         told = F.pandas_udf(detect, "string")
         out = out.withColumn("lang_detected", F.when(~text.blank(F.col("text")), told(F.coalesce("text", F.lit("")))))
     if thesaurus is not None:
@@ -67,10 +85,11 @@ def backfill(caption: DataFrame, thesaurus: DataFrame | None = None, detect: Cal
     return out.select(*caption.columns).unionByName(rest.select(*caption.columns))
 
 
-def token_counts(df: DataFrame, column: str = "text", encode: Callable[[list[str]], list[int]] | None = None) -> DataFrame:
-    """df with n_tokens, null for no text. encode gives token counts of texts; without it, words are counted."""
-    if encode is None:
-        n = text.words(F.col(column))
-    else:
-        n = F.pandas_udf(lambda s: pd.Series(encode(s.tolist()), dtype="int64"), "long")(F.coalesce(column, F.lit("")))
-    return df.withColumn("n_tokens", F.when(F.coalesce(column, F.lit("")) != "", n).cast("long"))
+def token_counts(df: DataFrame, column: str = "text", encode: Callable[[list[str]], list[int]] | None = None, vocabulary: str | None = None) -> DataFrame:
+    """df with n_tokens, null for no text. vocabulary: a tokenizer's JSON file; encode gives counts of texts in its place."""
+    return df.withColumn("n_tokens", tokens.token_count(F.col(column), vocabulary, encode))
+
+
+def word_counts(df: DataFrame, column: str = "text") -> DataFrame:
+    """df with n_words, null for no text."""
+    return df.withColumn("n_words", F.when(F.coalesce(column, F.lit("")) != "", text.words(F.col(column))).cast("long"))

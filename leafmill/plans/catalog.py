@@ -11,8 +11,8 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from leafmill.functions import rules, text, vectors
-from leafmill.operators import backfill, control, embedding_dedupe, export, hash_dedupe, statistics, views
+from leafmill.functions import languages, rules, text, vectors
+from leafmill.operators import backfill, browse, control, embedding_dedupe, export, hash_dedupe, statistics, views
 from leafmill.sources import sinks
 from leafmill.sources.derived import prelude, relation
 
@@ -198,6 +198,11 @@ def detections_per_volume_last_item(t, *_):
 
 
 @query("select count(*) as total_docs, count_if(n is null) as empty_docs, cast(coalesce(sum(n),0) as bigint) as total_tokens, round(avg(n),6) as mean, round(median(n),6) as median, round(coalesce(stddev_samp(n),0),6) as stdev, min(n) as min, max(n) as max, " + ", ".join(f"round(quantile_cont(n, {q}),6) as p{round(q * 100)}" for q in (0.05, 0.25, 0.75, 0.95, 0.99)) + " from (select case when text <> '' then " + WORDS.format(x="text") + " end as n from documents)")
+def word_statistics(t, spark, d):
+    return statistics.tokens(backfill.word_counts(documents(spark, d)), "n_words")
+
+
+@query()
 def token_statistics(t, spark, d):
     return statistics.tokens(backfill.token_counts(documents(spark, d)), "n_tokens")
 
@@ -270,6 +275,52 @@ def pending_backfill(t, *_):
     return control.pending_backfill(t["caption"]).select("id_caption", "text")
 
 
+@query(f"select id_caption, case when trim(text) <> '' then {languages.detected_sql('text')} end as lang_detected from caption", "caption")
+def detected_languages(t, *_):
+    return backfill.backfill(t["caption"], force=True).select("id_caption", "lang_detected")
+
+
+@query("select i.id_pipeline_batch, i.id_pipeline_batch_item, barcode from pipeline_batch_item i join volume v using (barcode)", "pipeline_batch_item", "volume")
+def batch_volumes(t, *_):
+    return browse.batch_volumes(t["pipeline_batch_item"], t["volume"]).select("id_pipeline_batch", "id_pipeline_batch_item", "barcode")
+
+
+@query("select id_pipeline_batch_item, barcode, cast((row_number() over (order by id_pipeline_batch_item, barcode) - 1) % 4 as int) as worker from pipeline_batch_item", "pipeline_batch_item")
+def worker_shares(t, *_):
+    return browse.workers(t["pipeline_batch_item"], 4, ["id_pipeline_batch_item", "barcode"]).select("id_pipeline_batch_item", "barcode", "worker")
+
+
+@query("select group_id, count(*) as n from deduped_hash group by 1 having count(*) >= 2", "deduped_hash")
+def groups_by_size(t, *_):
+    return browse.groups_by_size(t["deduped_hash"])
+
+
+@query("select d.embedding_id, d.group_id, d.id_detection, len(e.embedding) as dimensions, round(cast(e.embedding[1] as double), 5) as x1, round(cast(e.embedding[5] as double), 5) as x5 from deduped_embedding d join image_embedding e using (id_detection)", "deduped_embedding", "image_embedding")
+def group_vectors(t, *_):
+    v = browse.with_vectors(t["deduped_embedding"], t["image_embedding"]).withColumn("p", browse.vector_preview(F.col("embedding")))
+    x = lambda i: F.round(F.get("p.first", F.lit(i)).cast("double"), 5)
+    return v.select("embedding_id", "group_id", "id_detection", F.col("p.dimensions").cast("long").alias("dimensions"), x(0).alias("x1"), x(4).alias("x5"))
+
+
+@query("select id_detection, round(bbox_xyxy[3] * f, 4) as x2, round(bbox_xyxy[4] * f, 4) as y2 from (select *, least(1.0, 320.0 / greatest(bbox_xyxy[3], bbox_xyxy[4])) as f from detection)", "detection")
+def thumbnail_boxes(t, *_):
+    side = lambda i: F.get("bbox_xyxy", F.lit(i))
+    box = browse.scaled(F.col("bbox_xyxy"), browse.thumbnail_factor(side(2), side(3), 320))
+    return t["detection"].withColumn("b", box).select("id_detection", F.round(F.get("b", F.lit(2)), 4).alias("x2"), F.round(F.get("b", F.lit(3)), 4).alias("y2"))
+
+
+@view_query("select barcode, scan_filename, cast(row_number() over (partition by barcode order by seen) as int) as place, elements from (select barcode, scan_filename, min(id_detection) as seen, count(*) as elements from view group by 1, 2)")
+def volume_pages(t, *_):
+    return browse.pages(views.filtered_dataset(t))
+
+
+@view_query("select barcode, label, cast(row_number() over (partition by barcode order by n desc, label) as int) as place, n, round(n / sum(n) over (partition by barcode), 6) as share from (select barcode, coalesce(pred_class, '') as label, count(*) as n from view group by 1, 2)")
+def volume_headers(t, *_):
+    h = browse.header(views.filtered_dataset(t), t["volume"])
+    rows = h.select("barcode", F.posexplode("classes").alias("at", "c"))
+    return rows.select("barcode", "c.label", (F.col("at") + 1).cast("int").alias("place"), "c.n", "c.share")
+
+
 @query("select barcode, max(id_pipeline_batch_item) as id_pipeline_batch_item from pipeline_batch_item group by 1", "pipeline_batch_item")
 def latest_items(t, *_):
     return control.latest_item(t["pipeline_batch_item"])

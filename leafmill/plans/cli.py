@@ -9,6 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from leafmill.operators import backfill, control, embedding_dedupe, export, hash_dedupe, statistics, views
+from leafmill.plans import execution
 from leafmill.sources import schemas, sinks
 from leafmill.sources.staging import drop_staged
 
@@ -111,6 +112,7 @@ def create_view(spark, a):
 
 def _backfill(p):
     p.add_argument("--thesaurus")
+    p.add_argument("--skip-thesaurus", action="store_true")
     p.add_argument("--force", action="store_true")
     p.add_argument("--limit", type=int)
 
@@ -118,17 +120,18 @@ def _backfill(p):
 @command("backfill", _backfill)
 def run_backfill(spark, a):
     c = load(spark, a.root, "caption")["caption"]
-    sinks.overwrite(spark, backfill.backfill(c, spark.read.parquet(a.thesaurus) if a.thesaurus else None, None, a.force, a.limit), f"{a.root}/caption")
+    thesaurus = spark.read.parquet(a.thesaurus) if a.thesaurus and not a.skip_thesaurus else None
+    sinks.overwrite(spark, backfill.backfill(c, thesaurus, None, a.force, a.limit), f"{a.root}/caption")
 
 
 def _out(p):
     p.add_argument("--out", required=True)
 
 
-@command("count-tokens", _out)
+@command("count-tokens", lambda p: (_out(p), p.add_argument("--vocabulary", help="a tokenizer's JSON file")))
 def count_tokens(spark, a):
     v = views.filtered_dataset(load(spark, a.root))
-    sinks.write_json(statistics.tokens(backfill.token_counts(v, "caption_text"), "n_tokens"), a.out)
+    sinks.write_json(statistics.tokens(backfill.token_counts(v, "caption_text", vocabulary=a.vocabulary), "n_tokens"), a.out)
 
 
 @command("stats", lambda p: (_out(p), p.add_argument("--skip-slow", action="store_true")))
@@ -180,6 +183,42 @@ def peek(spark, a):
     statistics.failures(t["detection"], t["classification"], t["caption"]).show()
 
 
+#: Steps of a batch by command: what a deployment registers here runs in this order.
+BATCH_STEPS: dict[str, Callable] = {}
+
+
+def _execute(p):
+    p.add_argument("--run", type=int, required=True)
+    p.add_argument("--force-batch", type=int)
+    p.add_argument("--batch-only", action="store_true")
+    p.add_argument("--ignore-locks", action="store_true")
+    p.add_argument("--timeout", type=int, default=86_400)
+    p.add_argument("--node", default="")
+
+
+@command("execute", _execute)
+def run_execute(spark, a):
+    """Lease the run's batches one by one, run the steps, release, and stop at the first crash."""
+    read = lambda: load(spark, a.root, "pipeline_batch")["pipeline_batch"]
+    write = lambda df: sinks.overwrite(spark, df, f"{a.root}/pipeline_batch")
+    a.hamming_threshold = hash_dedupe.THRESHOLD
+    whole = {"dedupe-hash": lambda run: dedupe_hash(spark, a)}
+    own = {name: (lambda batch, f=f: f(spark, a, batch)) for name, f in BATCH_STEPS.items()}
+    if not execution.execute(spark, read, write, a.run, own, whole, a.node, a.timeout, a.force_batch, a.batch_only, a.ignore_locks):
+        raise SystemExit(1)
+
+
+@command("run-all", lambda p: (_out(p), _backfill(p), p.add_argument("--skip-tokens", action="store_true"), p.add_argument("--skip-atlas", action="store_true"), p.add_argument("--sample", type=int, default=10_000), p.add_argument("--vocabulary")))
+def run_run_all(spark, a):
+    """View, backfill, token counts and atlas, up to the first that fails."""
+    at = lambda name: argparse.Namespace(**(vars(a) | {"out": f"{a.out}/{name}"}))
+    steps = {"create-view": lambda: create_view(spark, at("view")), "backfill": lambda: run_backfill(spark, a)}
+    steps |= {} if a.skip_tokens else {"count-tokens": lambda: count_tokens(spark, at("tokens"))}
+    steps |= {} if a.skip_atlas else {"atlas": lambda: atlas(spark, at("atlas"))}
+    if not execution.run_all(steps):
+        raise SystemExit(1)
+
+
 def main(argv: list[str] | None = None) -> None:
     p = argparse.ArgumentParser(prog="leafmill", description=__doc__)
     p.add_argument("root", help="folder of the relations")
