@@ -23,7 +23,8 @@ def identify(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 def deduplicate(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """The document with the least id of each linked group stays. Rows that repeat an id are one document, of which the least row
     (by its columns in order, nulls first) stays; rows without id stay."""
-    stay = staged(ngram_join.similar(docs).where("doc_id = component_id").groupBy("doc_id").agg(F.count("*").alias("n")), "stay")
+    told = ngram_join.similar(docs).groupBy("doc_id").agg(F.count("*").alias("n"), F.max(F.col("doc_id") == F.col("component_id")).alias("first"))
+    stay = staged(told.where("first").select("doc_id", "n"), "stay")
     kept = docs.join(stay.where("n = 1").select("doc_id"), "doc_id", "left_semi").select(*docs.columns)
     repeated = docs.join(stay.where("n > 1").select("doc_id"), "doc_id", "left_semi")
     least = repeated.groupBy("doc_id").agg(F.min(F.struct(*[c for c in docs.columns if c != "doc_id"])).alias("r")).select("doc_id", "r.*").select(*docs.columns)
