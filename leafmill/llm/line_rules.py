@@ -13,6 +13,8 @@ row without a shuffle; a very long text costs one sort of its windows.
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -24,8 +26,11 @@ WHITE = " \t\n\x0b\f\r"
 ODD = r"[#*$%&|<>!?=~^@{}\[\]\\]"
 #: Marks a sentence or a part of one ends with, at the end of a line.
 TERMINAL = r"[.!?…:;,\"»”’)\]][\x20\x09-\x0D]*\z"
+#: The same marks, each for a cheap look at the very end.
+ENDS = ".!?…:;,\"»”’)]"
 #: What stands between links of a row.
-BETWEEN_LINKS = "[|>·»•›→]"
+LINK_SIGNS = "|>·»•›→"
+BETWEEN_LINKS = f"[{LINK_SIGNS}]"
 #: Fixed phrases of page furniture, in lower case: English, French, German, Spanish.
 BOILERPLATE = [
     "lorem ipsum", "javascript", "cookie", "privacy policy", "terms of use", "terms of service", "all rights reserved", "click here", "sign in", "log in", "read more", "share this", "subscribe", "newsletter",
@@ -85,13 +90,13 @@ def repeated_words(ws: Column, width: int = 5) -> Column:
 
 def line_fails(line: Column) -> Column:
     """True for a line to remove."""
-    low = F.lower(line)
-    boiler = low.contains(BOILERPLATE[0])
-    for phrase in BOILERPLATE[1:]:
-        boiler = boiler | low.contains(phrase)
+    either = lambda tests: reduce(lambda a, b: a | b, tests)
+    boiler = let(F.lower(line), lambda low: either(low.contains(phrase) for phrase in BOILERPLATE))
     odd = line.rlike(ODD) & (F.regexp_count(line, F.lit(ODD)) > ODD_PER_WORD * F.size(words_in(line)))
-    bare = ~line.rlike(TERMINAL) & F.size(words_in(line)).between(*BARE_WORDS)
-    links = F.regexp_count(line, F.lit(BETWEEN_LINKS)) >= LINK_MARKS
+    # the patterns are dear: what comes before them settles most lines
+    ends = either(line.endswith(mark) for mark in ENDS) | line.rlike(TERMINAL)
+    bare = ~ends & F.size(words_in(line)).between(*BARE_WORDS)
+    links = either(line.contains(sign) for sign in LINK_SIGNS) & (F.regexp_count(line, F.lit(BETWEEN_LINKS)) >= LINK_MARKS)
     return odd | links | bare | boiler
 
 
