@@ -2,69 +2,26 @@
 
 from __future__ import annotations
 
-import re
 from collections.abc import Callable
 
 import pandas as pd
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from leafmill.functions import languages, rules, text, tokens
+from leafmill.functions import languages, rules, text, thesaurus, tokens
 
-#: Terms a regular expression holds; a larger thesaurus is looked up in several by first letter and length of the term.
-TERMS_A_PATTERN = 20_000
-
-
-def terms_of(thesaurus: DataFrame) -> DataFrame:
-    """term, category in lower case from category, keyword, related_terms. A term in several categories takes the last by name."""
-    rows = thesaurus.select(F.coalesce("category", F.lit("unknown")).alias("category"), F.explode(F.concat(F.array("keyword"), F.coalesce("related_terms", F.array().cast("array<string>")))).alias("t"))
-    return rows.where(F.coalesce("t", F.lit("")) != "").groupBy(F.lower("t").alias("term")).agg(F.max("category").alias("category"))
-
-
-def pattern_of(terms: list[str]) -> str:
-    """Whole words, longest first, so that a term within a longer one doesn't win."""
-    return r"(?U)\b(" + "|".join(re.sub(r"([^\w\s])", r"\\\1", t) for t in sorted(terms, key=lambda t: (-len(t), t))) + r")\b"
-
-
-def found_terms(caption: Column, terms: list[str]) -> Column:
-    """All non-overlapping matches in lower case."""
-    return F.regexp_extract_all(F.lower(caption), F.lit(pattern_of(terms)), F.lit(1)) if terms else F.array().cast("array<string>")
+def thesaurus_matches(caption: DataFrame, thesaurus_: DataFrame, key: str = "id_caption") -> DataFrame:
+    """key, thesaurus_matches: map of category to map of term to count; captions without a match have no row."""
+    return caption.select(key, thesaurus.matches(F.col("text"), thesaurus_).alias("thesaurus_matches")).where("thesaurus_matches is not null")
 
 
-def thesaurus_counts(caption: DataFrame, thesaurus: DataFrame, key: str = "id_caption") -> DataFrame:
+def thesaurus_counts(caption: DataFrame, thesaurus_: DataFrame, key: str = "id_caption") -> DataFrame:
     """key, category, term, n."""
-    few = terms_of(thesaurus).collect()  # a thesaurus is a dictionary: its size doesn't grow with the captions
-    if len(few) > TERMS_A_PATTERN:
-        return _joined_counts(caption, terms_of(thesaurus), key)
-    hits = caption.select(key, F.explode(found_terms(F.col("text"), [r["term"] for r in few])).alias("term"))
-    category = rules.lookup({r["term"]: r["category"] for r in few}, F.col("term")) if few else F.lit(None).cast("string")
-    return hits.groupBy(key, category.alias("category"), "term").agg(F.count("*").alias("n"))
-
-
-def _joined_counts(caption: DataFrame, terms: DataFrame, key: str) -> DataFrame:
-    """The same for any number of terms: runs of words are joined to terms, and of overlapping ones the first, then the longest, counts."""
-    longest = terms.select(F.max(F.size(F.split("term", r"\s+")))).first()[0] or 1
-    words = F.regexp_extract_all(F.lower("text"), F.lit(r"(?U)\b\w+\b"), F.lit(0))
-    runs = caption.select(key, words.alias("w")).select(key, "w", F.posexplode("w").alias("at", "_"))
-    several = F.transform(F.sequence(F.lit(1), F.lit(longest)), lambda n: F.struct(n.alias("n"), F.array_join(F.slice("w", F.col("at") + 1, n), " ").alias("term")))
-    hit = runs.where("w is not null").select(key, "at", F.inline(several)).join(terms, "term").distinct()
-
-    def step(s: Column, x: Column) -> Column:
-        free = x["at"] >= s["end"]
-        return F.struct(F.when(free, F.concat(s["took"], F.array(x))).otherwise(s["took"]).alias("took"), F.when(free, x["at"] + x["n"]).otherwise(s["end"]).alias("end"))
-
-    found = F.sort_array(F.collect_set(F.struct("at", (-F.col("n")).alias("by"), "n", "term", "category")))
-    took = hit.groupBy(key).agg(found.alias("f")).select(key, F.aggregate("f", F.struct(F.slice("f", 1, 0).alias("took"), F.lit(0).alias("end")), step, lambda s: s["took"]).alias("t"))
-    return took.select(key, F.inline("t")).groupBy(key, "category", "term").agg(F.count("*").alias("n"))
-
-
-def thesaurus_matches(caption: DataFrame, thesaurus: DataFrame, key: str = "id_caption") -> DataFrame:
-    """key, thesaurus_matches: map of category to map of term to count; captions without a match have no row."""
-    by = thesaurus_counts(caption, thesaurus, key).groupBy(key, "category").agg(F.map_from_entries(F.sort_array(F.collect_list(F.struct("term", "n")))).alias("m"))
-    return by.groupBy(key).agg(F.map_from_entries(F.collect_list(F.struct("category", "m"))).alias("thesaurus_matches"))
+    by = thesaurus_matches(caption, thesaurus_, key).select(key, F.explode("thesaurus_matches").alias("category", "own"))
+    return by.select(key, "category", F.explode("own").alias("term", "n")).groupBy(key, "category", "term").agg(F.sum("n").alias("n"))
 
 
-def backfill(caption: DataFrame, thesaurus: DataFrame | None = None, detect: Callable[[pd.Series], pd.Series] | None = None, force: bool = False, limit: int | None = None) -> DataFrame:
+def backfill(caption: DataFrame, thesaurus_: DataFrame | None = None, detect: Callable[[pd.Series], pd.Series] | None = None, force: bool = False, limit: int | None = None) -> DataFrame:
     """caption with lang_detected, linear_prob and thesaurus_matches (JSON) worked out where pending.
 
     detect gives ISO 639-3 codes for a series of texts; without it, function words decide. Blank texts and unsure ones are
@@ -79,9 +36,8 @@ def backfill(caption: DataFrame, thesaurus: DataFrame | None = None, detect: Cal
     else:
         told = F.pandas_udf(detect, "string")
         out = out.withColumn("lang_detected", F.when(~text.blank(F.col("text")), told(F.coalesce("text", F.lit("")))))
-    if thesaurus is not None:
-        m = thesaurus_matches(pending, thesaurus).withColumn("_m", F.to_json("thesaurus_matches")).select("id_caption", "_m")
-        out = out.join(m, "id_caption", "left").withColumn("thesaurus_matches", F.col("_m")).drop("_m")
+    if thesaurus_ is not None:
+        out = out.withColumn("thesaurus_matches", F.to_json(thesaurus.matches(F.col("text"), thesaurus_)))
     return out.select(*caption.columns).unionByName(rest.select(*caption.columns))
 
 

@@ -22,7 +22,7 @@ ORACLES: dict[str, str] = {}
 NOW = "2024-01-15 00:00:00"
 #: Keywords and terms that occur in the text at hand stand in for a real dictionary.
 KEYWORDS = {"eng": ["thing", "and the"], "deu": ["und"], "fra": ["que"], "spa": ["que la"]}
-TERMS = [("function", "the", ["of", "and the"]), ("verb", "is", ["was"]), ("german", "und", ["der", "die"])]
+TERMS = [("function", "the", ["of", "and the"]), ("verb", "is", ["was"]), ("german", "und", ["der", "die", "für"]), ("accents", "é", ["è", "ción"])]
 VIEW = ("detection", "pipeline_batch_item", "volume", "classification", "caption", "image_hash", "image_embedding", "deduped_hash", "deduped_embedding")
 
 
@@ -391,12 +391,18 @@ def _thesaurus(spark: SparkSession) -> DataFrame:
     return spark.createDataFrame(TERMS, "category string, keyword string, related_terms array<string>")
 
 
-@query("select id_caption, case when term in ('the', 'of', 'and the') then 'function' when term in ('is', 'was') then 'verb' else 'german' end as category, term, count(*) as n from (select id_caption, unnest(regexp_extract_all(lower(text), '\\b(and the|the|was|und|der|die|of|is)\\b', 1)) as term from caption where not regexp_matches(lower(text), '[^\\x00-\\x7f]')) group by all", "caption")
+#: Characters that are no part of a word stand twice, so that each match has its own on both sides.
+BORDER = "[^\\p{L}\\p{N}_]"
+_ALL_TERMS = {t: c for c, k, more in TERMS for t in [k, *more]}
+FOUND_TERMS = f"found as (select id_caption, replace(unnest(regexp_extract_all(' ' || regexp_replace(lower(text), '({BORDER})', '\\1\\1', 'g') || ' ', '{BORDER}({'|'.join(sorted((t.replace(' ', '  ') for t in _ALL_TERMS), key=lambda t: -len(t)))}){BORDER}', 1)), '  ', ' ') as term from caption), counted as (select id_caption, case term {' '.join(f"when '{t}' then '{c}'" for t, c in _ALL_TERMS.items())} end as category, term, count(*) as n from found group by all)"
+
+
+@query(f", {FOUND_TERMS} select id_caption, category, term, n from counted", "caption")
 def thesaurus_counts(t, spark, _):
-    return backfill.thesaurus_counts(t["caption"].where(~F.lower("text").rlike(r"[^\x00-\x7f]")), _thesaurus(spark))
+    return backfill.thesaurus_counts(t["caption"], _thesaurus(spark))
 
 
-@query(None, "caption")
+@query(f", {FOUND_TERMS} select id_caption, '{{' || string_agg(said, ',' order by category) || '}}' as matches from (select id_caption, category, '\"' || category || '\":{{' || string_agg('\"' || term || '\":' || n, ',' order by term) || '}}' as said from counted group by id_caption, category) group by id_caption", "caption")
 def thesaurus_maps(t, spark, _):
     return backfill.thesaurus_matches(t["caption"], _thesaurus(spark)).select("id_caption", F.to_json("thesaurus_matches").alias("matches"))
 
@@ -515,10 +521,11 @@ def vector_norms(t, *_):
     return t["image_embedding"].select("id_embedding", F.round(vectors.norm(e), 5).alias("norm"), vectors.argmax(e).alias("top"))
 
 
-@query(None, "image_embedding")
+@query(f", {NEAR.replace('x.id_embedding < y.id_embedding', 'true')} select i, j, round(sim, 4) as sim from (select *, row_number() over (partition by i order by sim desc, j) as place from near) where place <= 10 and sim >= 0.2 and i < j", "image_embedding")
 def embedding_neighbours_hashed(t, *_):
+    """The index of a large table: exact for small ones, as the SQL is."""
     v = t["image_embedding"].select(F.col("id_embedding").alias("id"), F.col("embedding").alias("v"))
-    return embedding_dedupe.neighbours_hashed(v, 0.86)
+    return embedding_dedupe.neighbours_indexed(v, 0.2, 10, planned=0.5).withColumn("sim", F.round("sim", 4))
 
 
 @query(None, *VIEW, "pipeline_batch")

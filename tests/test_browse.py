@@ -1,12 +1,12 @@
 """Languages, tokens, execution and short forms."""
 
+import random
+
 import pytest
 from pyspark.sql import functions as F
 
-from leafmill.functions import languages, tokens
+from leafmill.functions import languages, thesaurus, tokens
 from leafmill.operators import backfill, browse
-from leafmill.plans import execution
-from leafmill.sources import schemas
 
 
 def test_language_by_function_words(spark):
@@ -21,12 +21,42 @@ def test_tokens_by_the_vocabulary(spark):
     assert got == {1: tokens.counted([rows[0][0]], tokens.default_path())[0], 2: None, 3: None} and got[1] > 6
 
 
-def test_thesaurus_of_any_size(spark, monkeypatch):
-    thesaurus = spark.createDataFrame([("function", "the", ["of", "and the"]), ("verb", "is", ["was"]), (None, "and the end", None)], "category string, keyword string, related_terms array<string>")
-    caption = spark.createDataFrame([(1, "The end and the END of it was and the."), (2, None), (3, "nothing"), (4, "the the")], "id_caption long, text string")
-    few = sorted(map(str, backfill.thesaurus_counts(caption, thesaurus).collect()))
-    monkeypatch.setattr(backfill, "TERMS_A_PATTERN", 1)
-    assert sorted(map(str, backfill.thesaurus_counts(caption, thesaurus).collect())) == few and len(few) == 6
+def plain_matches(text, terms):
+    """The pattern that says the same: all terms, longest first, between word borders."""
+    import re
+    from collections import Counter
+
+    found = re.findall(r"\b(" + "|".join(re.escape(t) for t in sorted(terms, key=len, reverse=True)) + r")\b", (text or "").lower())
+    out = {}
+    for t, n in Counter(found).items():
+        out.setdefault(terms[t], {})[t] = n
+    return out or None
+
+
+@pytest.mark.parametrize("characters", [10_000, 12])
+def test_thesaurus_equals_a_pattern_at_every_size(spark, characters):
+    rows = [("function", "the", ["of", "and the", "of the"]), ("verb", "is", ["was", "", None]), (None, "and the end", None), ("kin", "Mother-in-law", ["O\u2019Brien", "o'brien", "law"]), ("odd", "(x)", ["c++", "ÉTÉ", "straße", "日本", "_a"]), ("zz", "law", [])]
+    thesaurus_ = spark.createDataFrame(rows, "category string, keyword string, related_terms array<string>")
+    texts = ["The end and the END of it was and the.", None, "", "nothing", "the the", "of, the mother-in-law of the O'Brien", "mother-in-lawyer law_ law", "a(x)b (x) c++ c++d", "l'été étéé Straße STRASSE", "日本 日本語", "_a a_a", "the" * 3, "\n".join(["and the end"] * 500)]
+    r = random.Random(2)
+    pieces = [t for _, k, more in rows for t in [k, *(more or [])] if t] + [" ", "-", "'", "x", ",", "_", "é", "(", ")"]
+    texts += ["".join(r.choice(pieces) for _ in range(r.randint(1, 9))) for _ in range(200)]
+    terms = thesaurus.terms_of(thesaurus_)
+    assert terms["law"] == "zz" and terms["and the end"] == "unknown" and "" not in terms
+    df = spark.createDataFrame(list(enumerate(texts)), "id_caption long, text string")
+    got = {x[0]: x[1] for x in df.select("id_caption", thesaurus.matches(F.col("text"), thesaurus_, characters)).collect()}
+    assert got == {i: plain_matches(t, terms) for i, t in enumerate(texts)}
+    assert len(thesaurus.shards(terms, characters)) == (1 if characters > 100 else 9)
+
+
+def test_thesaurus_counts_of_repeated_keys_and_no_terms(spark):
+    none = spark.createDataFrame([], "category string, keyword string, related_terms array<string>")
+    caption = spark.createDataFrame([(1, "the law"), (1, "law"), (2, None)], "id_caption long, text string")
+    assert backfill.thesaurus_counts(caption, none).count() == 0
+    one = spark.createDataFrame([("a", "law", None)], none.schema)
+    assert [tuple(r) for r in backfill.thesaurus_counts(caption, one).collect()] == [(1, "a", "law", 2)]
+    with pytest.raises(ValueError):
+        thesaurus.terms_of(one, 2)
 
 
 def test_wrapped_and_thousands(spark):
@@ -43,45 +73,3 @@ def test_header_and_pages_with_elements(spark):
     scans = spark.createDataFrame([(1, "p1"), (1, "p2")], "id_pipeline_batch_item long, filename string")
     found = spark.createDataFrame([(1, "p2"), (2, "p1")], "id_pipeline_batch_item long, scan_filename string")
     assert [r["filename"] for r in browse.pages_with_elements(scans, found).collect()] == ["p2"]
-
-
-def test_retries():
-    tries, waits = [], []
-
-    def call():
-        tries.append(1)
-        if len(tries) < 3:
-            raise ConnectionError
-        return "ok"
-
-    assert execution.retried(call, base=1, sleep=waits.append) == "ok" and len(waits) == 2 and 0.5 <= waits[0] <= 1 <= waits[1] <= 2
-    with pytest.raises(ValueError):
-        execution.retried(lambda: int("x"), sleep=waits.append)
-    with pytest.raises(TimeoutError):
-        execution.retried(lambda: (_ for _ in ()).throw(TimeoutError()), attempts=2, sleep=waits.append)
-    assert len(waits) == 3
-
-
-@pytest.mark.parametrize("bad", [None, 2])
-def test_execute_leases_releases_and_stops_at_a_crash(spark, bad):
-    rows = [(i, 1 if i < 4 else 2, None, None, None, None, False) for i in range(1, 5)]
-    table = [spark.createDataFrame(rows, schemas.schema("pipeline_batch"))]
-    write = lambda df: table.__setitem__(0, spark.createDataFrame(df.collect(), df.schema))
-    ran, lines = [], []
-
-    def step(batch):
-        lease = table[0].where(F.col("id_pipeline_batch") == batch).first()
-        assert lease["node_name"] == "n1" and lease["started_date"] is not None and lease["ended_date"] is None
-        ran.append(batch)
-        if batch == bad:
-            raise RuntimeError("no")
-
-    after = lambda run: ran.append(-run)
-    ok = execution.execute(spark, lambda: table[0], write, 1, {"one": step, "two": step}, {"all": after}, "n1", log=execution.Log(lines.append))
-    state = {r["id_pipeline_batch"]: (r["ended_date"] is not None, r["has_crashed"]) for r in table[0].collect()}
-    if bad:
-        assert not ok and ran == [1, 1, 2] and state == {1: (True, False), 2: (True, True), 3: (False, False), 4: (False, False)}
-    else:
-        assert ok and ran == [1, 1, 2, 2, 3, 3, -1] and state[3] == (True, False) and state[4] == (False, False)
-    assert lines[0] == "START batch 1 one" and any(x.startswith("END batch 2 one") for x in lines)
-    assert not execution.run_all({"a": lambda: None, "b": lambda: 1 / 0, "c": lambda: ran.append("c")}, execution.Log(lines.append)) and "c" not in ran
