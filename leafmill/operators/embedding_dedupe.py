@@ -2,14 +2,13 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterator
-
 import numpy as np
 import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from leafmill.operators.hash_dedupe import assign
+from leafmill.operators.embedding_index import best, neighbours_indexed
+from leafmill.operators.hash_dedupe import assign, of_run
 from leafmill.sources.staging import staged
 
 DISTANCE, NEIGHBOURS = 0.14, 30
@@ -20,7 +19,7 @@ def neighbours_exact(vectors: DataFrame, least: float = 1 - DISTANCE, k: int | N
     """i, j, sim: of each i its k most similar (itself counted, ties by id) with similarity of at least least, i < j.
 
     Exact and quadratic: vectors are dealt into blocks, each pair of blocks is one matrix product in one task. Memory
-    is two blocks; work is what an exact answer costs. For large tables use neighbours_hashed.
+    is two blocks; work is what an exact answer costs. For large tables use neighbours_indexed.
     """
     n = max(1, -(-vectors.count() // block_rows))
     dealt = staged(vectors.select("id", F.col("v").cast("array<float>").alias("v"), F.pmod(F.xxhash64("id"), F.lit(n)).cast("int").alias("blk")), "blocks")
@@ -41,55 +40,13 @@ def neighbours_exact(vectors: DataFrame, least: float = 1 - DISTANCE, k: int | N
         return out
 
     near = left.unionByName(right).groupBy("blk", "other").applyInPandas(product, "i long, j long, sim double")
-    return _from_own_lists(near, k)
-
-
-def _from_own_lists(near: DataFrame, k: int | None) -> DataFrame:
-    if k is not None:
-        best = near.groupBy("i").agg(F.slice(F.sort_array(F.collect_list(F.struct((-F.col("sim")).alias("d"), "j"))), 1, k).alias("own"))
-        near = best.select("i", F.inline("own")).select("i", "j", (-F.col("d")).alias("sim"))
-    return near.where("i < j")
-
-
-def neighbours_hashed(vectors: DataFrame, least: float = 1 - DISTANCE, tables: int = 24, bits: int = 12, seed: int = 7) -> DataFrame:
-    """i, j, sim over random-hyperplane tables, verified. Near-linear; recall by pair is 1-(1-p^bits)^tables with
-    p = 1-arccos(sim)/pi, over 0.999 at 0.95 and about 0.97 at 0.86 for the defaults. Equal vectors meet once.
-    """
-
-    def keys(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        planes = None
-        for pdf in batches:
-            if pdf.empty:
-                continue
-            x = np.stack(pdf.v.to_list()).astype(np.float64)
-            if planes is None or planes.shape[0] != x.shape[1]:
-                planes = np.random.default_rng(seed).normal(size=(x.shape[1], tables * bits))
-            on = ((x @ planes) > 0).reshape(len(x), tables, bits)
-            key = (on * (1 << np.arange(bits))).sum(-1)
-            yield pd.DataFrame({"id": np.repeat(pdf.id.to_numpy(), tables), "t": np.tile(np.arange(tables), len(x)), "key": key.ravel()})
-
-    rows = staged(vectors.select("id", F.col("v").cast("array<float>").alias("v")), "vectors")
-    # equal vectors hang on their least id and aren't compared
-    same = rows.groupBy(F.xxhash64("v").alias("h"), "v").agg(F.min("id").alias("least"))
-    one = staged(same.select(F.col("least").alias("id"), "v", "h"), "distinct_vectors")
-    copies = rows.withColumn("h", F.xxhash64("v")).join(one.select("h", F.col("id").alias("i")), "h").where("id > i").select("i", F.col("id").alias("j"), F.lit(1.0).alias("sim"))
-    spots = staged(one.select("id", "v").mapInPandas(keys, "id long, t int, key long"), "spots")
-    met = spots.alias("x").join(spots.alias("y"), ["t", "key"]).where("x.id < y.id").select(F.col("x.id").alias("i"), F.col("y.id").alias("j")).distinct()
-
-    def check(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for pdf in batches:
-            if not pdf.empty:
-                a, b = (np.stack(pdf[c].to_list()).astype(np.float64) for c in ("a", "b"))
-                sim = (a * b).sum(1) / ((np.linalg.norm(a, axis=1) + 1e-8) * (np.linalg.norm(b, axis=1) + 1e-8))
-                yield pd.DataFrame({"i": pdf.i, "j": pdf.j, "sim": sim})[sim >= least]
-
-    held = met.join(one.select(F.col("id").alias("i"), F.col("v").alias("a")), "i").join(one.select(F.col("id").alias("j"), F.col("v").alias("b")), "j")
-    return held.mapInPandas(check, "i long, j long, sim double").union(copies)
+    return best(near, k)
 
 
-def dedupe_by_embedding(image_embedding: DataFrame, distance: float = DISTANCE, k: int | None = NEIGHBOURS, exact: bool = False) -> DataFrame:
-    """deduped_embedding rows: embedding_id, group_id (least id of the group), id_pipeline_batch_item, id_detection."""
-    v = image_embedding.select(F.col("id_embedding").alias("id"), F.col("embedding").alias("v"))
-    near = neighbours_exact(v, 1 - distance, k) if exact else neighbours_hashed(v, 1 - distance)
+def dedupe_by_embedding(image_embedding: DataFrame, distance: float = DISTANCE, k: int | None = NEIGHBOURS, exact: bool = False, batches: DataFrame | None = None, items: DataFrame | None = None, run: int | None = None) -> DataFrame:
+    """deduped_embedding rows: embedding_id, group_id (least id of the group), id_pipeline_batch_item, id_detection; of one run if one is named."""
+    rows = of_run(image_embedding, batches, items, run)
+    v = rows.select(F.col("id_embedding").alias("id"), F.col("embedding").alias("v"))
+    near = neighbours_exact(v, 1 - distance, k) if exact else neighbours_indexed(v, 1 - distance, k)
     groups = assign(v, near.select(F.col("i").alias("a"), F.col("j").alias("b")))
-    return image_embedding.join(groups, image_embedding["id_embedding"] == groups["id"]).select(F.col("id").alias("embedding_id"), "group_id", "id_pipeline_batch_item", "id_detection")
+    return rows.join(groups, rows["id_embedding"] == groups["id"]).select(F.col("id").alias("embedding_id"), "group_id", "id_pipeline_batch_item", "id_detection")

@@ -65,11 +65,16 @@ def assign(ids: DataFrame, pairs: DataFrame) -> DataFrame:
     return ids.select("id").distinct().join(comp, "id", "left").select("id", F.coalesce("component", "id").alias("group_id"))
 
 
+def of_run(rows: DataFrame, batches: DataFrame | None, items: DataFrame | None, run: int | None) -> DataFrame:
+    """Rows of the items of one run; all rows if none is named."""
+    if run is None:
+        return rows
+    own = items.join(batches.where(F.col("id_pipeline_run") == run), "id_pipeline_batch", "left_semi").select("id_pipeline_batch_item").distinct()
+    return rows.join(own, "id_pipeline_batch_item", "left_semi")
+
+
 def dedupe_by_hash(image_hash: DataFrame, batches: DataFrame | None = None, items: DataFrame | None = None, run: int | None = None, **kw) -> DataFrame:
     """deduped_hash rows: hash_id, group_id, id_pipeline_batch_item, id_detection, image_hash; of one run if one is named."""
-    rows = image_hash
-    if run is not None:
-        own = items.join(batches.where(F.col("id_pipeline_run") == run), "id_pipeline_batch", "left_semi").select("id_pipeline_batch_item").distinct()
-        rows = rows.join(own, "id_pipeline_batch_item", "left_semi")
+    rows = of_run(image_hash, batches, items, run)
     groups = assign(rows.select(F.col("id_imagehash").alias("id")), duplicate_pairs(rows.select(F.col("id_imagehash").alias("id"), F.col("image_hash").alias("h")), **kw))
     return rows.join(groups, rows["id_imagehash"] == groups["id"]).select(F.col("id").alias("hash_id"), "group_id", "id_pipeline_batch_item", "id_detection", "image_hash")
