@@ -5,13 +5,14 @@ from __future__ import annotations
 import argparse
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import SparkSession
 from pyspark.sql import functions as F
 
-from leafmill.operators import backfill, control, embedding_dedupe, export, hash_dedupe, statistics, views
-from leafmill.plans import execution
+from leafmill.operators import backfill, browse, control, embedding_dedupe, export, hash_dedupe, statistics, views
+from leafmill.plans import execution, steps
+from leafmill.plans.steps import load, table
 from leafmill.sources import schemas, sinks
-from leafmill.sources.staging import drop_staged
+from leafmill.sources.staging import drop_staged, staged
 
 COMMANDS: dict[str, tuple[Callable, Callable | None]] = {}
 
@@ -29,16 +30,20 @@ def command(name: str, options: Callable | None = None):
     return register
 
 
-def load(spark: SparkSession, root: str, *names: str) -> dict[str, DataFrame]:
-    return {n: spark.read.schema(schemas.schema(n)).parquet(f"{root}/{n}") for n in names or schemas.TABLES}
-
-
 @command("build", lambda p: p.add_argument("source"))
 def build(spark, a):
     """Upsert volumes from a Parquet snapshot of barcode and metadata."""
-    sinks.create_tables(spark, a.root, schemas.TABLES)
+    for name in schemas.TABLES:
+        table(spark, a.root, name).create()
     fresh = sinks.add_columns(spark.read.parquet(a.source), {"metadata": "string", "pull_date": "timestamp"}).select("barcode", "metadata", "pull_date")
-    sinks.overwrite(spark, control.index_volumes(load(spark, a.root, "volume")["volume"], fresh), f"{a.root}/volume")
+    table(spark, a.root, "volume").change(lambda old: control.index_volumes(old, fresh))
+
+
+@command("vacuum", lambda p: p.add_argument("--keep", type=int, default=2))
+def vacuum(spark, a):
+    """Remove versions of the relations that are neither recent nor current."""
+    for name in schemas.TABLES:
+        table(spark, a.root, name).vacuum(a.keep)
 
 
 @command("clear-cache")
@@ -69,9 +74,11 @@ def prepare(spark, a):
     items = items.select((F.col("id_pipeline_batch_item") + top[1]).alias("id_pipeline_batch_item"), (F.col("id_pipeline_batch") + top[0]).alias("id_pipeline_batch"), "barcode")
     rows = items.groupBy("id_pipeline_batch").count().select("id_pipeline_batch", F.lit(a.run).cast("long").alias("id_pipeline_run"), F.current_timestamp().alias("created_date"), F.lit(False).alias("has_crashed"))
     total = items.count()
-    sinks.add_columns(rows, {"node_name": "string", "started_date": "timestamp", "ended_date": "timestamp"}).select(*t["pipeline_batch"].columns).write.mode("append").parquet(f"{a.root}/pipeline_batch")
-    items.write.mode("append").parquet(f"{a.root}/pipeline_batch_item")
-    spark.createDataFrame([(a.run, total, a.items_per_batch, -(-total // a.items_per_batch))], "id_pipeline_run bigint, items_total int, items_per_batch int, batches_total int").withColumn("created_date", F.current_timestamp()).write.mode("append").parquet(f"{a.root}/pipeline_run")
+    rows = sinks.add_columns(rows, {"node_name": "string", "started_date": "timestamp", "ended_date": "timestamp"}).select(*t["pipeline_batch"].columns)
+    table(spark, a.root, "pipeline_batch").change(lambda _: rows, append=True)
+    table(spark, a.root, "pipeline_batch_item").change(lambda _: items, append=True)
+    made = spark.createDataFrame([(a.run, total, a.items_per_batch, -(-total // a.items_per_batch))], "id_pipeline_run bigint, items_total int, items_per_batch int, batches_total int").withColumn("created_date", F.current_timestamp())
+    table(spark, a.root, "pipeline_run").change(lambda _: made, append=True)
 
 
 @command("run-status", lambda p: p.add_argument("--run", type=int))
@@ -83,16 +90,18 @@ def run_status(spark, a):
 def _hash(p):
     p.add_argument("--run", type=int)
     p.add_argument("--hamming-threshold", type=int, default=hash_dedupe.THRESHOLD)
+    p.add_argument("--max-bucket", type=int, help="leave out buckets of more different hashes; by default none is")
 
 
 @command("dedupe-hash", _hash)
 def dedupe_hash(spark, a):
-    t = load(spark, a.root, "image_hash", "pipeline_batch", "pipeline_batch_item", "deduped_hash")
-    fresh = hash_dedupe.dedupe_by_hash(t["image_hash"], t["pipeline_batch"], t["pipeline_batch_item"], a.run, threshold=a.hamming_threshold).withColumn("created", F.current_timestamp())
-    sinks.overwrite(spark, sinks.replaced(t["deduped_hash"], fresh), f"{a.root}/deduped_hash")
+    t = load(spark, a.root, "image_hash", "pipeline_batch", "pipeline_batch_item")
+    fresh = staged(hash_dedupe.dedupe_by_hash(t["image_hash"], t["pipeline_batch"], t["pipeline_batch_item"], a.run, threshold=a.hamming_threshold, max_bucket=a.max_bucket).withColumn("created", F.current_timestamp()), "deduped")
+    table(spark, a.root, "deduped_hash").change(lambda old: sinks.replaced(old, fresh))
 
 
 def _embedding(p):
+    p.add_argument("--run", type=int)
     p.add_argument("--threshold", type=float, default=embedding_dedupe.DISTANCE)
     p.add_argument("--max-neighbors", type=int, default=embedding_dedupe.NEIGHBOURS)
     p.add_argument("--exact", action="store_true")
@@ -100,9 +109,9 @@ def _embedding(p):
 
 @command("dedupe-embedding", _embedding)
 def dedupe_embedding(spark, a):
-    t = load(spark, a.root, "image_embedding", "deduped_embedding")
-    fresh = embedding_dedupe.dedupe_by_embedding(t["image_embedding"], a.threshold, a.max_neighbors, a.exact).withColumn("created", F.current_timestamp())
-    sinks.overwrite(spark, sinks.replaced(t["deduped_embedding"], fresh), f"{a.root}/deduped_embedding")
+    t = load(spark, a.root, "image_embedding", "pipeline_batch", "pipeline_batch_item")
+    fresh = staged(embedding_dedupe.dedupe_by_embedding(t["image_embedding"], a.threshold, a.max_neighbors, a.exact, t["pipeline_batch"], t["pipeline_batch_item"], a.run).withColumn("created", F.current_timestamp()), "deduped")
+    table(spark, a.root, "deduped_embedding").change(lambda old: sinks.replaced(old, fresh))
 
 
 @command("create-view", lambda p: p.add_argument("--out", required=True))
@@ -119,9 +128,8 @@ def _backfill(p):
 
 @command("backfill", _backfill)
 def run_backfill(spark, a):
-    c = load(spark, a.root, "caption")["caption"]
     thesaurus = spark.read.parquet(a.thesaurus) if a.thesaurus and not a.skip_thesaurus else None
-    sinks.overwrite(spark, backfill.backfill(c, thesaurus, None, a.force, a.limit), f"{a.root}/caption")
+    table(spark, a.root, "caption").change(lambda c: backfill.backfill(c, thesaurus, None, a.force, a.limit))
 
 
 def _out(p):
@@ -183,8 +191,48 @@ def peek(spark, a):
     statistics.failures(t["detection"], t["classification"], t["caption"]).show()
 
 
-#: Steps of a batch by command: what a deployment registers here runs in this order.
-BATCH_STEPS: dict[str, Callable] = {}
+#: Steps of a batch in order, with the option that names their model.
+BATCH_STEPS: dict[str, tuple[Callable, str]] = {
+    "step01-detect": (steps.detect, "detector"), "step02-classify": (steps.classify, "classifier"), "step03-generate-dedupe-data": (steps.embed, "embedder"), "step04-caption": (steps.caption, "captioner"),
+}
+
+
+def _model(p, name: str, required: bool = True):
+    p.add_argument(f"--{name}", required=required, help="module:function that makes the model")
+
+
+def _step(name: str, f: Callable, model: str) -> None:
+    def options(p):
+        p.add_argument("--batch", type=int, required=True)
+        p.add_argument("--archives", required=True, help="folder of the volumes' archives")
+        _model(p, model)
+
+    def run(spark, a):
+        f(spark, a.root, a.batch, a.archives, steps.loader(getattr(a, model)))
+
+    run.__doc__ = f.__doc__
+    command(name, options)(run)
+
+
+for _name, (_f, _of) in BATCH_STEPS.items():
+    _step(_name, _f, _of)
+
+
+@command("step05-store", lambda p: (p.add_argument("--batch", type=int, required=True), p.add_argument("--archives", required=True), _out(p)))
+def store(spark, a):
+    steps.store(spark, a.root, a.batch, a.archives, a.out)
+
+
+def _orientation(p):
+    p.add_argument("--archives", required=True)
+    p.add_argument("--force", action="store_true")
+    p.add_argument("--limit", type=int)
+    _model(p, "orienter")
+
+
+@command("orientation-correction", _orientation)
+def orientation(spark, a):
+    steps.orient(spark, a.root, a.archives, steps.loader(a.orienter), a.force, a.limit)
 
 
 def _execute(p):
@@ -194,17 +242,24 @@ def _execute(p):
     p.add_argument("--ignore-locks", action="store_true")
     p.add_argument("--timeout", type=int, default=86_400)
     p.add_argument("--node", default="")
+    p.add_argument("--archives", help="folder of the volumes' archives")
+    p.add_argument("--crops", help="folder for the archives of crops")
+    for _, of in BATCH_STEPS.values():
+        _model(p, of, required=False)
 
 
 @command("execute", _execute)
 def run_execute(spark, a):
-    """Lease the run's batches one by one, run the steps, release, and stop at the first crash."""
-    read = lambda: load(spark, a.root, "pipeline_batch")["pipeline_batch"]
-    write = lambda df: sinks.overwrite(spark, df, f"{a.root}/pipeline_batch")
-    a.hamming_threshold = hash_dedupe.THRESHOLD
-    whole = {"dedupe-hash": lambda run: dedupe_hash(spark, a)}
-    own = {name: (lambda batch, f=f: f(spark, a, batch)) for name, f in BATCH_STEPS.items()}
-    if not execution.execute(spark, read, write, a.run, own, whole, a.node, a.timeout, a.force_batch, a.batch_only, a.ignore_locks):
+    """Claim the run's batches one by one, run the steps whose model is named, release, and stop at the first crash."""
+    named = {name: (f, getattr(a, of)) for name, (f, of) in BATCH_STEPS.items() if getattr(a, of)}
+    own = {name: (lambda batch, f=f, model=model: f(spark, a.root, batch, a.archives, steps.loader(model))) for name, (f, model) in named.items()}
+    if a.crops:
+        own["step05-store"] = lambda batch: steps.store(spark, a.root, batch, a.archives, a.crops)
+    if own and not a.archives:
+        raise SystemExit("--archives is missing")
+    whole = {"dedupe-hash": lambda run: dedupe_hash(spark, argparse.Namespace(root=a.root, run=run, hamming_threshold=hash_dedupe.THRESHOLD, max_bucket=None))}
+    batches = [r[0] for r in browse.run_batches(load(spark, a.root, "pipeline_batch")["pipeline_batch"], a.run).select("id_pipeline_batch").collect()]
+    if not execution.execute(batches, steps.leases(spark, a.root, a.timeout), a.run, own, whole, a.node, a.force_batch, a.batch_only, a.ignore_locks):
         raise SystemExit(1)
 
 

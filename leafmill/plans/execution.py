@@ -1,32 +1,12 @@
-"""Running a run: leases, steps in order, release whatever happens, retries, and the log of it."""
+"""Running a run: leases, steps in order, release whatever happens, and the log of it."""
 
 from __future__ import annotations
 
-import random
 import time
 from collections.abc import Callable
 from dataclasses import dataclass, field
-from datetime import datetime, timezone
-
-from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
-
-from leafmill.operators import browse, control
-
-#: What is worth another try: the service was away, busy or slow.
-TRANSIENT = (ConnectionError, TimeoutError, BlockingIOError, InterruptedError)
-
-
-def retried(call: Callable, attempts: int = 5, base: float = 5.0, most: float = 300.0, transient: Callable[[Exception], bool] = lambda e: isinstance(e, TRANSIENT), sleep: Callable[[float], None] = time.sleep):
-    """call(), again after a growing and jittered pause while its error is transient; the last error is raised."""
-    for n in range(attempts):
-        try:
-            return call()
-        except Exception as e:  # noqa: BLE001
-            if n == attempts - 1 or not transient(e):
-                raise
-            sleep(min(most, base * 2**n) * random.uniform(0.5, 1.0))
 
+from leafmill.plans.leases import DONE, Leases
 
 @dataclass
 class Log:
@@ -51,45 +31,39 @@ class Log:
         return ok
 
 
-def now(spark: SparkSession):
-    return F.lit(datetime.now(timezone.utc).replace(tzinfo=None)).cast("timestamp")
-
-
 def execute(
-    spark: SparkSession, read: Callable[[], DataFrame], write: Callable[[DataFrame], None], run: int, batch_steps: dict[str, Callable[[int], None]], run_steps: dict[str, Callable[[int], None]] | None = None,
-    node: str = "", timeout: int = 86_400, only: int | None = None, batch_only: bool = False, ignore_locks: bool = False, log: Log | None = None,
+    batches: list[int], leases: Leases, run: int, batch_steps: dict[str, Callable[[int], None]], run_steps: dict[str, Callable[[int], None]] | None = None,
+    node: str = "", only: int | None = None, batch_only: bool = False, ignore_locks: bool = False, log: Log | None = None,
 ) -> bool:
     """Work through a run's free batches in order; whether all came through.
 
-    read and write give and replace the batch table. Of each batch a lease is taken (node, start), its steps run in
-    order up to the first that fails, and the lease is released in any case, marked as crashed after a failure. The
-    first crashed batch ends the run, and the steps of the run as a whole are skipped then, with batch_only, and while
-    a batch of it is still open elsewhere.
+    Of each batch a lease is claimed, which only one process gets, its steps run in order up to the first that fails, and
+    the lease is released in any case, as crashed after a failure. The first crashed batch ends the run, as does a lease
+    that was lost meanwhile. The steps of the run as a whole are skipped then, with batch_only, and while a batch of it is
+    still open elsewhere. Without steps there is no work to mark as done, which is an error.
     """
+    if not batch_steps:
+        raise ValueError("a run without steps would mark its batches as done: name the steps")
     log = log or Log()
-    done: set[int] = set()
-    while True:
-        mine = browse.run_batches(read(), run)
-        mine = mine if only is None else mine.where(F.col("id_pipeline_batch") == only)
-        free = control.available(mine, now(spark), timeout, ignore_locks)
-        free = free.where(~F.col("id_pipeline_batch").isin(sorted(done))) if done else free
-        first = free.orderBy("id_pipeline_batch").select("id_pipeline_batch").head()
-        if first is None:
-            break
-        batch = first[0]
-        done.add(batch)
-        taken = spark.createDataFrame([(batch,)], "id_pipeline_batch bigint")
-        write(control.leased(read(), taken, node, now(spark)))
+    for batch in sorted(batches):
+        if only is not None and batch != only:
+            continue
+        held = leases.claim(batch, node, ignore_locks)
+        if held is None:
+            log.write(f"batch {batch} is held or done")
+            continue
         ok = False
         try:
             ok = all(log.run(f"batch {batch} {name}", lambda step=step: step(batch)) for name, step in batch_steps.items())
         finally:
-            write(control.released(read(), taken, now(spark), crashed=not ok))
-        if not ok:
+            kept = leases.release(held, crashed=not ok)
+        if not kept:
+            log.write(f"batch {batch}: the lease was over and another has it")
+        if not ok or not kept:
             return False
     if batch_only or not run_steps:
         return True
-    if not browse.run_batches(read(), run).where(F.col("ended_date").isNull() | F.col("has_crashed")).isEmpty():
+    if any((e := leases.last(b)) is None or e.action != DONE for b in batches):
         log.write("steps of the run wait: a batch is open or has crashed")
         return True
     return all(log.run(f"run {run} {name}", lambda step=step: step(run)) for name, step in run_steps.items())

@@ -1,8 +1,7 @@
-"""Model stages. A model is any object with the method its stage calls; the ones here are deterministic stand-ins."""
+"""Model stages. A model is any object with the method its stage calls; load makes it, once a task."""
 
 from __future__ import annotations
 
-import hashlib
 import json
 from collections.abc import Callable, Iterator
 from typing import Protocol
@@ -35,35 +34,7 @@ class Orienter(Protocol):
     def probabilities(self, crop: np.ndarray) -> list[float]: ...
 
 
-def _seed(a: np.ndarray, salt: str) -> np.random.Generator:
-    return np.random.default_rng(int.from_bytes(hashlib.sha256(salt.encode() + np.ascontiguousarray(a).tobytes()).digest()[:8], "little"))
-
-
-class StandIn:
-    """Answers every stage from a hash of the pixels."""
-
-    def detect(self, image):
-        h, w = image.shape[:2]
-        r = _seed(image, "detect")
-        out = []
-        for _ in range(int(r.integers(0, 3))):
-            x, y = sorted(r.uniform(0, w, 2)), sorted(r.uniform(0, h, 2))
-            out.append(([x[0], y[0], x[1], y[1]], float(r.uniform(0.3, 1))))
-        return out
-
-    def probabilities(self, crop, n: int = 5):
-        p = _seed(crop, "class").dirichlet(np.ones(n))
-        return p.tolist()
-
-    def embed(self, crop):
-        v = _seed(crop, "embed").normal(size=512)
-        return (v / np.linalg.norm(v)).tolist()
-
-    def caption(self, crop, prompt):
-        return f"An element of {crop.shape[1]} by {crop.shape[0]} pixels.", [{"token": "An", "logprob": -0.1, "top_logprobs": []}]
-
-
-def detect(scans: DataFrame, load: Callable[[], Detector] = StandIn, decode: Callable[[bytes], np.ndarray] = images.decode_png) -> DataFrame:
+def detect(scans: DataFrame, load: Callable[[], Detector], decode: Callable[[bytes], np.ndarray] = images.decode_png) -> DataFrame:
     """id_pipeline_batch_item, scan_filename, bbox_xyxy, bbox_xywh (centre, sides), bbox_conf. A model is loaded once a task."""
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
@@ -109,13 +80,19 @@ def _over(crops: DataFrame, schema: str, load: Callable, answer: Callable, decod
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         model = load()
         for pdf in batches:
-            rows = [(*head, *answer(model, decode(png))) for *head, png in pdf.itertuples(index=False)]
+            rows = []
+            for *head, png in pdf.itertuples(index=False):
+                try:
+                    crop = decode(png)
+                except Exception:  # noqa: BLE001  an unreadable crop has no answer
+                    continue
+                rows.append((*head, *answer(model, crop)))
             yield pd.DataFrame(rows, columns=["id_detection", "id_pipeline_batch_item", *names])
 
     return crops.where("png is not null").select("id_detection", "id_pipeline_batch_item", "png").mapInPandas(run, f"id_detection long, id_pipeline_batch_item long, {schema}")
 
 
-def classify(crops: DataFrame, load: Callable[[], Classifier] = StandIn) -> DataFrame:
+def classify(crops: DataFrame, load: Callable[[], Classifier]) -> DataFrame:
     """pred_idx, pred_class, pred_conf, probs; an element without probabilities has no row."""
     raw = {v: k for k, v in rules.CLASS_LABELS.items()}
 
@@ -127,34 +104,38 @@ def classify(crops: DataFrame, load: Callable[[], Classifier] = StandIn) -> Data
     return _over(crops, "pred_idx int, pred_class string, pred_conf double, probs array<double>", load, answer).where("pred_idx >= 0")
 
 
-def embed(crops: DataFrame, load: Callable[[], Embedder] = StandIn) -> DataFrame:
+def embed(crops: DataFrame, load: Callable[[], Embedder]) -> DataFrame:
     """embedding and perceptual hash of each crop."""
     return _over(crops, "embedding array<float>, image_hash string", load, lambda m, c: (list(map(float, m.embed(c))), images.perceptual_hash(c)))
 
 
-def orient(crops: DataFrame, load: Callable[[], Orienter] = lambda: StandIn(), threshold: float = rules.ORIENTATION_THRESHOLD) -> DataFrame:
+def orient(crops: DataFrame, load: Callable[[], Orienter], threshold: float = rules.ORIENTATION_THRESHOLD) -> DataFrame:
     """orientation_correction_gen, ..._confidence_gen, ..._probs_gen (JSON of label and probability, likeliest first)."""
 
     def answer(model, crop):
-        p = (model.probabilities(crop, 4) if isinstance(model, StandIn) else model.probabilities(crop))
-        return (list(map(float, p)),)
+        return (list(map(float, model.probabilities(crop))),)
 
     rows = _over(crops, "p array<double>", load, answer)
     return rows.select("id_detection", "id_pipeline_batch_item", rules.orientation(F.col("p"), threshold).alias("orientation_correction_gen"), F.array_max("p").alias("orientation_correction_confidence_gen"), F.to_json(rules.probabilities(F.col("p"), rules.ORIENTATION_LABELS)).alias("orientation_correction_probs_gen"))
 
 
-def caption(crops: DataFrame, prompts: DataFrame, load: Callable[[], Captioner] = StandIn) -> DataFrame:
-    """text and logprobs (JSON) of each crop with a prompt (id_detection, prompt). A call that fails gives "" and null."""
+def caption(crops: DataFrame, prompts: DataFrame, load: Callable[[], Captioner], attempts: int = 3) -> DataFrame:
+    """text and logprobs (JSON) of each crop with a prompt (id_detection, prompt). A call that fails is made again; the last failure
+    gives "" and null.
+    """
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         model = load()
         for pdf in batches:
             rows = []
             for i, item, png, prompt in pdf.itertuples(index=False):
-                try:
-                    said, logs = model.caption(images.decode_png(png), prompt)
-                except Exception:  # noqa: BLE001  the row says that it failed
-                    said, logs = "", None
+                said, logs = "", None
+                for _ in range(attempts):
+                    try:
+                        said, logs = model.caption(images.decode_png(png), prompt)
+                        break
+                    except Exception:  # noqa: BLE001  the row says that it failed
+                        continue
                 rows.append((i, item, said.strip(), None if logs is None else json.dumps(logs, separators=(",", ":"))))
             yield pd.DataFrame(rows, columns=["id_detection", "id_pipeline_batch_item", "text", "logprobs"])
 

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import io
 import tarfile
+import uuid
 from collections.abc import Iterator
 
 import pandas as pd
@@ -62,11 +63,38 @@ def pack_archive(names: list[str], data: list[bytes]) -> bytes:
     return gzip.compress(raw.getvalue(), 1, mtime=0)
 
 
+def crop_names(pdf: pd.DataFrame) -> list[str]:
+    return [f"{f.rsplit('.', 1)[0]}_{i}.png" for f, i in zip(pdf.scan_filename, pdf.id_detection, strict=True)]
+
+
 def crop_archives(crops_: DataFrame) -> DataFrame:
     """barcode, archive (binary) from barcode, scan_filename, id_detection, png. One volume is one file, so one row."""
 
     def run(pdf: pd.DataFrame) -> pd.DataFrame:
-        names = [f"{f.rsplit('.', 1)[0]}_{i}.png" for f, i in zip(pdf.scan_filename, pdf.id_detection, strict=True)]
-        return pd.DataFrame({"barcode": [pdf.barcode.iloc[0]], "archive": [pack_archive(names, list(pdf.png))]})
+        return pd.DataFrame({"barcode": [pdf.barcode.iloc[0]], "archive": [pack_archive(crop_names(pdf), list(pdf.png))]})
 
     return crops_.where("png is not null").groupBy("barcode").applyInPandas(run, "barcode string, archive binary")
+
+
+def write_archives(crops_: DataFrame, out: str) -> None:
+    """Write OUT/item/barcode.tar.gz for each item; crops_ has id_pipeline_batch_item, barcode, scan_filename, id_detection, png.
+
+    An archive is written under a name of its own and then renamed, so a task that runs again replaces it as a whole.
+    """
+
+    def run(pdf: pd.DataFrame) -> pd.DataFrame:
+        from pyarrow import fs
+
+        item, barcode = int(pdf.id_pipeline_batch_item.iloc[0]), pdf.barcode.iloc[0]
+        store, base = fs.FileSystem.from_uri(out) if "://" in out or out.startswith("file:") else (fs.LocalFileSystem(), out)
+        folder = f"{base.rstrip('/')}/{item}"
+        store.create_dir(folder, recursive=True)
+        draft = f"{folder}/.{uuid.uuid4().hex}"
+        data = pack_archive(crop_names(pdf), list(pdf.png))
+        with store.open_output_stream(draft) as f:
+            f.write(data)
+        store.move(draft, f"{folder}/{barcode}.tar.gz")
+        return pd.DataFrame({"id_pipeline_batch_item": [item], "n": [len(pdf)], "bytes": [len(data)]})
+
+    told = crops_.where("png is not null").groupBy("id_pipeline_batch_item").applyInPandas(run, "id_pipeline_batch_item long, n long, bytes long")
+    told.agg(F.sum("n"), F.sum("bytes")).collect()

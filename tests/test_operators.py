@@ -11,6 +11,7 @@ from leafmill.operators.components import connected_components
 from leafmill.plans import stages
 from leafmill.sources import archives, schemas, sinks
 from leafmill.sources.derived import relation
+from tests.doubles import Orienter, StandIn
 
 
 def union_find(edges):
@@ -112,7 +113,7 @@ def test_neighbours(spark):
     want = {(i, j) for i in range(60) for j in range(i + 1, 60) if n[i] @ n[j] >= 0.86}
     for rows in (100, 13):
         assert {(r["i"], r["j"]) for r in embedding_dedupe.neighbours_exact(df, 0.86, None, rows).collect()} == want
-    got = {(r["i"], r["j"]) for r in embedding_dedupe.neighbours_hashed(df, 0.86).collect()}
+    got = {(r["i"], r["j"]) for r in embedding_dedupe.neighbours_indexed(df, 0.86, None).collect()}
     assert got <= want and union_find(got) == union_find(want)
     k = {(r["i"], r["j"]) for r in embedding_dedupe.neighbours_exact(df, -1.0, 3, 13).collect()}
     assert k == {(i, int(j)) for i in range(60) for j in np.argsort(-(n[i] @ n.T), kind="stable")[:3] if i < j}
@@ -183,13 +184,13 @@ def test_stages_and_archives(spark, tmp_path):
     items = spark.createDataFrame([(7, "vol"), (8, "missing")], "id_pipeline_batch_item long, barcode string")
     scans = archives.scans(spark, items, str(tmp_path / "in"))
     assert scans.where("bytes is not null").count() == 4 and scans.where("text = 'words'").count() == 1
-    found = stages.detect(scans).orderBy("scan_filename", "bbox_conf").collect()
+    found = stages.detect(scans, StandIn).orderBy("scan_filename", "bbox_conf").collect()
     det = spark.createDataFrame([(i, *r) for i, r in enumerate(found)], "id_detection long, id_pipeline_batch_item long, scan_filename string, bbox_xyxy array<double>, bbox_xywh array<double>, bbox_conf double")
     crops = stages.cut(det, scans)
     n = crops.where("png is not null").count()
-    assert stages.classify(crops).count() == stages.embed(crops).count() == stages.orient(crops).count() == n
-    assert stages.embed(crops).where("size(embedding) <> 512 or length(image_hash) <> 36").count() == 0
-    said = stages.caption(crops, crops.select("id_detection", F.lit("Describe.").alias("prompt")))
+    assert stages.classify(crops, StandIn).count() == stages.embed(crops, StandIn).count() == stages.orient(crops, Orienter).count() == n
+    assert stages.embed(crops, StandIn).where("size(embedding) <> 512 or length(image_hash) <> 36").count() == 0
+    said = stages.caption(crops, crops.select("id_detection", F.lit("Describe.").alias("prompt")), StandIn)
     assert said.where("text = ''").count() == 0 and said.count() == n
     made = archives.crop_archives(crops.withColumn("barcode", F.lit("vol"))).collect()
     assert sum(1 for r in made for _ in archives.members(r["archive"])) == n
