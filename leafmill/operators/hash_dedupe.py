@@ -9,7 +9,7 @@ from leafmill.functions import vectors
 from leafmill.operators.components import connected_components
 from leafmill.sources.staging import staged
 
-DIGITS, BAND_DIGITS, THRESHOLD, MAX_BUCKET = 36, 6, 16, 20_000
+DIGITS, BAND_DIGITS, THRESHOLD = 36, 6, 16
 
 
 def valid(hashes: DataFrame, digits: int = DIGITS, invalid: str = "exclude") -> DataFrame:
@@ -24,9 +24,9 @@ def banded(hashes: DataFrame, digits: int = DIGITS, band_digits: int = BAND_DIGI
     return valid(hashes, digits, invalid).select("id", "h", F.inline(vectors.bands(F.col("h"), digits, band_digits)))
 
 
-def bucketed(bands: DataFrame, max_bucket: int | None = MAX_BUCKET) -> DataFrame:
+def bucketed(bands: DataFrame, max_bucket: int | None = None) -> DataFrame:
     """Rows of buckets of two members or more, with up to max_bucket different hashes. A bucket with more gives no pairs
-    of its own; None takes all, as the registered queries do.
+    of its own; None takes all.
 
     Sizes are aggregated and joined, never windowed, so no bucket is gathered in one task.
     """
@@ -35,26 +35,32 @@ def bucketed(bands: DataFrame, max_bucket: int | None = MAX_BUCKET) -> DataFrame
     return bands.join(keep.select("band", "value"), ["band", "value"], "left_semi")
 
 
-def duplicate_pairs(hashes: DataFrame, threshold: int = THRESHOLD, digits: int = DIGITS, band_digits: int = BAND_DIGITS, max_bucket: int | None = MAX_BUCKET, invalid: str = "exclude") -> DataFrame:
-    """a, b (a < b) that share a band and differ in at most threshold bits, once each. hashes: id, h.
+def linked(hashes: DataFrame, threshold: int = THRESHOLD, digits: int = DIGITS, band_digits: int = BAND_DIGITS, max_bucket: int | None = None, invalid: str = "exclude") -> DataFrame:
+    """a, b (a < b), kind. hashes: id, h.
 
     Equal hashes are linked first and compared once: a hash's least id stands for it, and its other ids hang on that
-    one, however many they are. max_bucket counts different hashes.
+    one as "copy" rows, however many they are. "near" rows are those least ids that share a band and differ in at most
+    threshold bits, once each. max_bucket leaves out buckets of more different hashes; none is by default.
     """
     rows = staged(valid(hashes, digits, invalid), "hashes")
     least = staged(rows.groupBy("h").agg(F.min("id").alias("least")), "least")
-    copies = rows.join(least, "h").where("id > least").select(F.col("least").alias("a"), F.col("id").alias("b")).distinct()
+    copies = rows.join(least, "h").where("id > least").select(F.col("least").alias("a"), F.col("id").alias("b"), F.lit("copy").alias("kind")).distinct()
     one = staged(bucketed(banded(least.select(F.col("least").alias("id"), "h"), digits, band_digits), max_bucket), "buckets")
     x, y = one.alias("x"), one.alias("y")
     met = x.join(y, (F.col("x.band") == F.col("y.band")) & (F.col("x.value") == F.col("y.value")) & (F.col("x.id") < F.col("y.id")))
     near = met.where(vectors.hamming(F.col("x.h"), F.col("y.h"), digits) <= threshold).select(F.col("x.id").alias("a"), F.col("y.id").alias("b")).distinct()
-    return near.union(copies)
+    return near.withColumn("kind", F.lit("near")).unionByName(copies)
+
+
+def duplicate_pairs(hashes: DataFrame, **kw) -> DataFrame:
+    """a, b of linked(): enough to group all ids."""
+    return linked(hashes, **kw).select("a", "b")
 
 
 def all_pairs(hashes: DataFrame, **kw) -> DataFrame:
     """duplicate_pairs with every pair of equal hashes written out, for reports on small tables."""
     digits = kw.get("digits", DIGITS)
-    seen = bucketed(banded(hashes, digits, kw.get("band_digits", BAND_DIGITS), kw.get("invalid", "exclude")), kw.get("max_bucket", MAX_BUCKET))
+    seen = bucketed(banded(hashes, digits, kw.get("band_digits", BAND_DIGITS), kw.get("invalid", "exclude")), kw.get("max_bucket"))
     met = seen.alias("x").join(seen.alias("y"), ["band", "value"]).where("x.id < y.id")
     return met.where(vectors.hamming(F.col("x.h"), F.col("y.h"), digits) <= kw.get("threshold", THRESHOLD)).select(F.col("x.id").alias("a"), F.col("y.id").alias("b")).distinct()
 

@@ -8,14 +8,29 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from leafmill.functions import rules, text
+from leafmill.operators.control import numbered
+from leafmill.operators.quantiles import quantiles
+from leafmill.sources.staging import staged
 
 
 def summary(x: Column, prefix: str = "", total: bool = False) -> list[Column]:
-    """count, mean, median, min, max, population deviation; nulls don't count."""
-    out = [F.count(x).alias(f"{prefix}count"), F.avg(x).alias(f"{prefix}mean"), F.median(x).alias(f"{prefix}median"), F.min(x).alias(f"{prefix}min"), F.max(x).alias(f"{prefix}max"), F.stddev_pop(x).alias(f"{prefix}std")]
+    """count, mean, (room for the) median, min, max, population deviation; nulls don't count."""
+    out = [F.count(x).alias(f"{prefix}count"), F.avg(x).alias(f"{prefix}mean"), F.lit(None).cast("double").alias(f"{prefix}median"), F.min(x).alias(f"{prefix}min"), F.max(x).alias(f"{prefix}max"), F.stddev_pop(x).alias(f"{prefix}std")]
     return out + ([F.sum(x).alias(f"{prefix}total")] if total else [])
 
 
+def with_quantiles(row: DataFrame, df: DataFrame, asked: dict[str, tuple[Column, float]]) -> DataFrame:
+    """The one-row frame with its columns of these names filled with exact quantiles of df, which are found first, by histograms."""
+    found = quantiles(df, asked)
+    return row.select(*[F.lit(found[c]).cast("double").alias(c) if c in found else F.col(c) for c in row.columns])
+
+
+def summaries(df: DataFrame, columns: dict[str, Column], *more: Column, total: tuple[str, ...] = ()) -> DataFrame:
+    """summary() of each column by its prefix, in one row, medians included."""
+    row = df.agg(*[a for p, x in columns.items() for a in summary(x, p, p in total)], *more)
+    return with_quantiles(row, df, {f"{p}median": (x, 0.5) for p, x in columns.items()})
+
+
 def table_counts(tables: dict[str, DataFrame]) -> DataFrame:
     return reduce(DataFrame.unionByName, [df.agg(F.count("*").alias("n")).select(F.lit(name).alias("table_name"), "n") for name, df in sorted(tables.items())])
 
@@ -26,12 +41,12 @@ def class_distribution(classification: DataFrame) -> DataFrame:
 
 
 def confidence(df: DataFrame, column: str) -> DataFrame:
-    return df.agg(*summary(F.col(column)))
+    return summaries(df, {"": F.col(column)})
 
 
 def crop_dimensions(detection: DataFrame) -> DataFrame:
     box = detection.where(F.size("bbox_xywh") == 4).select(F.col("bbox_xywh")[2].alias("w"), F.col("bbox_xywh")[3].alias("h"))
-    return box.agg(*summary(F.col("w"), "width_"), *summary(F.col("h"), "height_"), *summary(F.col("w") * F.col("h"), "area_"))
+    return summaries(box, {"width_": F.col("w"), "height_": F.col("h"), "area_": F.col("w") * F.col("h")})
 
 
 def captions(caption: DataFrame, tokens: Column | None = None) -> DataFrame:
@@ -39,10 +54,12 @@ def captions(caption: DataFrame, tokens: Column | None = None) -> DataFrame:
     t = caption.where(F.coalesce("text", F.lit("")) != "")
     cols = [F.length("text").alias("chars"), text.words(F.col("text")).alias("words")] + ([tokens.alias("tokens")] if tokens is not None else [])
     t = t.select(*cols)
-    out = summary(F.col("chars"), "chars_") + summary(F.col("words"), "words_")
-    if tokens is not None:
-        out += summary(F.col("tokens"), "tokens_", True) + [F.avg(F.when(F.col("words") > 0, F.col("tokens") / F.col("words"))).alias("tokens_per_word")]
-    return t.agg(*out)
+    lengths = {"chars_": F.col("chars"), "words_": F.col("words")}
+    if tokens is None:
+        return summaries(t, lengths)
+    t = staged(t, "lengths")  # tokens are dear, and looked at more than once
+    per_word = F.avg(F.when(F.col("words") > 0, F.col("tokens") / F.col("words"))).alias("tokens_per_word")
+    return summaries(t, lengths | {"tokens_": F.col("tokens")}, per_word, total=("tokens_",))
 
 
 def languages(df: DataFrame, column: str = "lang") -> DataFrame:
@@ -78,7 +95,7 @@ def batches(batch: DataFrame) -> DataFrame:
 
 def processing_minutes(batch: DataFrame) -> DataFrame:
     m = text.minutes(F.col("started_date"), F.col("ended_date"))
-    return batch.agg(*summary(F.when(m > 0, m)))
+    return summaries(batch, {"": F.when(m > 0, m)})
 
 
 def batches_by_node(batch: DataFrame) -> DataFrame:
@@ -118,12 +135,16 @@ def detections_per_item(items: DataFrame, detection: DataFrame, mode: str = "sum
     return each.groupBy("barcode").agg((F.sum("n") if mode == "sum" else F.max_by("n", "id_pipeline_batch_item")).alias("n"))
 
 
+PERCENTILES = (0.25, 0.5, 0.75, 0.9, 0.99)
+
+
 def detections_per_volume(items: DataFrame, detection: DataFrame, mode: str = "sum") -> DataFrame:
     n = F.col("n")
-    p = lambda q: F.percentile(n, F.lit(q))
-    return detections_per_item(items, detection, mode).agg(
+    each = detections_per_item(items, detection, mode)
+    row = each.agg(
         F.count("*").alias("volumes_processed"), F.coalesce(F.sum(n), F.lit(0)).alias("total_detections"), *summary(n)[1:], F.count_if(n == 0).alias("volumes_with_zero"),
-        F.count_if(n > 100).alias("volumes_with_over_100"), p(0.25).alias("p25"), p(0.5).alias("p50"), p(0.75).alias("p75"), p(0.9).alias("p90"), p(0.99).alias("p99"))
+        F.count_if(n > 100).alias("volumes_with_over_100"), *[F.lit(None).cast("double").alias(f"p{round(100 * q)}") for q in PERCENTILES])
+    return with_quantiles(row, each, {"median": (n, 0.5)} | {f"p{round(100 * q)}": (n, q) for q in PERCENTILES})
 
 
 def tokens(counts: DataFrame, column: str = "n") -> DataFrame:
@@ -153,10 +174,22 @@ def failures(detection: DataFrame, classification: DataFrame, caption: DataFrame
     return rows.agg(F.count("*").alias("detections"), F.count_if(F.col("pred_class").isNull()).alias("failed_classifications"), F.count_if(~F.coalesce(F.col("pred_class").isin(*rules.UNCAPTIONED_CLASSES), F.lit(False)) & text.blank(F.col("text"))).alias("failed_captions"))
 
 
+#: Keys of a range of running sums.
+SPAN = 1024
+
+
 def cumulative(df: DataFrame, key: str) -> DataFrame:
-    """key, n, running: rows so far in order of key. Keys are few (items of an export); rows are aggregated first."""
-    n = df.groupBy(key).agg(F.count("*").alias("n"))
-    return n.withColumn("running", F.sum("n").over(Window.orderBy(key).rowsBetween(Window.unboundedPreceding, 0)))
+    """key, n, running: rows so far in order of key. Ranges of keys are summed apart and offset by the sums before them."""
+    n = numbered(df.groupBy(key).agg(F.count("*").alias("n")), [key])
+    span = F.floor(F.col("ordinal") / SPAN)
+    parts = n.groupBy(span.alias("_span")).agg(F.sum("n").alias("_n"))
+    higher = parts.groupBy(F.floor(F.col("_span") / SPAN).alias("_high")).agg(F.sum("_n").alias("_n"))
+    # sums of sums: the one window without a partition has a row for 2^20 keys
+    high = higher.select("_high", (F.sum("_n").over(Window.orderBy("_high")) - F.col("_n")).alias("_h"))
+    low = parts.select("_span", F.floor(F.col("_span") / SPAN).alias("_high"), (F.sum("_n").over(Window.partitionBy(F.floor(F.col("_span") / SPAN)).orderBy("_span")) - F.col("_n")).alias("_l"))
+    before = low.join(high, "_high").select("_span", (F.col("_l") + F.col("_h")).alias("_before"))
+    own = F.sum("n").over(Window.partitionBy("_span").orderBy(key))
+    return n.withColumn("_span", span).join(before, "_span").select(key, "n", (F.col("_before") + own).alias("running"))
 
 
 def all_statistics(tables: dict[str, DataFrame], skip_slow: bool = False) -> DataFrame:

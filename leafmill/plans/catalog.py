@@ -486,9 +486,13 @@ def hash_bands(t, *_):
     return hash_dedupe.banded(t["image_hash"].select(F.col("id_imagehash").alias("id"), F.col("image_hash").alias("h"))).select("id", "band", "value")
 
 
-@query(f", {BANDS}, {PAIRS} select a, b from pairs", "image_hash")
+LEAST = "least as (select image_hash as h, min(id_imagehash) as id from image_hash where regexp_matches(image_hash, '^[0-9a-fA-F]{36}$') group by image_hash)"
+
+
+@query(f", {LEAST}, {BANDS}, {PAIRS.replace('where', 'where x.id in (select id from least) and y.id in (select id from least) and')} select a, b, 'near' as kind from pairs union all select l.id, i.id_imagehash, 'copy' from image_hash i join least l on l.h = i.image_hash where i.id_imagehash > l.id", "image_hash")
 def hash_pairs(t, *_):
-    return hash_dedupe.all_pairs(t["image_hash"].select(F.col("id_imagehash").alias("id"), F.col("image_hash").alias("h")), max_bucket=None)
+    """Near pairs of the least ids of equal hashes, and the other ids of each: rows grow with the table, not with the square of a group."""
+    return hash_dedupe.linked(t["image_hash"].select(F.col("id_imagehash").alias("id"), F.col("image_hash").alias("h")), max_bucket=None)
 
 
 @query(("" + f", {BANDS}, {PAIRS}, {COMPONENTS} select g.id as hash_id, group_id, id_pipeline_batch_item, id_detection, image_hash from groups g join image_hash h on h.id_imagehash = g.id"), "image_hash")

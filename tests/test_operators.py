@@ -83,6 +83,12 @@ def test_bucket_bound(spark):
     assert hash_dedupe.all_pairs(df, max_bucket=None, threshold=144).count() == 15
 
 
+def test_linked_rows_grow_with_the_table(spark):
+    df = spark.createDataFrame([(i, "0" * 36) for i in range(40)] + [(100 + i, "0" * 35 + "1") for i in range(40)] + [(0, "0" * 36)], "id long, h string")
+    got = {tuple(r) for r in hash_dedupe.linked(df).collect()}
+    assert got == {(0, 100, "near")} | {(0, i, "copy") for i in range(1, 40)} | {(100, 100 + i, "copy") for i in range(1, 40)}
+
+
 def test_copies_are_linked_whatever_their_number(spark):
     hs = ["0" * 36] * 8 + ["0" * 35 + "1", "f" * 36]
     df = spark.createDataFrame(list(enumerate(hs)), "id long, h string")
@@ -93,9 +99,6 @@ def test_copies_are_linked_whatever_their_number(spark):
 def test_hash_queries_have_no_bucket_bound(spark, monkeypatch):
     from leafmill.plans import catalog
 
-    for f in (hash_dedupe.bucketed, hash_dedupe.duplicate_pairs):  # a low bound where nothing else is said
-        monkeypatch.setattr(f, "__defaults__", tuple(2 if x == hash_dedupe.MAX_BUCKET else x for x in f.__defaults__))
-    monkeypatch.setattr(hash_dedupe, "MAX_BUCKET", 2)
     rows = [(i, f"{i:06x}" + "0" * 30, i, i) for i in (1, 3, 7, 15)]  # every two share bands and differ in at most three bits
     hashes = spark.createDataFrame(rows, "id_imagehash long, image_hash string, id_pipeline_batch_item long, id_detection long")
     monkeypatch.setattr(catalog, "relation", lambda *_: hashes)
