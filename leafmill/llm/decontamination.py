@@ -19,7 +19,7 @@ bounded but for one item. Memory of the walks doesn't depend on the items; an al
 and time with its square. Documents are never shuffled. Cases: null or empty texts and items match nothing; items too
 short for an edit match verbatim; equal items and items that share an id each report; repeated rows each report; of
 several places of an item the one of least edits, then the first, is told; a long text is read whole in overlapping
-slices; empty tables give no row; extra columns are ignored.
+slices, but for the middle of periodic runs, which holds nothing that their beginning doesn't; empty tables give no row; extra columns are ignored.
 """
 
 from __future__ import annotations
@@ -40,6 +40,8 @@ REPEATS, TABLES, MOST_SAMPLED, SEED = 8, 6, 4, 5
 PIECE, RECALL = 96, 0.98
 BLOCK_BYTES, SLICE = 4 << 20, 4 << 20
 BITS = 22
+#: Hits by places of an item that are looked at together; the longest period of a run that is cut short.
+PAIRS, PERIODS = 1 << 20, 256
 _MIX = np.uint64(0x9E3779B97F4A7C15)
 
 
@@ -149,6 +151,50 @@ def together(starts: list[int], m: int) -> list[tuple[int, int]]:
     return out
 
 
+def squeezed(b: np.ndarray, reach: int, longest: int = PERIODS) -> tuple[np.ndarray, list[tuple[int, int]]]:
+    """b without the middle of long periodic runs, and the cuts (place in what is left, bytes gone), in order.
+
+    A stretch of up to reach bytes within such a run stands in its beginning as well, and one that begins or ends outside
+    is kept, so the same stretches are left, each with its first place. Runs are looked for at places reach apart, by
+    periods up to longest.
+    """
+    n = len(b)
+    if n < 4 * reach + longest:
+        return b, []
+    g = grams(b)
+    spots = np.arange(reach, n - longest - Q, reach)
+    same = g[spots[:, None] + np.arange(1, longest + 1)] == g[spots][:, None]
+    cuts, done = [], 0
+    keeps: dict[int, np.ndarray] = {}
+    for row in np.flatnonzero(same.any(1)).tolist():
+        s = int(spots[row])
+        if s < done:
+            continue
+        for p in (np.flatnonzero(same[row]) + 1).tolist():
+            w = min(reach, n - s - p)
+            if not np.array_equal(b[s : s + w], b[s + p : s + p + w]):
+                continue
+            if p not in keeps:
+                keeps[p] = np.flatnonzero(b[p:] != b[:-p])
+            breaks = keeps[p]
+            at = int(np.searchsorted(breaks, s))
+            low = max(done, int(breaks[at - 1]) + 1 if at else 0)
+            high = int(breaks[at]) + p if at < len(breaks) else n
+            gone = (high - low - 2 * reach - 2 * p) // p * p
+            if gone > 0:
+                cuts.append((low + reach + p, gone))
+                done = high - reach
+                break
+    if not cuts:
+        return b, []
+    parts, told, last, total = [], [], 0, 0
+    for at, gone in cuts:
+        parts.append(b[last:at])
+        told.append((at - total, gone))
+        last, total = at + gone, total + gone
+    return np.concatenate([*parts, b[last:]]), told
+
+
 class Grams:
     """The grams of one size of a block of items."""
 
@@ -167,8 +213,10 @@ class Grams:
         self.votes = -(-self.need // (index.k + 1))
 
     def windows(self, b: np.ndarray) -> list[tuple[int, int]]:
-        """(item, start) of the diagonals that may hold a match, those with most grams first."""
-        size, k = self.index.size, self.index.k
+        """(item, start) of the diagonals that may hold a match, those with most grams first.
+
+        Where a text repeats a gram that an item repeats, hits by places are many; they are worked on PAIRS at a time.
+        """
         g = grams(b, self.q)
         hit = np.flatnonzero(self.seen[spot(g)])
         if not len(hit) or not len(self.gram):
@@ -176,6 +224,27 @@ class Grams:
         at = np.searchsorted(self.gram, g[hit]).clip(max=len(self.gram) - 1)
         ok = self.gram[at] == g[hit]
         hit, at = hit[ok], at[ok]
+        if not len(hit):
+            return []
+        ends = np.cumsum(self.many[at])
+        if ends[-1] <= PAIRS:
+            return self._diagonals(hit, at)
+        # a match is shorter than the reach, so it lies in one of the parts
+        found: dict[tuple[int, int], int] = {}
+        first = 0
+        while first < len(hit):
+            full = int(np.searchsorted(ends, (ends[first - 1] if first else 0) + PAIRS))
+            last = max(full, int(np.searchsorted(hit, hit[first] + 2 * self.index.reach)), first + 1)
+            for i, s, n in self._diagonals(hit[first:last], at[first:last], True):
+                found[i, s] = max(found.get((i, s), 0), n)
+            if last >= len(hit):
+                break
+            first = max(first + 1, int(np.searchsorted(hit, hit[last] - self.index.reach)))
+        return [pair for pair, _ in sorted(found.items(), key=lambda x: (-x[1], x[0]))]
+
+    def _diagonals(self, hit: np.ndarray, at: np.ndarray, told: bool = False) -> list[tuple]:
+        """(item, start), and the number of grams if told, for hits at these places of a text of these grams."""
+        size, k = self.index.size, self.index.k
         many = self.many[at]
         where = np.repeat(self.first[at] - np.concatenate([[0], np.cumsum(many)[:-1]]), many) + np.arange(many.sum())
         item, pos, place = self.item[where], np.repeat(hit, many), self.place[where]
@@ -202,6 +271,8 @@ class Grams:
         pair, n = np.unique(np.stack([item[held], pos[held] - place[held]]), axis=1, return_counts=True)
         keep = n >= self.votes[pair[0]]
         pair, n = pair[:, keep], n[keep]
+        if told:
+            return list(zip(pair[0].tolist(), pair[1].tolist(), n.tolist(), strict=True))
         return [(int(i), int(s)) for i, s in pair[:, np.argsort(-n, kind="stable")].T]
 
 
@@ -254,7 +325,7 @@ class Index:
         for n in self.short:
             if self.texts[n] and (at := text.find(self.texts[n])) >= 0:
                 out[n] = (0, at)
-        whole = np.frombuffer(text, np.uint8)
+        whole, cuts = squeezed(np.frombuffer(text, np.uint8), self.reach)
         for lo in range(0, max(1, len(whole)), SLICE):
             b = whole[max(0, lo - self.reach) : lo + SLICE]
             base = max(0, lo - self.reach)
@@ -275,7 +346,7 @@ class Index:
                         out[item] = min(out.get(item, found), found)
                     if d == 0:
                         break
-        return out
+        return {n: (d, at + sum(gone for place, gone in cuts if place <= at)) for n, (d, at) in out.items()} if cuts else out
 
 
 def blocks(benchmark: DataFrame, most: int = BLOCK_BYTES) -> Iterator[list[tuple]]:

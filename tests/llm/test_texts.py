@@ -1,5 +1,6 @@
 """Line rules, PII, URLs, packing, decontamination."""
 
+import random
 import re
 import zlib
 
@@ -235,3 +236,43 @@ def test_alignment():
 def test_every_query_is_registered():
     names = set(queries())
     assert {int(n[2:].split("_")[0]) for n in names} == set(range(1, 11)) and set(oracle_sql()) <= names
+
+
+def repetitive(seed):
+    r = random.Random(seed)
+    unit = "".join(r.choice("-= ab") for _ in range(r.choice([1, 2, 3, 7, 40]))).strip() or "-"
+    item = f"before {unit * (60 // len(unit))} behind it"
+    runs = unit * r.randint(20, 4000 // len(unit))
+    said = list(item)
+    for _ in range(r.randint(0, 9)):
+        said[r.randrange(len(said))] = r.choice("-xy")
+    text = r.choice(["", "start "]) + runs + r.choice(["", "zz"]) + "".join(said) + runs[: r.randint(0, len(runs))] + r.choice(["", item[10:]]) + unit * r.randint(0, 900 // len(unit))
+    return item, text
+
+
+@pytest.mark.parametrize("seed", range(30))
+def test_repetitive_texts_as_every_stretch(monkeypatch, seed):
+    item, text = repetitive(seed)
+    x, t = decontamination.normal(item), decontamination.normal(text)
+    index = decontamination.Index([(1, x)])
+    best = brute(x, t)
+    want = {0: best} if best <= decontamination.allowed(len(x)) else {}
+    got = index.search(t)
+    assert {k: d for k, (d, _) in got.items()} == want
+    monkeypatch.setattr(decontamination, "squeezed", lambda b, *_: (b, []))
+    plain = index.search(t)
+    assert {k: d for k, (d, _) in plain.items()} == want
+    monkeypatch.setattr(decontamination, "PAIRS", 300)
+    assert {k: d for k, (d, _) in index.search(t).items()} == want
+
+
+def test_megabytes_of_ruled_lines_take_little():
+    import resource
+    import time
+
+    item = b"the table below " + b"-" * 100 + b" shows the figures"
+    index = decontamination.Index([(1, item), (2, b"- " * 60)])
+    before, began = resource.getrusage(resource.RUSAGE_SELF).ru_maxrss, time.time()
+    half = b"-" * 2_000_000
+    assert index.search(half + item.replace(b"---", b"-x-", 2) + half) == {0: (2, 2_000_000)}
+    assert time.time() - began < 30 and resource.getrusage(resource.RUSAGE_SELF).ru_maxrss - before < 300 * 1024
