@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+from functools import cache
+
+from pyspark import SparkContext
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
@@ -28,6 +31,21 @@ LANGUAGES = {
 }
 
 
+@cache
+def codes() -> dict[str, str]:
+    """Two-letter code -> ISO 639-3, of all languages that the JVM knows."""
+    locale = SparkContext._active_spark_context._jvm.java.util.Locale
+    return {c: locale(c).getISO3Language() for c in locale.getISOLanguages()}
+
+
+@cache
+def language_names() -> dict[str, str]:
+    """English name, two-letter or three-letter code -> ISO 639-3: the fixed names first, then those that the JVM knows."""
+    locale = SparkContext._active_spark_context._jvm.java.util.Locale
+    named = {locale(c).getDisplayLanguage(locale.ENGLISH): three for c, three in codes().items()}
+    return named | codes() | {three: three for three in codes().values()} | LANGUAGES
+
+
 def lookup(table: dict[str, str], key: Column, default: Column | None = None) -> Column:
     m = F.create_map(*[F.lit(x) for kv in table.items() for x in kv])
     got = F.try_element_at(m, key)
@@ -51,12 +69,14 @@ def if_captioned(exported: Column, value: Column) -> Column:
 
 
 def language_code(name: Column) -> Column:
-    return lookup(LANGUAGES, name)
+    """ISO 639-3 of a language's English name or code; null for an unknown one."""
+    return lookup(language_names(), name)
 
 
 def language_name(code: Column) -> Column:
     """Name of a code; English for any other."""
-    return lookup({v: k for k, v in LANGUAGES.items()}, code, F.lit("English"))
+    named = {v: k for k, v in language_names().items() if len(k) > 3 or k in LANGUAGES}
+    return lookup(named | {v: k for k, v in LANGUAGES.items()}, code, F.lit("English"))
 
 
 def music(label: Column, confidence: Column, language: Column, text: Column, keywords: dict[str, list[str]], threshold: float = MUSIC_THRESHOLD) -> Column:

@@ -4,8 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-import pandas as pd
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from leafmill.functions import languages, rules, text, thesaurus, tokens
@@ -21,21 +20,18 @@ def thesaurus_counts(caption: DataFrame, thesaurus_: DataFrame, key: str = "id_c
     return by.select(key, "category", F.explode("own").alias("term", "n")).groupBy(key, "category", "term").agg(F.sum("n").alias("n"))
 
 
-def backfill(caption: DataFrame, thesaurus_: DataFrame | None = None, detect: Callable[[pd.Series], pd.Series] | None = None, force: bool = False, limit: int | None = None) -> DataFrame:
+def backfill(caption: DataFrame, thesaurus_: DataFrame | None = None, detect: Callable[[Column], Column] | None = None, force: bool = False, limit: int | None = None) -> DataFrame:
     """caption with lang_detected, linear_prob and thesaurus_matches (JSON) worked out where pending.
 
-    detect gives ISO 639-3 codes for a series of texts; without it, function words decide. Blank texts and unsure ones are
+    detect gives ISO 639-3 codes for a column of texts, as a detector of trigram profiles does; without it, function words decide. Blank texts and unsure ones are
     null. Rows that aren't pending pass through.
     """
     todo = F.lit(True) if force else F.col("lang_detected").isNull()
     pending = caption.where(todo) if limit is None else caption.where(todo).limit(limit)
     rest = caption.where(~todo) if limit is None else caption.join(pending.select("id_caption"), "id_caption", "left_anti")
     out = pending.withColumn("linear_prob", rules.linear_probability(F.col("logprobs")))
-    if detect is None:
-        out = out.withColumn("lang_detected", F.when(~text.blank(F.col("text")), languages.detected(F.col("text"))))
-    else:
-        told = F.pandas_udf(detect, "string")
-        out = out.withColumn("lang_detected", F.when(~text.blank(F.col("text")), told(F.coalesce("text", F.lit("")))))
+    found = (languages.detected if detect is None else detect)(F.col("text"))
+    out = out.withColumn("lang_detected", F.when(~text.blank(F.col("text")), found))
     if thesaurus_ is not None:
         out = out.withColumn("thesaurus_matches", F.to_json(thesaurus.matches(F.col("text"), thesaurus_)))
     return out.select(*caption.columns).unionByName(rest.select(*caption.columns))

@@ -8,10 +8,12 @@ from collections.abc import Callable
 from pyspark.sql import SparkSession
 from pyspark.sql import functions as F
 
+from leafmill.functions import language_profiles, rules
 from leafmill.operators import backfill, browse, control, embedding_dedupe, export, hash_dedupe, statistics, views
-from leafmill.plans import execution, steps
+from leafmill.plans import execution, stages, steps
 from leafmill.plans.steps import load, table
-from leafmill.sources import schemas, sinks
+from leafmill.sources import archives, schemas, shards, sinks
+from leafmill.sources.snapshots import put_if_absent, read_text
 from leafmill.sources.staging import drop_staged, staged
 
 COMMANDS: dict[str, tuple[Callable, Callable | None]] = {}
@@ -119,7 +121,14 @@ def create_view(spark, a):
     views.filtered_dataset(load(spark, a.root)).write.mode("overwrite").parquet(a.out)
 
 
+@command("train-languages", lambda p: (p.add_argument("source", help="Parquet table of text and lang"), p.add_argument("--profiles", required=True)))
+def train_languages(spark, a):
+    """Learn trigram profiles from texts of known language."""
+    put_if_absent(spark, a.profiles, language_profiles.saved(language_profiles.train(spark.read.parquet(a.source))))
+
+
 def _backfill(p):
+    p.add_argument("--profiles", help="file of language profiles; without it function words decide")
     p.add_argument("--thesaurus")
     p.add_argument("--skip-thesaurus", action="store_true")
     p.add_argument("--force", action="store_true")
@@ -128,8 +137,9 @@ def _backfill(p):
 
 @command("backfill", _backfill)
 def run_backfill(spark, a):
+    detect = language_profiles.detector(language_profiles.loaded(read_text(spark, a.profiles)), rules.codes()) if a.profiles else None
     thesaurus = spark.read.parquet(a.thesaurus) if a.thesaurus and not a.skip_thesaurus else None
-    table(spark, a.root, "caption").change(lambda c: backfill.backfill(c, thesaurus, None, a.force, a.limit))
+    table(spark, a.root, "caption").change(lambda c: backfill.backfill(c, thesaurus, detect, a.force, a.limit))
 
 
 def _out(p):
@@ -150,27 +160,46 @@ def stats(spark, a):
 def _export(p):
     _out(p)
     p.add_argument("--kind", choices=["hub", "store"], default="hub")
-    p.add_argument("--shard-size", type=int, default=5000)
+    p.add_argument("--shard-size", type=int, default=shards.SHARD_ROWS)
+    p.add_argument("--row-group-size", type=int, default=shards.GROUP_ROWS)
     p.add_argument("--classification-threshold", type=float, default=0.70)
     p.add_argument("--music-keywords", help="JSON file of language code to keywords")
+    p.add_argument("--skip-music-reclassification", action="store_true")
+    p.add_argument("--crops", help="folder of the archives of crops; elements without one become dead letters")
     p.add_argument("--chunk-index", type=int, default=0)
     p.add_argument("--total-chunks", type=int, default=1)
+    p.add_argument("--prefix", default="shard", help="first part of a store's file names")
+    p.add_argument("--sample", type=int, help="a seeded sample of so many items")
+    p.add_argument("--limit", type=int, help="the first items only")
+    p.add_argument("--dry-run", action="store_true")
 
 
 @command("export", _export)
 def run_export(spark, a):
-    """Write records that aren't there yet, by split for a hub."""
+    """Write the shards of records that aren't there yet, by split for a hub."""
     words = None
-    if a.music_keywords:
+    if a.music_keywords and not a.skip_music_reclassification:
         import json
 
         words = json.loads("\n".join(r.value for r in spark.read.text(a.music_keywords).collect()))
     v = views.filtered_dataset(load(spark, a.root))
+    items = v.select(F.col("pipeline_batch_item_id").alias("id")).distinct()
     if a.total_chunks > 1:
-        part = control.chunk(v.select(F.col("pipeline_batch_item_id").alias("id")).distinct(), a.chunk_index, a.total_chunks)
-        v = v.join(part.withColumnRenamed("id", "pipeline_batch_item_id"), "pipeline_batch_item_id", "left_semi")
-    r = export.records(v, a.kind, a.classification_threshold, words)
-    sinks.resume_shards(spark, export.with_split(r) if a.kind == "hub" else r, a.out, shard_size=a.shard_size, by_split=a.kind == "hub")
+        items = control.chunk(items, a.chunk_index, a.total_chunks)
+    if a.sample is not None:
+        items = export.sample(items, a.sample, "id")
+    if a.limit is not None:
+        items = items.orderBy("id").limit(a.limit)
+    v = v.join(items.withColumnRenamed("id", "pipeline_batch_item_id"), "pipeline_batch_item_id", "left_semi")
+    crops = archives.crops(spark, a.crops, v).select("id_detection", "png") if a.crops else None
+    r = export.records(v, a.kind, a.classification_threshold, words, crops=crops)
+    if crops is not None:
+        r = stages.turned(r)
+        if not a.dry_run:
+            sinks.write_dead_letters(export.missing_crops(v, crops), f"{a.out}_failed_crops")
+    hub = a.kind == "hub"
+    plan = shards.planned(r, a.shard_size, hub, None if hub else a.prefix, a.chunk_index if a.total_chunks > 1 else None)
+    print(shards.write_shards(spark, plan, a.out, a.row_group_size, a.dry_run))
 
 
 @command("atlas", lambda p: (_out(p), p.add_argument("--sample", type=int, default=10_000)))

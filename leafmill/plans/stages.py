@@ -8,6 +8,7 @@ from typing import Protocol
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -141,3 +142,22 @@ def caption(crops: DataFrame, prompts: DataFrame, load: Callable[[], Captioner],
 
     rows = crops.where("png is not null").join(prompts, "id_detection").select("id_detection", "id_pipeline_batch_item", "png", "prompt")
     return rows.mapInPandas(run, "id_detection long, id_pipeline_batch_item long, text string, logprobs string")
+
+
+def turned(records: DataFrame) -> DataFrame:
+    """Export records with their crops turned upright where rotated says so; a crop that can't be read stays. rotated goes."""
+
+    @F.arrow_udf("binary")
+    def turn(png: pa.Array, correction: pa.Array) -> pa.Array:
+        out = []
+        for data, how in zip(png.to_pylist(), correction.to_pylist(), strict=True):
+            try:
+                out.append(images.encode_png(images.rotate(images.decode_png(data), how)) if how else data)
+            except Exception:  # noqa: BLE001
+                out.append(data)
+        return pa.array(out, pa.binary())
+
+    hub = "struct" in dict(records.dtypes)["crop_gen"]
+    png = F.col("crop_gen.bytes") if hub else F.col("crop_gen")
+    made = turn(png, F.when(F.col("rotated"), F.col("orientation_correction_gen")))
+    return records.withColumn("crop_gen", F.struct(made.alias("bytes"), F.col("crop_gen.path").alias("path")) if hub else made).drop("rotated")

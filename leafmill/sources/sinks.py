@@ -1,12 +1,10 @@
-"""Writers: replace by key, resume, shards, dead letters, statistics."""
+"""Writers: replace by key, dead letters, statistics."""
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from leafmill.sources.staging import staged
-
 
 def replaced(old: DataFrame, fresh: DataFrame, key: str = "id_pipeline_batch_item", keys: DataFrame | None = None) -> DataFrame:
     """old without the rows of the keys redone, and fresh. keys defaults to those of fresh; name them where a redone key may have no row."""
@@ -19,29 +17,6 @@ def cascade(table: DataFrame, gone: DataFrame, key: str = "id_detection") -> Dat
     return table.join(gone.select(key).distinct(), key, "left_anti")
 
 
-def overwrite(spark: SparkSession, df: DataFrame, path: str) -> None:
-    """Replace a table that df itself may read: staged first, so that its source outlives the write."""
-    staged(df, "overwrite").write.mode("overwrite").parquet(path)
-
-
-def write_shards(records: DataFrame, path: str, shard_size: int = 5000, by_split: bool = True) -> None:
-    """Parquet by split, at most shard_size rows a file."""
-    out = records.write.mode("append").option("maxRecordsPerFile", shard_size).option("compression", "zstd")
-    (out.partitionBy("split") if by_split else out).parquet(path)
-
-
-def resume_shards(spark: SparkSession, records: DataFrame, path: str, **kw) -> None:
-    """Write what isn't there yet, by id. Each id is written once, however often this runs."""
-    try:
-        done = spark.read.parquet(path).select("id")
-    except Exception as e:  # noqa: BLE001
-        if "PATH_NOT_FOUND" not in str(e) and "UNABLE_TO_INFER_SCHEMA" not in str(e):
-            raise
-        done = None
-    todo = records if done is None else records.join(done, "id", "left_anti")
-    write_shards(staged(todo, "todo"), path, **kw)
-
-
 def write_dead_letters(rows: DataFrame, path: str) -> None:
     rows.withColumn("at", F.current_timestamp()).write.mode("append").json(path)
 
@@ -53,9 +28,3 @@ def write_json(df: DataFrame, path: str) -> None:
 def add_columns(df: DataFrame, columns: dict[str, str]) -> DataFrame:
     """df with columns that aren't there yet, null."""
     return df.withColumns({c: F.lit(None).cast(t) for c, t in columns.items() if c not in df.columns})
-
-
-def create_tables(spark: SparkSession, path: str, schemas: dict[str, str]) -> None:
-    """Empty Parquet tables where there are none."""
-    for name, ddl in schemas.items():
-        spark.createDataFrame([], ddl).write.mode("ignore").parquet(f"{path}/{name}")

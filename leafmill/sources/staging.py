@@ -31,6 +31,11 @@ def _own_dir(spark: SparkSession) -> str:
     return f"{shared_dir(spark).rstrip('/')}/staged/{spark.sparkContext.applicationId}"
 
 
+def fresh(spark: SparkSession, tag: str) -> str:
+    """A folder of the application's that nothing is in yet."""
+    return f"{_own_dir(spark)}/{tag}-{uuid.uuid4().hex}"
+
+
 @contextmanager
 def _shuffles_go(spark: SparkSession):
     before = spark.conf.get(CLEAN_UP, "false")
@@ -49,7 +54,7 @@ def staged(df: DataFrame, tag: str = "t") -> DataFrame:
     files that only this write needed are removed with it; release() removes the table itself.
     """
     spark = df.sparkSession
-    path = f"{_own_dir(spark)}/{tag}-{uuid.uuid4().hex}"
+    path = fresh(spark, tag)
     schema = df.schema
     with _shuffles_go(spark):
         df.write.option("compression", "zstd").parquet(path)

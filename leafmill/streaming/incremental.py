@@ -7,8 +7,7 @@ from collections.abc import Callable, Iterator
 import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.streaming import StreamingQuery
-from pyspark.sql.streaming.state import GroupState, GroupStateTimeout
+from pyspark.sql.streaming import StatefulProcessor, StatefulProcessorHandle, StreamingQuery
 
 
 def files(spark: SparkSession, path: str, schema, most_files: int = 100) -> DataFrame:
@@ -35,32 +34,93 @@ def windowed(stream: DataFrame, ts: str = "ts", width: str = "1 hour", late: str
     return stream.withWatermark(ts, late).groupBy(F.window(ts, width).alias("w"), by).agg(F.count("*").alias("n"), F.sum(value).alias("total"))
 
 
-def _lease(key: tuple, rows: Iterator[pd.DataFrame], state: GroupState, seconds: int) -> Iterator[pd.DataFrame]:
-    """States of a batch: a claim takes a free batch; a release or the end of time frees it."""
-    (batch,) = key
-    if state.hasTimedOut:
-        state.remove()
-        yield pd.DataFrame({"id_pipeline_batch": [batch], "node": [None], "said": ["expired"]})
-        return
-    out = []
-    for r in pd.concat(list(rows)).sort_values("ts").itertuples():
-        holder = state.get[0] if state.exists else None
-        if r.action == "claim":
-            won = holder is None
-            if won:
-                state.update((r.node,))
-                state.setTimeoutDuration(seconds * 1000)
-            out.append((batch, r.node, "granted" if won else "refused"))
-        elif r.action == "release" and holder == r.node:
-            state.remove()
-            out.append((batch, r.node, "released"))
-    yield pd.DataFrame(out, columns=["id_pipeline_batch", "node", "said"])
-
-
-def leases(requests: DataFrame, seconds: int = 3600) -> DataFrame:
-    """Decisions on claims and releases of batches: id_pipeline_batch, node, said. requests: id_pipeline_batch, node, action, ts."""
-
-    def run(key, rows, state):
-        yield from _lease(key, rows, state, seconds)
-
-    return requests.groupBy("id_pipeline_batch").applyInPandasWithState(run, "id_pipeline_batch long, node string, said string", "node string", "append", GroupStateTimeout.ProcessingTimeTimeout)
+STATE_STORE = "spark.sql.streaming.stateStore.providerClass"
+ROCKS = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
+DECIDED = "id_pipeline_batch long, node string, said string, ts timestamp"
+
+
+def once(stream: DataFrame, key: str, ts: str = "ts", late: str = "2 hours") -> DataFrame:
+    """Rows delivered again within the time that rows may be late count once."""
+    return stream.withWatermark(ts, late).dropDuplicatesWithinWatermark([key])
+
+
+class LeaseProcessor(StatefulProcessor):
+    """One batch: a claim takes it while it is free, a release by its holder or the end of its time frees it.
+
+    Requests of one delivery are taken by time, then node. By "event" time a claim is over when a later request says so.
+    By "processing" time a timer frees the batch and tells, whether or not a request comes.
+    """
+
+    def __init__(self, seconds: int, clock: str):
+        self.seconds, self.clock = seconds, clock
+
+    def init(self, handle: StatefulProcessorHandle) -> None:
+        self.handle = handle
+        self.holder = handle.getValueState("holder", "node string, until long, timer long")
+
+    def _free(self) -> None:
+        _, _, timer = self.holder.get()
+        if timer is not None:
+            self.handle.deleteTimer(timer)
+        self.holder.clear()
+
+    def handleInputRows(self, key, rows: Iterator[pd.DataFrame], timerValues) -> Iterator[pd.DataFrame]:
+        (batch,) = key
+        out = []
+        for r in pd.concat(list(rows)).sort_values(["ts", "node", "action"], kind="stable").itertuples():
+            at = int(r.ts.value // 1000)  # microseconds
+            held = self.holder.get() if self.holder.exists() else None
+            if self.clock == "event" and held and at >= held[1]:
+                out.append((batch, held[0], "expired", pd.Timestamp(held[1], unit="us")))
+                self._free()
+                held = None
+            if r.action == "claim":
+                if held is None:
+                    timer = None
+                    if self.clock == "processing":
+                        timer = timerValues.getCurrentProcessingTimeInMs() + self.seconds * 1000
+                        self.handle.registerTimer(timer)
+                    self.holder.update((r.node, at + self.seconds * 1_000_000, timer))
+                out.append((batch, r.node, "granted" if held is None else "refused", r.ts))
+            elif r.action == "release" and held and held[0] == r.node:
+                self._free()
+                out.append((batch, r.node, "released", r.ts))
+        yield pd.DataFrame(out, columns=["id_pipeline_batch", "node", "said", "ts"])
+
+    def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator[pd.DataFrame]:
+        (batch,) = key
+        if self.holder.exists() and self.holder.get()[2] == expiredTimerInfo.getExpiryTimeInMs():
+            node, until, _ = self.holder.get()
+            self.holder.clear()
+            yield pd.DataFrame([(batch, node, "expired", pd.Timestamp(until, unit="us"))], columns=["id_pipeline_batch", "node", "said", "ts"])
+        else:
+            yield pd.DataFrame([], columns=["id_pipeline_batch", "node", "said", "ts"])
+
+    def close(self) -> None:
+        pass
+
+
+def leases(requests: DataFrame, seconds: int = 3600, clock: str = "processing") -> DataFrame:
+    """Decisions on claims and releases of batches: id_pipeline_batch, node, said, ts. requests: id_pipeline_batch, node, action, ts (timestamp).
+
+    The state of a batch is its holder, kept in the state store that STATE_STORE names, which must be ROCKS.
+    """
+    mode = {"processing": "ProcessingTime", "event": "None"}[clock]
+    return requests.groupBy("id_pipeline_batch").transformWithStateInPandas(LeaseProcessor(seconds, clock), DECIDED, "append", mode)
+
+
+def delivered(spark: SparkSession, deliveries: list[DataFrame], work: Callable[[DataFrame], DataFrame], path: str) -> DataFrame:
+    """The result of a stream that gets one delivery after the other and stops in between: each time it starts again from its
+    checkpoint, where the state and the files read are. work: stream to stream, with state.
+    """
+    before = spark.conf.get(STATE_STORE)
+    spark.conf.set(STATE_STORE, ROCKS)
+    try:
+        for df in deliveries:
+            df.write.mode("append").parquet(f"{path}/in")
+            out = work(spark.readStream.schema(df.schema).parquet(f"{path}/in"))
+            q = each_batch(out, lambda d: d, f"{path}/out", f"{path}/checkpoint")
+            q.awaitTermination()
+    finally:
+        spark.conf.set(STATE_STORE, before)
+    return spark.read.schema(out.schema).parquet(f"{path}/out").select(*out.columns)

@@ -160,16 +160,6 @@ def test_lease_and_release(spark):
     assert control.released(took, one, now, True).where("has_crashed and ended_date is not null").count() == 1
 
 
-def test_resume_writes_each_id_once(spark, tmp_path):
-    r = spark.createDataFrame([(i, "Music" if i % 2 else None) for i in range(40)], "id long, classification_gen string")
-    out = str(tmp_path / "out")
-    sinks.resume_shards(spark, export.with_split(r.where("id < 25")), out, shard_size=5)
-    for _ in range(2):
-        sinks.resume_shards(spark, export.with_split(r), out, shard_size=5)
-    back = spark.read.parquet(out)
-    assert sorted(x["id"] for x in back.select("id").collect()) == list(range(40)) and {x["split"] for x in back.select("split").collect()} == {"music", "unknown"}
-
-
 def test_thesaurus(spark):
     c = spark.createDataFrame([(1, "A C++ bird and a bird's nest; Äpfel"), (2, None), (3, "none")], "id_caption long, text string")
     t = spark.createDataFrame([("animal", "Bird", ["bird's nest", None]), ("food", "äpfel", None)], "category string, keyword string, related_terms array<string>")

@@ -1,3 +1,5 @@
+import datetime
+import random
 import time
 
 import pytest
@@ -22,15 +24,80 @@ def test_windowed_counts(spark, data):
     assert got == df.count()
 
 
-def test_leases(spark, tmp_path):
+LEASE_ROWS = "id_pipeline_batch long, node string, action string, ts timestamp"
+
+
+@pytest.fixture
+def rocks(spark):
+    before = spark.conf.get(incremental.STATE_STORE)
+    spark.conf.set(incremental.STATE_STORE, incremental.ROCKS)
+    yield
+    spark.conf.set(incremental.STATE_STORE, before)
+
+
+def at(seconds):
+    return datetime.datetime(2024, 1, 1) + datetime.timedelta(seconds=seconds)
+
+
+def plain_leases(rows, seconds):
+    """The fold of requests in order."""
+    holder, out = {}, []
+    for batch, node, action, ts in sorted(rows, key=lambda r: (r[0], r[3], r[1], r[2])):
+        h = holder.get(batch)
+        if h and ts >= h[1]:
+            out.append((batch, h[0], "expired", h[1]))
+            h = holder.pop(batch) and None
+        if action == "claim":
+            out.append((batch, node, "refused" if h else "granted", ts))
+            if not h:
+                holder[batch] = node, ts + datetime.timedelta(seconds=seconds)
+        elif h and h[0] == node:
+            out.append((batch, node, "released", ts))
+            holder.pop(batch)
+    return sorted(out)
+
+
+def test_leases_over_restarts_equal_a_fold(spark, tmp_path):
+    r = random.Random(4)
+    rows = [(r.randrange(5), r.choice("abc"), r.choice(["claim", "claim", "release"]), at(i * 7 + r.randrange(3))) for i in range(120)]
+    frames = [spark.createDataFrame(rows[lo : lo + 40], LEASE_ROWS) for lo in (0, 40, 80)]
+    got = incremental.delivered(spark, frames, lambda s: incremental.leases(s, 60, "event"), str(tmp_path)).collect()
+    assert sorted(tuple(x) for x in got) == plain_leases(rows, 60)
+
+
+def test_a_delivery_that_comes_twice_counts_once(spark, tmp_path):
+    schema = "k long, ts timestamp"
+    frames = [spark.createDataFrame([(i, at(i)) for i in ids], schema) for ids in ([1, 2, 2], [2, 3], [1, 4])]
+    got = incremental.delivered(spark, frames, lambda s: incremental.once(s, "k"), str(tmp_path))
+    assert sorted(r.k for r in got.collect()) == [1, 2, 3, 4]
+
+
+def test_a_batch_that_failed_runs_again(spark, tmp_path):
+    src, out, fail = str(tmp_path / "in"), str(tmp_path / "out"), [True]
+    spark.range(10).write.parquet(src)
+
+    def work(df):
+        if fail.pop() if fail else False:
+            raise RuntimeError("killed")
+        return df
+
+    go = lambda: incremental.each_batch(incremental.files(spark, src, "id long"), work, out, str(tmp_path / "cp"))
+    with pytest.raises(Exception, match="killed"):
+        go().awaitTermination(60)
+    go().awaitTermination(60)
+    go().awaitTermination(60)
+    assert sorted(r.id for r in spark.read.parquet(out).collect()) == list(range(10))
+
+
+def test_timers_end_leases_without_a_request(spark, tmp_path, rocks):
     src = str(tmp_path / "req")
-    rows = [(1, "a", "claim", 1), (1, "b", "claim", 2), (1, "a", "release", 3), (1, "b", "claim", 4), (2, "c", "claim", 1)]
-    spark.createDataFrame(rows, "id_pipeline_batch long, node string, action string, ts long").coalesce(1).write.parquet(src)
-    stream = incremental.files(spark, src, "id_pipeline_batch long, node string, action string, ts long")
-    q = incremental.leases(stream).writeStream.format("memory").queryName("lease_out").outputMode("append").option("checkpointLocation", str(tmp_path / "cp")).trigger(processingTime="1 second").start()
-    got, until = set(), time.time() + 60  # a query with timers never says that it is through
+    rows = [(1, "a", "claim", at(1)), (1, "b", "claim", at(2)), (2, "c", "claim", at(1)), (2, "c", "release", at(3))]
+    spark.createDataFrame(rows, LEASE_ROWS).coalesce(1).write.parquet(src)
+    stream = incremental.files(spark, src, LEASE_ROWS)
+    q = incremental.leases(stream, 3).writeStream.format("memory").queryName("lease_out").outputMode("append").option("checkpointLocation", str(tmp_path / "cp")).trigger(processingTime="1 second").start()
+    got, until = set(), time.time() + 90  # a query with timers never says that it is through
     while len(got) < 5 and time.time() < until:
         time.sleep(0.5)
-        got = {tuple(r) for r in spark.sql("select * from lease_out").collect()}
+        got = {tuple(r)[:3] for r in spark.sql("select * from lease_out").collect()}
     q.stop()
-    assert got == {(1, "a", "granted"), (1, "b", "refused"), (1, "a", "released"), (1, "b", "granted"), (2, "c", "granted")}
+    assert got == {(1, "a", "granted"), (1, "b", "refused"), (1, "a", "expired"), (2, "c", "granted"), (2, "c", "released")}
