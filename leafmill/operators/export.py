@@ -100,6 +100,26 @@ def viewer_documents(view: DataFrame) -> DataFrame:
     return rows.join(pages, "barcode").select("barcode", F.to_json(F.struct("barcode", "pages", "detections")).alias("json"))
 
 
+VIEWER = "barcode string, pages array<string>, detections array<struct<id_detection:bigint,scan_filename:string,bbox_xyxy:array<double>,bbox_conf:double,pred_class:string,classification_conf:double,caption:string,lang:string,image_hash:string>>"
+
+
+def viewer_rows(documents: DataFrame, volumes: list[str] | None = None, classes: list[str] | None = None) -> DataFrame:
+    """The elements in viewer documents, with page (place from 0) and pages of their volume; of some volumes and classes if named.
+
+    A document that isn't one gives no row.
+    """
+    d = documents if volumes is None else documents.where(F.col("barcode").isin(*volumes))
+    rows = d.select(F.from_json("json", VIEWER).alias("d")).select("d.barcode", "d.pages", F.explode("d.detections").alias("e"))
+    rows = rows if classes is None else rows.where(F.col("e.pred_class").isin(*classes))
+    return rows.select("barcode", (F.array_position("pages", F.col("e.scan_filename")).cast("int") - 1).alias("page"), F.size("pages").alias("pages"), "e.*")
+
+
+def viewer_pages(documents: DataFrame) -> DataFrame:
+    """barcode, page (place from 0), scan_filename, elements: what a reader leafs through."""
+    rows = viewer_rows(documents)
+    return rows.groupBy("barcode", "page", "scan_filename").agg(F.count("*").alias("elements"))
+
+
 def page_details(view: DataFrame) -> DataFrame:
     """Elements with their place on the page (from 1), percent, size, and short forms for a table."""
     place = Window.partitionBy("barcode", "scan_filename").orderBy("id_detection")

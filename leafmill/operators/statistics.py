@@ -8,6 +8,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from leafmill.functions import rules, text
+from leafmill.functions.tokens import token_count
 from leafmill.operators.control import numbered
 from leafmill.operators.quantiles import quantiles
 from leafmill.sources.staging import staged
@@ -113,6 +114,12 @@ def topics(volume: DataFrame, k: int = 50) -> DataFrame:
     return top_values(volume, text.metadata(F.col("metadata"), "topic_or_subject_gen"), k, "topic")
 
 
+def topic_counts(volume: DataFrame) -> DataFrame:
+    """Different topics, and volumes that have one."""
+    n = volume.select(text.metadata(F.col("metadata"), "topic_or_subject_gen").alias("topic")).where("topic is not null").groupBy("topic").agg(F.count("*").alias("n"))
+    return n.agg(F.count("*").alias("topics"), F.coalesce(F.sum("n"), F.lit(0)).alias("volumes"))
+
+
 def years(volume: DataFrame) -> DataFrame:
     """Volumes with a year, first and last year, the median over distinct years and, for weight, over volumes."""
     y = volume.select(text.year(text.metadata(F.col("metadata"), "date1_src")).alias("y")).where("y is not null")
@@ -192,17 +199,18 @@ def cumulative(df: DataFrame, key: str) -> DataFrame:
     return n.withColumn("_span", span).join(before, "_span").select(key, "n", (F.col("_before") + own).alias("running"))
 
 
-def all_statistics(tables: dict[str, DataFrame], skip_slow: bool = False) -> DataFrame:
-    """One row of nested JSON: every block above, each computed once."""
+def all_statistics(tables: dict[str, DataFrame], skip_slow: bool = False, vocabulary: str | None = None) -> DataFrame:
+    """One row of JSON a block: every block above, each computed once. With a tokenizer's vocabulary captions are counted in tokens too."""
     t = tables
+    counted = None if vocabulary is None else token_count(F.col("text"), vocabulary)
     one = {
         "detection_confidence": confidence(t["detection"], "bbox_conf"), "classification_confidence": confidence(t["classification"], "pred_conf"), "crop_dimensions": crop_dimensions(t["detection"]),
-        "captions": captions(t["caption"]), "hash_based": dedupe(t["deduped_hash"]), "embedding_based": dedupe(t["deduped_embedding"]), "batches": batches(t["pipeline_batch"]),
-        "processing_time_minutes": processing_minutes(t["pipeline_batch"]), "publication_dates": years(t["volume"]),
+        "captions": captions(t["caption"], counted), "hash_based": dedupe(t["deduped_hash"]), "embedding_based": dedupe(t["deduped_embedding"]), "batches": batches(t["pipeline_batch"]),
+        "processing_time_minutes": processing_minutes(t["pipeline_batch"]), "publication_dates": years(t["volume"]), "topic_counts": topic_counts(t["volume"]),
     }
     many = {
         "table_counts": table_counts(t), "classification_distribution": class_distribution(t["classification"]), "language_distribution": languages(t["caption"]),
-        "batches_by_node": batches_by_node(t["pipeline_batch"]), "topics": topics(t["volume"]), "volume_languages": volume_languages(t["volume"]),
+        "batches_by_node": batches_by_node(t["pipeline_batch"]), "topics": topics(t["volume"]), "volume_languages": volume_languages(t["volume"]), "year_distribution": year_distribution(t["volume"]), "hash_group_sizes": size_histogram(t["deduped_hash"]), "embedding_group_sizes": size_histogram(t["deduped_embedding"]),
     }
     if not skip_slow:
         one["detections_per_volume"] = detections_per_volume(t["pipeline_batch_item"], t["detection"])

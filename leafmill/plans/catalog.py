@@ -166,6 +166,11 @@ def topic_histogram(t, *_):
     return statistics.topics(t["volume"])
 
 
+@query(f"select count(distinct topic) as topics, count(topic) as volumes from (select nullif({META.format(f='topic_or_subject_gen')}, '') as topic from volume)", "volume")
+def topic_counts(t, *_):
+    return statistics.topic_counts(t["volume"])
+
+
 YEARS = f"years as (select try_cast(substr({META.format(f='date1_src')}, 1, 4) as int) as y from volume)"
 
 
@@ -477,6 +482,13 @@ def viewer_documents(t, *_):
     return export.viewer_documents(views.filtered_dataset(t))
 
 
+@view_query("select barcode, cast(dense_rank() over (partition by barcode order by seen) - 1 as int) as page, (select cast(count(distinct v.scan_filename) as int) from view v where v.barcode = w.barcode) as pages, id_detection, scan_filename, bbox_xyxy[3] as right_edge, bbox_conf, pred_class, caption_text as caption, image_hash from (select *, min(id_detection) over (partition by barcode, scan_filename) as seen from view) w")
+def viewer_elements(t, *_):
+    """Viewer documents written and read back."""
+    rows = export.viewer_rows(export.viewer_documents(views.filtered_dataset(t)))
+    return rows.select("barcode", "page", "pages", "id_detection", "scan_filename", F.get("bbox_xyxy", F.lit(2)).alias("right_edge"), "bbox_conf", "pred_class", "caption", "image_hash")
+
+
 @query("select id_detection, coalesce(p.text, '') as page_text from detection d left join (select distinct id_pipeline_batch_item, split_part(scan_filename, '.', 1) || '.txt' as f, 'page ' || split_part(scan_filename, '.', 1) as text from detection where id_detection % 2 = 0) p on p.id_pipeline_batch_item = d.id_pipeline_batch_item and p.f = split_part(d.scan_filename, '.', 1) || '.txt'", "detection")
 def page_context(t, *_):
     d = t["detection"]

@@ -8,7 +8,7 @@ from collections.abc import Callable
 from pyspark.sql import SparkSession
 from pyspark.sql import functions as F
 
-from leafmill.functions import language_profiles, rules
+from leafmill.functions import language_profiles, rules, text
 from leafmill.operators import backfill, browse, control, embedding_dedupe, export, hash_dedupe, statistics, views
 from leafmill.plans import execution, stages, steps
 from leafmill.plans.steps import load, table
@@ -152,9 +152,9 @@ def count_tokens(spark, a):
     sinks.write_json(statistics.tokens(backfill.token_counts(v, "caption_text", vocabulary=a.vocabulary), "n_tokens"), a.out)
 
 
-@command("stats", lambda p: (_out(p), p.add_argument("--skip-slow", action="store_true")))
+@command("stats", lambda p: (_out(p), p.add_argument("--skip-slow", action="store_true"), p.add_argument("--vocabulary", help="a tokenizer's JSON file, to count captions in tokens")))
 def stats(spark, a):
-    sinks.write_json(statistics.all_statistics(load(spark, a.root), a.skip_slow), a.out)
+    sinks.write_json(statistics.all_statistics(load(spark, a.root), a.skip_slow, a.vocabulary), a.out)
 
 
 def _export(p):
@@ -207,16 +207,48 @@ def atlas(spark, a):
     export.atlas(views.filtered_dataset(load(spark, a.root)), a.sample).write.mode("overwrite").parquet(a.out)
 
 
-@command("viewer", _out)
+def _viewer(p):
+    _out(p)
+    p.add_argument("--volume", nargs="*", help="some volumes only")
+    p.add_argument("--classes", nargs="*", help="elements of some classes only")
+    p.add_argument("--detections-only", action="store_true", help="rows of elements in place of a document a volume")
+
+
+@command("viewer", _viewer)
 def viewer(spark, a):
-    export.viewer_documents(views.filtered_dataset(load(spark, a.root))).write.mode("overwrite").json(a.out)
+    v = views.filtered_dataset(load(spark, a.root))
+    v = v if a.volume is None else v.where(F.col("barcode").isin(*a.volume))
+    v = v if a.classes is None else v.where(F.col("pred_class").isin(*a.classes))
+    documents = export.viewer_documents(v)
+    sinks.write_json(export.viewer_rows(documents) if a.detections_only else documents, a.out)
+
+
+@command("read-viewer", lambda p: (p.add_argument("source"), p.add_argument("--volume", nargs="*")))
+def read_viewer(spark, a):
+    """Pages and elements of viewer documents that were written."""
+    documents = spark.read.schema("barcode string, json string").json(a.source)
+    export.viewer_rows(documents, a.volume).orderBy("barcode", "page", "id_detection").show(1000, 60)
+
+
+def _peek(p):
+    p.add_argument("--n", default="10")
+    p.add_argument("--scope", choices=["elements", "volumes"], default="elements")
+    p.add_argument("--sample-type", choices=["random", "first", "failed"], default="random")
+    p.add_argument("--seed", type=int, default=42)
 
 
-@command("peek", lambda p: p.add_argument("--n", default="10"))
+@command("peek", _peek)
 def peek(spark, a):
-    """A seeded sample of elements with their details, and failure counts."""
+    """Elements, or volumes with their header, and failure counts: a seeded sample, the first, or those whose caption failed."""
     t = load(spark, a.root)
-    export.page_details(export.sample(views.filtered_dataset(t), a.n, "id_detection")).show(1000, False)
+    v = views.filtered_dataset(t)
+    if a.sample_type == "failed":
+        v = v.where(~F.col("pred_class").isin(*rules.UNCAPTIONED_CLASSES) & text.blank(F.col("caption_text")))
+    key = "id_detection" if a.scope == "elements" else "barcode"
+    ids = v.select(key).distinct()
+    some = ids.orderBy(key).limit(int(a.n)) if a.sample_type == "first" and a.n != "all" else export.sample(ids, a.n, key, a.seed)
+    v = v.join(some, key, "left_semi")
+    (export.page_details(v) if a.scope == "elements" else browse.header(v, t["volume"])).show(1000, False)
     statistics.failures(t["detection"], t["classification"], t["caption"]).show()
 
 

@@ -120,6 +120,17 @@ def orient(crops: DataFrame, load: Callable[[], Orienter], threshold: float = ru
     return rows.select("id_detection", "id_pipeline_batch_item", rules.orientation(F.col("p"), threshold).alias("orientation_correction_gen"), F.array_max("p").alias("orientation_correction_confidence_gen"), F.to_json(rules.probabilities(F.col("p"), rules.ORIENTATION_LABELS)).alias("orientation_correction_probs_gen"))
 
 
+def shaped(logs: list[dict] | None) -> list[dict] | None:
+    """Log-probabilities as they are kept: token, its UTF-8 bytes, logprob and the likeliest others of each, whatever else a model says."""
+
+    def one(x: dict, top: bool) -> dict:
+        token, p = str(x.get("token", "")), x.get("logprob")
+        out = {"token": token, "bytes": list(x.get("bytes") or token.encode()), "logprob": float(p) if isinstance(p, (int, float)) and not isinstance(p, bool) else None}
+        return out | ({"top_logprobs": [one(t, False) for t in x.get("top_logprobs") or []]} if top else {})
+
+    return None if logs is None else [one(x, True) for x in logs if isinstance(x, dict)]
+
+
 def caption(crops: DataFrame, prompts: DataFrame, load: Callable[[], Captioner], attempts: int = 3) -> DataFrame:
     """text and logprobs (JSON) of each crop with a prompt (id_detection, prompt). A call that fails is made again; the last failure
     gives "" and null.
@@ -137,7 +148,7 @@ def caption(crops: DataFrame, prompts: DataFrame, load: Callable[[], Captioner],
                         break
                     except Exception:  # noqa: BLE001  the row says that it failed
                         continue
-                rows.append((i, item, said.strip(), None if logs is None else json.dumps(logs, separators=(",", ":"))))
+                rows.append((i, item, said.strip(), None if logs is None else json.dumps(shaped(logs), separators=(",", ":"))))
             yield pd.DataFrame(rows, columns=["id_detection", "id_pipeline_batch_item", "text", "logprobs"])
 
     rows = crops.where("png is not null").join(prompts, "id_detection").select("id_detection", "id_pipeline_batch_item", "png", "prompt")

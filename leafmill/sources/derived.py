@@ -47,7 +47,7 @@ def relations(d: Dialect) -> dict[str, str]:
         "pipeline_batch_item": "select distinct cast(substr(source, 4) as bigint) * 2 + k + 1 as id_pipeline_batch_item, k + 1 as id_pipeline_batch, source as barcode from documents, (select 0 as k union all select 1 as k union all select 60 as k) ks",
         "detection": f"select doc_id as id_detection, {item} as id_pipeline_batch_item, concat(source, '.p', cast(doc_id % 97 as {'string' if d.spark else 'varchar'}), '.jpg') as scan_filename, {d.array('cast(doc_id % 50 as double)', 'cast(doc_id % 70 as double)', 'doc_id % 50 + n_chars % 701 + 0.5', 'doc_id % 70 + n_chars % 499 + 0.25')} as bbox_xyxy, case when doc_id % 41 = 0 then null when doc_id % 43 = 0 then {d.array('cast(1 as double)', 'cast(2 as double)', 'cast(3 as double)')} else {d.array('cast(doc_id % 50 as double)', 'cast(doc_id % 70 as double)', 'cast(n_chars % 701 + 0.5 as double)', 'cast(n_chars % 499 + 0.25 as double)')} end as bbox_xywh, case when doc_id % 53 = 0 then null else {conf} end as bbox_conf, case doc_id % 5 when 0 then null when 1 then 'upright' when 2 then 'rotate_90_cw' else 'rotate_180' end as orientation_correction_gen, case when doc_id % 5 = 0 then null else cast(doc_id % 100 as double) / 100 end as orientation_correction_confidence_gen from documents",
         "classification": f"select doc_id as id_classification, {item} as id_pipeline_batch_item, doc_id as id_detection, cast(doc_id * 31 % 7 as int) as pred_idx, {pick} as pred_class, case when doc_id % 59 = 0 then null when doc_id % 17 = 0 then 0.991 else cast(doc_id * 71 % 101 as double) / 100 end as pred_conf, case when doc_id % 61 = 0 then {d.array(*prob[:4])} when doc_id % 67 = 0 then null else {d.array(*prob)} end as probs from documents",
-        "caption": f"select doc_id as id_caption, {item} as id_pipeline_batch_item, doc_id as id_detection, case doc_id % 23 when 0 then null when 1 then '' when 2 then 'Undetermined' when 3 then 'Undetermined.' when 4 then '  ' else text end as text, {name} as lang, case doc_id % 19 when 0 then null when 1 then '[]' else {logs} end as logprobs, {code} as lang_detected, case when doc_id % 29 = 0 then null else cast(doc_id % 1000 as double) / 1000 end as linear_prob, case doc_id % 31 when 0 then null when 1 then 'null' else '{{\"place\":{{\"the\":2}}}}' end as thesaurus_matches from documents where doc_id % 9 <> 0",
+        "caption": f"select doc_id as id_caption, {item} as id_pipeline_batch_item, doc_id as id_detection, case doc_id % 23 when 0 then null when 1 then '' when 2 then 'Undetermined' when 3 then 'Undetermined.' when 4 then '  ' else text end as text, {name} as lang, case doc_id % 19 when 0 then null when 1 then '[]' else {logs} end as logprobs, case when doc_id % 13 = 0 then null else {code} end as lang_detected, case when doc_id % 29 = 0 then null else cast(doc_id % 1000 as double) / 1000 end as linear_prob, case doc_id % 31 when 0 then null when 1 then 'null' else '{{\"place\":{{\"the\":2}}}}' end as thesaurus_matches from documents where doc_id % 9 <> 0",
         "image_hash": f"select doc_id + 1000 as id_imagehash, {item} as id_pipeline_batch_item, doc_id as id_detection, case when doc_id % 83 = 0 then 'zz' else {moved} end as image_hash from documents",
         "image_embedding": "select vec_id as id_embedding, vec_id % 40 + 1 as id_pipeline_batch_item, vec_id as id_detection, embedding from embeddings",
         "deduped_hash": f"select doc_id + 1000 as hash_id, min(doc_id) over (partition by md5(text)) + 1000 as group_id, {item} as id_pipeline_batch_item, doc_id as id_detection from documents where doc_id % 37 <> 0",

@@ -182,3 +182,45 @@ def test_captions_that_fail_are_asked_again_and_marked(spark):
     prompts = spark.createDataFrame([(1, "p"), (2, "p")], "id_detection long, prompt string")
     assert {(r.id_detection, r.text) for r in stages.caption(crops, prompts, Broken, 2).collect()} == {(1, ""), (2, "")}
     assert [r.id_detection for r in stages.classify(crops, StandIn).collect()] == [1]
+
+
+def test_shape_of_log_probabilities():
+    from leafmill.plans import stages
+
+    logs = [{"token": "é", "logprob": -1, "rank": 3, "top_logprobs": [{"token": "e", "logprob": None}]}, "x", {"bytes": [1], "logprob": True}]
+    assert stages.shaped(logs) == [{"token": "é", "bytes": [195, 169], "logprob": -1.0, "top_logprobs": [{"token": "e", "bytes": [101], "logprob": None}]}, {"token": "", "bytes": [1], "logprob": None, "top_logprobs": []}]
+    assert stages.shaped(None) is None and stages.shaped([]) == []
+
+
+def test_commands_that_read(spark, tmp_path, monkeypatch, capsys):
+    from leafmill.sources.derived import relation
+
+    root = str(tmp_path / "root")
+    monkeypatch.setattr(cli, "session", lambda *_: spark)
+    for name in schemas.TABLES:
+        try:
+            df = relation(spark, "/root/testdata/sf0.001", name)
+        except KeyError:
+            df = spark.createDataFrame([], schemas.schema(name))
+        have = {f.name: f.dataType for f in schemas.schema(name)}
+        df = df.select(*[(F.col(c).cast(t) if c in df.columns else F.lit(None).cast(t)).alias(c) for c, t in have.items()])
+        Table(spark, f"{root}/{name}").commit(df)
+    do = lambda *argv: cli.main([root, *argv])
+    do("viewer", "--out", f"{tmp_path}/docs")
+    do("read-viewer", f"{tmp_path}/docs")
+    do("viewer", "--out", f"{tmp_path}/rows", "--detections-only", "--classes", "Music")
+    n = spark.read.json(f"{tmp_path}/rows")
+    assert n.count() > 0 and {r.pred_class for r in n.select("pred_class").collect()} == {"Music"}
+    do("peek", "--n", "3")
+    do("peek", "--scope", "volumes", "--sample-type", "first")
+    do("peek", "--sample-type", "failed", "--n", "all")
+    do("stats", "--out", f"{tmp_path}/stats", "--skip-slow")
+    assert spark.read.json(f"{tmp_path}/stats").count() == 19
+    do("export", "--out", f"{tmp_path}/hub", "--dry-run", "--limit", "2")
+    do("export", "--out", f"{tmp_path}/hub", "--limit", "2", "--shard-size", "4")
+    do("export", "--out", f"{tmp_path}/store", "--kind", "store", "--total-chunks", "2", "--chunk-index", "1", "--prefix", "p")
+    assert spark.read.parquet(f"{tmp_path}/hub").count() > 0 and all(x.startswith("p-c01-") for x in os.listdir(tmp_path / "store"))
+    do("run-status")
+    assert "COMPLETED" in capsys.readouterr().out
+    do("vacuum", "--keep", "1")
+    assert spark.read.parquet(f"{tmp_path}/hub").count() > 0
