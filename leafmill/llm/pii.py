@@ -2,7 +2,8 @@
 
 Found are e-mail addresses, IPv4 and IPv6 addresses, account numbers (IBAN) and payment card numbers with right check
 digits, telephone numbers (international, and national ones as the US, France, Germany and Spain write them), access
-keys, passwords and tokens, and names after a form of address. A surrogate depends on the key, the kind and the
+keys, passwords and tokens, and names after a form of address; what names a person once is replaced wherever it stands in
+that text, surnames alone and given names before one. A surrogate depends on the key, the kind and the
 normalised entity alone, so one entity gets one surrogate wherever it stands and however it is written (coreference).
 It keeps the format: separators, length of digit runs, country code, letter case, the first digit of a card, check
 digits. A name is replaced word for word: the last word is a surname, what stands before it a given name of the gender
@@ -36,6 +37,8 @@ BETWEEN = "\x1f"
 _OCTET = r"(?:25[0-5]|2[0-4][0-9]|1[0-9][0-9]|[1-9]?[0-9])"
 #: Forms of address by gender, and given names by gender and script: fixed values.
 MALE_TITLES, FEMALE_TITLES = ["Mr", "Herr", "Monsieur", "Señor", "Sr", "Господин", "Κύριος"], ["Mrs", "Ms", "Miss", "Frau", "Madame", "Mme", "Señora", "Sra", "Госпожа", "Κυρία"]
+#: Forms of address of either gender; a given name's last letter decides.
+OTHER_TITLES = ["Dr", "Prof"]
 NAMES = {
     ("m", "latin"): ["Adam", "Bruno", "Carl", "David", "Emil", "Felix", "Gustav", "Hugo", "Ivan", "Jonas", "Karl", "Leo", "Max", "Noah", "Oscar", "Paul"],
     ("f", "latin"): ["Anna", "Berta", "Clara", "Dora", "Emma", "Flora", "Greta", "Hanna", "Ida", "Julia", "Klara", "Lena", "Maria", "Nora", "Olga", "Paula"],
@@ -58,7 +61,7 @@ KINDS = {
     "ip": rf"(?=[0-9])(?<![0-9.])(?:{_OCTET}\.){{3}}{_OCTET}(?![0-9]|\.[0-9])",
     "ipv6": r"(?=[0-9A-Fa-f]{1,4}:)(?<![0-9A-Za-z:.])(?:(?:[0-9A-Fa-f]{1,4}:){7}[0-9A-Fa-f]{1,4}|(?:[0-9A-Fa-f]{1,4}:){2,6}(?::[0-9A-Fa-f]{1,4}){1,5})(?![0-9A-Za-z:])",
     "iban": rf"(?=[A-Z]{{2}}[0-9]{{2}})(?<![0-9A-Za-z]){_IBAN}(?![0-9A-Za-z])",
-    "card": r"(?=[3-6])(?<![0-9A-Za-z])[3-6][0-9]{3}(?:[ -]?[0-9]{4}){3}(?![0-9A-Za-z])",
+    "card": r"(?=[3-6])(?<![0-9A-Za-z])(?:[3-6][0-9]{3}(?:[ -]?[0-9]{4}){3}|3[47][0-9]{2}[ -]?[0-9]{6}[ -]?[0-9]{5})(?![0-9A-Za-z])",
     "phone": "(?=[0-9+(])(?:" + "|".join([
         r"(?<![0-9A-Za-z])(?:\+[0-9]{1,3}[ .-]?)(?:\([0-9]{2,4}\)[ .-]?)?[0-9]{2,4}(?:[ .-]?[0-9]{2,4}){1,4}(?![0-9A-Za-z]|\.[0-9])",
         r"(?<![0-9A-Za-z])\([0-9]{3}\) ?[0-9]{3}[.-][0-9]{4}(?![0-9])",
@@ -66,21 +69,24 @@ KINDS = {
         r"(?<![0-9A-Za-z+.-])0[1-9](?:[ .-][0-9]{2}){4}(?![0-9A-Za-z]|[.-][0-9])",
         r"(?<![0-9A-Za-z+.-])0[1-9][0-9]{1,4}[ /-][0-9]{5,8}(?![0-9A-Za-z]|[.-][0-9])",
         r"(?<![0-9A-Za-z+.-])[6-9][0-9]{2}(?: [0-9]{2}){3}(?![0-9A-Za-z]|[.-][0-9]| [0-9])",
+        r"(?<![0-9A-Za-z+.-])0[1-9][0-9]{1,3}[ -][0-9]{3,4}[ -][0-9]{3,4}(?![0-9A-Za-z]|[.-][0-9]| [0-9])",
+        r"(?<![0-9A-Za-z-])[0-8][0-9]{2}-[0-9]{2}-[0-9]{4}(?![0-9-])",
     ]) + ")",
     "key": "|".join([
         r"(?=AKIA)(?<![A-Za-z0-9])AKIA[A-Z0-9]{16}(?![A-Za-z0-9])",
         r"(?<=[=:])(?<=(?i:password)[=:])[^\x20\x09-\x0D\"']{6,64}",
+        r"(?<=[=:] )(?<=(?i:password)[=:] )(?=[^\x20\x09-\x0D\"']{0,63}[0-9])[^\x20\x09-\x0D\"']{6,64}",
         r"(?<=\")(?<=(?i:token) = \")[A-Za-z0-9_-]{16,128}",
         r"(?=[0-9A-Fa-f]{32})(?<![A-Za-z0-9])(?=[A-Fa-f]*[0-9])[0-9A-Fa-f]{32,64}+(?![A-Za-z0-9])",
     ]),
-    "name": r"(?=\p{Lu})(?<= )(?<=(?<![\p{L}])(?:" + "|".join(MALE_TITLES + FEMALE_TITLES) + r")\.? )\p{Lu}['’\p{L}]{1,30}+(?:-\p{Lu}\p{L}{1,30}+){0,2}(?: \p{Lu}['’\p{L}]{1,30}+(?:-\p{Lu}\p{L}{1,30}+){0,2}){0,2}",
+    "name": r"(?=\p{Lu})(?<= )(?<=(?<![\p{L}])(?:" + "|".join(t for title in MALE_TITLES + FEMALE_TITLES + OTHER_TITLES for t in dict.fromkeys([title, title.upper()])) + r")\.? )\p{Lu}['’\p{L}]{1,30}+(?:-\p{Lu}\p{L}{1,30}+){0,2}(?: \p{Lu}['’\p{L}]{1,30}+(?:-\p{Lu}\p{L}{1,30}+){0,2}){0,2}",
 }
 ANY = "|".join(f"(?:{p})" for p in KINDS.values())
 #: What stands before a value that is a secret whatever it looks like.
-SECRET_NEXT = r"(?i)(?:password[=:]|token = \")$"
+SECRET_NEXT = r"(?i)(?:password[=:] ?|token = \")$"
 #: No text without one of these or of SPELT, in any case, holds an entity; a cheap first look. Hexadecimal keys are all but sure to hold a digit, and must.
 SPELT = "[Aa][Ss][Ss][Ww][Oo][Rr][Dd][=:]|[Tt][Oo][Kk][Ee][Nn] = "
-HINTS = ["@", *MALE_TITLES, *FEMALE_TITLES]
+HINTS = ["@", *[t for title in MALE_TITLES + FEMALE_TITLES + OTHER_TITLES for t in dict.fromkeys([title, title.upper()])]]
 
 
 def _let(value: Column, body) -> Column:
@@ -131,7 +137,7 @@ def kind_of(entity: Column, before: Column) -> Column:
     out = out.when(entity.rlike("^[0-9A-Fa-f]{1,4}:[0-9A-Fa-f:]+$"), "ipv6")
     is_iban = iban_rest(F.replace(entity, F.lit(" "), F.lit(""))) == 1
     out = out.when(entity.rlike(f"^{_IBAN}$"), F.when(is_iban, "iban").when(entity.rlike("^[0-9A-F]{32,64}$"), "key"))
-    out = out.when(entity.rlike(r"^[3-6][0-9]{3}(?:[ -]?[0-9]{4}){3}$"), F.when(luhn_total(_digits_of(entity)) % 10 == 0, "card"))
+    out = out.when(entity.rlike(r"^(?:[3-6][0-9]{3}(?:[ -]?[0-9]{4}){3}|3[47][0-9]{2}[ -]?[0-9]{6}[ -]?[0-9]{5})$"), F.when(luhn_total(_digits_of(entity)) % 10 == 0, "card"))
     out = out.when(entity.rlike(r"^[+(]?[0-9][0-9 ()./-]*$") & entity.rlike("[+( ./-]"), "phone")
     return out.when(entity.rlike(r"^\p{Lu}['’\p{L}]"), F.when(before.rlike(r"\p{L}\.? $"), "name").otherwise("key")).otherwise("key")
 
@@ -246,7 +252,7 @@ def _iban(x: Drawn) -> Column:
 
 
 def _card(x: Drawn) -> Column:
-    body = F.substring(_fresh_digits(x.norm, x.hexes, 1), 1, 15)
+    body = _let(_fresh_digits(x.norm, x.hexes, F.when(F.length(x.norm) == 15, 2).otherwise(1)), lambda d: F.substr(d, F.lit(1), F.length(d) - 1))
     check = lambda b: ((10 - luhn_total(F.concat(b, F.lit("0"))) % 10) % 10).cast("string")
     return _laid(x.entity, _let(body, lambda b: F.concat(b, check(b))), "[0-9]")
 
@@ -318,7 +324,9 @@ def _cut(text: Column) -> Column:
 
 def _parts(entity: Column, kind: Column, before: Column) -> Column:
     """What is replaced of a mention: array of (kind, entity), joined by blanks. A name has a part a word; null for no entity."""
-    woman = F.regexp_extract(before, r"(\p{L}+)\.? $", 1).isin(*FEMALE_TITLES)
+    title = F.lower(F.regexp_extract(before, r"(\p{L}+)\.? $", 1))
+    either = title.isin(*[t.lower() for t in OTHER_TITLES]) & entity.rlike(r"^['’\p{L}-]*(?iu:[aая]|α) ")
+    woman = title.isin(*[t.lower() for t in FEMALE_TITLES]) | either
 
     def word(words: Column) -> Column:
         of = lambda i: F.when(i == F.size(words) - 1, "surname").when(woman, "given_f").otherwise("given_m")
@@ -338,6 +346,21 @@ def _mentions(cut: Column) -> Column:
     return F.transform(cut["found"], one)
 
 
+def _names(mentions: Column) -> Column:
+    """The words of the persons found in a text, surnames first."""
+    words = F.filter(F.flatten(F.filter(mentions, lambda p: p.isNotNull())), lambda e: e["kind"].isin("surname", "given_m", "given_f"))
+    return F.array_distinct(F.concat(F.filter(words, lambda e: e["kind"] == "surname"), F.filter(words, lambda e: e["kind"] != "surname")))
+
+
+def _bare(names: Column) -> Column:
+    """Pattern of those words where no form of address stands: a surname, and a given name right before one, as found or in capitals."""
+    either = lambda ws: F.array_join(F.array_distinct(F.concat(ws, F.transform(ws, F.upper))), "|")
+    of = lambda surname: either(F.transform(F.filter(names, lambda e: (e["kind"] == "surname") == surname), lambda e: e["entity"]))
+    surnames = F.concat(F.lit("(?:"), of(True), F.lit(r")(?![\p{L}-]|['’](?!s(?!\p{L}))\p{L})"))
+    given = F.when(F.exists(names, lambda e: e["kind"] != "surname"), F.concat(F.lit("(?:"), of(False), F.lit(")(?= "), surnames, F.lit(")|"))).otherwise("")
+    return F.concat(F.lit(r"(?<![\p{L}'’-])(?:"), given, surnames, F.lit(")"))
+
+
 def entities(documents: DataFrame, *carry: str) -> DataFrame:
     """One row per part of a mention: the columns named, place, kind, entity, norm."""
     cut = documents.select(*carry, _cut(F.col("text")).alias("_cut")).where(F.size("_cut.found") > 0)
@@ -414,12 +437,24 @@ def replace_entities(documents: DataFrame, key: str | None = None) -> DataFrame:
         name = F.concat_ws(BETWEEN, e["kind"], norm_of(e["kind"], e["entity"]))
         return _let(F.coalesce(F.element_at(F.col(known), name), F.lit(0)), lambda draw: surrogate(e["kind"], e["entity"], draw, key))
 
-    def whole(cut: Column) -> Column:
-        told = F.zip_with(_mentions(cut), cut["found"], lambda parts, e: F.coalesce(F.array_join(F.transform(parts, fresh), " "), e))
-        return F.array_join(F.zip_with(cut["gaps"], told, lambda g, s: F.concat(g, F.coalesce(s, F.lit("")))), "")
+    def whole(cut: Column, mentions: Column) -> Column:
+        """Text and number of entities. What stands between entities is looked through for the names that were found."""
+
+        def told(names: Column) -> Column:
+            bare = _let(_bare(names), lambda like: F.transform(cut["gaps"], lambda g: F.struct(F.split(g, like).alias("gaps"), F.regexp_extract_all(g, like, F.lit(0)).alias("found"))))
+            gaps = F.when(F.size(names) > 0, bare).otherwise(F.transform(cut["gaps"], lambda g: F.struct(F.array(g).alias("gaps"), F.array().cast("array<string>").alias("found"))))
+            # one list of all that is replaced, so that surrogates are worked out in one place
+            of_name = lambda w: F.struct(F.element_at(F.filter(names, lambda n: F.lower(n["entity"]) == F.lower(w)), 1)["kind"].alias("kind"), w.alias("entity"))
+            between = F.transform(gaps, lambda g: F.zip_with(g["gaps"], F.transform(g["found"], of_name), lambda t, e: F.struct(t.alias("gap"), F.array(e).alias("parts"))))
+            own = F.transform(F.zip_with(mentions, cut["found"], lambda parts, e: F.struct(parts.alias("parts"), e.alias("as_is"))), lambda m: F.array(F.struct(F.when(m["parts"].isNull(), m["as_is"]).otherwise("").alias("gap"), m["parts"].alias("parts"))))
+            pieces = F.flatten(F.zip_with(between, own, lambda b, o: F.concat(b, F.coalesce(o, F.array().cast("array<struct<gap:string,parts:array<struct<kind:string,entity:string>>>>")))))
+            filled = lambda p: F.concat(p["gap"], F.coalesce(F.array_join(F.transform(F.filter(p["parts"], lambda e: e.isNotNull() & e["entity"].isNotNull()), fresh), " "), F.lit("")))
+            n = F.size(F.filter(mentions, lambda p: p.isNotNull())) + F.aggregate(gaps, F.lit(0), lambda n, g: n + F.size(g["found"]))
+            return F.struct(F.array_join(F.transform(pieces, filled), "").alias("text"), n.cast("long").alias("n"))
+
+        return _let(_names(mentions), told)
 
-    count = lambda cut: F.size(F.filter(_mentions(cut), lambda p: p.isNotNull())).cast("long")
-    told = _let(_cut(F.col("text")), lambda cut: F.when(F.size(cut["found"]) > 0, F.struct(whole(cut).alias("text"), count(cut).alias("n"))))
+    told = _let(_cut(F.col("text")), lambda cut: F.when(F.size(cut["found"]) > 0, _let(_mentions(cut), lambda m: whole(cut, m))))
     out = out.withColumn(done, told)
     out = out.withColumns({"text": F.coalesce(f"{done}.text", "text"), "n_entities": F.coalesce(f"{done}.n", F.lit(0).cast("long"))})
     return out.select(*[c for c in documents.columns if c != "n_entities"], "n_entities")

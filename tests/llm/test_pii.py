@@ -24,7 +24,8 @@ def iban(compact):
 # ---- a plain-Python version: detection, norms, draws and surrogates, one mention after the other
 
 EVERY = re.compile(pii.ANY)
-TITLES = set(pii.FEMALE_TITLES)
+TITLES = {t.lower() for t in pii.FEMALE_TITLES}
+CARD = r"[3-6][0-9]{3}([ -]?[0-9]{4}){3}|3[47][0-9]{2}[ -]?[0-9]{6}[ -]?[0-9]{5}"
 
 
 def kind(e, before):
@@ -38,7 +39,7 @@ def kind(e, before):
         return "ipv6"
     if re.fullmatch(pii._IBAN, e):
         return "iban" if iban(e.replace(" ", "")) else "key" if re.fullmatch("[0-9A-F]{32,64}", e) else None
-    if re.fullmatch(r"[3-6][0-9]{3}([ -]?[0-9]{4}){3}", e):
+    if re.fullmatch(CARD, e):
         return "card" if luhn(re.sub("[^0-9]", "", e)) else None
     if re.fullmatch(r"[+(]?[0-9][0-9 ()./-]*", e) and re.search(r"[+( ./-]", e):
         return "phone"
@@ -97,7 +98,7 @@ def made(k, e, draw, key=pii.KEY):
         rest = int("".join(str(int(c, 36)) for c in body + n[:2] + "00")) % 97
         return laid(f"{n[:2]}{98 - rest:02d}{body}", "[^ ]")
     if k == "card":
-        body = digits(n, 1)[:15]
+        body = digits(n, 2 if len(n) == 15 else 1)[:-1]
         return laid(body + next(c for c in "0123456789" if luhn(body + c)), "[0-9]")
     if k == "phone":
         code = len(re.match(pii.CALLING_CODES, n)[0]) - 1 if n[0] == "+" else int(n[0] == "0")
@@ -118,8 +119,9 @@ def parts_of(m, before):
     k = kind(m, before)
     if k != "name":
         return k and [(k, m)]
-    woman = (re.search(r"(\p{L}+)\.? $", before) or [None, None])[1] in TITLES
+    title = (re.search(r"(\p{L}+)\.? $", before) or [None, ""])[1].lower()
     words = m.split(" ")
+    woman = title in TITLES or title in ("dr", "prof") and len(words) > 1 and words[0][-1] in "aAаАяЯαΑ"
     return [("surname" if i == len(words) - 1 else "given_f" if woman else "given_m", w) for i, w in enumerate(words)]
 
 
@@ -143,15 +145,34 @@ def replaced(texts, key=pii.KEY):
         for x in left:
             draw[x] += 1
     out = []
+    say = lambda k, e: made(k, e, draw[k, norm(k, e)], key)
     for t, ms in zip(texts, found, strict=True):
-        new, at, count = "", 0, 0
+        words = [p for _, ps in ms for p in ps or () if p[0] in ("surname", "given_m", "given_f")]
+        names = list(dict.fromkeys([p for p in words if p[0] == "surname"] + [p for p in words if p[0] != "surname"]))
+        count = 0
+
+        def between(gap, names=names):
+            nonlocal count
+            if not names:
+                return gap
+            count += len(re.findall(bare(names), gap))
+            return re.sub(bare(names), lambda m: say(next(k for k, e in names if e.lower() == m[0].lower()), m[0]), gap)
+
+        new, at = "", 0
         for m, ps in ms:
-            new += t[at : m.start()] + (m[0] if not ps else " ".join(made(k, e, draw[k, norm(k, e)], key) for k, e in ps))
+            new += between(t[at : m.start()]) + (m[0] if not ps else " ".join(say(k, e) for k, e in ps))
             at, count = m.end(), count + bool(ps)
-        out.append((t if t is None else new + t[at:], count))
+        out.append((t if t is None else new + between(t[at:]), count))
     return out
 
 
+def bare(names):
+    """A surname that was found, or a given name before one, in its own letters or in capitals."""
+    either = lambda sur: "|".join(dict.fromkeys([e for k, e in names if (k == "surname") == sur] + [e.upper() for k, e in names if (k == "surname") == sur]))
+    surnames = rf"(?:{either(True)})(?![\p{{L}}-]|['’](?!s(?!\p{{L}}))\p{{L}})"
+    return rf"(?<![\p{{L}}'’-])(?:" + (rf"(?:{either(False)})(?= {surnames})|" if either(False) else "") + surnames + ")"
+
+
 SURNAMES = ["Smith", "SMITH", "O'Brien", "Meyer-Lang", "Li", "Παππάς", "Петров", "Ñuñez", "Bauer"]
 GIVEN = ["John", "Anna", "Νίκος", "Иван", "Élodie", "Jo-Ann", "Kim", "Lee", "Sam", "Max", "Ana", "Eva", "Udo", "Ole", "Ira", "Pat", "Mia", "Tom", "Jim", "Ann"]
 
@@ -163,12 +184,13 @@ def mention(r):
         lambda: f"{r.choice(['ann', 'Bob', 'x_y'])}.{n(1)}@mail{n(1)}.example.com", lambda: f"+{r.choice(['1', '44', '353'])} ({n(3)}) {n(3)}-{n(4)}", lambda: f"({n(3)}) {n(3)}-{n(4)}", lambda: f"01 {n(2)} {n(2)} {n(2)} {n(2)}",
         lambda: f"030 {n(7)}", lambda: f"{r.randint(1, 255)}.{n(1)}.{n(1)}.{r.randint(1, 255)}", lambda: f"2001:db8::{n(2)}ab:{n(1)}", lambda: card, lambda: f"{card[:4]} {card[4:8]} {card[8:12]} {card[12:]}", lambda: "4" + n(15),
         lambda: "DE89 3704 0044 0532 0130 00", lambda: "FR1420041010050500013M02606", lambda: "DE89370400440532013001", lambda: f"password={n(4)}Ab!c", lambda: f'TOKEN = "{"aB" + n(20)}"', lambda: "AKIA" + n(16), lambda: n(10) + "abcdefabcdefabcdefabcd", lambda: (n(10) + "abcdefabcdefabcdefabcd").upper(),
-        lambda: f"{r.choice(pii.MALE_TITLES + pii.FEMALE_TITLES)}{r.choice(['', '.'])} {' '.join(r.sample(GIVEN, r.randint(0, 2)) + [r.choice(SURNAMES)])}"])()
+        lambda: "3" + r.choice("47") + n(13), lambda: "371449635398431", lambda: f"{n(3)}-{n(2)}-{n(4)}", lambda: f"01{n(3)} {n(3)} {n(3)}", lambda: f"{r.choice(GIVEN)} {r.choice(SURNAMES)}", lambda: r.choice(SURNAMES),
+        lambda: f"{r.choice(['DR', 'Dr', 'Prof', 'MR', 'FRAU', 'Mrs'])} {r.choice(GIVEN)} {r.choice(SURNAMES)}", lambda: f"{r.choice(pii.MALE_TITLES + pii.FEMALE_TITLES)}{r.choice(['', '.'])} {' '.join(r.sample(GIVEN, r.randint(0, 2)) + [r.choice(SURNAMES)])}"])()
 
 
 def test_equals_plain_python(spark):
     r = random.Random(1)
-    texts = [" ".join(r.choice(["and", "or,", "12", "v2.0", "Mr", "::", "a|b", "\n"]) + " " + mention(r) for _ in range(r.randint(1, 6))) + r.choice(["", ".", " end"]) for _ in range(150)]
+    texts = [" ".join(r.choice(["and", "or,", "12", "v2.0", "Mr", "::", "a|b", "\n"]) + " " + mention(r) for _ in range(r.randint(1, 8))) + r.choice(["", ".", " end"]) for _ in range(250)]
     texts += [None, "", "no entity 12 at all", PII, PII.upper()]
     got = pii.replace_entities(spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")).orderBy("doc_id").collect()
     for t, g, w in zip(texts, got, replaced(texts), strict=True):
@@ -267,3 +289,22 @@ def test_odd_rows_and_clashing_columns(spark):
     assert out.columns == df.columns
     assert sorted(map(str, out.drop("n_entities").collect())) == sorted(map(str, df.drop("n_entities").collect())) and {r["n_entities"] for r in out.collect()} == {0}
     assert pii.replace_entities(spark.createDataFrame([], SCHEMA)).count() == 0
+
+
+def test_a_person_is_replaced_in_every_mention(spark):
+    text = "Mr Smith met Mr John Smith. Dr John Smith and MR SMITH left; SMITH wrote: Smith's blacksmith, Smithson and John Doe know John Smith. Prof. Anna Berger-Lang, Berger-Lang."
+    other = "Smith and John Smith are not known here."
+    rows = spark.createDataFrame([(1, text), (2, other), (3, "Mr Jones (Jones) 078-05-1120, 378282246310005, Password: hunter22 or password: please, 01632 960 983 Jones")], "doc_id long, text string")
+    got = {r.doc_id: (r.text, r.n_entities) for r in pii.replace_entities(rows, "k").collect()}
+    said = got[1][0]
+    assert "Smith's" not in said and "SMITH" not in said and "Berger" not in said and "Anna" not in said
+    assert "blacksmith, Smithson and John Doe know" in said
+    words = said.replace("'", " ").replace(".", " ").split()
+    sur = words[1]
+    assert said.count(sur) == 5 and said.count(sur.upper()) == 2 and words[3:6] == ["Mr", words[4], sur] and said.count(f"{words[4]} {sur}") == 3
+    assert said.split("Prof. ")[1].split(",")[0].endswith(said.rstrip(".").split(", ")[-1]) and got[1][1] == 10  # bare names count word by word
+    assert got[2] == (other, 0)
+    third = got[3][0]
+    assert "Jones" not in third and not any(x in third for x in ("078-05", "378282246310005", "hunter22", "01632")) and "password: please" in third
+    card = third.split(", ")[1]
+    assert len(card) == 15 and card[:2] == "37" and third.split(" (")[0].split()[1] in third.split(") ")[1] and got[3][1] == 7
