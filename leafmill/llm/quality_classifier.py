@@ -2,7 +2,7 @@
 
 Statistics of each text are standardised and mapped to random Fourier features, whose inner products approximate a
 Gaussian kernel. Ridge scores solve the normal equations, which each task sums over its rows; only the sums move.
-Isotonic regression over a histogram of scores turns them into rates of label 1.
+Isotonic regression over a histogram of the scores of labelled rows kept from the ridge turns them into rates of label 1.
 
 Cases: null and empty texts have all-zero statistics and a score like any other; null labels don't train; with no
 labelled row every score is 0.5; of differing labels for one id the larger holds; repeated rows are each scored;
@@ -27,6 +27,8 @@ from leafmill.llm.language_id import batch_type
 from leafmill.sources.staging import staged
 
 FEATURES, WIDTH, RIDGE, SEED, BINS = 256, 4.0, 1e-3, 6, 1000
+#: One labelled row in so many is kept for the calibration.
+CALIBRATES = 4
 NAMES = ["log_words", "word_len", "word_len_sd", "upper", "digit", "symbol", "mark", "space", "other", "distinct_words", "top_word", "adjacent", "lines", "dup_lines", "long_word", "ended_lines", "packed", "caps_words"]
 _WORD = re.compile(r"[^\x20\x09-\x0D]+")
 
@@ -114,8 +116,17 @@ def _rows(b: pa.RecordBatch, column: str = "x") -> np.ndarray:
 
 
 def train(known: DataFrame) -> tuple | None:
-    """known: x, y (0 or 1). Returns mean, deviation, coefficients, isotonic values; None without rows."""
+    """known: x, y (0 or 1), calibrates. Returns mean, deviation, coefficients, isotonic values; None without rows.
+
+    Rows that calibrate are kept from the ridge, so isotonic values are rates on rows it hasn't seen; where either part is
+    empty all rows serve for it.
+    """
     n, d = FEATURES + 1, len(NAMES)
+    everything, known, kept = known, known.where("not calibrates"), known.where("calibrates")
+    if known.isEmpty():
+        known = everything
+    if kept.isEmpty():
+        kept = everything
 
     def moments(batches):
         total = np.zeros((2, d))
@@ -149,12 +160,18 @@ def train(known: DataFrame) -> tuple | None:
                 b_ += z.T @ np.asarray(b.column(b.schema.get_field_index("y")).to_numpy(zero_copy_only=False), float)
         yield pa.RecordBatch.from_pydict({"i": list(range(n)), "v": np.hstack([a, b_[:, None]]).tolist()}, pa.schema([("i", pa.int32()), ("v", pa.list_(pa.float64()))]))
 
-    # a row of the matrix from each task; summed by place
-    parts = known.select("x", "y").mapInArrow(normal, "i int, v array<double>")
-    parts = parts.select("i", F.posexplode("v").alias("j", "v")).groupBy("i", "j").agg(F.sum("v").alias("v")).collect()
+    def added(batches):
+        total: dict[int, np.ndarray] = {}
+        for b in batches:
+            for i, v in zip(b.column(0).to_pylist(), np.asarray(b.column(1).flatten()).reshape(-1, n + 1), strict=True):
+                total[i] = total.get(i, 0) + v
+        yield pa.RecordBatch.from_pydict({"i": list(total), "v": [v.tolist() for v in total.values()]}, pa.schema([("i", pa.int32()), ("v", pa.list_(pa.float64()))]))
+
+    # each task gives the rows of its matrix, and those of one place are added up as they come
+    parts = known.select("x", "y").mapInArrow(normal, "i int, v array<double>").repartition("i").mapInArrow(added, "i int, v array<double>").collect()
     m = np.zeros((n, n + 1))
     for r in parts:
-        m[r["i"], r["j"]] = r["v"]
+        m[r["i"]] = r["v"]
     coef = np.linalg.solve(m[:, :n] + RIDGE * count / FEATURES * np.eye(n), m[:, n])
 
     def histogram(batches):
@@ -168,7 +185,7 @@ def train(known: DataFrame) -> tuple | None:
         k = np.flatnonzero(total)
         yield pa.RecordBatch.from_pydict({"k": k.tolist(), "o": ones[k].tolist(), "t": total[k].tolist()}, pa.schema([("k", pa.int32()), ("o", pa.float64()), ("t", pa.float64())]))
 
-    bins = known.select("x", "y").mapInArrow(histogram, "k int, o double, t double").groupBy("k").agg(F.sum("o").alias("o"), F.sum("t").alias("t")).collect()
+    bins = kept.select("x", "y").mapInArrow(histogram, "k int, o double, t double").groupBy("k").agg(F.sum("o").alias("o"), F.sum("t").alias("t")).collect()
     ones, total = np.zeros(BINS), np.zeros(BINS)
     for r in bins:
         ones[r["k"]], total[r["k"]] = r["o"], r["t"]
@@ -188,7 +205,8 @@ def classify(documents: DataFrame, labels: DataFrame, folds: int = 4, held: int
     """doc_id, held_out, score, predicted."""
     facts = staged(measured(documents), "statistics")
     y = labels.groupBy("doc_id").agg(F.max("quality").alias("y")).where(F.col("y").isNotNull() & (fold("doc_id", folds) != held))
-    known = staged(facts.join(y, "doc_id").select("x", "y"), "labelled")
+    part = F.floor(F.crc32(F.col("doc_id").cast("string").cast("binary")) / folds) % CALIBRATES
+    known = staged(facts.join(y, "doc_id").select("x", "y", (part == 0).alias("calibrates")), "labelled")
     model = train(known)
     kind = documents.schema["doc_id"].dataType.simpleString()
 
