@@ -100,6 +100,11 @@ def viewer_documents(view: DataFrame) -> DataFrame:
     return rows.join(pages, "barcode").select("barcode", F.to_json(F.struct("barcode", "pages", "detections")).alias("json"))
 
 
+def viewer_index(view: DataFrame) -> DataFrame:
+    """barcode, pages, detections, cover (the page seen first): what a reader chooses a document from."""
+    return view.groupBy("barcode").agg(F.count_distinct("scan_filename").alias("pages"), F.count("*").alias("detections"), F.min_by("scan_filename", "id_detection").alias("cover"))
+
+
 VIEWER = "barcode string, pages array<string>, detections array<struct<id_detection:bigint,scan_filename:string,bbox_xyxy:array<double>,bbox_conf:double,pred_class:string,classification_conf:double,caption:string,lang:string,image_hash:string>>"
 
 

@@ -477,11 +477,27 @@ def atlas(t, *_):
     return export.atlas(views.filtered_dataset(t), None).select("id", "barcode", "classification", "language", "megapixels", F.size("embedding").cast("bigint").alias("dimensions"))
 
 
-@query(None, *VIEW)
+def _field(name: str, value: str, text_: bool = False) -> str:
+    """A member of a JSON object, null if there is no value."""
+    return f"'\"{name}\":' || " + (f"cast(to_json({value}) as varchar)" if text_ else f"cast({value} as varchar)")
+
+
+_BOX = "case when bbox_xyxy is not null then '[' || array_to_string(list_transform(bbox_xyxy, lambda x: cast(x as varchar)), ',') || ']' end"
+_ELEMENT = ", ".join([
+    _field("id_detection", "id_detection"), _field("scan_filename", "scan_filename", True), f"'\"bbox_xyxy\":' || {_BOX}", _field("bbox_conf", "bbox_conf"), _field("pred_class", "pred_class", True),
+    _field("classification_conf", "classification_conf"), _field("caption", "caption_text", True), _field("lang", "caption_lang", True), _field("image_hash", "image_hash", True)])
+
+
+@view_query(f"""select barcode, '{{"barcode":' || to_json(barcode) || ',"pages":[' || (select string_agg(cast(to_json(scan_filename) as varchar), ',' order by seen) from (select scan_filename, min(id_detection) as seen from view v where v.barcode = w.barcode group by 1)) || '],"detections":[' || string_agg('{{' || concat_ws(',', {_ELEMENT}) || '}}', ',' order by id_detection) || ']}}' as json from view w group by barcode""")
 def viewer_documents(t, *_):
     return export.viewer_documents(views.filtered_dataset(t))
 
 
+@view_query("select barcode, count(distinct scan_filename) as pages, count(*) as detections, min(scan_filename) filter (where id_detection = first_id) as cover from (select *, min(id_detection) over (partition by barcode) as first_id from view) group by barcode")
+def viewer_index(t, *_):
+    return export.viewer_index(views.filtered_dataset(t))
+
+
 @view_query("select barcode, cast(dense_rank() over (partition by barcode order by seen) - 1 as int) as page, (select cast(count(distinct v.scan_filename) as int) from view v where v.barcode = w.barcode) as pages, id_detection, scan_filename, bbox_xyxy[3] as right_edge, bbox_conf, pred_class, caption_text as caption, image_hash from (select *, min(id_detection) over (partition by barcode, scan_filename) as seen from view) w")
 def viewer_elements(t, *_):
     """Viewer documents written and read back."""

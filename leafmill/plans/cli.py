@@ -221,6 +221,7 @@ def viewer(spark, a):
     v = v if a.classes is None else v.where(F.col("pred_class").isin(*a.classes))
     documents = export.viewer_documents(v)
     sinks.write_json(export.viewer_rows(documents) if a.detections_only else documents, a.out)
+    sinks.write_json(export.viewer_index(v), f"{a.out}_index")
 
 
 @command("read-viewer", lambda p: (p.add_argument("source"), p.add_argument("--volume", nargs="*")))

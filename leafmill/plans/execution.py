@@ -8,6 +8,7 @@ from dataclasses import dataclass, field
 
 from leafmill.plans.leases import DONE, Leases
 
+
 @dataclass
 class Log:
     """One line a start and an end, with the seconds between."""
