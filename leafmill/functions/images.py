@@ -47,6 +47,18 @@ def rotate(image: np.ndarray, correction: str | None) -> np.ndarray:
     return np.ascontiguousarray(np.rot90(image, turns))
 
 
+def shrunk(image: np.ndarray, most: int) -> np.ndarray:
+    """So that neither side is above most, each pixel the mean of those it stands for; a smaller image stays."""
+    scale = min(1.0, most / max(image.shape[:2]))
+    sides = [max(1, round(n * scale)) for n in image.shape[:2]]
+    for axis, fresh in enumerate(sides):
+        n = image.shape[axis]
+        edges = np.arange(fresh) * n // fresh
+        size = np.diff(np.append(edges, n)).reshape([-1 if k == axis else 1 for k in range(image.ndim)])
+        image = np.add.reduceat(image.astype(np.float64), edges, axis=axis) / size
+    return np.clip(np.round(image), 0, 255).astype(np.uint8)
+
+
 def encode_png(image: np.ndarray, level: int = 0) -> bytes:
     """An RGB or gray PNG; channels are written in the order they have."""
     h, w = image.shape[:2]

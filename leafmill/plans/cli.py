@@ -116,9 +116,10 @@ def dedupe_embedding(spark, a):
     table(spark, a.root, "deduped_embedding").change(lambda old: sinks.replaced(old, fresh))
 
 
-@command("create-view", lambda p: p.add_argument("--out", required=True))
+@command("create-view", lambda p: (p.add_argument("--out", required=True), p.add_argument("--drop-existing", action="store_true")))
 def create_view(spark, a):
-    views.filtered_dataset(load(spark, a.root)).write.mode("overwrite").parquet(a.out)
+    """The filtered dataset as a table; one that is there stays, unless it is to be dropped."""
+    views.filtered_dataset(load(spark, a.root)).write.mode("overwrite" if a.drop_existing else "error").parquet(a.out)
 
 
 @command("train-languages", lambda p: (p.add_argument("source", help="Parquet table of text and lang"), p.add_argument("--profiles", required=True)))
@@ -325,10 +326,19 @@ def run_execute(spark, a):
         raise SystemExit(1)
 
 
-@command("run-all", lambda p: (_out(p), _backfill(p), p.add_argument("--skip-tokens", action="store_true"), p.add_argument("--skip-atlas", action="store_true"), p.add_argument("--sample", type=int, default=10_000), p.add_argument("--vocabulary")))
+def _run_all(p):
+    _out(p)
+    _backfill(p)
+    p.add_argument("--skip-tokens", action="store_true")
+    p.add_argument("--skip-atlas", action="store_true")
+    p.add_argument("--sample", type=int, default=10_000)
+    p.add_argument("--vocabulary")
+
+
+@command("run-all", _run_all)
 def run_run_all(spark, a):
     """View, backfill, token counts and atlas, up to the first that fails."""
-    at = lambda name: argparse.Namespace(**(vars(a) | {"out": f"{a.out}/{name}"}))
+    at = lambda name: argparse.Namespace(**(vars(a) | {"out": f"{a.out}/{name}", "drop_existing": True}))
     steps = {"create-view": lambda: create_view(spark, at("view")), "backfill": lambda: run_backfill(spark, a)}
     steps |= {} if a.skip_tokens else {"count-tokens": lambda: count_tokens(spark, at("tokens"))}
     steps |= {} if a.skip_atlas else {"atlas": lambda: atlas(spark, at("atlas"))}

@@ -131,9 +131,9 @@ def shaped(logs: list[dict] | None) -> list[dict] | None:
     return None if logs is None else [one(x, True) for x in logs if isinstance(x, dict)]
 
 
-def caption(crops: DataFrame, prompts: DataFrame, load: Callable[[], Captioner], attempts: int = 3) -> DataFrame:
+def caption(crops: DataFrame, prompts: DataFrame, load: Callable[[], Captioner], attempts: int = 3, most_side: int | None = None) -> DataFrame:
     """text and logprobs (JSON) of each crop with a prompt (id_detection, prompt). A call that fails is made again; the last failure
-    gives "" and null.
+    gives "" and null. Crops are shrunk to most_side first, if one is given.
     """
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
@@ -144,7 +144,8 @@ def caption(crops: DataFrame, prompts: DataFrame, load: Callable[[], Captioner],
                 said, logs = "", None
                 for _ in range(attempts):
                     try:
-                        said, logs = model.caption(images.decode_png(png), prompt)
+                        crop = images.decode_png(png)
+                        said, logs = model.caption(crop if most_side is None else images.shrunk(crop, most_side), prompt)
                         break
                     except Exception:  # noqa: BLE001  the row says that it failed
                         continue
@@ -155,6 +156,22 @@ def caption(crops: DataFrame, prompts: DataFrame, load: Callable[[], Captioner],
     return rows.mapInPandas(run, "id_detection long, id_pipeline_batch_item long, text string, logprobs string")
 
 
+def thumbnails(crops: DataFrame, most: int = 320) -> DataFrame:
+    """crops with their PNG shrunk so that neither side is above most; null where there is none or it can't be read."""
+
+    @F.arrow_udf("binary")
+    def small(png: pa.Array) -> pa.Array:
+        out = []
+        for data in png.to_pylist():
+            try:
+                out.append(images.encode_png(images.shrunk(images.decode_png(data), most)) if data else None)
+            except Exception:  # noqa: BLE001
+                out.append(None)
+        return pa.array(out, pa.binary())
+
+    return crops.withColumn("png", small(F.col("png")))
+
+
 def turned(records: DataFrame) -> DataFrame:
     """Export records with their crops turned upright where rotated says so; a crop that can't be read stays. rotated goes."""
 

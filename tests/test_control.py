@@ -220,7 +220,26 @@ def test_commands_that_read(spark, tmp_path, monkeypatch, capsys):
     do("export", "--out", f"{tmp_path}/hub", "--limit", "2", "--shard-size", "4")
     do("export", "--out", f"{tmp_path}/store", "--kind", "store", "--total-chunks", "2", "--chunk-index", "1", "--prefix", "p")
     assert spark.read.parquet(f"{tmp_path}/hub").count() > 0 and all(x.startswith("p-c01-") for x in os.listdir(tmp_path / "store"))
+    do("create-view", "--out", f"{tmp_path}/view")
+    with pytest.raises(Exception, match="exists"):
+        do("create-view", "--out", f"{tmp_path}/view")
+    do("create-view", "--out", f"{tmp_path}/view", "--drop-existing")
+    do("run-all", "--out", f"{tmp_path}/all", "--skip-tokens", "--sample", "5", "--force")
+    assert sorted(os.listdir(tmp_path / "all")) == ["atlas", "view"] and spark.read.parquet(f"{tmp_path}/all/atlas").count() == 5
     do("run-status")
     assert "COMPLETED" in capsys.readouterr().out
     do("vacuum", "--keep", "1")
     assert spark.read.parquet(f"{tmp_path}/hub").count() > 0
+
+
+def test_thumbnails(spark):
+    from leafmill.plans import stages
+
+    r = np.random.default_rng(0)
+    a = r.integers(0, 256, (40, 100, 3), dtype=np.uint8)
+    small = images.shrunk(a, 50)
+    assert small.shape == (20, 50, 3) and (small == np.round(a.reshape(20, 2, 50, 2, 3).mean((1, 3)))).mean() > 0.99
+    assert (images.shrunk(a, 500) == a).all() and images.shrunk(a[:1], 10).shape == (1, 10, 3) and images.shrunk(a[:, :, 0], 7).shape == (3, 7)
+    crops = spark.createDataFrame([(1, bytearray(images.encode_png(a))), (2, None), (3, bytearray(b"no"))], "id long, png binary")
+    got = {x.id: x.png for x in stages.thumbnails(crops, 50).collect()}
+    assert images.decode_png(bytes(got[1])).shape == (20, 50, 3) and got[2] is None and got[3] is None
