@@ -26,7 +26,8 @@ def deduplicate(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     told = ngram_join.similar(docs).groupBy("doc_id").agg(F.count("*").alias("n"), F.max(F.col("doc_id") == F.col("component_id")).alias("first"))
     stay = staged(told.where("first").select("doc_id", "n"), "stay")
     kept = docs.join(stay.where("n = 1").select("doc_id"), "doc_id", "left_semi").select(*docs.columns)
-    repeated = docs.join(stay.where("n > 1").select("doc_id"), "doc_id", "left_semi")
+    # a table of its own says how few they mostly are, and then the texts aren't dealt a second time for them
+    repeated = docs.join(staged(stay.where("n > 1").select("doc_id"), "repeated"), "doc_id", "left_semi")
     least = repeated.groupBy("doc_id").agg(F.min(F.struct(*[c for c in docs.columns if c != "doc_id"])).alias("r")).select("doc_id", "r.*").select(*docs.columns)
     return kept.unionByName(least).unionByName(docs.where("doc_id is null"))
 
