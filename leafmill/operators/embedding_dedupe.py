@@ -2,45 +2,23 @@
 
 from __future__ import annotations
 
-import numpy as np
-import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from leafmill.operators.embedding_index import best, neighbours_indexed
+from leafmill.operators.embedding_index import BLOCK_ROWS, best, block_products, neighbours_indexed
 from leafmill.operators.hash_dedupe import assign, of_run
-from leafmill.sources.staging import staged
 
 DISTANCE, NEIGHBOURS = 0.14, 30
-BLOCK_ROWS = 4096
 
 
 def neighbours_exact(vectors: DataFrame, least: float = 1 - DISTANCE, k: int | None = NEIGHBOURS, block_rows: int = BLOCK_ROWS) -> DataFrame:
     """i, j, sim: of each i its k most similar (itself counted, ties by id) with similarity of at least least, i < j.
 
-    Exact and quadratic: vectors are dealt into blocks, each pair of blocks is one matrix product in one task. Memory
-    is two blocks; work is what an exact answer costs. For large tables use neighbours_indexed.
+    Exact and quadratic in its products, one of each two blocks of vectors; vectors are dealt once, and without k pairs
+    leave their task as they are. For large tables use neighbours_indexed.
     """
-    n = max(1, -(-vectors.count() // block_rows))
-    dealt = staged(vectors.select("id", F.col("v").cast("array<float>").alias("v"), F.pmod(F.xxhash64("id"), F.lit(n)).cast("int").alias("blk")), "blocks")
-    left = dealt.select("id", "v", F.explode(F.sequence(F.lit(0), F.lit(n - 1))).alias("other"), F.lit(0).alias("side"), "blk")
-    right = dealt.select("id", "v", F.col("blk").alias("other"), F.lit(1).alias("side"), F.explode(F.sequence(F.lit(0), F.lit(n - 1))).alias("blk"))
-
-    def product(pdf: pd.DataFrame) -> pd.DataFrame:
-        a, b = pdf[pdf.side == 0].sort_values("id"), pdf[pdf.side == 1].sort_values("id")
-        if a.empty or b.empty:
-            return pd.DataFrame({"i": [], "j": [], "sim": []})
-        x, y = (np.stack(p.v.to_list()).astype(np.float64) for p in (a, b))
-        x, y = (m / (np.linalg.norm(m, axis=1, keepdims=True) + 1e-8) for m in (x, y))
-        s = x @ y.T
-        i, j = np.nonzero(s >= least)
-        out = pd.DataFrame({"i": a.id.to_numpy()[i], "j": b.id.to_numpy()[j], "sim": s[i, j]})
-        if k is not None:  # the k best overall are among the k best of each block
-            out = out.sort_values(["i", "sim", "j"], ascending=[True, False, True]).groupby("i").head(k)
-        return out
-
-    near = left.unionByName(right).groupBy("blk", "other").applyInPandas(product, "i long, j long, sim double")
-    return best(near, k)
+    near = block_products(vectors.select("id", F.col("v").cast("array<float>").alias("v"), F.lit(float(least)).alias("least")), k, block_rows)
+    return near if k is None else best(near, k)
 
 
 def dedupe_by_embedding(image_embedding: DataFrame, distance: float = DISTANCE, k: int | None = NEIGHBOURS, exact: bool = False, batches: DataFrame | None = None, items: DataFrame | None = None, run: int | None = None) -> DataFrame:
