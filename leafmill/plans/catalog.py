@@ -12,7 +12,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from leafmill.functions import language_profiles, languages, rules, text, vectors
-from leafmill.operators import backfill, browse, control, embedding_dedupe, export, hash_dedupe, statistics, views
+from leafmill.operators import backfill, browse, control, embedding_dedupe, embedding_index, export, hash_dedupe, statistics, views
 from leafmill.sources import sinks, staging
 from leafmill.sources.derived import prelude, relation
 from leafmill.streaming import incremental
@@ -567,9 +567,9 @@ def vector_norms(t, *_):
 
 @query(f", {NEAR.replace('x.id_embedding < y.id_embedding', 'true')} select i, j, round(sim, 4) as sim from (select *, row_number() over (partition by i order by sim desc, j) as place from near) where place <= 10 and sim >= 0.2 and i < j", "image_embedding")
 def embedding_neighbours_hashed(t, *_):
-    """The index of a large table: exact for small ones, as the SQL is."""
+    """The index gives what must be beaten, an exact check by blocks the lists."""
     v = t["image_embedding"].select(F.col("id_embedding").alias("id"), F.col("embedding").alias("v"))
-    return embedding_dedupe.neighbours_indexed(v, 0.2, 10, planned=0.5).withColumn("sim", F.round("sim", 4))
+    return embedding_index.neighbours_searched(v, 0.2, 10, planned=0.5).withColumn("sim", F.round("sim", 4))
 
 
 @query(None, *VIEW, "pipeline_batch")
