@@ -4,8 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Callable, Iterator
 
-import pandas as pd
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Row, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StatefulProcessor, StatefulProcessorHandle, StreamingQuery
 
@@ -36,7 +35,7 @@ def windowed(stream: DataFrame, ts: str = "ts", width: str = "1 hour", late: str
 
 STATE_STORE = "spark.sql.streaming.stateStore.providerClass"
 ROCKS = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
-DECIDED = "id_pipeline_batch long, node string, said string, ts timestamp"
+DECIDED = "id_pipeline_batch long, node string, said string, at long"
 
 
 def once(stream: DataFrame, key: str, ts: str = "ts", late: str = "2 hours") -> DataFrame:
@@ -58,43 +57,38 @@ class LeaseProcessor(StatefulProcessor):
         self.handle = handle
         self.holder = handle.getValueState("holder", "node string, until long, timer long")
 
-    def _free(self) -> None:
-        _, _, timer = self.holder.get()
-        if timer is not None:
-            self.handle.deleteTimer(timer)
-        self.holder.clear()
-
-    def handleInputRows(self, key, rows: Iterator[pd.DataFrame], timerValues) -> Iterator[pd.DataFrame]:
+    def handleInputRows(self, key, rows: Iterator[Row], timerValues) -> Iterator[Row]:
         (batch,) = key
-        out = []
-        for r in pd.concat(list(rows)).sort_values(["ts", "node", "action"], kind="stable").itertuples():
-            at = int(r.ts.value // 1000)  # microseconds
-            held = self.holder.get() if self.holder.exists() else None
-            if self.clock == "event" and held and at >= held[1]:
-                out.append((batch, held[0], "expired", pd.Timestamp(held[1], unit="us")))
-                self._free()
+        # the state is read once and written once, however many requests there are
+        before = held = self.holder.get() if self.holder.exists() else None
+        for r in sorted(rows, key=lambda r: (r.at, r.node is None, r.node or "", r.action or "")):
+            if self.clock == "event" and held and r.at >= held[1]:
+                yield Row(id_pipeline_batch=batch, node=held[0], said="expired", at=held[1])
                 held = None
             if r.action == "claim":
-                if held is None:
-                    timer = None
-                    if self.clock == "processing":
-                        timer = timerValues.getCurrentProcessingTimeInMs() + self.seconds * 1000
-                        self.handle.registerTimer(timer)
-                    self.holder.update((r.node, at + self.seconds * 1_000_000, timer))
-                out.append((batch, r.node, "granted" if held is None else "refused", r.ts))
+                yield Row(id_pipeline_batch=batch, node=r.node, said="refused" if held else "granted", at=r.at)
+                if not held:
+                    timer = timerValues.getCurrentProcessingTimeInMs() + self.seconds * 1000 if self.clock == "processing" else None
+                    held = r.node, r.at + self.seconds * 1_000_000, timer
             elif r.action == "release" and held and held[0] == r.node:
-                self._free()
-                out.append((batch, r.node, "released", r.ts))
-        yield pd.DataFrame(out, columns=["id_pipeline_batch", "node", "said", "ts"])
-
-    def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator[pd.DataFrame]:
+                yield Row(id_pipeline_batch=batch, node=r.node, said="released", at=r.at)
+                held = None
+        if held is not before:
+            if before and before[2] is not None:
+                self.handle.deleteTimer(before[2])
+            if held and held[2] is not None:
+                self.handle.registerTimer(held[2])
+            if held:
+                self.holder.update(held)
+            else:
+                self.holder.clear()
+
+    def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator[Row]:
         (batch,) = key
-        if self.holder.exists() and self.holder.get()[2] == expiredTimerInfo.getExpiryTimeInMs():
-            node, until, _ = self.holder.get()
+        held = self.holder.get() if self.holder.exists() else None
+        if held and held[2] == expiredTimerInfo.getExpiryTimeInMs():
             self.holder.clear()
-            yield pd.DataFrame([(batch, node, "expired", pd.Timestamp(until, unit="us"))], columns=["id_pipeline_batch", "node", "said", "ts"])
-        else:
-            yield pd.DataFrame([], columns=["id_pipeline_batch", "node", "said", "ts"])
+            yield Row(id_pipeline_batch=batch, node=held[0], said="expired", at=held[1])
 
     def close(self) -> None:
         pass
@@ -106,7 +100,9 @@ def leases(requests: DataFrame, seconds: int = 3600, clock: str = "processing")
     The state of a batch is its holder, kept in the state store that STATE_STORE names, which must be ROCKS.
     """
     mode = {"processing": "ProcessingTime", "event": "None"}[clock]
-    return requests.groupBy("id_pipeline_batch").transformWithStateInPandas(LeaseProcessor(seconds, clock), DECIDED, "append", mode)
+    asked = requests.select("id_pipeline_batch", "node", "action", F.unix_micros("ts").alias("at"))
+    said = asked.groupBy("id_pipeline_batch").transformWithState(LeaseProcessor(seconds, clock), DECIDED, "append", mode)
+    return said.select("id_pipeline_batch", "node", "said", F.timestamp_micros("at").alias("ts"))
 
 
 def delivered(spark: SparkSession, deliveries: list[DataFrame], work: Callable[[DataFrame], DataFrame], path: str) -> DataFrame:

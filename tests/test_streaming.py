@@ -101,3 +101,24 @@ def test_timers_end_leases_without_a_request(spark, tmp_path, rocks):
         got = {tuple(r)[:3] for r in spark.sql("select * from lease_out").collect()}
     q.stop()
     assert got == {(1, "a", "granted"), (1, "b", "refused"), (1, "a", "expired"), (2, "c", "granted"), (2, "c", "released")}
+
+
+def test_state_is_read_and_written_once_for_many_requests():
+    from types import SimpleNamespace
+
+    calls = []
+
+    class State:
+        def exists(self):
+            calls.append("exists")
+            return False
+
+        def update(self, value):
+            calls.append("update")
+
+    p = incremental.LeaseProcessor(60, "event")
+    p.holder = State()
+    rows = [SimpleNamespace(node=n, action=a, at=1_000_000 * t) for t, n, a in [(2, "b", "claim"), (1, "a", "claim"), (3, "a", "release"), (4, "b", "claim"), (70, "c", "claim")] * 20]
+    said = [(r.node, r.said) for r in p.handleInputRows((7,), iter(rows), None)]
+    assert said[:2] == [("a", "granted"), ("a", "refused")] and said.count(("a", "released")) == 1 and said[-21:][:2] == [("b", "expired"), ("c", "granted")]
+    assert calls == ["exists", "update"]
