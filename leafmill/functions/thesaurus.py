@@ -7,6 +7,7 @@ longest. Texts and terms are compared in lower case.
 
 from __future__ import annotations
 
+from array import array
 from collections.abc import Iterable, Iterator
 
 import pyarrow as pa
@@ -14,6 +15,8 @@ from pyspark import Broadcast
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from leafmill.functions import pieces
+
 #: Characters of terms in one automaton, which takes some 60 bytes for each. A larger thesaurus has several, and a task holds one.
 CHARACTERS = 4_000_000
 #: Bytes of a thesaurus that are sent to the tasks at most; beyond it is no dictionary.
@@ -47,7 +50,7 @@ class Automaton:
                 yield start, -len(term), term, category
 
 
-def settled(hits: list[tuple[int, int, str, str]]) -> dict[str, dict[str, int]]:
+def settled(hits: Iterable[tuple[int, int, str, str]]) -> dict[str, dict[str, int]]:
     """category -> term -> count of the matches that don't overlap an earlier or longer one."""
     out: dict[str, dict[str, int]] = {}
     end = 0
@@ -106,13 +109,21 @@ def matches(text: Column, thesaurus: DataFrame, characters: int = CHARACTERS) ->
     @F.arrow_udf(FOUND)
     def found(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
         for b in batches:
-            low = [(x or "").lower() for x in b.to_pylist()]
-            hits: list[list] = [[] for _ in low]
-            for i, shard in enumerate(sent):
-                a = _automaton(shard, (name, i))
-                for own, x in zip(hits, low, strict=True):
-                    own.extend(a.hits(x))
-            told = [settled(h) if h else None for h in hits]
-            yield pa.array([None if m is None else [(c, list(own.items())) for c, own in m.items()] for m in told], _FOUND)
-
-    return found(text)
+            if len(sent) == 1:  # a text is settled as soon as it is read
+                a = _automaton(sent[0], (name, 0))
+                told = [settled(a.hits((x or "").lower())) for part in pieces.lists(b) for x in part]
+            else:  # one automaton after the other over the batch, each hit held in three words
+                hits = [(array("q"), [], []) for _ in range(len(b))]
+                for i, shard in enumerate(sent):
+                    a, own = _automaton(shard, (name, i)), iter(hits)
+                    for x in (x for part in pieces.lists(b) for x in part):
+                        starts, terms, categories = next(own)
+                        for start, _, term, category in a.hits((x or "").lower()):
+                            starts.append(start)
+                            terms.append(term)
+                            categories.append(category)
+                told = [settled((s, -len(t), t, c) for s, t, c in zip(*h, strict=True)) for h in hits]
+            yield pa.array([[(c, list(own.items())) for c, own in m.items()] if m else None for m in told], _FOUND)
+
+    # a filter on the column would otherwise be pushed below it, and every text be read twice
+    return found.asNondeterministic()(text)

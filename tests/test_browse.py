@@ -2,6 +2,7 @@
 
 import random
 
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
@@ -73,3 +74,26 @@ def test_header_and_pages_with_elements(spark):
     scans = spark.createDataFrame([(1, "p1"), (1, "p2")], "id_pipeline_batch_item long, filename string")
     found = spark.createDataFrame([(1, "p2"), (2, "p1")], "id_pipeline_batch_item long, scan_filename string")
     assert [r["filename"] for r in browse.pages_with_elements(scans, found).collect()] == ["p2"]
+
+
+def test_what_python_holds_of_a_batch_is_bounded(spark, monkeypatch):
+    from pyspark.sql import DataFrame
+
+    from leafmill.functions import pieces
+
+    texts = pa.array(["a" * 700, None, "b" * 400, "c" * 3000, "", "d"])
+    assert list(pieces.lists(texts, 1000)) == [["a" * 700, None], ["b" * 400], ["c" * 3000], ["", "d"]]
+    df: DataFrame = spark.createDataFrame([(i, "the law " * 40_000) for i in range(8)], "id long, text string").coalesce(1)
+
+    def encode(part):  # fails where more than the bound is handed over at once
+        assert sum(map(len, part)) <= pieces.MOST_BYTES
+        return [len(t) for t in part]
+
+    assert {r.n for r in df.select(tokens.token_count(F.col("text"), encode=encode).alias("n")).collect()} == {320_000}
+
+
+def test_texts_are_read_once_for_their_terms(spark):
+    caption = spark.createDataFrame([(1, "the law"), (2, "none")], "id_caption long, text string")
+    one = spark.createDataFrame([("a", "law", None)], "category string, keyword string, related_terms array<string>")
+    df = backfill.thesaurus_matches(caption, one)
+    assert df._jdf.queryExecution().executedPlan().toString().count("ArrowEvalPython") == 1 and [r.id_caption for r in df.collect()] == [1]
