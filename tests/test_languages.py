@@ -50,3 +50,16 @@ def test_names_and_codes_of_languages(spark):
     got = [r[0] for r in spark.createDataFrame([(i, x) for i, x in enumerate(rows)], "i int, x string").orderBy("i").select(rules.language_code(F.col("x"))).collect()]
     assert got == ["eng", "isl", "cym", "eus", "swe", "swe", "zho", None, None, None] and len(rules.language_names()) > 400
     assert [r[0] for r in spark.createDataFrame([("isl",), ("qqq",)], "x string").select(rules.language_name(F.col("x"))).collect()] == ["Icelandic", "English"]
+
+
+def test_texts_at_once_are_told_as_one_by_one(monkeypatch):
+    from collections import Counter
+
+    texts = ["the thing and the other", "le chat et la souris", "der Hund und die Katze", None, "", "a", "1 2", "İz ẞ 漢字 x", "thé the"]
+    known = [("en", texts[0]), ("fr", texts[1]), ("de", texts[2])]
+    profiles = {k: lp.Profile(-70_000, {g: -10_000 * n for g, n in lp.trigrams(t).items()}) for k, t in known}
+    want = [lp.told(t, profiles) for t in texts]
+    for cells in (lp.CELLS, 0):
+        monkeypatch.setattr(lp, "CELLS", cells)
+        assert lp.Judge(profiles).told(texts) == want and want[:3] == ["en", "fr", "de"]
+        assert lp.counted([k for k, _ in known], [t for _, t in known]) == {k: dict(Counter(lp.trigrams(t))) for k, t in known}
