@@ -297,7 +297,7 @@ def hot_bitmap(ranked: DataFrame, bits: int) -> np.ndarray:
 
 
 def _lists(docs: DataFrame, read: Read, buckets: int, num: int = 3, den: int = 4) -> DataFrame:
-    """h, node, n, short: prefixes of nodes that share h with another. A task sends a node once a group of texts."""
+    """h, node, n, short, m: prefixes of nodes that share h with another, m nodes in all. A task sends a node once a group of texts."""
 
     def scan(batches):
         for nodes in read.nodes(batches):
@@ -332,8 +332,9 @@ def _lists(docs: DataFrame, read: Read, buckets: int, num: int = 3, den: int = 4
         fresh = np.concatenate([[True], (e["h"][1:] != e["h"][:-1]) | (e["node"][1:] != e["node"][:-1])])
         e = e[fresh]  # copies in other tasks
         cut = np.concatenate([[0], np.flatnonzero(e["h"][1:] != e["h"][:-1]) + 1, [len(e)]])
-        e = e[np.repeat(np.diff(cut) > 1, np.diff(cut))]
-        return pa.RecordBatch.from_pydict({"h": e["h"].view(np.int64), "node": e["node"], "n": e["n"].astype(np.int64), "short": e["short"].astype(bool)}, pa.schema([("h", pa.int64()), ("node", pa.int64()), ("n", pa.int64()), ("short", pa.bool_())]))
+        m = np.repeat(np.diff(cut), np.diff(cut))  # a bucket has all of a list
+        e, m = e[m > 1], m[m > 1]
+        return pa.RecordBatch.from_pydict({"h": e["h"].view(np.int64), "node": e["node"], "n": e["n"].astype(np.int64), "short": e["short"].astype(bool), "m": m}, pa.schema([("h", pa.int64()), ("node", pa.int64()), ("n", pa.int64()), ("short", pa.bool_()), ("m", pa.int64())]))
 
     def meet(batches):
         held, at = [], None
@@ -348,7 +349,7 @@ def _lists(docs: DataFrame, read: Read, buckets: int, num: int = 3, den: int = 4
             yield settle(held)
 
     sent = docs.mapInArrow(scan, "bucket long, e binary").repartition("bucket").sortWithinPartitions("bucket")
-    return sent.mapInArrow(meet, "h long, node long, n long, short boolean")
+    return sent.mapInArrow(meet, "h long, node long, n long, short boolean, m long")
 
 
 def _may(x: str = "x", y: str = "y", num: int = 3, den: int = 4):
@@ -447,19 +448,17 @@ def similar(documents: DataFrame, num: int = 3, den: int = 4, node_bits: int = 6
     release(many)
     read = Read(sc.broadcast((classes, hot)), read.reps, read.renamed, node_bits)
     lists = staged(_lists(docs, read, buckets, num, den), "lists")
-    sizes = staged(lists.groupBy("h").agg(F.count("*").alias("m")), "list_sizes")
-    lengthy = staged(lists.join(sizes.where(F.col("m") > LIST).select("h"), "h", "left_semi"), "lengthy")
+    lengthy, few = lists.where(F.col("m") > LIST).drop("m"), lists.where(F.col("m") <= LIST).drop("m")
     # the pivot is the member of most long lists, so that lists of one group of copies tend to share it; then the shortest
     degree = staged(lengthy.groupBy("node").agg((-F.count("*")).alias("d")), "degrees")
     pivots = staged(lengthy.where("short").join(degree, "node").groupBy("h").agg(F.min(F.struct("d", "n", "node", "short")).alias("p")).select("h", F.struct("p.n", "p.node", "p.short").alias("p")), "pivots")
-    few = lists.join(sizes.where(F.col("m") <= LIST).select("h"), "h", "left_semi")
     small = few.alias("x").join(few.alias("y"), "h").where(F.col("x.node") < F.col("y.node")).where(_may("x", "y", num, den))
     long_ = staged(lengthy.join(pivots, "h").select("h", "node", "n", "short", "p"), "long_lists")
-    release(lengthy, degree, pivots)
+    release(degree, pivots)
     starred = long_.where("node <> p.node").select(F.struct("node", "n", "short").alias("x"), F.col("p").alias("y")).where(den * F.least("x.n", "y.n") >= num * F.greatest("x.n", "y.n"))
     pairs = staged(_ordered(small.select(F.struct("x.node", "x.n", "x.short").alias("x"), F.struct("y.node", "y.n", "y.short").alias("y"))).union(_ordered(starred)).distinct(), "pairs")
     prefixes = staged(lists.groupBy("node").agg(F.collect_list("h").alias("hs")), "prefixes")
-    release(lists, sizes)
+    release(lists)
     told = staged(_bounded(pairs, prefixes, num, den), "bounded")
     release(pairs)
     likely = told.where("may").select("a", "na", "b", "nb")

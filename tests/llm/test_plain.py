@@ -221,6 +221,44 @@ def least_edits(item, text):
     return min(row)
 
 
+@pytest.mark.parametrize("marks", [corpus_pipeline.MARKS, 1])
+def test_texts_that_stay_are_not_dealt(spark, monkeypatch, marks):
+    """A bitmap of one bit is full: then the exact join alone decides."""
+    monkeypatch.setattr(corpus_pipeline, "MARKS", marks)
+    text = lambda k: " ".join(f"w{k}x{j}" for j in range(12))
+    rows = [(k, text(k % 250), "en", None, None) for k in range(300)] + [(7, "another text under the same id as one before it", None, None, None), (None, text(3), None, None, None), (None, "a row without an id", None, None, None), (400, None, None, None, None), (401, "", None, None, None)]
+    docs = corpus_pipeline.staged(spark.createDataFrame(rows, "doc_id long, text string, lang string, source string, n_chars long"), "docs")
+    before = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    try:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+        out = corpus_pipeline.deduplicate(spark, docs, "")
+        got = sorted(map(tuple, out.collect()), key=str)
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
+    want = [r for r in rows if (r[0] is None or r[0] < 250 or r[0] >= 400) and not (r[0] == 7 and r[1] == text(7))]
+    assert got == sorted(want, key=str)
+    dealt = sum(_texts_dealt(out._jdf.queryExecution().executedPlan()))
+    assert 0 < dealt <= 2 * 52 if marks > 1 else dealt > 300  # 50 copies and the two rows of one id, met with either list
+
+
+def _texts_dealt(plan) -> list[int]:
+    """Records that each shuffle of texts in an executed plan has written."""
+    found, todo = [], [plan]
+    while todo:
+        p = todo.pop()
+        kind = p.getClass().getSimpleName()
+        if kind == "AdaptiveSparkPlanExec":
+            todo.append(p.executedPlan())
+            continue
+        if kind.endswith("QueryStageExec"):
+            todo.append(p.plan())
+            continue
+        if kind == "ShuffleExchangeExec" and "text" in p.output().mkString(","):
+            found.append(p.metrics().apply("shuffleRecordsWritten").value())
+        todo += [p.children().apply(i) for i in range(p.children().size())]
+    return found
+
+
 def test_pipeline(spark, tmp_path):
     own = [(r.doc_id, r.text, r.lang, r.source, r.n_chars) for r in spark.read.parquet(f"{DATA}/documents.parquet").collect() if len(r.text) < 1500][:70]
     items = [(1, own[3][1][:60]), (2, own[8][1][20:75]), (3, "a passage that stands in none of the documents at all")]
