@@ -180,12 +180,14 @@ def bounded_order(t: np.ndarray, depth: int = 64) -> tuple[np.ndarray, np.ndarra
     n = len(t)
     padded = np.concatenate([t, np.zeros(8, np.uint8)])
     key = np.lib.stride_tricks.sliding_window_view(padded, 8)[:n].copy().view(">u8").ravel().astype(np.uint64)
-    order = np.argsort(key, kind="stable")
-    new = np.concatenate([[True], key[order[1:]] != key[order[:-1]]])
+    order = np.argsort(key)  # of equal ones by chance: the loop puts them by place
+    new = key[order]
+    new = np.concatenate([[True], new[1:] != new[:-1]])
     rank = np.empty(n, np.int64)
     rank[order] = np.flatnonzero(new)[np.cumsum(new) - 1]
     eight, size = rank.copy(), 8
     ahead = np.concatenate([rank, np.full(depth, -1)])
+    bits = n.bit_length()
     while size < depth:
         first = np.flatnonzero(new)
         many = np.diff(np.concatenate([first, [n]]))
@@ -193,10 +195,16 @@ def bounded_order(t: np.ndarray, depth: int = 64) -> tuple[np.ndarray, np.ndarra
         if not open_.any():
             break
         at = order[open_]
-        sub = np.lexsort((at, ahead[at + size], rank[at]))
-        at = at[sub]
+        if 3 * bits < 64:  # rank, rank ahead and place fit into one number; plain numbers are sorted much faster
+            both = (rank[at] << 2 * bits) | ((ahead[at + size] + 1) << bits) | at
+            both.sort()
+            at = both & ((1 << bits) - 1)
+            both >>= bits
+            fresh = np.concatenate([[True], both[1:] != both[:-1]])
+        else:
+            at = at[np.lexsort((at, ahead[at + size], rank[at]))]
+            fresh = np.concatenate([[True], (rank[at[1:]] != rank[at[:-1]]) | (ahead[at[1:] + size] != ahead[at[:-1] + size])])
         order[open_] = at
-        fresh = np.concatenate([[True], (rank[at[1:]] != rank[at[:-1]]) | (ahead[at[1:] + size] != ahead[at[:-1] + size])])
         new[open_] = fresh
         place = np.flatnonzero(open_)
         changed = place[fresh][np.cumsum(fresh) - 1]
@@ -217,8 +225,10 @@ def classes(t: np.ndarray, least: int = LENGTH) -> tuple[np.ndarray, np.ndarray]
     order, eight = bounded_order(t)
     before = t[order - 1]  # the transform; the first suffix takes the last symbol
     by = np.argsort(before, kind="stable")  # LF order: place x of it is the row whose predecessor sorts at x
+    bits = n.bit_length()
     lf = np.empty(n, np.int64)
-    lf[by] = np.arange(n)
+    lf[by] = np.arange(n) << bits  # room for the number of an interval beside it
+    symbol = before[by]
     head = eight[order]
     lcp = np.zeros(n + 1, np.uint8)  # 0: unset; else common prefix + 1
     border = np.concatenate([[0], np.flatnonzero(head[1:] != head[:-1]) + 1, [n]])
@@ -228,13 +238,13 @@ def classes(t: np.ndarray, least: int = LENGTH) -> tuple[np.ndarray, np.ndarray]
         if not len(lo):
             break
         size = hi - lo
-        own = np.repeat(np.arange(len(lo)), size)
-        rows = np.arange(len(own)) - np.repeat(np.cumsum(size) - size, size) + np.repeat(lo, size)
-        to = lf[rows]
-        turn = np.argsort(to)
-        to, own = to[turn], own[turn]
+        to = lf[spread(lo, size)] | np.repeat(np.arange(len(lo)), size)
+        to.sort()
+        near = np.diff(to) == 1 << bits  # the next row, of the same interval
+        to >>= bits
         # rows of one interval with one symbol before them lie side by side
-        cut = np.concatenate([[0], np.flatnonzero((own[1:] != own[:-1]) | (to[1:] != to[:-1] + 1) | (before[by[to[1:]]] != before[by[to[:-1]]])) + 1, [len(to)]])
+        first = symbol[to]
+        cut = np.concatenate([[0], np.flatnonzero(~near | (first[1:] != first[:-1])) + 1, [len(to)]])
         a, b = to[cut[:-1]], to[cut[1:] - 1] + 1
         fresh = lcp[b] == 0
         lo, hi = a[fresh], b[fresh]
