@@ -32,7 +32,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from leafmill.llm.arrow import id_texts
+from leafmill.functions.pieces import lists
+from leafmill.llm.arrow import id_texts, mapped
 from leafmill.llm.language_id import batch_type
 
 RATIO, Q = 0.1, 8
@@ -381,7 +382,7 @@ def leaks(documents: DataFrame, benchmark: DataFrame, ratio: float = RATIO) -> D
                 if rows:
                     yield pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(zip(*rows, strict=True), fields, strict=True)], schema=fields)
 
-        return documents.select("doc_id", "text").mapInArrow(run, schema)
+        return mapped(documents.select("doc_id", "text"), run, schema)
 
     found = [scan(b) for b in blocks(benchmark)]
     return reduce(DataFrame.unionByName, found) if found else spark.createDataFrame([], schema)
@@ -398,10 +399,10 @@ def clean(documents: DataFrame, benchmark: DataFrame, ratio: float = RATIO) -> D
         def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             index = Index(shared.value, ratio)
             for b in batches:
-                keep = [not (t and index.search(normal(t))) for t in b.column(at).to_pylist()]
+                keep = [not (t and index.search(normal(t))) for part in lists(b.column(at)) for t in part]
                 yield b.filter(pa.array(keep, pa.bool_()))
 
-        return documents.mapInArrow(run, documents.schema)
+        return mapped(documents, run, documents.schema)
 
     for items in blocks(benchmark):
         documents = without(items)

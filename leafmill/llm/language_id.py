@@ -22,7 +22,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
-from leafmill.llm.arrow import grouped, id_texts
+from leafmill.llm.arrow import grouped, id_texts, mapped
 from leafmill.llm.common import fold
 
 DIMENSIONS, SEED = 1024, 20
@@ -110,7 +110,7 @@ def train(documents: DataFrame, dimensions: int = DIMENSIONS) -> tuple[list[str]
         if total:
             yield pa.RecordBatch.from_pydict({"lang": list(total), "v": [v.tolist() for v in total.values()]}, pa.schema([("lang", pa.string()), ("v", pa.list_(pa.float64()))]))
 
-    rows = documents.where(F.col("lang").isNotNull()).select("lang", "text").mapInArrow(sums, "lang string, v array<double>")
+    rows = mapped(documents.where(F.col("lang").isNotNull()).select("lang", "text"), sums, "lang string, v array<double>")
     # one row per language and dimension, whatever the size of the corpus
     summed = rows.select("lang", F.posexplode("v").alias("i", "x")).groupBy("lang", "i").agg(F.sum("x").alias("x")).collect()
     langs = sorted({r["lang"] for r in summed})
@@ -144,7 +144,7 @@ def annotate(documents: DataFrame, langs: list[str], prototypes: np.ndarray) ->
                 done += len(part)
             yield pa.RecordBatch.from_arrays([*b.columns, pa.array(pred, pa.string()), pa.array(score, pa.float64()), pa.array(margin, pa.float64())], names=[*b.schema.names, *fresh])
 
-    return documents.mapInArrow(run, StructType([*documents.schema.fields, *StructType.fromDDL("lang_pred string, score double, margin double").fields]))
+    return mapped(documents, run, StructType([*documents.schema.fields, *StructType.fromDDL("lang_pred string, score double, margin double").fields]))
 
 
 def predict(documents: DataFrame, langs: list[str], prototypes: np.ndarray) -> DataFrame:

@@ -35,7 +35,8 @@ import zstandard as zstd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from leafmill.llm.arrow import grouped
+from leafmill.functions import pieces
+from leafmill.llm.arrow import mapped
 from leafmill.operators.components import connected_components
 from leafmill.sources.staging import release, staged
 
@@ -46,6 +47,8 @@ BYTES_A_SHINGLE = 5.6
 LIST = 8
 FRAGMENTS = 4
 BUCKET_TEXT = 16 << 20
+#: Bytes of texts that are hashed at once; shingles() holds some 60 times as much.
+AT_ONCE = 1 << 18
 FILTER_BITS = 1 << 24
 #: A shingle among the first of HOT_LEAST nodes or more goes behind the others, if the bitmap has room for so many.
 HOT_LEAST, HOT_LEAST_BITS, HOT_MOST_BITS = 16, 1 << 16, 1 << 27
@@ -172,9 +175,9 @@ def _batches(batches: Iterator[pa.RecordBatch], most: int = 1 << 20, member: np.
             bit = spark_hash(ids.fill_null(0).to_numpy(zero_copy_only=False).astype(np.int64))
             keep = ((member[bit // 32] >> (bit % 32).astype(np.uint32)) & 1 == 1) | ids.is_null().to_numpy(zero_copy_only=False)
             b = b.filter(pa.array(keep))
-        rows = zip(*(c.to_pylist() for c in b.columns), strict=True)
-        for part in grouped(list(rows), lambda r: len(r[1] or b"") + 64, most):
-            yield [r[0] for r in part], shingles([r[1] or b"" for r in part])
+        for at, n in pieces.ranges(b.column(1), most):
+            texts = b.column(1).slice(at, n)
+            yield b.column(0).slice(at, n).to_pylist(), [s for part in pieces.lists(texts, AT_ONCE) for s in shingles([t or b"" for t in part])]
 
 
 def _survey(bits: int, node_bits: int = 64):
@@ -226,9 +229,9 @@ def _add_blocks(batches):
 def frequency_classes(surveyed: DataFrame, bits: int) -> np.ndarray:
     """Classes by cell, over all documents. At most 2^MOST_BITS cells reach the driver, however large the corpus."""
     kind = "n long, node long, z binary"
-    parts = surveyed.where("kind = 1").select("n", "node", "z").repartition("n", "node").mapInArrow(_add_blocks, kind)
+    parts = mapped(surveyed.where("kind = 1").select("n", "node", "z").repartition("n", "node"), _add_blocks, kind)
     counts = np.zeros(1 << bits, np.uint32)
-    for r in parts.repartition("n").mapInArrow(_add_blocks, kind).toLocalIterator():
+    for r in mapped(parts.repartition("n"), _add_blocks, kind).toLocalIterator():
         x = _swell(r["z"])
         counts[r["n"] * len(x) : (r["n"] + 1) * len(x)] = x
     return classes_of(counts)
@@ -284,7 +287,8 @@ def _hot(docs: DataFrame, read: Read, buckets: int, least: int, num: int, den: i
         if held:
             yield count(held)
 
-    return docs.mapInArrow(scan, "bucket long, r binary").repartition("bucket").sortWithinPartitions("bucket").mapInArrow(meet, "rank long")
+    sent = mapped(docs, scan, "bucket long, r binary").repartition("bucket").sortWithinPartitions("bucket")
+    return mapped(sent, meet, "rank long")
 
 
 def hot_bitmap(ranked: DataFrame, bits: int) -> np.ndarray:
@@ -348,8 +352,8 @@ def _lists(docs: DataFrame, read: Read, buckets: int, num: int = 3, den: int = 4
         if held:
             yield settle(held)
 
-    sent = docs.mapInArrow(scan, "bucket long, e binary").repartition("bucket").sortWithinPartitions("bucket")
-    return sent.mapInArrow(meet, "h long, node long, n long, short boolean, m long")
+    sent = mapped(docs, scan, "bucket long, e binary").repartition("bucket").sortWithinPartitions("bucket")
+    return mapped(sent, meet, "h long, node long, n long, short boolean, m long")
 
 
 def _may(x: str = "x", y: str = "y", num: int = 3, den: int = 4):
@@ -401,7 +405,7 @@ def _sets(docs: DataFrame, nodes: DataFrame, reps: DataFrame, read: Read) -> Dat
             if out[0]:
                 yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(out, (pa.int64(), pa.int32(), pa.list_(pa.int64())), strict=True)], ["node", "f", "s"])
 
-    rows = docs.mapInArrow(scan, "node long, f int, s array<long>")
+    rows = mapped(docs, scan, "node long, f int, s array<long>")
     return rows.join(nodes, "node", "left_semi").groupBy("node", "f").agg(F.first("s").alias("s"))
 
 
@@ -437,7 +441,7 @@ def similar(documents: DataFrame, num: int = 3, den: int = 4, node_bits: int = 6
     sc = docs.sparkSession.sparkContext
     total = docs.agg(F.sum(F.octet_length("text")).alias("n")).first()["n"] or 0
     bits, buckets = sketch_bits(total), max(16, -(-total // BUCKET_TEXT))
-    surveyed = staged(docs.mapInArrow(_survey(bits, node_bits), "kind int, doc_id long, n long, node long, other long, z binary"), "survey")
+    surveyed = staged(mapped(docs, _survey(bits, node_bits), "kind int, doc_id long, n long, node long, other long, z binary"), "survey")
     rows, reps, renamed = _named(surveyed)
     classes = frequency_classes(surveyed, bits)  # 2^bits bytes
     read = Read(sc.broadcast((classes, np.zeros(0, np.uint8))), sc.broadcast(_member_filter(reps.select("least"))), sc.broadcast(frozenset(renamed)), node_bits)

@@ -24,7 +24,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from leafmill.llm.arrow import id_texts
+from leafmill.llm.arrow import id_texts, mapped
 from leafmill.llm.language_id import batch_type
 from leafmill.sources.staging import staged
 
@@ -119,7 +119,7 @@ def pieces(documents: DataFrame, vocabulary: str, capacity: int = CAPACITY) -> D
                 out += [(i, k, s, n, zlib.crc32(t[s : s + n].tobytes())) for k, (s, n) in enumerate(cuts(len(t), capacity))]
             yield pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(zip(*out, strict=True), fields, strict=True)], schema=fields)
 
-    return documents.select("doc_id", "text").mapInArrow(run, f"doc_id {kind}, piece int, start long, length long, ids_crc32 long")
+    return mapped(documents.select("doc_id", "text"), run, f"doc_id {kind}, piece int, start long, length long, ids_crc32 long")
 
 
 def fullest(counts: list[int], capacity: int, longest: int) -> list[tuple[int, int]]:
@@ -212,7 +212,7 @@ def pack(parts: DataFrame, capacity: int = CAPACITY) -> DataFrame:
             kept = [b.column(c) for c in b.schema.names if c != "_rank"]
             yield pa.RecordBatch.from_arrays([*kept, pa.array(seq, pa.int64()), pa.array(off, pa.int64())], names=[*(c for c in b.schema.names if c != "_rank"), "sequence_id", "offset"])
 
-    return ranked.mapInArrow(place, schema).unionByName(full)
+    return mapped(ranked, place, schema).unionByName(full)
 
 
 def pack_documents(documents: DataFrame, vocabulary: str | None = None, capacity: int = CAPACITY) -> DataFrame:
