@@ -37,13 +37,14 @@ def fresh(spark: SparkSession, tag: str) -> str:
 
 
 @contextmanager
-def _shuffles_go(spark: SparkSession):
-    before = spark.conf.get(CLEAN_UP, "false")
-    spark.conf.set(CLEAN_UP, "true")
+def setting(spark: SparkSession, name: str, value: str):
+    """A setting of the session for what runs inside."""
+    before = spark.conf.get(name, None)
+    spark.conf.set(name, value)
     try:
         yield
     finally:
-        spark.conf.set(CLEAN_UP, before)
+        spark.conf.unset(name) if before is None else spark.conf.set(name, before)
 
 
 def staged(df: DataFrame, tag: str = "t") -> DataFrame:
@@ -56,7 +57,7 @@ def staged(df: DataFrame, tag: str = "t") -> DataFrame:
     spark = df.sparkSession
     path = fresh(spark, tag)
     schema = df.schema
-    with _shuffles_go(spark):
+    with setting(spark, CLEAN_UP, "true"):
         df.write.option("compression", "zstd").parquet(path)
     out = spark.read.schema(schema).parquet(path)
     out.staged_path = path
