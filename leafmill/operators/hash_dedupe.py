@@ -10,6 +10,8 @@ from leafmill.operators.components import connected_components
 from leafmill.sources.staging import staged
 
 DIGITS, BAND_DIGITS, THRESHOLD = 36, 6, 16
+#: Ids of equal hashes that are paired with others at once.
+PART = 512
 
 
 def valid(hashes: DataFrame, digits: int = DIGITS, invalid: str = "exclude") -> DataFrame:
@@ -35,6 +37,14 @@ def bucketed(bands: DataFrame, max_bucket: int | None = None) -> DataFrame:
     return bands.join(keep.select("band", "value"), ["band", "value"], "left_semi")
 
 
+def _near(least: DataFrame, by: str, threshold: int, digits: int, band_digits: int, max_bucket: int | None) -> DataFrame:
+    """x and y, in order of by: different hashes that share a band and differ in at most threshold bits, once a band. least: h, least."""
+    one = staged(bucketed(banded(least.select(F.col("least").alias("id"), "h"), digits, band_digits), max_bucket), "buckets")
+    x, y = one.alias("x"), one.alias("y")
+    met = x.join(y, (F.col("x.band") == F.col("y.band")) & (F.col("x.value") == F.col("y.value")) & (F.col(f"x.{by}") < F.col(f"y.{by}")))
+    return met.where(vectors.hamming(F.col("x.h"), F.col("y.h"), digits) <= threshold)
+
+
 def linked(hashes: DataFrame, threshold: int = THRESHOLD, digits: int = DIGITS, band_digits: int = BAND_DIGITS, max_bucket: int | None = None, invalid: str = "exclude") -> DataFrame:
     """a, b (a < b), kind. hashes: id, h.
 
@@ -45,10 +55,7 @@ def linked(hashes: DataFrame, threshold: int = THRESHOLD, digits: int = DIGITS,
     rows = staged(valid(hashes, digits, invalid), "hashes")
     least = staged(rows.groupBy("h").agg(F.min("id").alias("least")), "least")
     copies = rows.join(least, "h").where("id > least").select(F.col("least").alias("a"), F.col("id").alias("b"), F.lit("copy").alias("kind")).distinct()
-    one = staged(bucketed(banded(least.select(F.col("least").alias("id"), "h"), digits, band_digits), max_bucket), "buckets")
-    x, y = one.alias("x"), one.alias("y")
-    met = x.join(y, (F.col("x.band") == F.col("y.band")) & (F.col("x.value") == F.col("y.value")) & (F.col("x.id") < F.col("y.id")))
-    near = met.where(vectors.hamming(F.col("x.h"), F.col("y.h"), digits) <= threshold).select(F.col("x.id").alias("a"), F.col("y.id").alias("b")).distinct()
+    near = _near(least, "id", threshold, digits, band_digits, max_bucket).select(F.col("x.id").alias("a"), F.col("y.id").alias("b")).distinct()
     return near.withColumn("kind", F.lit("near")).unionByName(copies)
 
 
@@ -57,12 +64,25 @@ def duplicate_pairs(hashes: DataFrame, **kw) -> DataFrame:
     return linked(hashes, **kw).select("a", "b")
 
 
-def all_pairs(hashes: DataFrame, **kw) -> DataFrame:
-    """duplicate_pairs with every pair of equal hashes written out, for reports on small tables."""
-    digits = kw.get("digits", DIGITS)
-    seen = bucketed(banded(hashes, digits, kw.get("band_digits", BAND_DIGITS), kw.get("invalid", "exclude")), kw.get("max_bucket"))
-    met = seen.alias("x").join(seen.alias("y"), ["band", "value"]).where("x.id < y.id")
-    return met.where(vectors.hamming(F.col("x.h"), F.col("y.h"), digits) <= kw.get("threshold", THRESHOLD)).select(F.col("x.id").alias("a"), F.col("y.id").alias("b")).distinct()
+def all_pairs(hashes: DataFrame, threshold: int = THRESHOLD, digits: int = DIGITS, band_digits: int = BAND_DIGITS, max_bucket: int | None = None, invalid: str = "exclude") -> DataFrame:
+    """a, b (a < b): every two ids whose hashes share a band and differ in at most threshold bits, once each.
+
+    Different hashes are compared once, as in linked(); then the ids of the two are paired, and those of one hash with
+    each other. Rows grow with the square of a group, so its ids are held in parts of about PART, and each two parts are
+    rows of their own that any task can write out.
+    """
+    rows = staged(valid(hashes, digits, invalid).distinct(), "hashes")
+    held = staged(rows.groupBy("h").agg(F.min("id").alias("least"), F.count("*").alias("n")), "least")
+    part = F.pmod(F.xxhash64("id"), F.ceil(F.col("n") / PART)).alias("part")
+    ids = staged(rows.join(held, "h").select("h", part, "id").groupBy("h", "part").agg(F.collect_list("id").alias("ids")), "parts")
+    near = _near(held, "h", threshold, digits, band_digits, max_bucket).select(F.col("x.h").alias("h"), F.col("y.h").alias("g")).distinct()
+    two = near.unionByName(held.where("n > 1").select("h", F.col("h").alias("g")))
+    others = ids.select(F.col("h").alias("g"), F.col("part").alias("to"), F.col("ids").alias("others"))
+    met = two.join(ids, "h").join(others, "g").where("h < g or part <= to").repartition("h", "part", "g", "to")
+    each = met.select((F.expr("h = g and part = to")).alias("same"), F.explode("ids").alias("x"), "others").select("same", "x", F.explode("others").alias("y"))
+    pairs = each.where("x < y or (x > y and not same)").select(F.least("x", "y").alias("a"), F.greatest("x", "y").alias("b"))
+    # an id of several hashes may meet another one more than once
+    return pairs if rows.groupBy("id").agg(F.count("*").alias("n")).where("n > 1").isEmpty() else pairs.distinct()
 
 
 def assign(ids: DataFrame, pairs: DataFrame) -> DataFrame:

@@ -106,6 +106,28 @@ def test_hash_queries_have_no_bucket_bound(spark, monkeypatch):
     assert {r["group_id"] for r in catalog.QUERIES["hash_groups"](spark, "").collect()} == {1}
 
 
+def test_hash_pairs_are_all_pairs(spark, monkeypatch):
+    from leafmill.plans import catalog
+
+    monkeypatch.setattr(hash_dedupe, "PART", 7)  # a group is several parts
+    hs = {i: "0" * 36 for i in range(40)} | {100 + i: "0" * 35 + "1" for i in range(12)} | {i: f"{i:036x}" for i in (200, 201)} | {300 + i: "F" * 36 for i in range(2)} | {400: "f" * 36, 500: "zz"}
+    rows = [(i, h, i, i) for i, h in hs.items()]
+    df = spark.createDataFrame(rows, "id_imagehash long, image_hash string, id_pipeline_batch_item long, id_detection long")
+    monkeypatch.setattr(catalog, "relation", lambda *_: df)
+    good = {i: int(h, 16) for i, h in hs.items() if h != "zz"}
+    want = {(a, b) for a in good for b in good if a < b and (good[a] ^ good[b]).bit_count() <= 16}
+    got = catalog.QUERIES["hash_pairs"](spark, "")
+    assert got.columns == ["a", "b"]
+    got = [tuple(r) for r in got.collect()]
+    assert set(got) == want and len(got) == len(want) > 1000
+
+
+def test_all_pairs_of_an_id_with_several_hashes(spark):
+    rows = [(1, "0" * 36), (1, "0" * 35 + "1"), (1, "0" * 36), (2, "0" * 36), (3, "0" * 35 + "1"), (2, "0" * 35 + "3")]
+    got = [tuple(r) for r in hash_dedupe.all_pairs(spark.createDataFrame(rows, "id long, h string")).collect()]
+    assert sorted(got) == [(1, 2), (1, 3), (2, 3)]
+
+
 def test_neighbours(spark):
     rng = np.random.default_rng(2)
     x = rng.normal(size=(60, 16))
